@@ -107,10 +107,12 @@ def _session_for(spark: SparkSession, lake: Lake) -> Iterator[None]:
 
 
 def _batch_numbers(spark: SparkSession, table: BatchTable, batch: int | None) -> tuple[int, int | None]:
-    """The batch to write and the one it starts from; repeating a batch starts from the one before it."""
+    """The batch to write and the one it starts from; repeating the last batch starts from the one before it."""
+    newest = table.latest(spark)
     if batch is None:
-        previous = table.latest(spark)
-        return (0 if previous is None else previous + 1), previous
+        return (0 if newest is None else newest + 1), newest
+    if newest is not None and batch < newest:
+        raise ValueError(f"batch {batch} of {table.root} cannot be rewritten: batch {newest} builds on it")
     return batch, table.latest(spark, before=batch)
 
 

@@ -1,0 +1,32 @@
+"""Small snapshots and plan inspection shared by the tests."""
+
+from collections import Counter
+from datetime import date
+
+from lakehist.operators import HistorySpec
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+SCHEMA = StructType([
+    StructField("id", LongType()),
+    StructField("city", StringType()),
+    StructField("spend", DoubleType()),
+])
+SPEC = HistorySpec(keys=("id",), tracked=("city", "spend"))
+OPEN = date(9999, 12, 31)
+
+
+def snapshot(spark, *rows):
+    return spark.createDataFrame([tuple(r) for r in rows], SCHEMA)
+
+
+def bag(df, *drop):
+    return Counter(tuple(row) for row in df.drop(*drop).select(sorted(df.drop(*drop).columns)).collect())
+
+
+def plan(df):
+    """The physical plan before runtime adaptation."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def count_exchanges(df):
+    return plan(df).count("Exchange hashpartitioning")

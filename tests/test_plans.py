@@ -1,0 +1,102 @@
+"""The physical plans the operators are meant to have."""
+
+from dataclasses import replace
+
+import pytest
+from helpers import count_exchanges, plan
+from lakehist.functions import AsOf
+from lakehist.operators import scd1_mirror, scd2_delta, scd2_merge, top_bottom
+from lakehist.plans import CUSTOMERS, Lake, run_all
+from lakehist.plans.snapshots import raw_day1, raw_day2
+
+DAY1, DAY2 = AsOf.at("2001-08-01"), AsOf.at("2001-08-02")
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    base = str(tmp_path_factory.mktemp("plans"))
+    sf = "/root/testdata/sf0.001"
+    for n, day in enumerate((raw_day1, raw_day2), 1):
+        day(spark, sf).write.parquet(f"{base}/day{n}")
+    lakes = {}
+    for buckets in (0, 4):
+        lakes[buckets] = Lake(f"{base}/lake{buckets}", buckets=buckets)
+        run_all(spark, lakes[buckets], DAY1, raw_path=f"{base}/day1")
+        run_all(spark, lakes[buckets], DAY2, raw_path=f"{base}/day2")
+    return base, lakes
+
+
+@pytest.fixture(autouse=True)
+def no_broadcast(spark):
+    """Tables beyond the broadcast limit, which is what the plans are for."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def raw(spark, base):
+    return spark.read.schema(CUSTOMERS.raw).parquet(f"{base}/day1")
+
+
+def silver_step(spark, lake):
+    source = CUSTOMERS.conformed(lake.bronze.read(spark), DAY2)
+    return scd1_mirror(lake.silver.read(spark), source, CUSTOMERS.mirror)
+
+
+@pytest.mark.parametrize(("buckets", "exchanges"), [(0, 2), (4, 1)])
+def test_history_is_one_join_and_buckets_spare_the_stored_side(spark, stored, buckets, exchanges):
+    base, lakes = stored
+    delta = scd2_delta(lakes[buckets].bronze.read(spark), raw(spark, base), CUSTOMERS.history, DAY2)
+    assert plan(delta).count("SortMergeJoin") == 1
+    assert count_exchanges(delta) == exchanges
+
+
+@pytest.mark.parametrize(("buckets", "exchanges"), [(0, 2), (4, 0)])
+def test_mirror_of_bucketed_layers_needs_no_shuffle(spark, stored, buckets, exchanges):
+    step = silver_step(spark, stored[1][buckets])
+    assert plan(step).count("SortMergeJoin") == 1
+    assert count_exchanges(step) == exchanges
+
+
+def test_null_key_rows_are_not_shuffled(spark, stored):
+    base, lakes = stored
+    spec = replace(CUSTOMERS.history, null_keys=True)
+    delta = scd2_delta(lakes[0].bronze.read(spark), raw(spark, base), spec, DAY2)
+    text = plan(delta)
+    assert count_exchanges(delta) == 2
+    assert "PushedFilters: [IsNull(customer_id)]" in text and "PushedFilters: [IsNotNull(customer_id)]" in text
+
+
+def test_closed_versions_bypass_the_join(spark, stored):
+    base, lakes = stored
+    merged = scd2_merge(lakes[0].bronze.read_history(spark), raw(spark, base), CUSTOMERS.history, DAY2)
+    text = plan(merged)
+    assert count_exchanges(merged) == 2
+    assert "PartitionFilters: [isnotnull(current_flag" in text and "NOT current_flag" in text
+
+
+def test_bucketed_files_stay_one_per_bucket(spark, stored):
+    lake = stored[1][4]
+    for table in (lake.bronze, lake.silver):
+        files = table.read(spark, 1).inputFiles()
+        assert 0 < len(files) <= 4
+
+
+def test_ranking_is_a_bounded_top_k_over_the_columns_it_needs(spark, stored):
+    report = top_bottom(stored[1][0].gold.read(spark), CUSTOMERS.ranking, DAY2.audit())
+    text = plan(report)
+    assert text.count("TakeOrderedAndProject") == 2 and "Exchange" not in text
+    assert "PushedFilters: [IsNotNull(status), EqualTo(status,true)]" in text
+    assert "email" not in text and "telefone" not in text
+
+
+def test_gold_is_one_map_stage(spark, stored):
+    text = plan(CUSTOMERS.enriched(stored[1][0].silver.read(spark), DAY2))
+    assert "Exchange" not in text and text.count("Project") == 1 and "data_atualizacao" not in text
+
+
+def test_no_python_runs_on_executors(spark, stored):
+    base, lakes = stored
+    delta = scd2_delta(lakes[0].bronze.read(spark), raw(spark, base), CUSTOMERS.history, DAY2)
+    for df in (delta, silver_step(spark, lakes[0]), CUSTOMERS.enriched(lakes[0].silver.read(spark), DAY2)):
+        assert "Python" not in plan(df) and "Pandas" not in plan(df)

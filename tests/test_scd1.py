@@ -1,0 +1,69 @@
+from collections import Counter
+from dataclasses import replace
+
+import pytest
+from helpers import snapshot
+from lakehist.operators import MirrorSpec, scd1_delta, scd1_mirror
+from lakehist.operators.scd2 import ACTION
+from pyspark.sql import functions as F
+
+SPEC = MirrorSpec(keys=("id",), tracked=("city",), audit="stamp")
+
+
+def stamped(spark, stamp, *rows):
+    return snapshot(spark, *rows).withColumn("stamp", F.lit(stamp))
+
+
+def rows(df):
+    return Counter((r.id, r.city, r.spend, r.stamp) for r in df.collect())
+
+
+def test_unchanged_changed_added_and_dropped(spark):
+    target = stamped(spark, "old", (1, "a", 1.0), (2, "a", 1.0), (3, "a", 1.0))
+    source = stamped(spark, "new", (1, "a", 1.0), (2, "b", 2.0), (4, "d", 4.0))
+    assert rows(scd1_mirror(target, source, SPEC)) == Counter(
+        [(1, "a", 1.0, "old"), (2, "b", 2.0, "new"), (4, "d", 4.0, "new")]
+    )
+
+
+def test_untracked_columns_follow_a_change_but_do_not_cause_one(spark):
+    target = stamped(spark, "old", (1, "a", 1.0), (2, "a", 1.0))
+    source = stamped(spark, "new", (1, "a", 9.0), (2, "b", 9.0))
+    assert rows(scd1_mirror(target, source, SPEC)) == Counter([(1, "a", 1.0, "old"), (2, "b", 9.0, "new")])
+
+
+@pytest.mark.parametrize(("null_safe", "kept"), [(False, "old"), (True, "new")])
+def test_null_policy(spark, null_safe, kept):
+    target, source = stamped(spark, "old", (1, None, 1.0)), stamped(spark, "new", (1, "a", 1.0))
+    [row] = scd1_mirror(target, source, replace(SPEC, null_safe=null_safe)).collect()
+    assert row.stamp == kept
+
+
+@pytest.mark.parametrize("null_keys", [False, True])
+def test_null_keys_are_replaced_every_time(spark, null_keys):
+    target = stamped(spark, "old", (1, "a", 1.0), (None, "x", 1.0))
+    source = stamped(spark, "new", (1, "a", 1.0), (None, "x", 1.0))
+    mirrored = scd1_mirror(target, source, replace(SPEC, null_keys=null_keys))
+    assert rows(mirrored) == Counter([(1, "a", 1.0, "old"), (None, "x", 1.0, "new")])
+
+
+@pytest.mark.parametrize("null_keys", [False, True])
+def test_actions(spark, null_keys):
+    target = stamped(spark, "old", (1, "a", 1.0), (2, "a", 1.0), (3, "z", 3.0), (None, "n", 1.0))
+    source = stamped(spark, "new", (1, "a", 1.0), (2, "b", 2.0), (4, "d", 4.0))
+    delta = scd1_delta(target, source, replace(SPEC, null_keys=null_keys))
+    assert {(r.id, r.city, r.stamp, r[ACTION]) for r in delta.collect()} == {
+        (1, "a", "old", "keep"), (2, "b", "new", "update"), (3, "z", "old", "delete"),
+        (4, "d", "new", "insert"), (None, "n", "old", "delete"),
+    }
+
+
+def test_applying_twice_keeps_the_stamps_of_the_first_time(spark):
+    target = stamped(spark, "old", (1, "a", 1.0), (2, "a", 1.0))
+    once = scd1_mirror(target, stamped(spark, "new", (1, "a", 1.0), (2, "b", 1.0)), SPEC)
+    twice = scd1_mirror(once, stamped(spark, "newer", (1, "a", 1.0), (2, "b", 1.0)), SPEC)
+    assert rows(twice) == rows(once)
+
+
+def test_empty_source_empties_the_mirror(spark):
+    assert scd1_mirror(stamped(spark, "old", (1, "a", 1.0)), stamped(spark, "new"), SPEC).count() == 0
