@@ -1,26 +1,33 @@
-"""The change test shared by the history and mirror operators."""
+"""The change test shared by the history and mirror operators.
+
+Conditions over many columns are composed as one SQL expression: it parses in a single call, where a
+chain of Column operators would cross to the JVM several times per column.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(relation: str, name: str) -> str:
+    escaped = name.replace("`", "``")
+    return f"{relation}.`{escaped}`"
+
+
+def differs_sql(left: str, right: str, columns: Sequence[str], null_safe: bool = False) -> str:
+    """SQL text of :func:`differs`."""
+    comparison = "NOT {} <=> {}" if null_safe else "{} <> {}"
+    tests = [comparison.format(quoted(left, c), quoted(right, c)) for c in columns]
+    return f"coalesce({' OR '.join(tests)}, false)" if tests else "false"
+
+
 def differs(left: str, right: str, columns: Sequence[str], null_safe: bool = False) -> Column:
     """True where any of ``columns`` differs between the relations aliased ``left`` and ``right``; never NULL.
 
     The default is the SQL ``<>`` chain under three-valued logic: a column that turns from or to NULL
     counts only if some other column differs as well. ``null_safe=True`` counts it on its own.
     """
-    if not columns:
-        return F.lit(False)
-
-    def one(name: str) -> Column:
-        a, b = F.col(f"{left}.`{name}`"), F.col(f"{right}.`{name}`")
-        return ~a.eqNullSafe(b) if null_safe else a != b
-
-    return F.coalesce(reduce(or_, [one(c) for c in columns]), F.lit(False))
+    return F.expr(differs_sql(left, right, columns, null_safe))

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakehist.functions.changes import quoted
+
 
 class KeyContractError(ValueError):
     """A snapshot holds NULL or repeated keys."""
@@ -23,7 +25,7 @@ def has_null_key(keys: Sequence[str]) -> Column:
 
 
 def keys_equal(left: str, right: str, keys: Sequence[str]) -> Column:
-    return reduce(and_, [F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys])
+    return F.expr(" AND ".join(f"{quoted(left, k)} = {quoted(right, k)}" for k in keys))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str], allow_null: bool = False) -> DataFrame:

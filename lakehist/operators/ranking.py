@@ -1,7 +1,7 @@
 """Top and bottom reports.
 
 Each half is a filter, a sort and a limit, which Spark plans as a bounded heap per task followed by one
-merge of ``k`` rows per task: no global sort and no shuffle of the table. The key breaks ties, so the
+merge of ``k`` rows per task: no global sort and no shuffle of the table. The keys break ties, so the
 rows at the cut are always the same.
 """
 
@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Ranking:
-    """A report over the rows where ``active`` is true, ordered by ``metric`` and then ``key``."""
+    """A report over the rows where ``active`` is true, ordered by ``metric`` and then ``keys``."""
 
     metric: str
-    key: str
+    keys: tuple[str, ...]
     active: str
     columns: tuple[str, ...]
     label_column: str
@@ -29,7 +29,7 @@ class Ranking:
 
 
 def _half(df: DataFrame, spec: Ranking, order: Column, label: str, stamp: Column) -> DataFrame:
-    ranked = df.where(F.col(spec.active)).orderBy(order, F.col(spec.key).asc()).limit(spec.k)
+    ranked = df.where(F.col(spec.active)).orderBy(order, *[F.col(k).asc() for k in spec.keys]).limit(spec.k)
     return ranked.select(*spec.columns, F.lit(label).alias(spec.label_column), stamp.alias(spec.stamp_column))
 
 

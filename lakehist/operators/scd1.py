@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehist.functions.changes import differs
+from lakehist.functions.changes import differs_sql, quoted
 from lakehist.operators.keys import has_null_key, keys_equal
 from lakehist.operators.scd2 import ACTION
 
@@ -58,29 +58,22 @@ def _merge(target: DataFrame, source: DataFrame, spec: MirrorSpec, actions: bool
 
     mirror = target.select("*", F.lit(True).alias("_mirror")).alias("mirror")
     origin = source.select("*", F.lit(True).alias("_origin")).alias("origin")
+    # Rows that only the target has are dropped by the join itself, unless they are to be reported.
     pairs = mirror.join(origin, keys_equal("mirror", "origin", spec.keys), "full_outer" if actions else "right_outer")
-
-    is_new = F.col("mirror._mirror").isNull()
-    is_gone = F.col("origin._origin").isNull() if actions else F.lit(False)
-    is_changed = ~is_new & ~is_gone & differs("mirror", "origin", spec.tracked, spec.null_safe)
-    pairs = pairs.withColumns({"_new": is_new, "_gone": is_gone, "_changed": is_changed})
-
-    def pick(name: str) -> Column:
-        a, b = F.col(f"mirror.`{name}`"), F.col(f"origin.`{name}`")
-        if name in spec.keys and not actions:
-            return b
-        return F.when(F.col("_new") | F.col("_changed"), b).otherwise(a)
-
-    out = [pick(c).alias(c) for c in columns]
-    if actions:
-        out.append(
-            F.when(F.col("_new"), "insert")
-            .when(F.col("_gone"), "delete")
-            .when(F.col("_changed"), "update")
-            .otherwise("keep")
-            .alias(ACTION)
-        )
-    result = pairs.select(*out)
+    action = f"""CASE
+        WHEN mirror._mirror IS NULL THEN 'insert'
+        WHEN origin._origin IS NULL THEN 'delete'
+        WHEN {differs_sql("mirror", "origin", spec.tracked, spec.null_safe)} THEN 'update'
+        ELSE 'keep' END"""
+    acted = pairs.select("*", F.expr(action).alias(ACTION))
+    acted = acted.select("*", F.col(ACTION).isin("insert", "update").alias("_replaced"))
+
+    out = []
+    for c in columns:
+        mine, theirs = quoted("mirror", c), quoted("origin", c)
+        always = c in spec.keys and not actions
+        out.append(F.expr(theirs if always else f"if(_replaced, {theirs}, {mine})").alias(c))
+    result = acted.select(*out, ACTION) if actions else acted.select(*out)
     for rows in unmatched:
         result = result.unionByName(rows)
     return result

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehist.functions.changes import differs
+from lakehist.functions.changes import differs, differs_sql, quoted
 from lakehist.functions.clock import AsOf, open_end
 from lakehist.operators.keys import has_null_key, keys_equal
 
@@ -31,7 +31,9 @@ START, END, CURRENT, UPDATED = "start_date", "end_date", "current_flag", "update
 HISTORY_COLUMNS = (START, END, CURRENT, UPDATED)
 ACTION = "merge_action"
 
-_HELD, _SEEN = 0, 1
+# What happens to a pair of rows. Closing actions come last, see scd2_delta.
+ACTIONS = ("keep", "insert", "close_changed", "close_missing")
+_KEEP, _INSERT, _CLOSE_CHANGED, _CLOSE_MISSING = range(len(ACTIONS))
 
 
 @dataclass(frozen=True)
@@ -85,8 +87,8 @@ def scd2_delta(
 ) -> DataFrame:
     """The next current versions plus the versions this batch closes, told apart by ``current_flag``.
 
-    ``current`` must hold current versions only. ``actions=True`` adds a ``merge_action`` column:
-    ``keep``, ``insert``, ``close_changed`` or ``close_missing``.
+    ``current`` must hold current versions only. ``actions=True`` adds a ``merge_action`` column, one of
+    :data:`ACTIONS`.
     """
     business = snapshot.columns
     columns = [*business, *HISTORY_COLUMNS]
@@ -105,39 +107,29 @@ def scd2_delta(
     held = current.select("*", F.lit(True).alias("_held")).alias("held")
     seen = snapshot.select("*", F.lit(True).alias("_seen")).alias("seen")
     pairs = held.join(seen, keys_equal("held", "seen", spec.keys), "full_outer")
-
-    is_new = F.col("held._held").isNull()
-    is_gone = F.col("seen._seen").isNull()
-    # The change test is NULL-free, and false wherever one side is absent, because absent columns are
-    # NULL; under the null-safe test it would be true there, hence the explicit guard.
-    is_changed = ~is_new & ~is_gone & differs("held", "seen", spec.tracked, spec.null_safe)
-    # One output row per listed side. The arrays are constants, so the generator copies no row data.
-    sides = (
-        F.when(is_new, F.array(F.lit(_SEEN)))
-        .when(is_changed, F.array(F.lit(_HELD), F.lit(_SEEN)))
-        .otherwise(F.array(F.lit(_HELD)))
-    )
-    emitted = pairs.withColumns({"_ends": is_gone | is_changed, "_gone": is_gone}).withColumn("_side", F.explode(sides))
-
-    opens = F.col("_side") == _SEEN
-    closes = F.col("_ends")
-
-    def held_col(name: str):
-        return F.col(f"held.`{name}`")
-
-    out = {c: F.when(opens, F.col(f"seen.`{c}`")).otherwise(held_col(c)) for c in business}
-    out[START] = F.when(opens, as_of.date()).otherwise(held_col(START))
-    out[END] = F.when(opens, open_end()).when(closes, as_of.date()).otherwise(held_col(END))
-    out[CURRENT] = opens | ~closes
-    out[UPDATED] = F.when(opens | closes, as_of.timestamp()).otherwise(held_col(UPDATED))
+    # A pair comes out once per action. The lists are constants, so the generator copies no row data.
+    todo = f"""CASE
+        WHEN held._held IS NULL THEN array({_INSERT})
+        WHEN seen._seen IS NULL THEN array({_CLOSE_MISSING})
+        WHEN {differs_sql("held", "seen", spec.tracked, spec.null_safe)} THEN array({_CLOSE_CHANGED}, {_INSERT})
+        ELSE array({_KEEP}) END"""
+    acted = pairs.select("*", F.expr(f"explode({todo})").alias("_action"))
+
+    opens = F.col("_action") == _INSERT
+    closes = F.col("_action") >= _CLOSE_CHANGED
+    out = [
+        F.expr(f"if(_action = {_INSERT}, {quoted('seen', c)}, {quoted('held', c)})").alias(c) for c in business
+    ]
+    out += [
+        F.when(opens, as_of.date()).otherwise(F.col(f"held.{START}")).alias(START),
+        F.when(opens, open_end()).when(closes, as_of.date()).otherwise(F.col(f"held.{END}")).alias(END),
+        (~closes).alias(CURRENT),
+        F.when(opens | closes, as_of.timestamp()).otherwise(F.col(f"held.{UPDATED}")).alias(UPDATED),
+    ]
     if actions:
-        out[ACTION] = (
-            F.when(opens, "insert")
-            .when(F.col("_gone"), "close_missing")
-            .when(closes, "close_changed")
-            .otherwise("keep")
-        )
-    delta = emitted.select(*[column.alias(name) for name, column in out.items()])
+        names = ", ".join(f"'{name}'" for name in ACTIONS)
+        out.append(F.expr(f"element_at(array({names}), _action + 1)").alias(ACTION))
+    delta = acted.select(*out)
     for rows in unmatched:
         delta = delta.unionByName(rows)
     return delta

@@ -188,5 +188,7 @@ def run_all(
 
 
 def _in_buckets(spark: SparkSession, buckets: int, inputs: Mapping[BatchTable, int | None]) -> bool:
-    """Whether every stored input already lies in the buckets that are about to be written."""
-    return buckets > 0 and all(table.batches(spark).get(batch) == buckets for table, batch in inputs.items())
+    """Whether every stored input already lies in the buckets that are about to be written, so that the
+    join's tasks come out as whole buckets."""
+    usable = buckets > 0 and spark.conf.get("spark.sql.sources.bucketing.enabled") == "true"
+    return usable and all(table.batches(spark).get(batch) == buckets for table, batch in inputs.items())

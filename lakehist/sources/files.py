@@ -10,10 +10,14 @@ from pyspark.sql.types import StructType
 
 
 def read_snapshot(
-    spark: SparkSession, path: str, schema: StructType, format: str = "parquet", **options: str
+    spark: SparkSession, path: str, schema: StructType | None = None, format: str = "parquet", **options: str
 ) -> DataFrame:
-    """A full snapshot under its declared schema. A missing path raises ``AnalysisException``."""
-    return spark.read.format(format).schema(schema).options(**options).load(path)
+    """A full snapshot under its declared schema. A missing path raises ``AnalysisException``.
+
+    Leave ``schema`` out for formats that carry their own, such as the lake table formats.
+    """
+    reader = spark.read.format(format).options(**options)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -3,7 +3,7 @@ from lakehist.operators import Ranking, bottom, top, top_bottom
 from pyspark.sql import functions as F
 
 SPEC = Ranking(
-    metric="spend", key="id", active="live", columns=("id", "spend"), label_column="half",
+    metric="spend", keys=("id",), active="live", columns=("id", "spend"), label_column="half",
     top_label="best", bottom_label="worst", stamp_column="at", k=3,
 )
 STAMP = "2024-05-01 08:00:00"
