@@ -3,6 +3,7 @@
 Snapshots come from the tables in ``BENCH_SF_DIR``. Operators are timed against stored layers and written
 to the ``noop`` sink; the ``job_*`` entries time whole layer jobs, including their writes. Entries ending
 in ``_xN`` run on the same snapshots with the key range repeated N times (``BENCH_REPLICAS``).
+``BENCH_HISTORY=10,100`` adds the bronze job after that many batches of history.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPLICAS = [int(n) for n in os.environ.get("BENCH_REPLICAS", "1,100").split(",")]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+HISTORY = [int(n) for n in os.environ.get("BENCH_HISTORY", "").split(",") if n]
 KEY_STEP = 100_000_000
 
 DAY1, DAY2 = AsOf.at("2001-08-01 12:00:00"), AsOf.at("2001-08-02 12:00:00")
@@ -104,11 +106,32 @@ def measure(spark: SparkSession, replicas: int) -> dict[str, float]:
     return {name + suffix: timed(job) for name, job in work.items()}
 
 
+def measure_history(spark: SparkSession) -> dict[str, float]:
+    """The same batch on top of a short and a long history."""
+    base = scratch_dir(spark, "bench-history")
+    days = [f"{base}/day1", f"{base}/day2"]
+    for path, day in zip(days, (raw_day1, raw_day2)):
+        replicate(day(spark, SF_DIR), 10).repartition(int(CPUS)).write.parquet(path)
+    lake = Lake(f"{base}/lake")
+    seconds = {}
+    for batch in range(max(HISTORY) + 1):
+        def job() -> int:
+            return run_bronze(spark, lake, DAY2, batch=batch, raw_path=days[batch % 2])
+
+        if batch in HISTORY:
+            seconds[f"job_bronze_x10_after_{batch}"] = timed(job)
+        else:
+            job()
+    return seconds
+
+
 def main() -> None:
     spark = session()
     queries: dict[str, float] = {}
     for replicas in REPLICAS:
         queries.update(measure(spark, replicas))
+    if HISTORY:
+        queries.update(measure_history(spark))
     total = round(sum(queries.values()), 4)
     print(json.dumps({"metric": "total_median_seconds", "value": total, "unit": "sec", "queries": queries,
                       "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")}))

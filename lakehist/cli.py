@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--zone", default=BUSINESS_ZONE)
     parser.add_argument("--batch", type=int, help="batch to write or repeat (default: the next one)")
     parser.add_argument("--buckets", type=int, default=0, help="co-locate bronze and silver by key")
+    parser.add_argument("--keep", type=int, help="states of a layer to leave on storage (default: all)")
     parser.add_argument("--null-safe", action="store_true", help="a change from or to NULL counts on its own")
     parser.add_argument("--null-keys", choices=["raise", "keep"], default="raise")
     parser.add_argument("--skip-key-check", action="store_true")
@@ -57,6 +58,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         buckets=args.buckets,
         null_safe=args.null_safe,
         null_keys=args.null_keys == "keep",
+        keep=args.keep,
         check_keys=not args.skip_key_check,
         gold_sinks=_sinks(args, "gold"),
         ranking_sinks=_sinks(args, "ranking"),

@@ -29,7 +29,8 @@ class Lake:
     ``base`` is any Hadoop URI. ``raw_path`` defaults to the raw layer under ``base``. ``buckets``
     co-locates bronze and silver by key (see :class:`BatchTable`). ``null_keys=True`` accepts snapshots
     with NULL keys instead of refusing them; ``check_keys=False`` skips the key check for extracts whose
-    source already guarantees unique keys.
+    source already guarantees unique keys. ``keep`` is how many states of a layer to leave on storage
+    after each job (all of them by default); closed versions always stay.
     """
 
     base: str
@@ -41,10 +42,13 @@ class Lake:
     null_keys: bool = False
     check_keys: bool = True
     skip_null_metric: bool = False
+    keep: int | None = None
     gold_sinks: tuple[SinkSpec, ...] = ()
     ranking_sinks: tuple[SinkSpec, ...] = ()
 
     def __post_init__(self) -> None:
+        if self.keep is not None and self.keep < 2:
+            raise ValueError("keep at least 2 states: repeating the last batch starts from the one before it")
         if self.buckets and self.null_keys:
             raise ValueError("all NULL keys would fall into one bucket: use null_keys without buckets")
 
@@ -68,6 +72,11 @@ class Lake:
         # Rebuilt on every run under whatever columns the rules yield, so no schema is declared.
         return BatchTable(self.path("gold"), None)
 
+    def _publish(self, spark: SparkSession, table: BatchTable, rows: DataFrame, batch: int, clustered: bool = False) -> None:
+        table.write(rows, batch, clustered)
+        if self.keep is not None:
+            table.expire(spark, self.keep)
+
     def _policy(self) -> dict[str, bool]:
         return {"null_safe": self.null_safe, "null_keys": self.null_keys}
 
@@ -129,11 +138,11 @@ def run_bronze(
             validate_keys(snapshot, spec.keys, allow_null=spec.null_keys)
         batch, previous = _batch_numbers(spark, bronze, batch)
         if previous is None:
-            bronze.write(scd2_bootstrap(snapshot, as_of), batch)
+            lake._publish(spark, bronze, scd2_bootstrap(snapshot, as_of), batch)
         else:
             current = bronze.read(spark, previous)
             delta = scd2_delta(current, snapshot, spec, as_of)
-            bronze.write(delta, batch, clustered=_in_buckets(spark, lake.buckets, {bronze: previous}))
+            lake._publish(spark, bronze, delta, batch, _in_buckets(spark, lake.buckets, {bronze: previous}))
     return batch
 
 
@@ -149,7 +158,7 @@ def run_silver(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch
         if previous is not None:
             inputs[silver] = previous
             mirrored = scd1_mirror(silver.read(spark, previous), mirrored, spec)
-        silver.write(mirrored, batch, clustered=_in_buckets(spark, lake.buckets, inputs))
+        lake._publish(spark, silver, mirrored, batch, _in_buckets(spark, lake.buckets, inputs))
     return batch
 
 
@@ -158,7 +167,7 @@ def run_gold(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch:
     as_of = as_of or AsOf.now(lake.zone)
     with _session_for(spark, lake):
         batch, _ = _batch_numbers(spark, lake.gold, batch)
-        lake.gold.write(lake.entity.enriched(lake.silver.read(spark), as_of), batch)
+        lake._publish(spark, lake.gold, lake.entity.enriched(lake.silver.read(spark), as_of), batch)
         for sink in lake.gold_sinks:
             publish(lake.gold.read(spark, batch), sink)
     return batch

@@ -16,7 +16,7 @@ from lakehist.functions import AsOf
 from lakehist.operators.scd2 import ACTION, CURRENT, UPDATED
 from lakehist.plans.customers import CUSTOMERS
 from lakehist.plans.layers import Lake, run_all, run_bronze, run_gold, run_silver
-from lakehist.plans.snapshots import raw_day1, raw_day2
+from lakehist.plans.snapshots import next_day, raw_day1
 from lakehist.sources import BatchTable, SinkSpec, read_snapshot, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,18 +39,26 @@ def _without_some_keys(snapshot: DataFrame) -> DataFrame:
     return snapshot.withColumn("customer_id", F.when(key % 3 != 0, key))
 
 
+def _two_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Both snapshots off one stored copy of the first, which takes an aggregation and two joins to derive."""
+    path = f"{scratch_dir(spark, 'raw')}/day1"
+    raw_day1(spark, sf).write.parquet(path)
+    day1 = read_snapshot(spark, path, CUSTOMERS.raw)
+    return day1, next_day(day1)
+
+
 # -- history ---------------------------------------------------------------------------------------
 
 
-def _bronze1(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.scd2_bootstrap(raw_day1(spark, sf), DAY1)
+def _bronze1_and_day2(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    day1, day2 = _two_days(spark, sf)
+    return ops.scd2_bootstrap(day1, DAY1), day2
 
 
-def _stored_history(spark: SparkSession, sf: str, *days: tuple[AsOf, Callable]) -> DataFrame:
+def _stored_history(spark: SparkSession, *days: tuple[AsOf, DataFrame]) -> DataFrame:
     """Apply snapshots one after the other, each batch to the stored state of the one before."""
     table = BatchTable(scratch_dir(spark, "history"), CUSTOMERS.bronze, HISTORY.keys, CURRENT)
-    for batch, (as_of, snapshot) in enumerate(days):
-        rows = snapshot(spark, sf)
+    for batch, (as_of, rows) in enumerate(days):
         if batch:
             rows = ops.scd2_delta(table.read(spark, batch - 1), rows, HISTORY, as_of)
         else:
@@ -60,25 +68,25 @@ def _stored_history(spark: SparkSession, sf: str, *days: tuple[AsOf, Callable])
 
 
 def bronze_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
-    return _comparable(_bronze1(spark, sf))
+    return _comparable(ops.scd2_bootstrap(raw_day1(spark, sf), DAY1))
 
 
 def current_versions(spark: SparkSession, sf: str) -> DataFrame:
-    history = _stored_history(spark, sf, (DAY1, raw_day1), (DAY2, raw_day2))
+    day1, day2 = _two_days(spark, sf)
+    history = _stored_history(spark, (DAY1, day1), (DAY2, day2))
     return _comparable(ops.current_versions(history))
 
 
 def _changed(null_safe: bool) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         spec = replace(HISTORY, null_safe=null_safe)
-        return ops.changed_keys(raw_day1(spark, sf), raw_day2(spark, sf), spec)
+        return ops.changed_keys(*_two_days(spark, sf), spec)
 
     return query
 
 
 def silver_changed_keys(spark: SparkSession, sf: str) -> DataFrame:
-    target = CUSTOMERS.conformed(raw_day1(spark, sf), DAY1)
-    source = CUSTOMERS.conformed(raw_day2(spark, sf), DAY2)
+    target, source = _mirror_sides(spark, sf)
     return ops.changed_keys(target, source, ops.HistorySpec(MIRROR.keys, MIRROR.tracked))
 
 
@@ -86,7 +94,7 @@ def _history_action(action: str, keeps_flag: bool) -> Query:
     """The rows one clause of the history merge writes: versions it closes, or versions it opens."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        delta = ops.scd2_delta(_bronze1(spark, sf), raw_day2(spark, sf), HISTORY, DAY2, actions=True)
+        delta = ops.scd2_delta(*_bronze1_and_day2(spark, sf), HISTORY, DAY2, actions=True)
         return _comparable(delta.where((F.col(ACTION) == action) & (F.col(CURRENT) == keeps_flag)).drop(ACTION))
 
     return query
@@ -95,23 +103,24 @@ def _history_action(action: str, keeps_flag: bool) -> Query:
 def _merge(null_safe: bool = False) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         spec = replace(HISTORY, null_safe=null_safe)
-        return _comparable(ops.scd2_merge(_bronze1(spark, sf), raw_day2(spark, sf), spec, DAY2))
+        return _comparable(ops.scd2_merge(*_bronze1_and_day2(spark, sf), spec, DAY2))
 
     return query
 
 
 def scd2_null_keys(spark: SparkSession, sf: str) -> DataFrame:
-    held = ops.scd2_bootstrap(_without_some_keys(raw_day1(spark, sf)), DAY1)
-    seen = _without_some_keys(raw_day2(spark, sf))
-    return _comparable(ops.scd2_merge(held, seen, replace(HISTORY, null_keys=True), DAY2))
+    day1, day2 = map(_without_some_keys, _two_days(spark, sf))
+    return _comparable(ops.scd2_merge(ops.scd2_bootstrap(day1, DAY1), day2, replace(HISTORY, null_keys=True), DAY2))
 
 
 def scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
-    return _comparable(_stored_history(spark, sf, (DAY1, raw_day1), (DAY2, raw_day2), (DAY3, raw_day1)))
+    day1, day2 = _two_days(spark, sf)
+    return _comparable(_stored_history(spark, (DAY1, day1), (DAY2, day2), (DAY3, day1)))
 
 
 def scd2_idempotent(spark: SparkSession, sf: str) -> DataFrame:
-    return _comparable(_stored_history(spark, sf, (DAY1, raw_day1), (DAY2, raw_day2), (DAY3, raw_day2)))
+    day1, day2 = _two_days(spark, sf)
+    return _comparable(_stored_history(spark, (DAY1, day1), (DAY2, day2), (DAY3, day2)))
 
 
 def key_violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,7 +137,8 @@ def silver_conform(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mirror_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return CUSTOMERS.conformed(raw_day1(spark, sf), DAY1), CUSTOMERS.conformed(raw_day2(spark, sf), DAY2)
+    day1, day2 = _two_days(spark, sf)
+    return CUSTOMERS.conformed(day1, DAY1), CUSTOMERS.conformed(day2, DAY2)
 
 
 def _mirror_action(action: str) -> Query:
@@ -145,8 +155,8 @@ def scd1_mirror(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd1_null_keys(spark: SparkSession, sf: str) -> DataFrame:
-    target = CUSTOMERS.conformed(_without_some_keys(raw_day1(spark, sf)), DAY1)
-    source = CUSTOMERS.conformed(_without_some_keys(raw_day2(spark, sf)), DAY2)
+    day1, day2 = map(_without_some_keys, _two_days(spark, sf))
+    target, source = CUSTOMERS.conformed(day1, DAY1), CUSTOMERS.conformed(day2, DAY2)
     return ops.scd1_mirror(target, source, replace(MIRROR, null_keys=True))
 
 
@@ -189,7 +199,7 @@ def spender_ranking(spark: SparkSession, sf: str) -> DataFrame:
 def _lake(spark: SparkSession, sf: str, **settings) -> tuple[Lake, list[tuple[AsOf, str]]]:
     base = scratch_dir(spark, "lake")
     raw_day1(spark, sf).write.parquet(f"{base}/raw/day1")
-    raw_day2(spark, sf).write.parquet(f"{base}/raw/day2")
+    next_day(read_snapshot(spark, f"{base}/raw/day1", CUSTOMERS.raw)).write.parquet(f"{base}/raw/day2")
     days = [(DAY1, f"{base}/raw/day1"), (DAY2, f"{base}/raw/day2"), (DAY3, f"{base}/raw/day1")]
     sinks = {name: (SinkSpec("parquet", path=f"{base}/served/{name}"),) for name in ("gold", "ranking")}
     return Lake(base, gold_sinks=sinks["gold"], ranking_sinks=sinks["ranking"], **settings), days

@@ -13,6 +13,8 @@ directory: a run that lost its driver is simply run again.
 closed rows only those that this batch closed. The full table at ``n`` is the current rows of ``n`` plus
 the closed rows of all batches up to ``n``.
 
+Superseded states stay readable until :meth:`BatchTable.expire` drops them; closed rows are never dropped.
+
 ``buckets > 0`` hashes every batch by ``keys`` into that many files with Spark's own bucketing, so the
 next merge on those keys reads this side without a shuffle. Choose it so that one bucket of the current
 rows fits comfortably in a task (a few hundred MB).
@@ -31,6 +33,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from lakehist.sources import files
 
+_EXPIRED = "_EXPIRED"
 _BATCH = re.compile(r"/batch=(\d+)/buckets=(\d+)(?:/|$)")
 
 
@@ -121,6 +124,27 @@ class BatchTable:
         rows = spark.read.schema(StructType(fields)).option("basePath", self.root).parquet(*chosen)
         return rows.select(*self.schema.names)
 
+    def expire(self, spark: SparkSession, keep: int) -> None:
+        """Drop every state but the newest ``keep``. Closed rows of a history table all stay.
+
+        Give readers that may still be on an older state the time to finish: ``keep`` counts batches.
+        """
+        if keep < 1:
+            raise ValueError("the newest state cannot be dropped")
+        known = self.batches(spark)
+        marks = files.glob(spark, f"{self.root}/batch=*/buckets=*/{_EXPIRED}")
+        expired = {int(_BATCH.search(mark)[1]) for mark in marks}
+        for batch in list(known)[:-keep]:
+            directory = f"{self.root}/batch={batch}"
+            if batch in expired:
+                continue
+            if not self.state:
+                files.delete(spark, directory)
+                continue
+            # The mark comes first, so that a state is never taken for complete once rows are going.
+            files.touch(spark, f"{directory}/buckets={known[batch]}/{_EXPIRED}")
+            files.delete(spark, f"{directory}/buckets={known[batch]}/{self.state}=true")
+
     def read_batches(self, spark: SparkSession, batches: Sequence[int]) -> DataFrame:
         """Several batches side by side with a ``batch`` column; columns added later read as NULL before."""
         known = self.batches(spark)
@@ -133,6 +157,8 @@ class BatchTable:
         wanted = max(known, default=None) if batch is None else batch
         if wanted not in known:
             raise FileNotFoundError(f"no complete batch {'at all' if batch is None else batch} under {self.root}")
+        if files.glob(spark, f"{self.root}/batch={wanted}/buckets=*/{_EXPIRED}"):
+            raise FileNotFoundError(f"the state of batch {wanted} under {self.root} has been dropped")
         return wanted, known[wanted]
 
 

@@ -6,18 +6,26 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# Formats whose files do not say what they hold; anything else brings its own schema along.
+_UNTYPED = ("csv", "json", "text")
+
+
 def read_snapshot(
-    spark: SparkSession, path: str, schema: StructType | None = None, format: str = "parquet", **options: str
+    spark: SparkSession, path: str, schema: StructType, format: str = "parquet", **options: str
 ) -> DataFrame:
-    """A full snapshot under its declared schema. A missing path raises ``AnalysisException``.
+    """A full snapshot, cast to its declared schema.
 
-    Leave ``schema`` out for formats that carry their own, such as the lake table formats.
+    A missing path raises ``AnalysisException``. So does a missing column: reading it as NULL would pass
+    an incomplete extract off as a change to every row. Casts follow the session's ANSI setting, and cost
+    nothing where the types already agree.
     """
     reader = spark.read.format(format).options(**options)
-    return (reader.schema(schema) if schema else reader).load(path)
+    rows = (reader.schema(schema) if format in _UNTYPED else reader).load(path)
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -31,6 +39,11 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in fs.globStatus(hadoop_path) or [])
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

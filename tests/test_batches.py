@@ -138,6 +138,39 @@ def test_columns_added_later_read_as_null_before(spark, tmp_path):
     assert table.read(spark).columns == SCHEMA.names
 
 
+def test_expired_states_are_refused_and_closed_rows_stay(spark, table):
+    for batch in (0, 1, 2):
+        apply(spark, table, batch, SNAPSHOTS[batch])
+    before = bag(table.read_history(spark))
+    table.expire(spark, 1)
+    assert bag(table.read_history(spark)) == before and list(table.batches(spark)) == [0, 1, 2]
+    for read in (table.read, table.read_history):
+        with pytest.raises(FileNotFoundError, match="dropped"):
+            read(spark, 1)
+    apply(spark, table, 3, SNAPSHOTS[1])
+    assert table.read(spark).count() == 3
+    with pytest.raises(ValueError, match="newest"):
+        table.expire(spark, 0)
+
+
+def test_expiring_a_plain_table_drops_whole_batches(spark, tmp_path):
+    table = BatchTable(str(tmp_path / "t"), SCHEMA)
+    for batch in (0, 1, 2):
+        table.write(snapshot(spark, (batch, "a", 1.0)), batch)
+    table.expire(spark, 2)
+    assert list(table.batches(spark)) == [1, 2]
+
+
+def test_snapshot_columns_are_cast_and_must_be_there(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.sql("SELECT 1 AS id, 'a' AS city, CAST(2.5 AS DECIMAL(10, 2)) AS spend, 'x' AS other").write.parquet(path)
+    rows = read_snapshot(spark, path, SCHEMA)
+    assert rows.dtypes == [("id", "bigint"), ("city", "string"), ("spend", "double")]
+    assert rows.collect() == [(1, "a", 2.5)]
+    with pytest.raises(AnalysisException, match="phone"):
+        read_snapshot(spark, path, StructType([*SCHEMA.fields, StructField("phone", BooleanType())]))
+
+
 def test_missing_snapshot_raises(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_snapshot(spark, str(tmp_path / "nowhere"), SCHEMA)

@@ -153,6 +153,29 @@ def test_sinks_receive_what_was_stored(spark, tmp_path, drop):
     assert {r.data_hora_analise for r in ranking.collect()} == {"2024-05-01 09:00:00"}
 
 
+def test_only_the_states_to_keep_stay_on_storage(spark, lake, drop):
+    lake = replace(lake, keep=2)
+    for n, as_of in enumerate((DAY1, DAY2, DAY3)):
+        path = drop(str(n), customer(1, city=f"c{n}"), customer(2))
+        run_all(spark, lake, as_of, raw_path=path)
+    assert lake.bronze.read_history(spark).count() == 4
+    assert list(lake.silver.batches(spark)) == list(lake.gold.batches(spark)) == [1, 2]
+    run_all(spark, lake, DAY3, batch=2, raw_path=path)
+    assert lake.bronze.read_history(spark).count() == 4
+    with pytest.raises(ValueError, match="at least 2"):
+        replace(lake, keep=1)
+
+
+def test_text_flags_are_read_as_booleans(spark, tmp_path, drop):
+    path = str(tmp_path / "text")
+    spark.read.parquet(drop("1", customer(1), customer(2, active=False))).withColumn(
+        "is_active", F.col("is_active").cast("string")
+    ).write.parquet(path)
+    lake = Lake(str(tmp_path / "lake"))
+    run_all(spark, lake, DAY1, raw_path=path)
+    assert {r.id_cliente for r in run_ranking(spark, lake, DAY1).collect()} == {1}
+
+
 def test_jobs_leave_the_session_settings_alone(spark, lake, drop):
     names = ("spark.sql.session.timeZone", "spark.sql.maxConcurrentOutputFileWriters")
     before = [spark.conf.get(n, None) for n in names]
