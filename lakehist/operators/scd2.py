@@ -13,7 +13,8 @@ only in current     the current version closed
 
 Closed versions never enter the join, so the cost of a batch depends on the number of live keys and not on
 how much history has piled up. A snapshot is the full truth: keys missing from it are closed, so an empty
-or partial one closes everything it lacks. Two changes on one day leave a version of zero length.
+or partial one closes everything it lacks. Keys must be unique on both sides (see
+:func:`lakehist.operators.validate_keys`). Two changes on one day leave a version of zero length.
 """
 
 from __future__ import annotations
