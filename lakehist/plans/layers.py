@@ -72,12 +72,15 @@ class Lake:
         # Rebuilt on every run under whatever columns the rules yield, so no schema is declared.
         return BatchTable(self.path("gold"), None)
 
-    def _publish(self, spark: SparkSession, table: BatchTable, rows: DataFrame, batch: int, clustered: bool = False) -> None:
+    def store(
+        self, spark: SparkSession, table: BatchTable, rows: DataFrame, batch: int, clustered: bool = False
+    ) -> None:
+        """Write a batch of one of the layers, then drop the states beyond ``keep``."""
         table.write(rows, batch, clustered)
         if self.keep is not None:
             table.expire(spark, self.keep)
 
-    def _policy(self) -> dict[str, bool]:
+    def policy(self) -> dict[str, bool]:
         return {"null_safe": self.null_safe, "null_keys": self.null_keys}
 
 
@@ -131,18 +134,18 @@ def run_bronze(
     """Fold the raw snapshot into the history and return the batch number published."""
     as_of = as_of or AsOf.now(lake.zone)
     entity, bronze = lake.entity, lake.bronze
-    spec = replace(entity.history, **lake._policy())
+    spec = replace(entity.history, **lake.policy())
     with _session_for(spark, lake):
         snapshot = read_snapshot(spark, raw_path or lake.raw, entity.raw)
         if lake.check_keys:
             validate_keys(snapshot, spec.keys, allow_null=spec.null_keys)
         batch, previous = _batch_numbers(spark, bronze, batch)
         if previous is None:
-            lake._publish(spark, bronze, scd2_bootstrap(snapshot, as_of), batch)
+            lake.store(spark, bronze, scd2_bootstrap(snapshot, as_of), batch)
         else:
             current = bronze.read(spark, previous)
             delta = scd2_delta(current, snapshot, spec, as_of)
-            lake._publish(spark, bronze, delta, batch, _in_buckets(spark, lake.buckets, {bronze: previous}))
+            lake.store(spark, bronze, delta, batch, _in_buckets(spark, lake.buckets, {bronze: previous}))
     return batch
 
 
@@ -150,7 +153,7 @@ def run_silver(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch
     """Mirror the current bronze rows, conformed, and return the batch number published."""
     as_of = as_of or AsOf.now(lake.zone)
     entity, silver = lake.entity, lake.silver
-    spec = replace(entity.mirror, **lake._policy())
+    spec = replace(entity.mirror, **lake.policy())
     with _session_for(spark, lake):
         inputs = {lake.bronze: lake.bronze.latest(spark)}
         mirrored = entity.conformed(lake.bronze.read(spark, inputs[lake.bronze]), as_of)
@@ -158,7 +161,7 @@ def run_silver(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch
         if previous is not None:
             inputs[silver] = previous
             mirrored = scd1_mirror(silver.read(spark, previous), mirrored, spec)
-        lake._publish(spark, silver, mirrored, batch, _in_buckets(spark, lake.buckets, inputs))
+        lake.store(spark, silver, mirrored, batch, _in_buckets(spark, lake.buckets, inputs))
     return batch
 
 
@@ -167,7 +170,7 @@ def run_gold(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch:
     as_of = as_of or AsOf.now(lake.zone)
     with _session_for(spark, lake):
         batch, _ = _batch_numbers(spark, lake.gold, batch)
-        lake._publish(spark, lake.gold, lake.entity.enriched(lake.silver.read(spark), as_of), batch)
+        lake.store(spark, lake.gold, lake.entity.enriched(lake.silver.read(spark), as_of), batch)
         for sink in lake.gold_sinks:
             publish(lake.gold.read(spark, batch), sink)
     return batch

@@ -196,18 +196,20 @@ def spender_ranking(spark: SparkSession, sf: str) -> DataFrame:
 # -- stored layers: day 1, day 2, then day 1 again -------------------------------------------------
 
 
-def _lake(spark: SparkSession, sf: str, **settings) -> tuple[Lake, list[tuple[AsOf, str]]]:
+def _lake(spark: SparkSession, sf: str, **settings) -> Lake:
+    """A new lake with the first day's snapshot in its raw layer."""
     base = scratch_dir(spark, "lake")
-    raw_day1(spark, sf).write.parquet(f"{base}/raw/day1")
-    next_day(read_snapshot(spark, f"{base}/raw/day1", CUSTOMERS.raw)).write.parquet(f"{base}/raw/day2")
-    days = [(DAY1, f"{base}/raw/day1"), (DAY2, f"{base}/raw/day2"), (DAY3, f"{base}/raw/day1")]
     sinks = {name: (SinkSpec("parquet", path=f"{base}/served/{name}"),) for name in ("gold", "ranking")}
-    return Lake(base, gold_sinks=sinks["gold"], ranking_sinks=sinks["ranking"], **settings), days
+    lake = Lake(base, gold_sinks=sinks["gold"], ranking_sinks=sinks["ranking"], **settings)
+    raw_day1(spark, sf).write.parquet(lake.raw)
+    return lake
 
 
 def _three_days(spark: SparkSession, sf: str, job: Callable, **settings) -> Lake:
-    lake, days = _lake(spark, sf, **settings)
-    for as_of, path in days:
+    lake = _lake(spark, sf, **settings)
+    day2 = f"{lake.path('raw')}/day2.parquet"
+    next_day(read_snapshot(spark, lake.raw, CUSTOMERS.raw)).write.parquet(day2)
+    for as_of, path in [(DAY1, lake.raw), (DAY2, day2), (DAY3, lake.raw)]:
         job(spark, lake, as_of, path)
     return lake
 
@@ -251,9 +253,9 @@ def stored_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 def served_gold(spark: SparkSession, sf: str) -> DataFrame:
     """What the gold sink received on day 1."""
-    lake, [(as_of, path), *_] = _lake(spark, sf)
-    _silver_job(spark, lake, as_of, path)
-    run_gold(spark, lake, as_of)
+    lake = _lake(spark, sf)
+    _silver_job(spark, lake, DAY1, lake.raw)
+    run_gold(spark, lake, DAY1)
     return spark.read.parquet(lake.gold_sinks[0].path)
 
 

@@ -22,8 +22,8 @@ rows fits comfortably in a task (a few hundred MB).
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -61,7 +61,7 @@ class BatchTable:
         return max(known, default=None)
 
     def write(self, df: DataFrame, batch: int, clustered: bool = False) -> None:
-        """Write and publish one batch.
+        """Write and publish one batch. ``df`` must not read the batch it replaces.
 
         ``clustered=True`` says that ``df`` comes out of a join on the bucketed keys, so each task already
         holds whole buckets. Otherwise a bucketed write shuffles first: without that, every task would
@@ -80,8 +80,7 @@ class BatchTable:
             return
         # Spark writes buckets only through a catalog entry. The entry is external and dropped at once:
         # the directory name carries the bucket count, so nothing depends on a lasting catalog.
-        entry = _entry_name(target)
-        spark.sql(f"DROP TABLE IF EXISTS {entry}")
+        entry = _entry_name()
         try:
             writer.bucketBy(self.buckets, *self.keys).option("path", target).saveAsTable(entry)
         finally:
@@ -162,17 +161,16 @@ class BatchTable:
         return wanted, known[wanted]
 
 
-def _entry_name(directory: str) -> str:
-    return "lakehist_" + hashlib.sha256(directory.encode()).hexdigest()[:24]
+def _entry_name() -> str:
+    return f"lakehist_{uuid.uuid4().hex}"
 
 
 def _read_bucketed(
     spark: SparkSession, directory: str, schema: StructType, keys: Sequence[str], buckets: int
 ) -> DataFrame:
-    entry = _entry_name(directory)
+    entry = _entry_name()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = ", ".join(f"`{k}`" for k in keys)
-    spark.sql(f"DROP TABLE IF EXISTS {entry}")
     spark.sql(
         f"CREATE TABLE {entry} ({columns}) USING parquet "
         f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{directory}'"
