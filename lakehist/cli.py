@@ -11,13 +11,14 @@ is safe.
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
 from lakehist.functions import AsOf
 from lakehist.functions.clock import BUSINESS_ZONE
-from lakehist.plans import Lake, run_all, run_bronze, run_gold, run_ranking, run_silver
+from lakehist.plans import Entity, Lake, run_all, run_bronze, run_gold, run_ranking, run_silver
 from lakehist.sources import SinkSpec
 
 
@@ -25,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="lakehist", description="Maintain and serve the history of a table")
     parser.add_argument("job", choices=["bronze", "silver", "gold", "all"], help="gold includes the ranking")
     parser.add_argument("--base", required=True, help="root of the layers, any Hadoop URI")
+    parser.add_argument("--entity", default="lakehist.plans.customers:CUSTOMERS", metavar="MODULE:NAME", help="what to run on")
     parser.add_argument("--raw", help="raw snapshot (default: the raw layer under --base)")
     parser.add_argument("--as-of", help="wall clock in --zone, 'YYYY-MM-DD[ HH:MM:SS]' (default: now)")
     parser.add_argument("--zone", default=BUSINESS_ZONE)
@@ -49,10 +51,16 @@ def _sinks(args: argparse.Namespace, target: str) -> tuple[SinkSpec, ...]:
     return (SinkSpec(format, options, getattr(args, f"{target}_path")),)
 
 
+def _entity(reference: str) -> Entity:
+    module, _, name = reference.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     lake = Lake(
         base=args.base,
+        entity=_entity(args.entity),
         raw_path=args.raw,
         zone=args.zone,
         buckets=args.buckets,

@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
+from lakehist.functions.changes import columns
+
 
 def enrich(df: DataFrame, keep: Sequence[str], attributes: Mapping[str, Column]) -> DataFrame:
     """Keep the listed columns and append every attribute, in one projection."""
-    return df.select(*keep, *[rule.alias(name) for name, rule in attributes.items()])
+    return df.select(*columns(keep), *[rule.alias(name) for name, rule in attributes.items()])

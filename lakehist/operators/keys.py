@@ -13,7 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehist.functions.changes import quoted
+from lakehist.functions.changes import columns, quoted
 
 
 class KeyContractError(ValueError):
@@ -21,11 +21,11 @@ class KeyContractError(ValueError):
 
 
 def has_null_key(keys: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+    return reduce(or_, [key.isNull() for key in columns(keys)])
 
 
 def keys_equal(left: str, right: str, keys: Sequence[str]) -> Column:
-    return F.expr(" AND ".join(f"{quoted(left, k)} = {quoted(right, k)}" for k in keys))
+    return F.expr(" AND ".join(f"{quoted(k, left)} = {quoted(k, right)}" for k in keys))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str], allow_null: bool = False) -> DataFrame:
@@ -36,7 +36,7 @@ def key_violations(df: DataFrame, keys: Sequence[str], allow_null: bool = False)
     """
     if allow_null:
         df = df.where(~has_null_key(keys))
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = df.groupBy(*columns(keys)).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.where((F.col("n_rows") > 1) | has_null_key(keys))
 
 
@@ -45,7 +45,7 @@ def validate_keys(df: DataFrame, keys: Sequence[str], allow_null: bool = False)
     found = key_violations(df, keys, allow_null).agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.max("n_rows").alias("n_rows"),
-        F.max_by(F.struct(*keys), "n_rows").alias("worst"),
+        F.max_by(F.struct(*columns(keys)), "n_rows").alias("worst"),
     ).first()
     if found.n_keys:
         raise KeyContractError(

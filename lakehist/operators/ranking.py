@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakehist.functions.changes import columns, quoted
+
 
 @dataclass(frozen=True)
 class Ranking:
@@ -29,20 +31,20 @@ class Ranking:
 
 
 def _half(df: DataFrame, spec: Ranking, order: Column, label: str, stamp: Column) -> DataFrame:
-    ranked = df.where(F.col(spec.active)).orderBy(order, *[F.col(k).asc() for k in spec.keys]).limit(spec.k)
-    return ranked.select(*spec.columns, F.lit(label).alias(spec.label_column), stamp.alias(spec.stamp_column))
+    ranked = df.where(F.col(quoted(spec.active))).orderBy(order, *[key.asc() for key in columns(spec.keys)]).limit(spec.k)
+    return ranked.select(*columns(spec.columns), F.lit(label).alias(spec.label_column), stamp.alias(spec.stamp_column))
 
 
 def top(df: DataFrame, spec: Ranking, stamp: Column) -> DataFrame:
     """The ``k`` largest; NULL metrics come last."""
-    return _half(df, spec, F.col(spec.metric).desc_nulls_last(), spec.top_label, stamp)
+    return _half(df, spec, F.col(quoted(spec.metric)).desc_nulls_last(), spec.top_label, stamp)
 
 
 def bottom(df: DataFrame, spec: Ranking, stamp: Column, skip_null: bool = False) -> DataFrame:
     """The ``k`` smallest; NULL metrics come first unless ``skip_null`` leaves them out."""
     if skip_null:
-        df = df.where(F.col(spec.metric).isNotNull())
-    return _half(df, spec, F.col(spec.metric).asc_nulls_first(), spec.bottom_label, stamp)
+        df = df.where(F.col(quoted(spec.metric)).isNotNull())
+    return _half(df, spec, F.col(quoted(spec.metric)).asc_nulls_first(), spec.bottom_label, stamp)
 
 
 def top_bottom(df: DataFrame, spec: Ranking, stamp: Column, skip_null: bool = False) -> DataFrame:

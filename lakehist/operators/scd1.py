@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehist.functions.changes import differs_sql, quoted
+from lakehist.functions.changes import columns, differs_sql, quoted
 from lakehist.operators.keys import has_null_key, keys_equal
 from lakehist.operators.scd2 import ACTION
 
@@ -46,9 +46,8 @@ def scd1_delta(target: DataFrame, source: DataFrame, spec: MirrorSpec) -> DataFr
 
 
 def _merge(target: DataFrame, source: DataFrame, spec: MirrorSpec, actions: bool) -> DataFrame:
-    columns = source.columns
-    target = target.select(*columns)
-    unmatched = []
+    target = target.select(*columns(source.columns))
+    names, unmatched = source.columns, []
     if spec.null_keys:
         no_key = has_null_key(spec.keys)
         unmatched.append(_labelled(source.where(no_key), "insert", actions))
@@ -69,8 +68,8 @@ def _merge(target: DataFrame, source: DataFrame, spec: MirrorSpec, actions: bool
     acted = acted.select("*", F.col(ACTION).isin("insert", "update").alias("_replaced"))
 
     out = []
-    for c in columns:
-        mine, theirs = quoted("mirror", c), quoted("origin", c)
+    for c in names:
+        mine, theirs = quoted(c, "mirror"), quoted(c, "origin")
         always = c in spec.keys and not actions
         out.append(F.expr(theirs if always else f"if(_replaced, {theirs}, {mine})").alias(c))
     result = acted.select(*out, ACTION) if actions else acted.select(*out)

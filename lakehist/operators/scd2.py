@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehist.functions.changes import differs, differs_sql, quoted
+from lakehist.functions.changes import columns, differs, differs_sql, quoted
 from lakehist.functions.clock import AsOf, open_end
 from lakehist.operators.keys import has_null_key, keys_equal
 
@@ -80,7 +80,7 @@ def changed_keys(current: DataFrame, snapshot: DataFrame, spec: HistorySpec) ->
     held, seen = current.alias("held"), snapshot.alias("seen")
     matched = held.join(seen, keys_equal("held", "seen", spec.keys))
     changed = matched.where(differs("held", "seen", spec.tracked, spec.null_safe))
-    return changed.select(*[F.col(f"held.`{k}`") for k in spec.keys])
+    return changed.select(*[F.col(quoted(k, "held")) for k in spec.keys])
 
 
 def scd2_delta(
@@ -92,8 +92,7 @@ def scd2_delta(
     :data:`ACTIONS`.
     """
     business = snapshot.columns
-    columns = [*business, *HISTORY_COLUMNS]
-    current = current.select(*columns)
+    current = current.select(*columns([*business, *HISTORY_COLUMNS]))
     unmatched = []
     if spec.null_keys:
         no_key = has_null_key(spec.keys)
@@ -119,7 +118,7 @@ def scd2_delta(
     opens = F.col("_action") == _INSERT
     closes = F.col("_action") >= _CLOSE_CHANGED
     out = [
-        F.expr(f"if(_action = {_INSERT}, {quoted('seen', c)}, {quoted('held', c)})").alias(c) for c in business
+        F.expr(f"if(_action = {_INSERT}, {quoted(c, 'seen')}, {quoted(c, 'held')})").alias(c) for c in business
     ]
     out += [
         F.when(opens, as_of.date()).otherwise(F.col(f"held.{START}")).alias(START),
@@ -144,4 +143,4 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, spec: HistorySpec, as_of
     """
     already_closed = history.where(~F.col(CURRENT))
     delta = scd2_delta(current_versions(history), snapshot, spec, as_of)
-    return already_closed.select(*delta.columns).unionByName(delta)
+    return already_closed.select(*columns(delta.columns)).unionByName(delta)

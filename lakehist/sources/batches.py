@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+from lakehist.functions.changes import columns, quoted
 from lakehist.sources import files
 
 _EXPIRED = "_EXPIRED"
@@ -102,7 +103,7 @@ class BatchTable:
             rows = (spark.read.schema(schema) if schema else spark.read).parquet(directory)
         if self.state:
             rows = rows.withColumn(self.state, F.lit(True))
-        return rows.select(*self.schema.names) if self.schema else rows
+        return rows.select(*columns(self.schema.names)) if self.schema else rows
 
     def read_history(self, spark: SparkSession, batch: int | None = None) -> DataFrame:
         """All versions as of ``batch``, current and closed. Superseded copies are not even listed."""
@@ -121,7 +122,7 @@ class BatchTable:
         # Partition values come back typed as declared here; left to inference they would be strings.
         fields = [f for f in self.schema if f.name != self.state] + [StructField(self.state, BooleanType())]
         rows = spark.read.schema(StructType(fields)).option("basePath", self.root).parquet(*chosen)
-        return rows.select(*self.schema.names)
+        return rows.select(*columns(self.schema.names))
 
     def expire(self, spark: SparkSession, keep: int) -> None:
         """Drop every state but the newest ``keep``. Closed rows of a history table all stay.
@@ -169,10 +170,10 @@ def _read_bucketed(
     spark: SparkSession, directory: str, schema: StructType, keys: Sequence[str], buckets: int
 ) -> DataFrame:
     entry = _entry_name()
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    by = ", ".join(f"`{k}`" for k in keys)
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    by = ", ".join(quoted(k) for k in keys)
     spark.sql(
-        f"CREATE TABLE {entry} ({columns}) USING parquet "
+        f"CREATE TABLE {entry} ({fields}) USING parquet "
         f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{directory}'"
     )
     try:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakehist.functions.changes import quoted
+
 
 # Formats whose files do not say what they hold; anything else brings its own schema along.
 _UNTYPED = ("csv", "json", "text")
@@ -25,7 +27,7 @@ def read_snapshot(
     """
     reader = spark.read.format(format).options(**options)
     rows = (reader.schema(schema) if format in _UNTYPED else reader).load(path)
-    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    return rows.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -12,17 +12,17 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 
 RAW = StructType([
     StructField("shop", StringType()), StructField("sku", StringType()),
-    StructField("price", DoubleType()), StructField("on sale?", BooleanType()), StructField("note", StringType()),
+    StructField("price", DoubleType()), StructField("sale.on?", BooleanType()), StructField("note", StringType()),
 ])
 STOCK = Entity(
     name="stock",
     raw=RAW,
-    history=HistorySpec(keys=("shop", "sku"), tracked=("price", "on sale?")),
+    history=HistorySpec(keys=("shop", "sku"), tracked=("price", "sale.on?")),
     silver=StructType([
         StructField("shop", StringType()), StructField("sku", StringType()), StructField("price", DoubleType()),
         StructField("sale", BooleanType()), StructField("seen_at", StringType()),
     ]),
-    mapping={"shop": "shop", "sku": "upper(sku)", "price": "price", "sale": "`on sale?`"},
+    mapping={"shop": "shop", "sku": "upper(sku)", "price": "price", "sale": "`sale.on?`"},
     mirror=MirrorSpec(keys=("shop", "sku"), tracked=("price", "sale"), audit="seen_at"),
     gold_columns=("shop", "sku", "price", "sale"),
     attributes=lambda as_of: {"band": first_above(F.col("price"), ((10, "dear"),), "cheap")},

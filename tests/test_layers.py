@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from collections import Counter
 from dataclasses import replace
 from datetime import date
@@ -209,3 +212,11 @@ def test_command_line_runs_each_layer(spark, tmp_path, drop):
     assert Path(base, "gold").exists()
     with pytest.raises(SystemExit):
         cli.main(["bronze"], spark)
+
+
+def test_a_missing_source_fails_the_process(tmp_path):
+    script = Path(__file__).resolve().parent.parent / "jobs.py"
+    command = [sys.executable, str(script), "bronze", "--base", str(tmp_path / "lake")]
+    options = "--master local[1] --conf spark.ui.enabled=false pyspark-shell"
+    done = subprocess.run(command, env={**os.environ, "PYSPARK_SUBMIT_ARGS": options}, cwd=tmp_path, capture_output=True)
+    assert done.returncode != 0 and b"PATH_NOT_FOUND" in done.stderr
