@@ -19,6 +19,7 @@ from lakehist.operators import scd1_mirror, scd2_delta, top_bottom, validate_key
 from lakehist.plans import CUSTOMERS, Lake, run_all, run_bronze, run_gold, run_ranking, run_silver
 from lakehist.plans.snapshots import raw_day1, raw_day2
 from lakehist.sources import scratch_dir
+from lakehist.sources.files import delete
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,7 +104,9 @@ def measure(spark: SparkSession, replicas: int) -> dict[str, float]:
         "end_to_end": lambda: run_all(spark, plain, DAY2, batch=1, raw_path=day2),
     }
     suffix = "" if replicas == 1 else f"_x{replicas}"
-    return {name + suffix: timed(job) for name, job in work.items()}
+    seconds = {name + suffix: timed(job) for name, job in work.items()}
+    delete(spark, base)
+    return seconds
 
 
 def measure_history(spark: SparkSession) -> dict[str, float]:
@@ -122,6 +125,7 @@ def measure_history(spark: SparkSession) -> dict[str, float]:
             seconds[f"job_bronze_x10_after_{batch}"] = timed(job)
         else:
             job()
+    delete(spark, base)
     return seconds
 
 

@@ -31,6 +31,10 @@ class MirrorSpec:
     null_safe: bool = False
     null_keys: bool = False
 
+    def __post_init__(self) -> None:
+        if self.audit in self.tracked:
+            raise ValueError("a tracked audit stamp would make every row look changed")
+
 
 def scd1_mirror(target: DataFrame, source: DataFrame, spec: MirrorSpec) -> DataFrame:
     """The next state of ``target``. ``source`` carries the new audit stamp in ``spec.audit``."""

@@ -1,6 +1,7 @@
 """Every operator as a query over the test tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
-All of them run on fixed days, never on the live clock, so that results can be compared.
+All of them run on fixed days, never on the live clock, so that results can be compared. What a query
+stores goes to fresh folders under ``spark.checkpoint.dir``; its result reads them, so they are left there.
 """
 
 from __future__ import annotations

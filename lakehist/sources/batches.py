@@ -16,8 +16,8 @@ the closed rows of all batches up to ``n``.
 Superseded states stay readable until :meth:`BatchTable.expire` drops them; closed rows are never dropped.
 
 ``buckets > 0`` hashes every batch by ``keys`` into that many files with Spark's own bucketing, so the
-next merge on those keys reads this side without a shuffle. Choose it so that one bucket of the current
-rows fits comfortably in a task (a few hundred MB).
+next merge on those keys reads this side without a shuffle. Choose it so that a bucket of current rows is
+about 1 GB as stored: a task sorts one bucket, and spills what does not fit.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ _BATCH = re.compile(r"/batch=(\d+)/buckets=(\d+)(?:/|$)")
 
 @dataclass(frozen=True)
 class BatchTable:
+    """A table under ``root``; ``schema=None`` reads whatever columns a batch was written with."""
+
     root: str
     schema: StructType | None
     keys: tuple[str, ...] = ()

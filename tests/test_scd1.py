@@ -65,5 +65,10 @@ def test_applying_twice_keeps_the_stamps_of_the_first_time(spark):
     assert rows(twice) == rows(once)
 
 
+def test_the_audit_stamp_cannot_be_tracked():
+    with pytest.raises(ValueError, match="look changed"):
+        MirrorSpec(keys=("id",), tracked=("city", "stamp"), audit="stamp")
+
+
 def test_empty_source_empties_the_mirror(spark):
     assert scd1_mirror(stamped(spark, "old", (1, "a", 1.0)), stamped(spark, "new"), SPEC).count() == 0
