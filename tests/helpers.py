@@ -4,13 +4,27 @@ from collections import Counter
 from datetime import date
 
 from lakehist.operators import HistorySpec
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from lakehist.operators.scd2 import CURRENT, END, START, UPDATED
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 SCHEMA = StructType([
     StructField("id", LongType()),
     StructField("city", StringType()),
     StructField("spend", DoubleType()),
 ])
+HISTORY = StructType([
+    *SCHEMA.fields, StructField(START, DateType()), StructField(END, DateType()),
+    StructField(CURRENT, BooleanType()), StructField(UPDATED, TimestampType()),
+])
 SPEC = HistorySpec(keys=("id",), tracked=("city", "spend"))
 OPEN = date(9999, 12, 31)
 

@@ -2,19 +2,15 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
-from helpers import SCHEMA, SPEC, bag, snapshot
+from helpers import HISTORY, SCHEMA, SPEC, bag, snapshot
 from lakehist.functions import AsOf
 from lakehist.operators import scd2_bootstrap, scd2_delta, scd2_merge
-from lakehist.operators.scd2 import CURRENT, UPDATED
+from lakehist.operators.scd2 import CURRENT
 from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, scratch_dir
 from pyspark.errors import AnalysisException
-from pyspark.sql.types import BooleanType, DateType, StructField, StructType, TimestampType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 DAYS = [AsOf.at(f"2024-05-0{n} 08:00:00") for n in range(1, 6)]
-HISTORY = StructType([
-    *SCHEMA.fields, StructField("start_date", DateType()), StructField("end_date", DateType()),
-    StructField(CURRENT, BooleanType()), StructField(UPDATED, TimestampType()),
-])
 SNAPSHOTS = [
     [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)],
     [(1, "a", 1.0), (2, "B", 2.0), (4, "d", 4.0)],

@@ -5,11 +5,13 @@ from dataclasses import replace
 
 import duckdb
 import pytest
-from helpers import OPEN, SPEC, snapshot
+from helpers import HISTORY, OPEN, SPEC, snapshot
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from lakehist.functions import AsOf
-from lakehist.operators import MirrorSpec, scd1_mirror, scd2_bootstrap, scd2_merge
+from lakehist.operators import MirrorSpec, scd1_mirror, scd2_bootstrap, scd2_delta, scd2_merge
+from lakehist.operators.scd2 import CURRENT, UPDATED
+from lakehist.sources import BatchTable
 from pyspark.sql import functions as F
 
 CITY = st.sampled_from([None, "a", "b"])
@@ -97,3 +99,24 @@ def test_mirror_equals_one_merge(spark, null_safe, days):
     target = snapshot(spark, *as_rows(days[0])).withColumn("stamp", F.lit("old"))
     source = snapshot(spark, *as_rows(days[1])).withColumn("stamp", F.lit("new"))
     assert bag(scd1_mirror(target, source, spec).collect()) == bag(con.execute("SELECT * FROM target").fetchall())
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(days=snapshots(max_days=3), layout=st.lists(st.tuples(st.sampled_from([0, 2, 3]), st.booleans()), min_size=3, max_size=3))
+def test_stored_history_equals_two_merges_under_any_layout(spark, tmp_path_factory, days, layout):
+    """Bucket counts change from batch to batch, and some batches are run twice."""
+    root = str(tmp_path_factory.mktemp("history"))
+    clocks = [AsOf.at(f"2024-05-0{n + 1} 08:00:00") for n in range(len(days))]
+    rows = [as_rows(d) for d in days]
+    for n, expected in enumerate(duckdb_history(rows, clocks, null_safe=False)):
+        buckets, twice = layout[n]
+        table = BatchTable(root, HISTORY, SPEC.keys, CURRENT, buckets)
+        for _ in range(1 + twice):
+            seen = snapshot(spark, *rows[n])
+            if n:
+                seen = scd2_delta(table.read(spark, n - 1), seen, SPEC, clocks[n])
+            else:
+                seen = scd2_bootstrap(seen, clocks[0])
+            table.write(seen, n)
+        stored = table.read_history(spark).withColumn(UPDATED, F.unix_seconds(UPDATED))
+        assert bag(stored.collect()) == bag(expected)

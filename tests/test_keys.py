@@ -1,8 +1,8 @@
+from dataclasses import replace
+
 import pytest
-from helpers import snapshot
+from helpers import SPEC, snapshot
 from lakehist.operators import KeyContractError, changed_keys, key_violations, validate_keys
-from helpers import SPEC
-from dataclasses import replace
 
 
 def test_null_and_repeated_keys_are_reported(spark):

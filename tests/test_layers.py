@@ -12,7 +12,7 @@ from lakehist.functions import AsOf
 from lakehist.operators import KeyContractError
 from lakehist.plans import CUSTOMERS, Lake, run_all, run_bronze, run_gold, run_ranking, run_silver
 from lakehist.sources import SinkSpec
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 DAY1, DAY2, DAY3 = (AsOf.at(f"2024-05-0{n} 09:00:00") for n in (1, 2, 3))
@@ -112,6 +112,20 @@ def test_a_failed_key_check_publishes_nothing(spark, lake, drop):
     assert lake.bronze.latest(spark) == 0
 
 
+def test_a_job_that_dies_while_writing_leaves_the_last_state(spark, lake, tmp_path, drop):
+    run_all(spark, lake, DAY1, raw_path=drop("1", customer(1), customer(2)))
+    good, bad = drop("2", customer(1, city="Natal"), customer(3)), str(tmp_path / "bad")
+    flag = F.when(F.col("customer_id") == 3, "Ativo").otherwise("true")
+    spark.read.parquet(good).withColumn("is_active", flag).write.parquet(bad)
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        run_bronze(spark, lake, DAY2, raw_path=bad)
+    assert lake.bronze.latest(spark) == 0 and lake.bronze.read_history(spark).count() == 2
+    run_all(spark, lake, DAY2, raw_path=good)
+    assert lake.bronze.batches(spark) == {0: lake.buckets, 1: lake.buckets}
+    assert lake.bronze.read_history(spark).count() == 4
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lakehist_")]
+
+
 def test_null_keys_may_be_kept(spark, tmp_path, drop):
     path = drop("1", customer(1))
     broken = str(tmp_path / "broken")
