@@ -72,7 +72,7 @@ def measure(spark: SparkSession, replicas: int) -> dict[str, float]:
     for n, day in enumerate((raw_day1, raw_day2), 1):
         replicate(day(spark, SF_DIR), replicas).repartition(parts).write.parquet(f"{base}/day{n}")
     seen = spark.read.schema(CUSTOMERS.raw).parquet(f"{base}/day2")
-    plain, bucketed = Lake(f"{base}/plain"), Lake(f"{base}/bucketed", buckets=int(CPUS))
+    plain, bucketed = Lake(f"{base}/plain", buckets=0), Lake(f"{base}/bucketed", buckets=int(CPUS))
     for lake in (plain, bucketed):
         run_all(spark, lake, DAY1, raw_path=f"{base}/day1")
 

@@ -19,7 +19,11 @@ from lakehist.operators import scd1_mirror, scd2_bootstrap, scd2_delta, top_bott
 from lakehist.operators.scd2 import CURRENT
 from lakehist.plans.customers import CUSTOMERS
 from lakehist.plans.entity import Entity
-from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot
+from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, size
+
+
+# A bucket of the snapshot, as stored. Tables below two of these are not bucketed.
+BUCKET_BYTES = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -27,7 +31,8 @@ class Lake:
     """Where a table's layers live, and how its jobs run.
 
     ``base`` is any Hadoop URI. ``raw_path`` defaults to the raw layer under ``base``. ``buckets``
-    co-locates bronze and silver by key (see :class:`BatchTable`). ``null_keys=True`` accepts snapshots
+    co-locates bronze and silver by key (see :class:`BatchTable`): by default as many as the size of the
+    snapshot asks for, which is none for a small table. ``null_keys=True`` accepts snapshots
     with NULL keys instead of refusing them; ``check_keys=False`` skips the key check for extracts whose
     source already guarantees unique keys. ``keep`` is how many states of a layer to leave on storage
     after each job (all of them by default); closed versions always stay.
@@ -37,7 +42,7 @@ class Lake:
     entity: Entity = CUSTOMERS
     raw_path: str | None = None
     zone: str = BUSINESS_ZONE
-    buckets: int = 0
+    buckets: int | None = None
     null_safe: bool = False
     null_keys: bool = False
     check_keys: bool = True
@@ -61,11 +66,11 @@ class Lake:
 
     @property
     def bronze(self) -> BatchTable:
-        return BatchTable(self.path("bronze"), self.entity.bronze, self.entity.history.keys, CURRENT, self.buckets)
+        return BatchTable(self.path("bronze"), self.entity.bronze, self.entity.history.keys, CURRENT, self.buckets or 0)
 
     @property
     def silver(self) -> BatchTable:
-        return BatchTable(self.path("silver"), self.entity.silver, self.entity.mirror.keys, None, self.buckets)
+        return BatchTable(self.path("silver"), self.entity.silver, self.entity.mirror.keys, None, self.buckets or 0)
 
     @property
     def gold(self) -> BatchTable:
@@ -136,16 +141,18 @@ def run_bronze(
     entity, bronze = lake.entity, lake.bronze
     spec = replace(entity.history, **lake.policy())
     with _session_for(spark, lake):
-        snapshot = read_snapshot(spark, raw_path or lake.raw, entity.raw)
+        raw_path = raw_path or lake.raw
+        snapshot = read_snapshot(spark, raw_path, entity.raw)
         if lake.check_keys:
             validate_keys(snapshot, spec.keys, allow_null=spec.null_keys)
         batch, previous = _batch_numbers(spark, bronze, batch)
+        bronze = replace(bronze, buckets=_buckets_for(spark, lake, bronze, previous, raw_path))
         if previous is None:
             lake.store(spark, bronze, scd2_bootstrap(snapshot, as_of), batch)
         else:
             current = bronze.read(spark, previous)
             delta = scd2_delta(current, snapshot, spec, as_of)
-            lake.store(spark, bronze, delta, batch, _in_buckets(spark, lake.buckets, {bronze: previous}))
+            lake.store(spark, bronze, delta, batch, _in_buckets(spark, bronze.buckets, {bronze: previous}))
     return batch
 
 
@@ -157,11 +164,13 @@ def run_silver(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch
     with _session_for(spark, lake):
         inputs = {lake.bronze: lake.bronze.latest(spark)}
         mirrored = entity.conformed(lake.bronze.read(spark, inputs[lake.bronze]), as_of)
+        if lake.buckets is None:
+            silver = replace(silver, buckets=lake.bronze.batches(spark)[inputs[lake.bronze]])
         batch, previous = _batch_numbers(spark, silver, batch)
         if previous is not None:
             inputs[silver] = previous
             mirrored = scd1_mirror(silver.read(spark, previous), mirrored, spec)
-        lake.store(spark, silver, mirrored, batch, _in_buckets(spark, lake.buckets, inputs))
+        lake.store(spark, silver, mirrored, batch, _in_buckets(spark, silver.buckets, inputs))
     return batch
 
 
@@ -199,6 +208,19 @@ def run_all(
     return RunResult(as_of, bronze, silver, gold)
 
 
+def _buckets_for(spark: SparkSession, lake: Lake, bronze: BatchTable, previous: int | None, raw_path: str) -> int:
+    """The configured bucket count, or one that suits the snapshot. A count in use is kept while its
+    buckets have not outgrown their size several times over, because changing it costs a shuffle."""
+    if lake.buckets is not None or lake.null_keys:
+        return lake.buckets or 0
+    wanted = size(spark, raw_path) // BUCKET_BYTES
+    if wanted < 2:
+        wanted = 0
+    in_use = bronze.batches(spark)[previous] if previous is not None else 0
+    limit = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return in_use if wanted <= 4 * in_use else min(wanted, limit)
+
+
 def _in_buckets(spark: SparkSession, buckets: int, inputs: Mapping[BatchTable, int | None]) -> bool:
     """Whether every stored input already lies in the buckets that are about to be written, so that the
     join's tasks come out as whole buckets."""

@@ -228,9 +228,10 @@ def _all_jobs(spark: SparkSession, lake: Lake, as_of: AsOf, path: str) -> None:
     run_all(spark, lake, as_of, raw_path=path)
 
 
-def _buckets(spark: SparkSession, bucketed: bool) -> int:
-    """As many buckets as the session shuffles into, so that the layout grows with the cluster's setting."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions")) if bucketed else 0
+def _buckets(spark: SparkSession, bucketed: bool) -> int | None:
+    """As many buckets as the session shuffles into, so that the layout grows with the cluster's setting;
+    otherwise as many as the size of the snapshot asks for."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions")) if bucketed else None
 
 
 def _stored_bronze(bucketed: bool = False) -> Query:

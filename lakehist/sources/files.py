@@ -41,6 +41,13 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in fs.globStatus(hadoop_path) or [])
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path``, which may be a pattern."""
+    fs, hadoop_path = _file_system(spark, path)
+    found = [hadoop_path] if fs.exists(hadoop_path) else [s.getPath() for s in fs.globStatus(hadoop_path) or []]
+    return sum(fs.getContentSummary(p).getLength() for p in found)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.create(hadoop_path, True).close()

@@ -10,8 +10,8 @@ import pytest
 from lakehist import cli
 from lakehist.functions import AsOf
 from lakehist.operators import KeyContractError
-from lakehist.plans import CUSTOMERS, Lake, run_all, run_bronze, run_gold, run_ranking, run_silver
-from lakehist.sources import SinkSpec
+from lakehist.plans import CUSTOMERS, Lake, layers, run_all, run_bronze, run_gold, run_ranking, run_silver
+from lakehist.sources import SinkSpec, size
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
@@ -126,6 +126,18 @@ def test_a_job_that_dies_while_writing_leaves_the_last_state(spark, lake, tmp_pa
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("lakehist_")]
 
 
+def test_buckets_follow_the_size_of_the_snapshot(spark, tmp_path, drop, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"))
+    path = drop("1", *[customer(n) for n in range(50)])
+    sizes = [1 << 30, size(spark, path) // 3, size(spark, path) // 9, size(spark, path) // 14]
+    for n, (bucket_bytes, expected) in enumerate(zip(sizes, [0, 3, 3, 14])):
+        monkeypatch.setattr(layers, "BUCKET_BYTES", bucket_bytes)
+        run_all(spark, lake, DAY1, raw_path=path)
+        assert lake.bronze.batches(spark)[n] == lake.silver.batches(spark)[n] == expected
+    assert lake.bronze.read_history(spark).count() == lake.silver.read(spark).count() == 50
+    assert {r.data_atualizacao for r in lake.silver.read(spark).collect()} == {DAY1.audit_text}
+
+
 def test_null_keys_may_be_kept(spark, tmp_path, drop):
     path = drop("1", customer(1))
     broken = str(tmp_path / "broken")
@@ -222,7 +234,7 @@ def test_command_line_runs_each_layer(spark, tmp_path, drop):
     assert spark.read.csv(f"{base}/served", header=True).count() == 2
     assert spark.read.parquet(f"{base}/ranking").count() == 4
     cli.main(["all", *common, "--raw", raw], spark)
-    assert Lake(base).bronze.batches(spark) == {0: 2, 1: 0}
+    assert Lake(base).bronze.batches(spark) == {0: 2, 1: 2}  # the count in use is kept
     assert Path(base, "gold").exists()
     with pytest.raises(SystemExit):
         cli.main(["bronze"], spark)
