@@ -21,9 +21,8 @@ from lakehist.plans.customers import CUSTOMERS
 from lakehist.plans.entity import Entity
 from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, size
 
-
-# A bucket of the snapshot, as stored. Tables below two of these are not bucketed.
-BUCKET_BYTES = 1 << 30
+# A bucket of the snapshot, as stored. The largest tables get bigger ones, by Spark's limit on their number.
+BUCKET_BYTES = 128 << 20
 
 
 @dataclass(frozen=True)
@@ -209,12 +208,16 @@ def run_all(
 
 
 def _buckets_for(spark: SparkSession, lake: Lake, bronze: BatchTable, previous: int | None, raw_path: str) -> int:
-    """The configured bucket count, or one that suits the snapshot. A count in use is kept while its
-    buckets have not outgrown their size several times over, because changing it costs a shuffle."""
+    """The configured bucket count, or one that suits the snapshot.
+
+    A table is bucketed once it fills a bucket per core; below that, buckets would idle cores and the
+    shuffle they save is small. A count in use is kept until its buckets have outgrown their size several
+    times over, because changing it costs a shuffle.
+    """
     if lake.buckets is not None or lake.null_keys:
         return lake.buckets or 0
     wanted = size(spark, raw_path) // BUCKET_BYTES
-    if wanted < 2:
+    if wanted < spark.sparkContext.defaultParallelism:
         wanted = 0
     in_use = bronze.batches(spark)[previous] if previous is not None else 0
     limit = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))

@@ -17,7 +17,7 @@ Superseded states stay readable until :meth:`BatchTable.expire` drops them; clos
 
 ``buckets > 0`` hashes every batch by ``keys`` into that many files with Spark's own bucketing, so the
 next merge on those keys reads this side without a shuffle. Choose it so that a bucket of current rows is
-about 1 GB as stored: a task sorts one bucket, and spills what does not fit.
+100 MB to 1 GB as stored: a task sorts one bucket, and spills what does not fit.
 """
 
 from __future__ import annotations
