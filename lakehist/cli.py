@@ -26,7 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="lakehist", description="Maintain and serve the history of a table")
     parser.add_argument("job", choices=["bronze", "silver", "gold", "all"], help="gold includes the ranking")
     parser.add_argument("--base", required=True, help="root of the layers, any Hadoop URI")
-    parser.add_argument("--entity", default="lakehist.plans.customers:CUSTOMERS", metavar="MODULE:NAME", help="what to run on")
+    parser.add_argument("--entity", default="lakehist.plans.customers:CUSTOMERS", metavar="MODULE:NAME")
     parser.add_argument("--raw", help="raw snapshot (default: the raw layer under --base)")
     parser.add_argument("--as-of", help="wall clock in --zone, 'YYYY-MM-DD[ HH:MM:SS]' (default: now)")
     parser.add_argument("--zone", default=BUSINESS_ZONE)
@@ -51,8 +51,8 @@ def _sinks(args: argparse.Namespace, target: str) -> tuple[SinkSpec, ...]:
     return (SinkSpec(format, options, getattr(args, f"{target}_path")),)
 
 
-def _entity(reference: str) -> Entity:
-    module, _, name = reference.partition(":")
+def _entity(address: str) -> Entity:
+    module, _, name = address.partition(":")
     return getattr(importlib.import_module(module), name)
 
 

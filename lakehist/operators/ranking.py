@@ -31,7 +31,8 @@ class Ranking:
 
 
 def _half(df: DataFrame, spec: Ranking, order: Column, label: str, stamp: Column) -> DataFrame:
-    ranked = df.where(F.col(quoted(spec.active))).orderBy(order, *[key.asc() for key in columns(spec.keys)]).limit(spec.k)
+    ties = [key.asc() for key in columns(spec.keys)]
+    ranked = df.where(F.col(quoted(spec.active))).orderBy(order, *ties).limit(spec.k)
     return ranked.select(*columns(spec.columns), F.lit(label).alias(spec.label_column), stamp.alias(spec.stamp_column))
 
 
