@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakehist.llm import language, lm
 from lakehist.llm.decontaminate import contamination
 from lakehist.llm.exact import exact_groups
 from lakehist.llm.mixing import mix
@@ -19,6 +20,15 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    model = lm.train(docs.where(~lm.held_out()))
+    scores = lm.scored(docs, model)
+    return scores.withColumn("held_out", lm.held_out()).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix(_table(spark, sf, "documents"))
 
@@ -44,11 +54,20 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    model = language.fit(docs.where(language.in_training()))
+    found = language.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "language.lang_pred", "language.score")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_kneser_ney": op2_kneser_ney,
     "op3_mixing": op3_mixing,
     "op4_hilbert_sharding": op4_hilbert_sharding,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op10_language": op10_language,
 }
 
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
