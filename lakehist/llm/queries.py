@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakehist.llm import language, lm
 from lakehist.llm.decontaminate import contamination
 from lakehist.llm.exact import exact_groups
+from lakehist.llm.minhash import near_duplicates
 from lakehist.llm.mixing import mix
 from lakehist.llm.sharding import hilbert_shards
 
@@ -20,6 +21,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf, "documents"))
+
+
 def op2_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     model = lm.train(docs.where(~lm.held_out()))
@@ -62,6 +67,7 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_kneser_ney": op2_kneser_ney,
     "op3_mixing": op3_mixing,
     "op4_hilbert_sharding": op4_hilbert_sharding,
