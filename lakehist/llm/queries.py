@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakehist.llm import language, lm
+from lakehist.llm import chat, language, lm, tokens, urls
 from lakehist.llm.decontaminate import contamination
 from lakehist.llm.exact import exact_groups
 from lakehist.llm.minhash import near_duplicates
@@ -42,10 +42,28 @@ def op4_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return hilbert_shards(_table(spark, sf, "documents"), shards=24)
 
 
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document, and after long numbers and addresses in it are replaced."""
+    docs = tokens.redactions(tokens.counted(_table(spark, sf, "documents").select("doc_id", "text")))
+    return tokens.recounted(docs).select(
+        "doc_id",
+        "tokens.n_tokens",
+        F.size("tokens.starts").cast("long").alias("n_leaves"),
+        F.size("edits").cast("long").alias("n_edits"),
+        F.col("edited.n_tokens").alias("edited_tokens"),
+        "edited.leaves_encoded",
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_groups(_table(spark, sf, "documents"), keep="largest")
 
 
+def op7_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    calls, results = chat.calls_of(_table(spark, sf, "conversations"))
+    return chat.linked(calls, results, chat.SCHEMAS)
+
+
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     found = contamination(docs, _table(spark, sf, "benchmark"))
@@ -59,6 +77,10 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_url_templates(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judged(_table(spark, sf, "pages"))
+
+
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     model = language.fit(docs.where(language.in_training()))
@@ -71,8 +93,11 @@ QUERIES: dict[str, Query] = {
     "op2_kneser_ney": op2_kneser_ney,
     "op3_mixing": op3_mixing,
     "op4_hilbert_sharding": op4_hilbert_sharding,
+    "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_tool_calls": op7_tool_calls,
     "op8_decontamination": op8_decontamination,
+    "op9_url_templates": op9_url_templates,
     "op10_language": op10_language,
 }
 
