@@ -1,0 +1,79 @@
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from lakehist.llm.mixing import mix, mixed_documents, permuted
+from pyspark.sql import functions as F
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shared(sizes, most=3):
+    """Targets by resharing the excess again and again."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(most * sizes[s] for s in full)
+        open_ = sum(weight[s] for s in sizes if s not in full)
+        target = {s: most * sizes[s] if s in full else rest * weight[s] / open_ for s in sizes}
+        over = {s for s in sizes if s not in full and target[s] > most * sizes[s]}
+        if not over:
+            return target
+        full |= over
+
+
+def check(rows, found):
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
+    targets = shared(sizes)
+    source = {r["doc_id"]: r["source"] for r in rows}
+    taken = defaultdict(int)
+    assert len(found) == len(rows)
+    for r in found:
+        s = source[r["doc_id"]]
+        if r["doc_id"] is not None:
+            assert r["source_size"] == sizes[s]
+            assert r["target"] == pytest.approx(targets[s], abs=1e-6)
+        taken[r["target"], r["source_size"]] += r["taken"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    for (target, _), words in taken.items():
+        assert abs(words - target) <= 0.5 * sum(1 for t in targets.values() if abs(t - target) < 1e-6) + 1e-6
+
+
+def test_odd_rows(odd_docs):
+    check(odd_docs.collect(), mix(odd_docs, block=16).collect())
+
+
+def test_targets_and_caps(spark):
+    docs = spark.range(600).selectExpr(
+        "id AS doc_id", "TRIM(REPEAT('w ', CAST(id % 40 AS INT))) AS text",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id < 30 THEN NULL ELSE CONCAT('s', id % 5) END AS source", "id AS taken", "id AS target",
+    )
+    found = mix(docs, block=32).collect()
+    check(docs.collect(), found)
+    assert max(r["taken"] - 2 * r["size"] for r in found) > 0  # a source at its cap
+
+
+def test_reruns_agree(odd_docs, no_docs):
+    one, two = (Counter(map(tuple, mix(d, block=8).collect())) for d in (odd_docs, odd_docs.repartition(7)))
+    assert one == two
+    assert mix(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100])
+def test_permutation_and_its_inverse(spark, n):
+    x = spark.range(n).select("id", permuted(F.col("id"), F.lit(n), F.lit(5)).alias("p"))
+    rows = x.withColumn("back", permuted(F.col("p"), F.lit(n), F.lit(5), inverse=True)).collect()
+    assert sorted(r["p"] for r in rows) == list(range(n))
+    assert all(r["back"] == r["id"] for r in rows)
+
+
+def test_mixed_documents_keep_their_columns(odd_docs, no_docs):
+    found = mixed_documents(odd_docs, block=8)
+    assert found.columns == odd_docs.columns
+    rows, known = found.collect(), {tuple(r) for r in odd_docs.collect()}
+    assert rows and all(tuple(r) in known and WORD.search(r["text"]) for r in rows)
+    assert max(Counter(map(tuple, rows)).values()) <= 6  # three of each of two equal rows
+    assert mixed_documents(no_docs).collect() == []

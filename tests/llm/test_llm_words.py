@@ -1,0 +1,35 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from lakehist.llm.words import ALNUM, SPACED, words
+
+PATTERNS = {"spaced": (SPACED, r"[^\x20\x09-\x0D]+"), "alnum": (ALNUM, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")}
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+@pytest.mark.parametrize("kind", PATTERNS)
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.one_of(st.none(), st.text(alphabet="aB9 \t\n\x00.é日\x7f", max_size=30)), max_size=6))
+def test_words_are_those_of_the_pattern(kind, texts):
+    separators, pattern = PATTERNS[kind]
+    expected = [re.findall(pattern, lowered(t or "")) for t in texts]
+    split = words(pa.array(texts, pa.string()), separators)
+    assert split.counts.tolist() == [len(e) for e in expected]
+    found = [split.raw[a:b].tobytes().decode() for a, b in zip(split.starts, split.ends)]
+    assert found == [w for e in expected for w in e]
+    assert len(set(split.hashes.tolist())) == len(set(found))
+
+
+def test_hashes_do_not_depend_on_place_or_slice():
+    texts = pa.array(["skip", "one two", None, "two " + "z" * 1000, "z" * 1000])
+    split = words(texts.slice(1))
+    one, two, again, long, longer = split.hashes.tolist()
+    assert two == again and long == longer and one != two
+    assert np.array_equal(words(pa.array(["TWO"])).hashes, split.hashes[1:2])
