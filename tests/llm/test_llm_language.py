@@ -1,0 +1,90 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from lakehist.llm import language
+from lakehist.llm.words import words
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(3)
+    model = language.Model(["a", "b"], language.Direction(rng, 3), language.Direction(rng, 3), rng.normal(0, 1, (6, 2)), np.zeros(2))
+    for d in (model.forward, model.backward):
+        d.bytes, d.state, d.bias = d.bytes.astype(float), d.state.astype(float), rng.normal(0, 0.1, 9)
+    x = rng.integers(97, 100, (4, 5))
+    lengths, label = np.array([5, 3, 1, 4]), np.array([0, 1, 1, 0])
+
+    def loss():
+        p = model.label(x, lengths)
+        live = np.arange(5) < lengths[:, None]
+        return -(np.log(p[np.arange(4)[:, None], np.arange(5), label[:, None]]) * live).sum() / live.sum()
+
+    for parameter, gradient in zip(model.parameters(), model.gradients(x, lengths, label)):
+        used = np.argwhere(np.abs(gradient) > 1e-4)[:6] if gradient.ndim == 2 else np.argwhere(np.abs(gradient) >= 0)[:6]
+        for at in map(tuple, used):
+            held, parameter[at] = parameter[at], parameter[at] + 1e-3
+            up = loss()
+            parameter[at] = held - 1e-3
+            down = loss()
+            parameter[at] = held
+            assert gradient[at] == pytest.approx((up - down) / 2e-3, rel=2e-2, abs=1e-4)
+
+
+@pytest.fixture(scope="module")
+def fitted(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs, language.fit(docs.where(language.in_training()))
+
+
+def test_held_out_accuracy(fitted):
+    docs, model = fitted
+    found = language.identified(docs.where(language.held_out()), model)
+    right, n = found.selectExpr("SUM(IF(language.lang_pred = lang, 1, 0))", "COUNT(lang)").first()
+    assert n > 40 and right / n > 0.95
+
+
+def test_remembered_segments_change_nothing(fitted, monkeypatch):
+    _, model = fitted
+    texts = pa.array(["the house and the tree", "das Haus und der Baum", "the house " * 50, "é" * 200])
+    fresh = language._predicted(texts, language.Labeller(model)).to_pylist()
+    labeller = language.Labeller(model)
+    language._predicted(texts.take([2, 1]), labeller)
+    assert language._predicted(texts, labeller).to_pylist() == fresh
+    monkeypatch.setattr(language, "REMEMBERED", 3)
+    assert language._predicted(texts, labeller).to_pylist() == fresh
+
+
+def test_every_byte_is_in_a_segment():
+    split = words(pa.array(["short " + "y" * 100 + " é"]))
+    x, lengths, owner = language.segments(split, np.arange(3))
+    assert np.bincount(owner, lengths).tolist() == [5, 100, 2]
+    assert b"".join(r[:n].tobytes() for r, n in zip(x, lengths)) == b"short" + b"y" * 100 + "é".encode()
+
+
+def test_odd_rows(fitted, odd_docs, no_docs):
+    model = fitted[1]
+    found = language.identified(odd_docs, model)
+    assert found.columns == [*odd_docs.columns, "language"]
+    for r in found.collect():
+        letters = any(c.isalpha() for c in r["text"] or "")
+        assert (r["language"]["lang_pred"] == "und") == (not letters)
+        assert 0 <= r["language"]["score"] <= 1 and (letters or r["language"]["score"] == 0)
+    kept = language.accepted(odd_docs.withColumn("language", odd_docs.doc_id), model, least_score=0.0)
+    assert kept.columns == [*odd_docs.columns, "language"]
+    assert kept.count() == sum(any(c.isalpha() for c in r["text"] or "") for r in odd_docs.collect())
+    assert language.identified(no_docs, model).collect() == []
+
+
+def test_nothing_and_one_language(odd_docs, no_docs, spark):
+    assert language.fit(no_docs) is None
+    assert {r["language"]["lang_pred"] for r in language.identified(odd_docs, None).collect()} == {"und"}
+    one = language.fit(spark.createDataFrame([(1, "some text", "xx"), (2, None, "yy"), (3, "t", None)], "doc_id long, text string, lang string"))
+    assert one.languages == ["xx"]
+    assert {r["language"]["lang_pred"] for r in language.identified(odd_docs, one).collect()} == {"und", "xx"}
+
+
+def test_the_sample_is_bounded_and_has_rare_languages(spark, monkeypatch):
+    monkeypatch.setattr(language, "CELLS", 8)
+    docs = spark.range(3000).selectExpr("id AS doc_id", "REPEAT('é', 2000) AS text", "IF(id = 7, 'rare', 'hot') AS lang")
+    rows = language.sample(docs).collect()
+    assert len(rows) == 9 and sum(r["lang"] == "rare" for r in rows) == 1
+    assert max(len(r["text"]) for r in rows) == language.SAMPLE_BYTES

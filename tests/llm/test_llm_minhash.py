@@ -1,0 +1,117 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from lakehist.llm import minhash
+from lakehist.llm.minhash import components, deduplicated, near_duplicates, prob_minhash
+
+
+def shingle_set(text):
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def brute_classes(rows):
+    texts = sorted({r["text"] or "" for r in rows})
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    members = defaultdict(list)
+    for r in rows:
+        members[find(texts.index(r["text"] or ""))].append(r["doc_id"])
+    out = []
+    for ids in members.values():
+        known = [i for i in ids if i is not None]
+        out += [(i, min(known) if known else None, len(ids)) for i in ids]
+    return Counter(out)
+
+
+def check(docs):
+    found = near_duplicates(docs).collect()
+    assert Counter(tuple(r)[:3] for r in found) == brute_classes(docs.collect())
+    assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in found)
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for i in rng.sample(range(len(words)), n):
+        words[i] = f"edit{rng.random()}"
+    return " ".join(words)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    check(odd_docs)
+    assert near_duplicates(no_docs).collect() == []
+
+
+def test_clusters_chains_and_common_passages(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(900)}" for _ in range(200)]
+    passage = " ".join(f"common{i}" for i in range(40))
+    texts = [" ".join(base)] + [edited(rng, base, n) for n in (1, 2, 3, 4, 4, 4, 5, 6, 8) for _ in range(4)]  # copies far from each other
+    chain = [" ".join(base[::-1])]
+    for _ in range(12):
+        chain.append(edited(rng, chain[-1].split(), 3))
+    texts += chain
+    texts += [passage + " " + " ".join(f"own{i}-{j}" for j in range(rng.randrange(5, 60))) for i in range(30)]  # alike in part
+    texts += [("again " * 30 + f"and then {i // 2} or so " * 3) for i in range(12)]  # weights above 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    check(docs)
+
+
+def test_real_documents(spark, sf_dir):
+    check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def test_signatures_estimate_probability_jaccard():
+    rng = np.random.default_rng(4)
+    elements = rng.integers(1, 2**63, 300, dtype=np.uint64)
+    one, two = rng.integers(1, 6, 300).astype(float), rng.integers(1, 6, 300).astype(float)
+    two[200:] = 0
+    one[:60] = 0
+    a, b = one > 0, two > 0
+    at = np.concatenate([np.zeros(a.sum(), int), np.ones(b.sum(), int)])
+    size = 8192
+    winners = prob_minhash(at, np.concatenate([elements[a], elements[b]]), np.concatenate([one[a], two[b]]), 2, size)
+    both = np.flatnonzero(a & b)
+    exact = sum(1 / np.maximum(one / one[d], two / two[d]).sum() for d in both)
+    assert (winners[0] == winners[1]).mean() == pytest.approx(exact, abs=4 * np.sqrt(exact / size))
+
+
+def test_short_texts_fill_their_signatures():
+    winners = prob_minhash(np.array([0, 2]), np.array([5, 6], np.uint64), np.array([1.0, 3.0]), 3, 130)
+    assert (winners[0] == 5).all() and (winners[1] == 0).all() and (winners[2] == 6).all()
+
+
+def test_agreement():
+    signed = pa.array([np.array([1, 2, 3, 4], np.uint16).tobytes(), np.array([1, 2, 9, 9], np.uint16).tobytes()])
+    assert minhash._agreement(signed, signed.take([1, 1])).tolist() == [0.5, 1.0]
+
+
+def test_components_of_long_paths(spark):
+    rng = random.Random(2)
+    path = rng.sample(range(1000), 100)
+    pairs = list(zip(path, path[1:])) + [(2000, 2001), (2001, 2000), (2001, 2001), (3000, 2001)]
+    rng.shuffle(pairs)
+    found = {r["node"]: r["label"] for r in components(spark.createDataFrame(pairs, "node long, centre long")).collect()}
+    assert found == {**{n: min(path) for n in path}, **{n: 2000 for n in (2000, 2001, 3000)}}
+
+
+def test_deduplicated_keeps_columns_and_one_row_a_class(odd_docs, no_docs):
+    docs = odd_docs.withColumn("_row", odd_docs.doc_id).withColumn("digest", odd_docs.lang)
+    kept = deduplicated(docs)
+    assert kept.columns == docs.columns
+    classes = brute_classes(odd_docs.collect())
+    assert kept.count() == len({(c, n) for _, c, n in classes})
+    assert deduplicated(no_docs).collect() == []
