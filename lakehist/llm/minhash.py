@@ -11,19 +11,19 @@ arriving once it is later than the latest first arrival of its text, which is wh
 weights differ from 1, the signature with all weights 1 is taken as well (there the agreement is the plain
 Jaccard similarity that links are defined by), and the text goes by both.
 
-**Banding.** ``bands`` groups of ``rows`` components hash to buckets. With 26 bands of 5 a pair of similarity 0.8 shares
-no bucket with probability 3e-5, one of 0.9 with 1e-10.
+**Banding.** ``bands`` groups of ``rows`` components hash to buckets. With 40 bands of 7 a pair of similarity 0.8 shares
+no bucket with probability 8e-5, one of 0.9 with 5e-12.
 
-**Verification** never lists the pairs of a bucket. Equal texts are one node from the start. Then
+**Verification** does not list the pairs of a bucket. Equal texts are one node from the start. Then
 
 1. each bucket takes as its centre the member whose buckets are the fullest (in a group of edited copies, the
    original), and every member is compared with it: links and components;
-2. buckets that still hold several components are split by a second band: members that share both meet a centre again;
-3. what then still shares two bands across components is compared pair by pair, which is the exact way for the rest.
+2. where what meets a centre still is of several components, those apart from the centre (strays) are compared with all
+   others that meet it, in blocks of ``BLOCK``: by signature, and where that leaves it open, by their sets.
 
 A member that is too far from a centre cannot be linked to what is linked with that centre (the
 Jaccard distance obeys the triangle inequality), so clusters that are merely near each other are not taken up again.
-Before sets are moved, signatures rule out pairs that agree in fewer than ``MAYBE`` of their components, five standard deviations
+Signatures rule out pairs that agree in fewer than ``MAYBE`` of their components, four standard deviations
 below 0.8. Sets are moved for the pairs that remain, dealt by centre and salted by the number of its pairs.
 
 * Null text counts as empty. Texts without words are in a class with equal texts only.
@@ -45,9 +45,9 @@ from lakehist.llm.words import mixed, words
 
 #: Signatures that agree less than this are of texts less similar than 0.8; a text that agrees less than
 #: ``FAR`` with a centre is too far from it to be linked to anything that is linked with it.
-MAYBE, FAR = 0.62, 0.42
-#: Pairs of one centre that are compared in one place, text that is hashed at a time, partitions of the sets.
-PAIRS_PER_SALT, SLICE_BYTES = 512, 4 << 20
+MAYBE, FAR = 0.70, 0.45
+#: Pairs of one centre and members of one bucket that are compared in one place, text that is hashed at a time.
+PAIRS_PER_SALT, BLOCK, SLICE_BYTES = 512, 512, 4 << 20
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,9 +135,10 @@ def _signed(texts: pa.Array, shingle: int, bands: int, rows: int) -> list[pa.Arr
 
 def _sets(texts: pa.Array, shingle: int) -> pa.Array:
     of, element, _ = shingles(texts, shingle)
-    order = np.argsort(of, kind="stable")
+    element = element.view(np.int64)
+    order = np.lexsort((element, of))
     bounds = np.searchsorted(of[order], np.arange(len(texts) + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(element[order].view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(element[order]))
 
 
 def _agreement(one: pa.Array, other: pa.Array) -> np.ndarray:
@@ -149,6 +150,15 @@ def _agreement(one: pa.Array, other: pa.Array) -> np.ndarray:
     return (a == b).mean(axis=1)
 
 
+def _jaccard(one: np.ndarray, other: np.ndarray) -> float:
+    """Of two sorted sets."""
+    if not len(one) or not len(other):
+        return 0.0
+    at = np.minimum(np.searchsorted(other, one), len(other) - 1)
+    common = int((other[at] == one).sum())
+    return common / (len(one) + len(other) - common)
+
+
 class NearDuplicates:
     """One run over one table; the steps share the nodes, the sets and the links found so far."""
 
@@ -213,8 +223,8 @@ class NearDuplicates:
         found = texts.mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"])
         return checkpointed(found.repartition(partitions, "node"))
 
-    def _compared(self, pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Agreement of the signatures of ``pairs`` (``node``, ``centre``), and of those that may be links the real ones."""
+    def _agreed(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (``node``, ``centre``) with the agreement of their signatures."""
         signatures = self.nodes.select("node", "signature")
         both = pairs.join(signatures, "node").join(
             signatures.withColumnsRenamed({"node": "centre", "signature": "other"}), "centre"
@@ -225,10 +235,11 @@ class NearDuplicates:
                 agreement = _agreement(batch.column(2), batch.column(3))
                 yield pa.record_batch([batch.column(0), batch.column(1), pa.array(agreement)], names=["node", "centre", "agreement"])
 
-        agreed = self._stored(
-            both.select("node", "centre", "signature", "other").mapInArrow(agree, "node long, centre long, agreement double"), "agreed"
-        )
-        likely = agreed.where(F.col("agreement") >= MAYBE).select("node", "centre")
+        found = both.select("node", "centre", "signature", "other").mapInArrow(agree, "node long, centre long, agreement double")
+        return self._stored(found, "agreed")
+
+    def _verified(self, likely: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of the pairs ``likely`` whose sets are similar enough."""
         # A centre's set is copied once for so many of its pairs, and the pairs are spread over the copies.
         salts = likely.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_SALT).cast("int").alias("salts"))
         centres = sets.withColumnsRenamed({"node": "centre", "shingles": "others"}).join(salts, "centre")
@@ -237,7 +248,7 @@ class NearDuplicates:
         met = salted.drop("salts").join(sets, "node").join(centres, ["centre", "salt"])
         common = F.size(F.array_intersect("shingles", "others"))
         jaccard = common / (F.size("shingles") + F.size("others") - common)
-        return agreed, self._stored(met.where(jaccard >= self.similarity).select("node", "centre"), "links")
+        return self._stored(met.where(jaccard >= self.similarity).select("node", "centre"), "links")
 
     def _link(self, found: DataFrame) -> None:
         """Take the links up into the components."""
@@ -248,63 +259,67 @@ class NearDuplicates:
         named = self.labels.select(F.col("node").alias(node), F.col("label").alias("_label"))
         return rows.join(named, node, "left").withColumn(label, F.coalesce("_label", node)).drop("_label")
 
-    @staticmethod
-    def _centred(members: DataFrame, key: list[str]) -> DataFrame:
-        """``members`` with the ``centre`` of their bucket."""
-        best = members.groupBy(*key).agg(F.max_by("node", F.struct("total", -F.col("node"))).alias("centre"))
-        return members.join(best, key)
-
     def run(self) -> DataFrame:
-        """``doc_id, class_id, class_size`` for every row."""
+        """``doc_id, digest, class_id, class_size`` for every row."""
         members = self._members()
         sets = self._shingle_sets(members)
 
-        met = self._stored(self._centred(members, ["bucket"]), "met")
-        pairs = met.where("node <> centre").select("node", "centre").distinct()
-        agreed, links = self._compared(pairs, sets)
-        self._link(links)
-
-        # Buckets that hold several components. Those linked with the centre itself matter only where something is
-        # near enough to the centre to be linked with one of them.
-        tested = agreed.join(links.withColumn("linked", F.lit(True)), ["node", "centre"], "left")
-        rows = self._labelled(self._labelled(met.join(tested, ["node", "centre"], "left"), "node", "label"), "centre", "home")
-        stray = F.col("label") != F.col("home")
-        near = rows.groupBy("bucket").agg(
-            F.max(F.when(stray, F.coalesce("agreement", F.lit(0.0)))).alias("nearest"), F.sum(F.when(stray, 1).otherwise(0)).alias("strays")
+        best = members.groupBy("bucket").agg(F.max_by("node", F.struct("total", -F.col("node"))).alias("centre"))
+        met = members.join(best, "bucket").where("node <> centre")
+        agreed = self._agreed(met.select("node", "centre").distinct())
+        self._link(self._verified(agreed.where(F.col("agreement") >= MAYBE).select("node", "centre"), sets))
+
+        # Families: all that meets a centre. Strays are those that are not in its component.
+        rows = agreed.unionByName(agreed.select(F.col("centre").alias("node"), "centre", F.lit(1.0).alias("agreement")).distinct())
+        rows = self._labelled(self._labelled(rows, "node", "label"), "centre", "home")
+        rows = rows.withColumn("stray", F.col("label") != F.col("home"))
+        mixed = rows.groupBy("centre").agg(
+            F.max(F.when(F.col("stray"), F.col("agreement"))).alias("nearest"),
+            F.sum(F.col("stray").cast("long")).alias("strays"),
+            F.count(F.lit(1)).alias("all"),
         )
-        rest = rows.join(near.where("strays > 0"), "bucket").where(
-            ((F.col("nearest") >= FAR) | stray) & ((F.col("nearest") >= FAR) | (F.col("strays") > 1))
+        near = F.col("nearest") >= FAR
+        # With one stray and the centre alone, everything has been compared.
+        mixed = mixed.where("all > 2").where(near | (F.col("strays") > 1)).select(
+            "centre",
+            near.alias("near"),
+            F.ceil(F.col("strays") / BLOCK).cast("int").alias("stray_blocks"),
+            F.ceil(F.col("all") / BLOCK).cast("int").alias("all_blocks"),
         )
-        rest = rest.select("bucket", "node", "total")
-        per_node = rest.groupBy("node", "total").agg(F.array_sort(F.collect_set("bucket")).alias("all")).where(F.size("all") > 1)
-        first = per_node.select("node", "total", "all", F.posexplode("all").alias("i", "one"))
-        second = first.select("node", "total", "one", F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("two"))
-        shared = self._mixed(second)
-        if not shared.isEmpty():
-            shared = self._stored(shared, "twice")
-            met = self._centred(shared, ["one", "two"]).where("node <> centre").select("node", "centre").distinct()
-            met = self._labelled(self._labelled(met, "node", "a"), "centre", "b").where("a <> b").select("node", "centre")
-            done = agreed.select("node", "centre")
-            again, links = self._compared(met.join(done, ["node", "centre"], "left_anti"), sets)
-            self._link(links)
-
-            left = self._mixed(shared.select("node", "total", "one", "two"))
-            left = self._labelled(left.select("node", "one", "two"), "node", "label")
-            other = left.withColumnsRenamed({"node": "centre", "label": "home"})
-            apart = left.join(other, ["one", "two"]).where("node < centre AND label <> home").select("node", "centre").distinct()
-            done = done.unionByName(again.select("node", "centre"))
-            done = done.select(F.least("node", "centre").alias("node"), F.greatest("node", "centre").alias("centre"))
-            apart = apart.join(done, ["node", "centre"], "left_anti")
-            if not apart.isEmpty():
-                _, links = self._compared(apart, sets)
-                self._link(links)
+        left = rows.join(mixed, "centre").where(F.col("stray") | (F.col("near") & (F.col("node") != F.col("centre"))))
+        left = self._stored(left.select("centre", "node", "label", "stray", "stray_blocks", "all_blocks"), "left")
+        if not left.isEmpty():
+            self._link(self._strays(left, sets))
         return self._classes()
 
-    def _mixed(self, shared: DataFrame) -> DataFrame:
-        """Of nodes that share two buckets, those that meet another component there."""
-        labelled = self._labelled(shared, "node", "label")
-        several = labelled.groupBy("one", "two").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        return shared.join(several.select("one", "two"), ["one", "two"], "left_semi")
+    def _strays(self, left: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links of a stray with another member of its family, across components, once each."""
+        similarity = self.similarity
+        own = F.pmod(F.xxhash64("node"), F.col("stray_blocks")).cast("int")
+        other = F.pmod(F.xxhash64("node"), F.col("all_blocks")).cast("int")
+        every = F.sequence(F.lit(0), F.col("all_blocks") - 1)
+        asked = left.where("stray").select("centre", "node", "label", own.alias("i"), F.explode(every).alias("j"), F.lit(True).alias("asks"))
+        every = F.sequence(F.lit(0), F.col("stray_blocks") - 1)
+        asked_of = left.select("centre", "node", "label", F.explode(every).alias("i"), other.alias("j"), F.lit(False).alias("asks"))
+        cells = asked.unionByName(asked_of).join(self.nodes.select("node", "signature"), "node").join(sets, "node")
+
+        def compare(table: pa.Table) -> pa.Table:
+            node, label = table["node"].to_numpy(), table["label"].to_numpy()
+            asks, held = table["asks"].to_numpy(), table["shingles"]
+            signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(len(node), -1)
+            theirs, found = np.flatnonzero(~asks), set()
+            for i in np.flatnonzero(asks):
+                there = theirs[label[theirs] != label[i]]
+                there = there[(signature[there] == signature[i]).mean(axis=1) >= MAYBE]
+                mine = held[int(i)].values.to_numpy() if len(there) else None
+                for j in there.tolist():
+                    pair = min(node[i], node[j]), max(node[i], node[j])
+                    if pair not in found and _jaccard(mine, held[j].values.to_numpy()) >= similarity:
+                        found.add(pair)
+            return pa.table({"node": pa.array([a for a, _ in found], pa.int64()), "centre": pa.array([b for _, b in found], pa.int64())})
+
+        found = cells.groupBy("centre", "i", "j").applyInArrow(compare, "node long, centre long")
+        return self._stored(found.distinct(), "strays")
 
     def _classes(self) -> DataFrame:
         nodes = self._labelled(self.nodes.select("digest", "node", "doc_id", "copies"), "node", "label")
@@ -316,28 +331,27 @@ class NearDuplicates:
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` of every node that has a link: the smallest node of its connected component.
 
-    Every round hooks each root to the smallest root it is linked to and then shortens all paths to the root; links
-    inside a component drop out. The number of rounds follows the logarithm of a component's diameter.
+    Alternating stars: every node points its larger neighbours to the smallest node it knows, then its smaller ones and
+    itself, until each component is one star. Rounds follow the logarithm of a component's diameter.
     """
-    edges = links.select(F.col("node").alias("u"), F.col("centre").alias("v")).where("u <> v").distinct()
-    labels = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("label", F.col("node"))
-    labels, edges = checkpointed(labels), checkpointed(edges)
-    while not edges.isEmpty():
-        hooks = edges.groupBy(F.greatest("u", "v").alias("root")).agg(F.min(F.least("u", "v")).alias("next"))
-        hooks = checkpointed(hooks)
-        while True:  # a root may hook to one that hooks on
-            onward = hooks.alias("h").join(hooks.alias("n"), F.col("h.next") == F.col("n.root"), "left")
-            shorter = checkpointed(onward.select("h.root", F.coalesce("n.next", "h.next").alias("next"), F.col("n.next").isNotNull().alias("moved")))
-            hooks = shorter.select("root", "next")
-            if shorter.where("moved").isEmpty():
-                break
-        labels = labels.join(hooks.withColumnRenamed("root", "label"), "label", "left")
-        labels = checkpointed(labels.select("node", F.coalesce("next", "label").alias("label")))
-        for end in ("u", "v"):
-            edges = edges.join(hooks.select(F.col("root").alias(end), "next"), end, "left")
-            edges = edges.withColumn(end, F.coalesce("next", end)).drop("next")
-        edges = checkpointed(edges.where("u <> v").select("u", "v").distinct())
-    return labels
+    edges = links.select(F.greatest("node", "centre").alias("u"), F.least("node", "centre").alias("v")).where("u <> v").distinct()
+    edges, before = checkpointed(edges), None
+    while True:
+        ends = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = ends.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = ends.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.unionByName(edges.join(least, "u").select("u", F.col("m").alias("v"))).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        edges = checkpointed(small.where("u <> v").distinct())
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
+            break
+        before = state
+    stars = edges.groupBy("u").agg(F.min("v").alias("label"))
+    return checkpointed(
+        stars.select(F.col("u").alias("node"), "label").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    )
 
 
 def near_duplicates(
@@ -346,8 +360,8 @@ def near_duplicates(
     text_column: str = "text",
     shingle: int = 5,
     similarity: float = 0.8,
-    bands: int = 26,
-    rows: int = 5,
+    bands: int = 40,
+    rows: int = 7,
 ) -> DataFrame:
     """``doc_id, class_id, class_size, kept``: ``kept`` is true for the document that names its class."""
     classes = NearDuplicates(docs, id_column, text_column, shingle, similarity, bands, rows).run()
@@ -362,8 +376,8 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         text_column,
         settings.get("shingle", 5),
         settings.get("similarity", 0.8),
-        settings.get("bands", 26),
-        settings.get("rows", 5),
+        settings.get("bands", 40),
+        settings.get("rows", 7),
     )
     digest, row = fresh(docs, "_digest"), fresh(docs, "_row")
     kept = run.run().where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "digest").distinct()
