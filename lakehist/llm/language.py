@@ -149,7 +149,7 @@ def segments(split: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     begin = starts[owner] + nth * SEGMENT
     lengths = np.minimum(sizes[owner] - nth * SEGMENT, SEGMENT)
-    at = np.minimum(begin[:, None] + np.arange(SEGMENT), len(split.raw) - 1)
+    at = np.minimum(begin.astype(np.int32)[:, None] + np.arange(SEGMENT, dtype=np.int32), len(split.raw) - 1)
     x = np.where(np.arange(SEGMENT) < lengths[:, None], split.raw[at], 0)
     return x, lengths, owner
 
