@@ -31,7 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--as-of", help="wall clock in --zone, 'YYYY-MM-DD[ HH:MM:SS]' (default: now)")
     parser.add_argument("--zone", default=BUSINESS_ZONE)
     parser.add_argument("--batch", type=int, help="batch to write or repeat (default: the next one)")
-    parser.add_argument("--buckets", type=int, help="co-locate bronze and silver by key (default: by size)")
+    parser.add_argument("--buckets", type=int, help="co-locate bronze and silver by key (default: as the last batch)")
     parser.add_argument("--keep", type=int, help="states of a layer to leave on storage (default: all)")
     parser.add_argument("--null-safe", action="store_true", help="a change from or to NULL counts on its own")
     parser.add_argument("--null-keys", choices=["raise", "keep"], default="raise")

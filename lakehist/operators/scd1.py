@@ -22,14 +22,13 @@ class MirrorSpec:
     """Keys, the columns that decide whether a row changed, and the column that holds the audit stamp.
 
     Columns of the source outside ``tracked`` are still overwritten when a row changes; they just do not
-    trigger a change. ``null_safe`` and ``null_keys`` work as in :class:`HistorySpec`.
+    trigger a change. ``null_safe`` works as in :class:`HistorySpec`.
     """
 
     keys: tuple[str, ...]
     tracked: tuple[str, ...]
     audit: str
     null_safe: bool = False
-    null_keys: bool = False
 
     def __post_init__(self) -> None:
         if self.audit in self.tracked:
@@ -51,13 +50,13 @@ def scd1_delta(target: DataFrame, source: DataFrame, spec: MirrorSpec) -> DataFr
 
 def _merge(target: DataFrame, source: DataFrame, spec: MirrorSpec, actions: bool) -> DataFrame:
     target = target.select(*columns(source.columns))
-    names, unmatched = source.columns, []
-    if spec.null_keys:
-        no_key = has_null_key(spec.keys)
-        unmatched.append(_labelled(source.where(no_key), "insert", actions))
-        if actions:
-            unmatched.append(_labelled(target.where(no_key), "delete", actions))
-        target, source = target.where(~no_key), source.where(~no_key)
+    names = source.columns
+    # Rows with a NULL key match nothing, and would all land in one shuffle partition.
+    no_key = has_null_key(spec.keys)
+    unmatched = [_labelled(source.where(no_key), "insert", actions)]
+    if actions:
+        unmatched.append(_labelled(target.where(no_key), "delete", actions))
+    target, source = target.where(~no_key), source.where(~no_key)
 
     mirror = target.select("*", F.lit(True).alias("_mirror")).alias("mirror")
     origin = source.select("*", F.lit(True).alias("_origin")).alias("origin")

@@ -41,15 +41,12 @@ _KEEP, _INSERT, _CLOSE_CHANGED, _CLOSE_MISSING = range(len(ACTIONS))
 class HistorySpec:
     """What identifies a row and which columns open a new version when they change.
 
-    ``null_safe`` selects the change test (see :func:`lakehist.functions.differs`). ``null_keys=True`` is
-    for snapshots that may hold NULL keys. Such rows can match nothing, so they go round the join
-    instead of through it, where they would all land in one shuffle partition.
+    ``null_safe`` selects the change test (see :func:`lakehist.functions.differs`).
     """
 
     keys: tuple[str, ...]
     tracked: tuple[str, ...]
     null_safe: bool = False
-    null_keys: bool = False
 
 
 def current_versions(history: DataFrame) -> DataFrame:
@@ -66,8 +63,14 @@ def _opened(snapshot: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
+def _too_early(as_of: AsOf, kind: str) -> str:
+    """SQL that fails the query, typed like what stands beside it."""
+    return f"CAST(raise_error('the run is as of {as_of.day}, but a current version starts later') AS {kind})"
+
+
 def _closed(current: DataFrame, as_of: AsOf) -> DataFrame:
-    return current.withColumns({END: as_of.date(), CURRENT: F.lit(False), UPDATED: as_of.timestamp()})
+    end = F.expr(f"IF({START} > DATE '{as_of.day}', {_too_early(as_of, 'date')}, DATE '{as_of.day}')")
+    return current.withColumns({END: end, CURRENT: F.lit(False), UPDATED: as_of.timestamp()})
 
 
 def scd2_bootstrap(snapshot: DataFrame, as_of: AsOf) -> DataFrame:
@@ -89,26 +92,26 @@ def scd2_delta(
     """The next current versions plus the versions this batch closes, told apart by ``current_flag``.
 
     ``current`` must hold current versions only. ``actions=True`` adds a ``merge_action`` column, one of
-    :data:`ACTIONS`.
+    :data:`ACTIONS`. Rows with a NULL key can match nothing, so they go round the join instead of through
+    it, where they would all land in one shuffle partition. A version that starts after the day of ``as_of``
+    fails the query: closing it would end it before it starts.
     """
     business = snapshot.columns
     current = current.select(*columns([*business, *HISTORY_COLUMNS]))
-    unmatched = []
-    if spec.null_keys:
-        no_key = has_null_key(spec.keys)
-        closed = _closed(current.where(no_key), as_of)
-        opened = _opened(snapshot.where(no_key), as_of)
-        if actions:
-            closed = closed.withColumn(ACTION, F.lit("close_missing"))
-            opened = opened.withColumn(ACTION, F.lit("insert"))
-        unmatched = [closed, opened]
-        current, snapshot = current.where(~no_key), snapshot.where(~no_key)
+    no_key = has_null_key(spec.keys)
+    closed = _closed(current.where(no_key), as_of)
+    opened = _opened(snapshot.where(no_key), as_of)
+    if actions:
+        closed = closed.withColumn(ACTION, F.lit("close_missing"))
+        opened = opened.withColumn(ACTION, F.lit("insert"))
+    current, snapshot = current.where(~no_key), snapshot.where(~no_key)
 
     held = current.select("*", F.lit(True).alias("_held")).alias("held")
     seen = snapshot.select("*", F.lit(True).alias("_seen")).alias("seen")
     pairs = held.join(seen, keys_equal("held", "seen", spec.keys), "full_outer")
     # A pair comes out once per action. The lists are constants, so the generator copies no row data.
     todo = f"""CASE
+        WHEN held.{START} > DATE '{as_of.day}' THEN {_too_early(as_of, "array<int>")}
         WHEN held._held IS NULL THEN array({_INSERT})
         WHEN seen._seen IS NULL THEN array({_CLOSE_MISSING})
         WHEN {differs_sql("held", "seen", spec.tracked, spec.null_safe)} THEN array({_CLOSE_CHANGED}, {_INSERT})
@@ -130,9 +133,7 @@ def scd2_delta(
         names = ", ".join(f"'{name}'" for name in ACTIONS)
         out.append(F.expr(f"element_at(array({names}), _action + 1)").alias(ACTION))
     delta = acted.select(*out)
-    for rows in unmatched:
-        delta = delta.unionByName(rows)
-    return delta
+    return delta.unionByName(closed).unionByName(opened)
 
 
 def scd2_merge(history: DataFrame, snapshot: DataFrame, spec: HistorySpec, as_of: AsOf) -> DataFrame:

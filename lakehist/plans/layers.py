@@ -19,10 +19,7 @@ from lakehist.operators import scd1_mirror, scd2_bootstrap, scd2_delta, top_bott
 from lakehist.operators.scd2 import CURRENT
 from lakehist.plans.customers import CUSTOMERS
 from lakehist.plans.entity import Entity
-from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, size
-
-# A bucket of the snapshot, as stored. The largest tables get bigger ones, by Spark's limit on their number.
-BUCKET_BYTES = 128 << 20
+from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, superset
 
 
 @dataclass(frozen=True)
@@ -30,11 +27,11 @@ class Lake:
     """Where a table's layers live, and how its jobs run.
 
     ``base`` is any Hadoop URI. ``raw_path`` defaults to the raw layer under ``base``. ``buckets``
-    co-locates bronze and silver by key (see :class:`BatchTable`): by default as many as the size of the
-    snapshot asks for, which is none for a small table. ``null_keys=True`` accepts snapshots
-    with NULL keys instead of refusing them; ``check_keys=False`` skips the key check for extracts whose
-    source already guarantees unique keys. ``keep`` is how many states of a layer to leave on storage
-    after each job (all of them by default); closed versions always stay.
+    co-locates bronze and silver by key (see :class:`BatchTable`): a number sets the layout, None keeps what the
+    last batch has and is 0 (no buckets) for a new table; silver then follows bronze. ``null_keys=True``
+    accepts snapshots with NULL keys instead of refusing them; ``check_keys=False`` skips the key check for
+    extracts whose source already guarantees unique keys. ``keep`` is how many states of a layer to leave on
+    storage after each job (all of them by default); closed versions always stay.
     """
 
     base: str
@@ -84,8 +81,12 @@ class Lake:
         if self.keep is not None:
             table.expire(spark, self.keep)
 
-    def policy(self) -> dict[str, bool]:
-        return {"null_safe": self.null_safe, "null_keys": self.null_keys}
+    def clock(self, as_of: AsOf | None) -> AsOf:
+        """The clock of a job: now unless given, and in the zone that the lake's days are counted in."""
+        as_of = as_of or AsOf.now(self.zone)
+        if as_of.zone != self.zone:
+            raise ValueError(f"the clock counts days in {as_of.zone}, the lake in {self.zone}")
+        return as_of
 
 
 @dataclass(frozen=True)
@@ -136,16 +137,17 @@ def run_bronze(
     spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch: int | None = None, raw_path: str | None = None
 ) -> int:
     """Fold the raw snapshot into the history and return the batch number published."""
-    as_of = as_of or AsOf.now(lake.zone)
+    as_of = lake.clock(as_of)
     entity, bronze = lake.entity, lake.bronze
-    spec = replace(entity.history, **lake.policy())
+    spec = replace(entity.history, null_safe=lake.null_safe)
     with _session_for(spark, lake):
         raw_path = raw_path or lake.raw
         snapshot = read_snapshot(spark, raw_path, entity.raw)
         if lake.check_keys:
-            validate_keys(snapshot, spec.keys, allow_null=spec.null_keys)
+            validate_keys(snapshot, spec.keys, allow_null=lake.null_keys)
         batch, previous = _batch_numbers(spark, bronze, batch)
-        bronze = replace(bronze, buckets=_buckets_for(spark, lake, bronze, previous, raw_path))
+        if lake.buckets is None and previous is not None:
+            bronze = replace(bronze, buckets=bronze.batches(spark)[previous])
         if previous is None:
             lake.store(spark, bronze, scd2_bootstrap(snapshot, as_of), batch)
         else:
@@ -157,9 +159,9 @@ def run_bronze(
 
 def run_silver(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch: int | None = None) -> int:
     """Mirror the current bronze rows, conformed, and return the batch number published."""
-    as_of = as_of or AsOf.now(lake.zone)
+    as_of = lake.clock(as_of)
     entity, silver = lake.entity, lake.silver
-    spec = replace(entity.mirror, **lake.policy())
+    spec = replace(entity.mirror, null_safe=lake.null_safe)
     with _session_for(spark, lake):
         inputs = {lake.bronze: lake.bronze.latest(spark)}
         mirrored = entity.conformed(lake.bronze.read(spark, inputs[lake.bronze]), as_of)
@@ -175,10 +177,13 @@ def run_silver(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch
 
 def run_gold(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch: int | None = None) -> int:
     """Rebuild gold, then publish what was stored to every gold sink; return the batch number."""
-    as_of = as_of or AsOf.now(lake.zone)
+    as_of = lake.clock(as_of)
     with _session_for(spark, lake):
-        batch, _ = _batch_numbers(spark, lake.gold, batch)
-        lake.store(spark, lake.gold, lake.entity.enriched(lake.silver.read(spark), as_of), batch)
+        batch, previous = _batch_numbers(spark, lake.gold, batch)
+        rows = lake.entity.enriched(lake.silver.read(spark), as_of)
+        if previous is not None:  # columns are never lost: the table keeps those that the rules no longer yield
+            rows = superset(rows, lake.gold.read(spark, previous).schema)
+        lake.store(spark, lake.gold, rows, batch)
         for sink in lake.gold_sinks:
             publish(lake.gold.read(spark, batch), sink)
     return batch
@@ -186,7 +191,7 @@ def run_gold(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch:
 
 def run_ranking(spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch: int | None = None) -> DataFrame:
     """The top/bottom report over stored gold, published to every ranking sink."""
-    as_of = as_of or AsOf.now(lake.zone)
+    as_of = lake.clock(as_of)
     with _session_for(spark, lake):
         gold = lake.gold.read(spark, batch)
         report = top_bottom(gold, lake.entity.ranking, as_of.audit(), lake.skip_null_metric)
@@ -199,7 +204,7 @@ def run_all(
     spark: SparkSession, lake: Lake, as_of: AsOf | None = None, batch: int | None = None, raw_path: str | None = None
 ) -> RunResult:
     """All four jobs in order, under one clock."""
-    as_of = as_of or AsOf.now(lake.zone)
+    as_of = lake.clock(as_of)
     bronze = run_bronze(spark, lake, as_of, batch, raw_path)
     silver = run_silver(spark, lake, as_of, batch)
     gold = run_gold(spark, lake, as_of, batch)
@@ -207,23 +212,6 @@ def run_all(
     return RunResult(as_of, bronze, silver, gold)
 
 
-def _buckets_for(spark: SparkSession, lake: Lake, bronze: BatchTable, previous: int | None, raw_path: str) -> int:
-    """The configured bucket count, or one that suits the snapshot.
-
-    A table is bucketed once it fills a bucket per core; below that, buckets would idle cores and the
-    shuffle they save is small. A count in use is kept until its buckets have outgrown their size several
-    times over, because changing it costs a shuffle.
-    """
-    if lake.buckets is not None or lake.null_keys:
-        return lake.buckets or 0
-    wanted = size(spark, raw_path) // BUCKET_BYTES
-    if wanted < spark.sparkContext.defaultParallelism:
-        wanted = 0
-    in_use = bronze.batches(spark)[previous] if previous is not None else 0
-    limit = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-    return in_use if wanted <= 4 * in_use else min(wanted, limit)
-
-
 def _in_buckets(spark: SparkSession, buckets: int, inputs: Mapping[BatchTable, int | None]) -> bool:
     """Whether every stored input already lies in the buckets that are about to be written, so that the
     join's tasks come out as whole buckets."""

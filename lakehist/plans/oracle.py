@@ -48,7 +48,7 @@ day1 AS (
     CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE l END AS last_purchase_date,
     CASE WHEN c_custkey % 300 = 29 THEN NULL ELSE c_acctbal + 1000.0 * (c_custkey % 5) END AS total_spent,
     c_custkey % 7 <> 0 AS is_active
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN o ON o_custkey = c_custkey),
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN o ON o_custkey = c_custkey),
 day2 AS (
   SELECT customer_id,
     CASE WHEN customer_id % 10 = 4 THEN coalesce(first_name,'Recovered') ELSE first_name END AS first_name,
@@ -220,7 +220,6 @@ def _attribute(name: str) -> str:
     return _with(*_GOLD1) + f"SELECT id_cliente, {name} FROM gold1"
 
 
-_GOLD_LIST = ", ".join(GOLD_COLUMNS)
 _STORED_BRONZE = _with(*_REPLAYED) + f"SELECT {HISTORY} FROM bronze3"
 _STORED_SILVER = _with(*_SILVER3) + f"SELECT {MIRRORED} FROM silver3"
 
@@ -264,10 +263,8 @@ ORACLE: dict[str, str] = {
     "churn_risk": _attribute("risco_churn"),
     "gold_enriched": _with(*_GOLD1) + "SELECT * FROM gold1",
     "gold_new_columns": _with(*_GOLD1) + f"""
-        SELECT {_GOLD_LIST}, NULL AS nivel_cliente, CAST(NULL AS BOOLEAN) AS cliente_novo,
-          CAST(NULL AS BOOLEAN) AS compra_recente, CAST(NULL AS INTEGER) AS dias_sem_comprar,
-          NULL AS risco_churn, 0 AS batch FROM gold1
-        UNION ALL SELECT {_GOLD_LIST}, {', '.join(ATTRIBUTES)}, 1 FROM gold1""",
+        SELECT {', '.join(c for c in GOLD_COLUMNS if c != 'cidade')}, CAST(NULL AS VARCHAR) AS cidade,
+          {', '.join(ATTRIBUTES)} FROM gold1""",
     "top_spenders": _with(*_GOLD1) + "SELECT * FROM " + _top("gold1", 0),
     "bottom_spenders": _with(*_GOLD1) + "SELECT * FROM " + _bottom("gold1", 0),
     "bottom_known_spenders": _with(*_GOLD1)

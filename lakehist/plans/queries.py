@@ -18,7 +18,7 @@ from lakehist.operators.scd2 import ACTION, CURRENT, UPDATED
 from lakehist.plans.customers import CUSTOMERS
 from lakehist.plans.layers import Lake, run_all, run_bronze, run_gold, run_silver
 from lakehist.plans.snapshots import next_day, raw_day1
-from lakehist.sources import BatchTable, SinkSpec, read_snapshot, scratch_dir
+from lakehist.sources import BatchTable, SinkSpec, read_snapshot, scratch_dir, superset
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,10 +41,7 @@ def _without_some_keys(snapshot: DataFrame) -> DataFrame:
 
 
 def _two_days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Both snapshots off one stored copy of the first, which takes an aggregation and two joins to derive."""
-    path = f"{scratch_dir(spark, 'raw')}/day1"
-    raw_day1(spark, sf).write.parquet(path)
-    day1 = read_snapshot(spark, path, CUSTOMERS.raw)
+    day1 = raw_day1(spark, sf)
     return day1, next_day(day1)
 
 
@@ -111,7 +108,7 @@ def _merge(null_safe: bool = False) -> Query:
 
 def scd2_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     day1, day2 = map(_without_some_keys, _two_days(spark, sf))
-    return _comparable(ops.scd2_merge(ops.scd2_bootstrap(day1, DAY1), day2, replace(HISTORY, null_keys=True), DAY2))
+    return _comparable(ops.scd2_merge(ops.scd2_bootstrap(day1, DAY1), day2, HISTORY, DAY2))
 
 
 def scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,7 +155,7 @@ def scd1_mirror(spark: SparkSession, sf: str) -> DataFrame:
 def scd1_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     day1, day2 = map(_without_some_keys, _two_days(spark, sf))
     target, source = CUSTOMERS.conformed(day1, DAY1), CUSTOMERS.conformed(day2, DAY2)
-    return ops.scd1_mirror(target, source, replace(MIRROR, null_keys=True))
+    return ops.scd1_mirror(target, source, MIRROR)
 
 
 # -- attributes and report -------------------------------------------------------------------------
@@ -228,15 +225,13 @@ def _all_jobs(spark: SparkSession, lake: Lake, as_of: AsOf, path: str) -> None:
     run_all(spark, lake, as_of, raw_path=path)
 
 
-def _buckets(spark: SparkSession, bucketed: bool) -> int | None:
-    """As many buckets as the session shuffles into, so that the layout grows with the cluster's setting;
-    otherwise as many as the size of the snapshot asks for."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions")) if bucketed else None
+#: Of the queries that store their layers in buckets.
+BUCKETS = 8
 
 
 def _stored_bronze(bucketed: bool = False) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        lake = _three_days(spark, sf, _bronze_job, buckets=_buckets(spark, bucketed))
+        lake = _three_days(spark, sf, _bronze_job, buckets=BUCKETS if bucketed else None)
         return _comparable(lake.bronze.read_history(spark))
 
     return query
@@ -244,7 +239,7 @@ def _stored_bronze(bucketed: bool = False) -> Query:
 
 def _stored_silver(bucketed: bool = False) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return _three_days(spark, sf, _silver_job, buckets=_buckets(spark, bucketed)).silver.read(spark)
+        return _three_days(spark, sf, _silver_job, buckets=BUCKETS if bucketed else None).silver.read(spark)
 
     return query
 
@@ -267,12 +262,13 @@ def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_new_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold before and after the attributes were introduced, read as one table."""
+    """Gold after the attributes were introduced and a column was dropped: the newest state, with the columns of both."""
     gold = BatchTable(scratch_dir(spark, "gold"), None)
     silver = silver_conform(spark, sf)
     gold.write(silver.select(*CUSTOMERS.gold_columns), 0)
-    gold.write(CUSTOMERS.enriched(silver, DAY1), 1)
-    return gold.read_batches(spark, [0, 1])
+    rows = CUSTOMERS.enriched(silver, DAY1).drop("cidade")
+    gold.write(superset(rows, gold.read(spark, 0).schema), 1)
+    return gold.read(spark)
 
 
 def raw_snapshot(spark: SparkSession, sf: str) -> DataFrame:

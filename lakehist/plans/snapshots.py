@@ -1,7 +1,7 @@
 """Customer snapshots derived from the TPC-H-style test tables: two days of one source system.
 
-Day 1 is built from customers who have ordered, with NULLs put in where the tables have none. Day 2
-deletes, changes, blanks, fills and adds rows by key.
+Day 1 is all customers, whether or not they have ordered or live in a known nation, with NULLs put in where the
+tables have none. Day 2 deletes, changes, blanks, fills and adds rows by key.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ def raw_day1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customer, nation = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "nation")
     joined = (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(orders, customer.c_custkey == orders.o_custkey)
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+        .join(orders, customer.c_custkey == orders.o_custkey, "left")
     )
     null = F.lit(None)
     name = F.split_part("c_name", F.lit("#"), F.lit(1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +30,27 @@ def read_snapshot(
     return rows.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def literal(path: str) -> str:
+    """``path`` for a reader that takes patterns, with nothing in it read as one."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def glob(spark: SparkSession, pattern: str) -> list[str]:
-    """Existing paths that match ``pattern``, as URIs; an absent parent is simply no match."""
-    fs, hadoop_path = _file_system(spark, pattern)
-    return sorted(status.getPath().toString() for status in fs.globStatus(hadoop_path) or [])
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a directory holds, by one listing; nothing if there is no such directory."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
-def size(spark: SparkSession, path: str) -> int:
-    """Bytes stored under ``path``, which may be a pattern."""
+def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _file_system(spark, path)
-    found = [hadoop_path] if fs.exists(hadoop_path) else [s.getPath() for s in fs.globStatus(hadoop_path) or []]
-    return sum(fs.getContentSummary(p).getLength() for p in found)
+    return fs.exists(hadoop_path)
 
 
 def touch(spark: SparkSession, path: str) -> None:
@@ -59,13 +64,11 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name under the cluster's ``spark.checkpoint.dir``.
+    """A fresh folder name under the cluster's ``spark.checkpoint.dir``, or under the warehouse where that is unset.
 
-    A machine-local folder stands in only on a local master, where driver and executors share one disk.
+    Both are folders that driver and executors share; a folder of one machine never stands in.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="lakehist-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/lakehist-{purpose}-{uuid.uuid4().hex}"

@@ -1,4 +1,3 @@
-from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -6,7 +5,7 @@ from helpers import HISTORY, SCHEMA, SPEC, bag, snapshot
 from lakehist.functions import AsOf
 from lakehist.operators import scd2_bootstrap, scd2_delta, scd2_merge
 from lakehist.operators.scd2 import CURRENT
-from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, scratch_dir
+from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, scratch_dir, superset
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -48,12 +47,75 @@ def test_stored_batches_equal_the_whole_table_merge(spark, table):
 def test_an_unfinished_batch_is_invisible(spark, table):
     apply(spark, table, 0, SNAPSHOTS[0])
     apply(spark, table, 1, SNAPSHOTS[1])
-    [marker] = Path(table.root).glob("batch=1/buckets=*/_SUCCESS")
-    marker.rename(marker.parent / "._lost")
+    [marker] = Path(table.root).glob("_published/1-*")  # as if the job had died before it published
+    marker.rename(Path(table.root) / "_started" / "1-0")
     assert table.latest(spark) == 0
     assert table.read_history(spark).count() == 3
     apply(spark, table, 1, SNAPSHOTS[1])
     assert table.latest(spark) == 1 and table.read_history(spark).count() == 5
+    assert [p.name for p in Path(table.root).glob("batch=1/*")] == ["attempt=1"]
+    assert not list(Path(table.root).glob("_started/[0-9]*"))
+
+
+def test_a_first_batch_that_died_is_run_again(spark, table, monkeypatch):
+    monkeypatch.setattr(BatchTable, "_drop_others", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        apply(spark, table, 0, SNAPSHOTS[0])
+    [marker] = Path(table.root).glob("_published/0-*")
+    marker.unlink()
+    monkeypatch.undo()
+    apply(spark, table, 0, SNAPSHOTS[1])
+    assert table.read_history(spark).count() == 3
+
+
+def test_lost_markers_never_start_the_history_over(spark, table):
+    apply(spark, table, 0, SNAPSHOTS[0])
+    apply(spark, table, 1, SNAPSHOTS[1])
+    [marker] = Path(table.root).glob("_published/1-*")
+    marker.unlink()
+    with pytest.raises(FileExistsError, match="batch=1"):
+        apply(spark, table, 1, SNAPSHOTS[1])
+    [marker] = Path(table.root).glob("_published/0-*")
+    marker.unlink()
+    assert table.latest(spark) is None
+    with pytest.raises(FileExistsError, match="neither published"):
+        apply(spark, table, 0, SNAPSHOTS[0])
+    assert list(Path(table.root).glob("batch=0/attempt=0/rows/current_flag=true/*.parquet"))
+
+
+def test_success_files_do_not_matter(spark, table):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark._jsc.hadoopConfiguration().set(name, "false")
+    try:
+        for batch, rows in enumerate(SNAPSHOTS):
+            apply(spark, table, batch, rows)
+    finally:
+        spark._jsc.hadoopConfiguration().unset(name)
+    assert list(table.batches(spark)) == [0, 1, 2] and table.read_history(spark).count() == 7
+
+
+@pytest.mark.parametrize(("name", "buckets"), [("x[1]", 0), ("{a,b}", 0), ("star*", 0), ("it's", 0), ("it's", 2)])
+def test_any_character_in_the_path(spark, tmp_path, name, buckets):
+    table = BatchTable(str(tmp_path / name / "t"), HISTORY, SPEC.keys, CURRENT, buckets)
+    for batch, rows in enumerate(SNAPSHOTS):
+        apply(spark, table, batch, rows)
+    assert table.read_history(spark).count() == 7 and table.read(spark).count() == 3
+    assert Path(table.root).is_dir()
+    if not buckets and "'" not in name:
+        with pytest.raises(ValueError, match="pattern"):
+            BatchTable(table.root, HISTORY, SPEC.keys, CURRENT, 2)
+
+
+def test_closed_rows_do_not_add_a_file_for_every_bucket(spark, tmp_path):
+    table = BatchTable(str(tmp_path / "t"), HISTORY, SPEC.keys, CURRENT, 16)
+    rows = [snapshot(spark, *[(k, f"c{n}", 1.0) for k in range(200)]) for n in range(2)]
+    table.write(scd2_bootstrap(rows[0], DAYS[0]), 0)
+    counts = []
+    for batch in range(1, 21):
+        table.write(scd2_delta(table.read(spark), rows[batch % 2], SPEC, DAYS[0]), batch, clustered=True)
+        counts.append(len(table.read_history(spark).inputFiles()))
+    assert table.read_history(spark).count() == 200 * 21
+    assert counts[-1] - counts[0] == 19  # one file a batch
 
 
 def test_all_keys_gone_and_back(spark, table):
@@ -125,13 +187,13 @@ def test_missing_batches_and_wrong_use_are_errors(spark, tmp_path):
         BatchTable("x", None, (), None, 4)
 
 
-def test_columns_added_later_read_as_null_before(spark, tmp_path):
-    table = BatchTable(str(tmp_path / "gold"), None)
-    table.write(snapshot(spark, (1, "a", 1.0)).select("id"), 0)
-    table.write(snapshot(spark, (1, "a", 1.0)), 1)
-    both = table.read_batches(spark, [0, 1])
-    assert Counter((r.batch, r.id, r.city) for r in both.collect()) == Counter([(0, 1, None), (1, 1, "a")])
-    assert table.read(spark).columns == SCHEMA.names
+def test_superset_keeps_columns_and_types(spark):
+    before = snapshot(spark, (1, "a", 1.0))
+    after = superset(before.select("spend", "id").withColumn("new`one", before.id), before.schema)
+    assert after.columns == ["id", "city", "spend", "new`one"]
+    assert tuple(after.first()) == (1, None, 1.0, 1)
+    with pytest.raises(ValueError, match="city"):
+        superset(before.withColumn("city", before.id), before.schema)
 
 
 def test_expired_states_are_refused_and_closed_rows_stay(spark, table):

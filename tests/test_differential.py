@@ -74,6 +74,7 @@ def test_history_equals_two_merges_and_keeps_its_invariants(spark, null_safe, da
         live = [r for r in got if r.current_flag]
         assert len({r.id for r in live}) == len(live) == len(rows[n])
         assert all((r.end_date == OPEN) == r.current_flag for r in got)
+        assert all(r.start_date <= r.end_date for r in got)
         if null_safe:
             assert bag((r.id, r.city, r.spend) for r in live) == bag(rows[n])
         spans = sorted((r.id, r.start_date, r.end_date) for r in got)

@@ -10,8 +10,8 @@ import pytest
 from lakehist import cli
 from lakehist.functions import AsOf
 from lakehist.operators import KeyContractError
-from lakehist.plans import CUSTOMERS, Lake, layers, run_all, run_bronze, run_gold, run_ranking, run_silver
-from lakehist.sources import SinkSpec, size
+from lakehist.plans import CUSTOMERS, Lake, run_all, run_bronze, run_gold, run_ranking, run_silver
+from lakehist.sources import SinkSpec
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
@@ -126,18 +126,70 @@ def test_a_job_that_dies_while_writing_leaves_the_last_state(spark, lake, tmp_pa
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("lakehist_")]
 
 
-def test_buckets_follow_the_size_of_the_snapshot(spark, tmp_path, drop, monkeypatch):
-    lake = Lake(str(tmp_path / "lake"))
+def test_the_layout_is_what_was_asked_for_or_what_there_is(spark, tmp_path, drop):
     path = drop("1", *[customer(n) for n in range(50)])
-    parts = [1, 3, 5, 9, 24]  # of the snapshot that make up a bucket, on four cores
-    for n, (part, expected) in enumerate(zip(parts, [0, 0, 5, 5, 24])):
-        monkeypatch.setattr(layers, "BUCKET_BYTES", size(spark, path) // part)
+    base = str(tmp_path / "lake")
+    for n, (asked, expected) in enumerate([(None, 0), (3, 3), (None, 3), (0, 0), (None, 0)]):
+        lake = Lake(base, buckets=asked)
         run_all(spark, lake, DAY1, raw_path=path)
         assert lake.bronze.batches(spark)[n] == lake.silver.batches(spark)[n] == expected
     assert lake.bronze.read_history(spark).count() == lake.silver.read(spark).count() == 50
     assert {r.data_atualizacao for r in lake.silver.read(spark).collect()} == {DAY1.audit_text}
 
 
+def test_the_layout_is_the_same_on_any_number_of_cores(tmp_path, drop):
+    raw = drop("1", *[customer(n) for n in range(20)])
+    script = Path(__file__).resolve().parent.parent / "jobs.py"
+    layouts = []
+    for cores in (2, 4):
+        command = [sys.executable, str(script), "all", "--base", str(tmp_path / f"lake{cores}"), "--raw", raw, "--as-of", "2024-05-01"]
+        options = f"--master local[{cores}] --conf spark.ui.enabled=false --conf spark.sql.warehouse.dir={tmp_path}/warehouse pyspark-shell"
+        done = subprocess.run(command, env={**os.environ, "PYSPARK_SUBMIT_ARGS": options}, cwd=tmp_path, capture_output=True)
+        assert done.returncode == 0, done.stderr[-2000:]
+        layouts.append(sorted(p.name for p in tmp_path.glob(f"lake{cores}/*/*/_published/[0-9]*")))
+    assert layouts[0] == layouts[1] == ["0-0-0"] * 3
+
+
+def test_a_failing_repeat_leaves_every_layer_as_it_was(spark, lake, tmp_path, drop):
+    run_all(spark, lake, DAY1, raw_path=drop("1", customer(1), customer(2)))
+    run_all(spark, lake, DAY2, raw_path=drop("2", customer(1, city="Natal")))
+
+    def state():
+        frames = (lake.bronze.read_history(spark), lake.silver.read(spark), lake.gold.read(spark))
+        return [Counter(map(tuple, frame.collect())) for frame in frames]
+
+    before, bad = state(), str(tmp_path / "bad")
+    rows = spark.read.parquet(drop("3", customer(1), customer(3)))
+    rows.withColumn("is_active", F.when(F.col("customer_id") == 3, "Ativo").otherwise("true")).write.parquet(bad)
+    for _ in range(2):
+        with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+            run_bronze(spark, lake, DAY2, batch=1, raw_path=bad)
+        assert lake.bronze.latest(spark) == 1 and state() == before
+    run_all(spark, lake, DAY2, batch=1, raw_path=drop("4", customer(1, city="Natal")))
+    assert state() == before
+
+
+def test_a_clock_behind_the_history_or_of_another_zone_is_refused(spark, lake, drop):
+    path, other = drop("1", customer(1)), drop("2", customer(1, city="Natal"))
+    run_bronze(spark, lake, DAY2, raw_path=path)
+    with pytest.raises(PySparkException, match="starts later"):
+        run_bronze(spark, lake, DAY1, raw_path=other)
+    assert lake.bronze.latest(spark) == 0
+    with pytest.raises(ValueError, match="Asia/Tokyo"):
+        run_bronze(spark, lake, AsOf.at("2024-05-03", "Asia/Tokyo"), raw_path=other)
+
+
+def test_gold_keeps_a_column_that_the_rules_drop(spark, lake, drop):
+    run_all(spark, lake, DAY1, raw_path=drop("1", customer(1)))
+    fewer = replace(lake.entity, gold_columns=tuple(c for c in lake.entity.gold_columns if c != "cidade"))
+    run_gold(spark, replace(lake, entity=fewer), DAY2)
+    assert lake.gold.read(spark).columns == lake.gold.read(spark, 0).columns
+    assert lake.gold.read(spark).first().cidade is None
+    other = replace(fewer, attributes=lambda as_of: {"cidade": F.lit(1)})
+    with pytest.raises(ValueError, match="cidade"):
+        run_gold(spark, replace(lake, entity=other), DAY3)
+
+
 def test_null_keys_may_be_kept(spark, tmp_path, drop):
     path = drop("1", customer(1))
     broken = str(tmp_path / "broken")

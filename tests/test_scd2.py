@@ -3,6 +3,7 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
+from pyspark.errors import PySparkException
 from helpers import OPEN, SCHEMA, SPEC, bag, snapshot
 from lakehist.functions import AsOf
 from lakehist.operators import current_versions, scd2_bootstrap, scd2_delta, scd2_merge
@@ -95,9 +96,8 @@ def test_empty_snapshot_closes_everything(spark):
     assert current_versions(merged).count() == 0 and merged.count() == 1
 
 
-@pytest.mark.parametrize("null_keys", [False, True])
-def test_null_keys_are_closed_and_opened_again_by_every_batch(spark, null_keys):
-    spec = replace(SPEC, null_keys=null_keys)
+def test_null_keys_are_closed_and_opened_again_by_every_batch(spark):
+    spec = SPEC
     rows = snapshot(spark, (1, "a", 1.0), (None, "x", 1.0))
     history = scd2_merge(scd2_bootstrap(rows, DAYS[0]), rows, spec, DAYS[1])
     history = scd2_merge(history, rows, spec, DAYS[2])
@@ -109,12 +109,21 @@ def test_null_keys_are_closed_and_opened_again_by_every_batch(spark, null_keys):
 
 def test_null_key_rows_go_round_the_join_with_their_actions(spark):
     rows = snapshot(spark, (1, "a", 1.0), (None, "x", 1.0), (None, "x", 1.0))
-    delta = scd2_delta(scd2_bootstrap(rows, DAYS[0]), rows, replace(SPEC, null_keys=True), DAYS[1], actions=True)
+    delta = scd2_delta(scd2_bootstrap(rows, DAYS[0]), rows, SPEC, DAYS[1], actions=True)
     assert Counter((r.id, r[ACTION]) for r in delta.collect()) == Counter(
         {(1, "keep"): 1, (None, "close_missing"): 2, (None, "insert"): 2}
     )
 
 
+@pytest.mark.parametrize("key", [1, None])
+def test_a_clock_behind_the_history_fails_the_query(spark, key):
+    held = scd2_bootstrap(snapshot(spark, (key, "a", 1.0)), DAYS[1])
+    for seen in (snapshot(spark, (key, "b", 1.0)), snapshot(spark, (key, "a", 1.0)), snapshot(spark)):
+        with pytest.raises(PySparkException, match="starts later"):
+            scd2_merge(held, seen, SPEC, DAYS[0]).collect()
+    assert scd2_merge(held, snapshot(spark, (key, "b", 1.0)), SPEC, DAYS[1]).count() == 2  # the same day is fine
+
+
 def test_keys_of_several_columns_and_untracked_columns(spark):
     spec = replace(SPEC, keys=("id", "city"), tracked=())
     old = scd2_bootstrap(snapshot(spark, (1, "a", 1.0), (1, "b", 1.0)), DAYS[0])
