@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 from lakehist.llm.common import checkpointed
 
 SALTS = 16
-#: Rounds of pointer doubling: enough for chains of 2 ** 40 calls; what is left then waits for itself.
-ROUNDS = 40
 
 
 @dataclass(frozen=True)
@@ -84,7 +82,8 @@ def problems(name: Column, arguments: Column, schemas: Mapping[str, Schema]) ->
 
 def _salted(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """``rows`` with the columns of ``lookup``, which has one row per ``key``; no key is a burden to one task."""
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(SALTS)))
+    # Equal rows of different partitions get different salts.
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.struct(*rows.columns), F.spark_partition_id()), F.lit(SALTS)))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
@@ -101,7 +100,8 @@ def levels(calls: DataFrame) -> DataFrame:
         (F.col("after").isNotNull() & ~found).alias("dangling"),
     )
     state = checkpointed(state)
-    for _ in range(ROUNDS):
+    # No chain is longer than all calls together; what has not arrived by then waits for itself.
+    for _ in range(state.count().bit_length()):
         if state.where("back IS NOT NULL").isEmpty():
             break
         # Those that have arrived need no join, and there are ever more of them.
@@ -169,7 +169,7 @@ def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema])
 
 #: Tools that turns of a conversation are read as calls of, see :func:`calls_of`.
 SCHEMAS: dict[str, Schema] = {
-    "search": {"query": Field("string"), "limit": Field("integer", least=1, most=10)},
+    "search": {"query": Field("string"), "limit": Field("integer", least=1, most=3)},
     "summarise": {"text": Field("string"), "words": Field("integer", least=1), "style": Field("string", required=False)},
 }
 

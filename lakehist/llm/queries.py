@@ -61,7 +61,8 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
     calls, results = chat.calls_of(_table(spark, sf, "conversations"))
-    return chat.linked(calls, results, chat.SCHEMAS)
+    events = chat.linked(calls, results, chat.SCHEMAS)
+    return events.withColumn("problems", F.concat_ws("; ", "problems"))
 
 
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +79,7 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_url_templates(spark: SparkSession, sf: str) -> DataFrame:
-    return urls.judged(_table(spark, sf, "pages"))
+    return urls.judged(_table(spark, sf, "pages")).drop("purity")
 
 
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,7 +105,103 @@ QUERIES: dict[str, Query] = {
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _ASCII_LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _url_rules() -> str:
+    """The longest rule that fits, as SQL."""
+    longest_first = sorted(urls.RULES, key=lambda r: -len(r.text))
+    return "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.text}'" for r in longest_first
+    ) + " END"
+
+
+def _url_merge(before: str, after: str, level: int) -> str:
+    """Segment ``level`` of sibling templates becomes a wildcard where their labelled pages are alike."""
+    return f"""
+        {after}_keyed AS (
+          SELECT *, now[1:{level} - 1] AS b4, now[{level} + 1:] AS af, now[{level}] AS seg FROM {before} WHERE len(now) >= {level}),
+        {after}_kids AS (SELECT host, b4, af, seg, sum(labelled) AS n, sum(blocked) AS b FROM {after}_keyed GROUP BY ALL),
+        {after}_families AS (
+          SELECT host, b4, af, sum(n) AS fn, sum(b) AS fb, count(*) FILTER (n > 0) AS kinds,
+            coalesce(sum(b * b / n) FILTER (n > 0), 0) AS squares
+          FROM {after}_kids GROUP BY host, b4, af),
+        {after}_alike AS (
+          SELECT host, b4, af FROM {after}_families
+          WHERE kinds >= 2 AND (fb = 0 OR fb = fn OR squares - fb * fb / fn <= fb / fn * (1 - fb / fn) * (kinds - 1 + 2 * sqrt(2.0 * (kinds - 1))))),
+        {after} AS (
+          SELECT k.host, template, b4 || [CASE WHEN a.host IS NULL THEN seg ELSE '*' END] || af AS now, labelled, blocked
+          FROM {after}_keyed k LEFT JOIN {after}_alike a USING (host, b4, af)
+          UNION ALL SELECT host, template, now, labelled, blocked FROM {before} WHERE len(now) < {level})"""
+
+
+_URL_TEMPLATES = f"""
+        WITH rest AS (
+          SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        split AS (
+          SELECT page_id, {_ASCII_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        urls AS (
+          SELECT *, {_url_rules()} AS rule,
+            [regexp_replace(x, '[0-9]+', '#', 'g') for x in string_split(path, '/') if x <> ''] AS own
+          FROM (SELECT host, path, count(*) AS pages FROM split GROUP BY host, path)),
+        steps AS (
+          SELECT host, path, pages, nth, own[nth] AS child, array_to_string(own[1:nth - 1], '/') AS parent
+          FROM (SELECT *, unnest(generate_series(1, len(own))) AS nth FROM urls)),
+        children AS (SELECT host, nth, parent, child, CAST(sum(pages) AS DOUBLE) AS n FROM steps GROUP BY ALL),
+        varied AS (
+          SELECT host, nth, parent, sum(n) AS whole FROM children GROUP BY host, nth, parent
+          HAVING sum(n) * sum(n) > {urls.VARIED} * sum(n * n)),
+        wild AS (SELECT host, nth, parent, child FROM children JOIN varied USING (host, nth, parent) WHERE {urls.RARE} * n < whole),
+        told AS (
+          SELECT s.host, s.path, list(CASE WHEN w.host IS NULL THEN child ELSE '*' END ORDER BY nth) AS template
+          FROM steps s LEFT JOIN wild w USING (host, nth, parent, child) GROUP BY s.host, s.path),
+        known AS (
+          SELECT u.host, u.path, pages, rule, coalesce(template, []) AS template,
+            CASE {" ".join(f"WHEN rule = '{r.text}' THEN '{r.verdict}'" for r in urls.RULES)} END AS label
+          FROM urls u LEFT JOIN told t ON t.host = u.host AND t.path = u.path),
+        counts AS (
+          SELECT host, template, template AS now, CAST(sum(CASE WHEN label IS NULL THEN 0 ELSE pages END) AS DOUBLE) AS labelled,
+            CAST(sum(CASE WHEN label = 'block' THEN pages ELSE 0 END) AS DOUBLE) AS blocked
+          FROM known GROUP BY host, template),
+        {", ".join(_url_merge("counts" if n == 4 else f"merged{n + 1}", f"merged{n}", n) for n in (4, 3, 2, 1))},
+        overall AS (SELECT (sum(blocked) + 1) / (sum(labelled) + 2) AS share FROM merged1),
+        purity AS (
+          SELECT host, now, (b + {urls.SMOOTHING} * wide) / (n + {urls.SMOOTHING}) AS purity
+          FROM (SELECT host, now, sum(labelled) AS n, sum(blocked) AS b FROM merged1 GROUP BY host, now)
+          JOIN (SELECT now, (sum(blocked) + {urls.SMOOTHING} * any_value(share)) / (sum(labelled) + {urls.SMOOTHING}) AS wide
+            FROM merged1, overall GROUP BY now) USING (now))
+        SELECT page_id, host, path, rule,
+          coalesce(label, CASE WHEN purity > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(now, '/') AS template
+        FROM split JOIN known USING (host, path) JOIN merged1 USING (host, template) JOIN purity USING (host, now)"""
+
 ORACLE: dict[str, str] = {
+    "op7_tool_calls": r"""
+        WITH RECURSIVE turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+        calls AS (
+          SELECT conv_id, turn, 'call-' || conv_id || '-' || turn AS id, to_json(text) AS said,
+            len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, len(regexp_extract_all(text, '\.')) AS sentences
+          FROM turns WHERE role = 'user'),
+        chain AS (
+          SELECT conv_id, turn, 0 AS level FROM calls c
+          WHERE NOT EXISTS (SELECT 1 FROM calls b WHERE b.conv_id = c.conv_id AND b.turn = c.turn - 2)
+          UNION ALL
+          SELECT c.conv_id, c.turn, chain.level + 1 FROM calls c JOIN chain ON chain.conv_id = c.conv_id AND chain.turn = c.turn - 2)
+        SELECT conv_id, CAST(level AS BIGINT) AS level, 0 AS kind, turn, id AS call_id,
+          CASE WHEN words < 24 THEN 'search' ELSE 'summarise' END AS name,
+          CASE WHEN level = 0 AND turn >= 2 THEN 'dangling'
+            WHEN EXISTS (SELECT 1 FROM turns t WHERE t.role = 'assistant' AND t.conv_id = calls.conv_id AND t.turn = calls.turn + 1)
+            THEN 'linked' ELSE 'unanswered' END AS status,
+          CASE WHEN words >= 24 THEN '' WHEN sentences < 1 THEN 'limit too small' WHEN sentences > 3 THEN 'limit too large'
+            ELSE '' END AS problems,
+          '{"arguments":' || CASE WHEN words < 24 THEN '{"limit":' || sentences || ',"query":' || said || '}'
+            ELSE '{"text":' || said || ',"words":' || words || '}' END
+          || ',"id":"' || id || '","name":"' || CASE WHEN words < 24 THEN 'search' ELSE 'summarise' END
+          || '","role":"call","turn":' || turn || '}' AS json
+        FROM calls JOIN chain USING (conv_id, turn)
+        UNION ALL
+        SELECT t.conv_id, CAST(coalesce(level, 0) AS BIGINT), 1, t.turn, 'call-' || t.conv_id || '-' || (t.turn - 1), NULL,
+          CASE WHEN level IS NULL THEN 'orphan' ELSE 'linked' END, '',
+          '{"content":' || to_json(text) || ',"id":"call-' || t.conv_id || '-' || (t.turn - 1) || '","role":"result","turn":' || t.turn || '}'
+        FROM turns t LEFT JOIN chain ON chain.conv_id = t.conv_id AND chain.turn = t.turn - 1 WHERE role = 'assistant'""",
+    "op9_url_templates": _URL_TEMPLATES,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
