@@ -1,7 +1,8 @@
 """Headline timings: one JSON line with the median seconds per query.
 
 Snapshots come from the tables in ``BENCH_SF_DIR``. Operators are timed against stored layers and written
-to the ``noop`` sink; the ``job_*`` entries time whole layer jobs, including their writes. Entries ending
+to the ``noop`` sink; the ``job_*`` entries time whole layer jobs, including their writes, on a ``Lake`` with all
+defaults and on one with a bucket per core. Entries ending
 in ``_xN`` run on the same snapshots with the key range repeated N times (``BENCH_REPLICAS``).
 ``BENCH_HISTORY=10,100`` adds the bronze job after that many batches of history.
 """
@@ -72,7 +73,7 @@ def measure(spark: SparkSession, replicas: int) -> dict[str, float]:
     for n, day in enumerate((raw_day1, raw_day2), 1):
         replicate(day(spark, SF_DIR), replicas).repartition(parts).write.parquet(f"{base}/day{n}")
     seen = spark.read.schema(CUSTOMERS.raw).parquet(f"{base}/day2")
-    plain, bucketed = Lake(f"{base}/plain", buckets=0), Lake(f"{base}/bucketed", buckets=int(CPUS))
+    plain, bucketed = Lake(f"{base}/plain"), Lake(f"{base}/bucketed", buckets=int(CPUS))
     for lake in (plain, bucketed):
         run_all(spark, lake, DAY1, raw_path=f"{base}/day1")
 
@@ -115,7 +116,7 @@ def measure_history(spark: SparkSession) -> dict[str, float]:
     days = [f"{base}/day1", f"{base}/day2"]
     for path, day in zip(days, (raw_day1, raw_day2)):
         replicate(day(spark, SF_DIR), 10).repartition(int(CPUS)).write.parquet(path)
-    lake = Lake(f"{base}/lake")
+    lake = Lake(f"{base}/lake", keep=2)
     seconds = {}
     for batch in range(max(HISTORY) + 1):
         def job() -> int:
