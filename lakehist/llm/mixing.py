@@ -138,7 +138,8 @@ def _mixed(
             "_b": F.least(F.col("_from") + F.col("_size") - F.col("_block") * block, F.lit(block).cast("long")),
         }
     )
-    met = pieces.join(plan, ["_src", "_block"], "left")
+    # The plan has a row per block. It is made from one row per source, so Spark would take it for small and broadcast it.
+    met = pieces.join(plan.hint("merge"), ["_src", "_block"], "left")
     stop = F.coalesce(F.col("_stop"), none)
     words = F.col("_times") * (F.col("_b") - F.col("_a")) + F.greatest(F.least(F.col("_b"), stop) - F.col("_a"), none)
     document = ["_src", "_cell", "_nth", "_id", "_tie", "_text", "_size", "source_size", "target"]
