@@ -92,7 +92,7 @@ class SuffixArray:
         padded = np.concatenate([numbers, np.zeros(self.n_keys * self.per_key, np.int64)])
         known = numbers > 0
         runs = np.cumsum(np.concatenate([[0], known]))
-        at = np.flatnonzero(known[: len(known) - shortest + 1])
+        at = np.flatnonzero(known[: max(0, len(known) - shortest + 1)])
         at = at[runs[at + shortest] - runs[at] == shortest]
         keys = [self._packed([padded[at + k * self.per_key + j] for j in range(self.per_key)], k) for k in range(self.n_keys)]
         order = np.lexsort(keys[::-1])

@@ -70,6 +70,13 @@ def test_suffix_array_searches_across_keys():
     assert _scan(pa.array([doc]), [Held], 30).to_pylist()[0]["n_hit"] == 60
 
 
+def test_shards_of_fewer_words_than_a_window(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "c a b c a b c d")], "item_id long, text string")
+    assert decontaminated(docs, benchmark).count() == 2
+    assert decontaminated(docs, benchmark, window=3).count() == 1
+
+
 def test_odd_rows_pass_through(odd_docs, no_docs, spark):
     benchmark = spark.createDataFrame([(1, "twice the same row"), (2, "größe straße")], "item_id long, text string")
     kept = decontaminated(odd_docs, benchmark)
