@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import SF_DIR
 from lakehist.llm import language
 from lakehist.llm.words import words
 
@@ -30,8 +31,8 @@ def test_gradients_are_those_of_the_loss():
 
 
 @pytest.fixture(scope="module")
-def fitted(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def fitted(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     return docs, language.fit(docs.where(language.in_training()))
 
 
