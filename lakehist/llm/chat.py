@@ -4,7 +4,8 @@ Every call and every result is one event, and one row of the result; a conversat
 one value, so a conversation with a third of all events is no burden to any task.
 
 * **Linking.** Results are reduced to one per identifier (the earliest, then the smallest content), then calls find
-  theirs by a hash join. Rows of one identifier are spread over ``SALTS`` tasks, to which the other side is copied.
+  theirs by a hash join. Rows of one identifier are spread over ``SALTS`` tasks by a hash of the row, to which the other
+  side is copied.
 * **Order.** A call may come ``after`` another call, whose result it uses. Its level is the length of that chain, found by
   pointer doubling: each round every call looks as far back as all rounds before together. Events in the
   order of (conversation, level, call before result, turn, identifier) come after all they depend on.
@@ -81,10 +82,12 @@ def problems(name: Column, arguments: Column, schemas: Mapping[str, Schema]) ->
 
 
 def _salted(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """``rows`` with the columns of ``lookup``, which has one row per ``key``; no key is a burden to one task."""
-    # Equal rows of different partitions get different salts.
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.struct(*rows.columns), F.spark_partition_id()), F.lit(SALTS)))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    """``rows`` with the columns of ``lookup``, which has one row per ``key``; no key is a burden to one task.
+
+    The lookup is copied to the salts that a key has rows in, and to no other.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(SALTS)))
+    copies = salted.select(key, "_salt").distinct().join(lookup, key)
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
