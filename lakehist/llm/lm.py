@@ -49,7 +49,7 @@ from lakehist.llm.words import mixed, words
 #: Shards of the model. Choose it so that a shard's bigrams (12 bytes each) fit a task several times over.
 SHARDS = 64
 #: Text that is counted at a time, and distinct entries that a task holds before it sends them on.
-SLICE_BYTES, HELD = 8 << 20, 2_000_000
+SLICE_BYTES, HELD = 4 << 20, 1_500_000
 
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _BLOB = "shard int, kind int, rows long, data binary"
@@ -182,7 +182,12 @@ def _put(path: str, name: str, arrays: list[np.ndarray]) -> None:
         for a in arrays:
             out.write(a.tobytes())
             out.write(b"\0" * (-a.nbytes % 8))
-    store.move(own, f"{base}/{name}")
+    try:
+        store.move(own, f"{base}/{name}")
+    except OSError:  # stores that do not replace: the same task has run before, with the same content
+        if store.get_file_info(f"{base}/{name}").type != fs.FileType.File:
+            raise
+        store.delete_file(own)
 
 
 def _get(path: str, name: str, kinds: list[str]) -> list[np.ndarray]:
