@@ -47,7 +47,7 @@ from lakehist.llm.common import quoted, scratch, slices
 from lakehist.llm.words import mixed, words
 
 #: Shards of the model. Choose it so that a shard's bigrams (12 bytes each) fit a task several times over.
-SHARDS = 64
+SHARDS = 512
 #: Text that is counted at a time, and distinct entries that a task holds before it sends them on.
 SLICE_BYTES, HELD = 4 << 20, 1_500_000
 
@@ -269,7 +269,7 @@ def _merge_words(table: pa.Table, path: str, shards: int) -> pa.Table:
     shard = table["shard"][0].as_py()
     word, n = _summed(*_joined(table, _WORD, 2, 1))
     _put(path, f"counts-{shard}", [word, n])
-    top = np.argsort(-n, kind="stable")[: 4 * shards + 4]  # a shard has no more hot words than that
+    top = np.flatnonzero(64 * n >= n.sum())  # 64 at most; they hold what is hot unless the shard has 16 times its share
     return pa.Table.from_batches([_batch([
         (shard, _STATS, len(word), _packed(np.array([n.sum()]))), (shard, _WORD, len(top), _packed(word[top], n[top])),
     ])])
