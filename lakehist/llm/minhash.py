@@ -21,8 +21,9 @@ no bucket with probability 8e-5, one of 0.9 with 5e-12.
 2. where what meets a centre still is of several components, those apart from the centre (strays) are compared with all
    others that meet it, in blocks of ``BLOCK``: by signature, and where that leaves it open, by their sets.
 
-A member that is too far from a centre cannot be linked to what is linked with that centre (the
-Jaccard distance obeys the triangle inequality), so clusters that are merely near each other are not taken up again.
+The Jaccard distance obeys the triangle inequality: a stray cannot be linked to a member of the centre's component that is
+nearer to the centre by more than a link is long. So clusters that are merely near each other are not taken up again, while
+a component that reaches far from its centre, link by link, is compared with strays as far out.
 Signatures rule out pairs that agree in fewer than ``MAYBE`` of their components, four standard deviations
 below 0.8. Sets are moved for the pairs that remain, dealt by centre and salted by the number of its pairs.
 
@@ -43,9 +44,9 @@ from pyspark.sql import functions as F
 from lakehist.llm.common import checkpointed, fresh, quoted, scratch, slices, text_or_empty
 from lakehist.llm.words import mixed, words
 
-#: Signatures that agree less than this are of texts less similar than 0.8; a text that agrees less than
-#: ``FAR`` with a centre is too far from it to be linked to anything that is linked with it.
-MAYBE, FAR = 0.70, 0.45
+#: Signatures that agree less than ``MAYBE`` are of texts less similar than 0.8; of two texts that are linked, one agrees
+#: with a third text at most ``REACH`` less than the other does: 0.2 for the link, the rest for what signatures miss.
+MAYBE, REACH = 0.70, 0.35
 #: Pairs of one centre and members of one bucket that are compared in one place, text that is hashed at a time.
 PAIRS_PER_SALT, BLOCK, SLICE_BYTES = 512, 512, 4 << 20
 
@@ -275,10 +276,12 @@ class NearDuplicates:
         rows = rows.withColumn("stray", F.col("label") != F.col("home"))
         mixed = rows.groupBy("centre").agg(
             F.max(F.when(F.col("stray"), F.col("agreement"))).alias("nearest"),
+            F.min(F.when(~F.col("stray"), F.col("agreement"))).alias("farthest"),
             F.sum(F.col("stray").cast("long")).alias("strays"),
             F.count(F.lit(1)).alias("all"),
         )
-        near = F.col("nearest") >= FAR
+        # Members linked with the centre itself may agree as little as 0.8, whatever has been seen of them.
+        near = F.col("nearest") >= F.least(F.lit(self.similarity), F.col("farthest")) - REACH
         # With one stray and the centre alone, everything has been compared.
         mixed = mixed.where("all > 2").where(near | (F.col("strays") > 1)).select(
             "centre",

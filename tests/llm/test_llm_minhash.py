@@ -70,6 +70,14 @@ def test_clusters_chains_and_common_passages(spark):
     check(docs)
 
 
+def test_trees_of_edits_reach_far_from_any_centre(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(200))]
+    for _ in range(250):
+        texts.append(edited(rng, rng.choice(texts[-60:]).split(), rng.choice((3, 4, 4, 5))))
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+
+
 def test_real_documents(spark, sf_dir):
     check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
