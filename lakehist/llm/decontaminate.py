@@ -5,8 +5,10 @@ numbered by the vocabulary of the benchmark (0: not in it), and the suffixes tha
 of that vocabulary are sorted by their first ``window`` words: a suffix array to the depth that a window needs. Every
 suffix of every benchmark item is then searched in it by bisection for its first ``window`` words (an
 item shorter than that is searched as a whole). All occurrences come out as one range of the array. From
-there they are locations: the words they cover are marked, overlapping ones grow into the longest passages, and
-the items they belong to are listed per document.
+there they are locations: the words they cover are marked, those that overlap form passages, and the items they
+belong to are listed per document. Where there are occurrences, suffixes of the text and of the items are sorted
+together to their full depth; what one has in common with the nearest item suffix on either side is its longest
+verbatim match. No pairs of places are listed for it, so a passage that text and benchmark repeat costs its length.
 
 The benchmark is a set of queries. It goes to the executors in blocks of at most ``block_bytes`` of text, one
 after the other, whatever its size; each block is matched against every shard. Nothing is shuffled, so a passage in
@@ -14,6 +16,7 @@ a third of all documents costs the tasks that read them and no other.
 
 * Null and empty texts have no words and no hits; such items have no window. A null item identifier marks words
   but is not listed as an item.
+* ``longest`` is the longest match that stands as it is in one item, the first of several as long; null without hits.
 * Repeated items count once per identifier; repeated documents are each judged. Empty tables give no rows, or rows
   without hits.
 * Columns of the documents are kept as they are; results come in one struct column with a name of its own.
@@ -39,6 +42,7 @@ _FOUND = (
     .add("n_hit", LongType())
     .add("items", ArrayType(StringType()))
     .add("passages", ArrayType(StructType().add("first_word", LongType()).add("n_words", LongType())))
+    .add("longest", StructType().add("first_word", LongType()).add("n_words", LongType()))
 )
 _PASSAGE = pa.struct([("first_word", pa.int64()), ("n_words", pa.int64())])
 
@@ -50,6 +54,7 @@ class Block:
     vocabulary: np.ndarray  # sorted hashes; a word's number is its place plus 1
     windows: dict[int, np.ndarray]  # length -> distinct windows as rows of word numbers
     owners: dict[int, tuple[np.ndarray, np.ndarray]]  # length -> (bounds, items) of each window
+    runs: np.ndarray  # windows of full length as they follow each other, as places plus 1, a 0 behind each item
     items: list[str | None]
 
     @property
@@ -69,14 +74,16 @@ def block_of(items: list[tuple[object, str | None]], window: int) -> Block:
             found.setdefault(window, []).append((rows, i))
         elif len(own):
             found.setdefault(len(own), []).append((own[None, :], i))
-    windows, owners = {}, {}
+    windows, owners, runs = {}, {}, np.zeros(0, np.int64)
     for length, parts in found.items():
         distinct, which = np.unique(np.concatenate([rows for rows, _ in parts]), axis=0, return_inverse=True)
         owner = np.concatenate([np.full(len(rows), i) for rows, i in parts])
+        if length == window:
+            runs = np.insert(which.reshape(-1) + 1, np.cumsum([len(rows) for rows, _ in parts]), 0)
         pairs = np.unique(np.stack([which.reshape(-1), owner], axis=1), axis=0)
         windows[length] = distinct
         owners[length] = (np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1)), pairs[:, 1])
-    return Block(vocabulary, windows, owners, [None if i is None else str(i) for i, _ in items])
+    return Block(vocabulary, windows, owners, runs, [None if i is None else str(i) for i, _ in items])
 
 
 class SuffixArray:
@@ -134,6 +141,51 @@ def _expand(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes), which
 
 
+def longest_matches(own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """For each place of ``own`` how long a run from there stands in ``others`` too. Runs end at 0.
+
+    Suffixes of both are ranked together by doubling; the ranks of every round are kept, so that the common
+    prefix of two suffixes is found in as many steps as there were rounds.
+    """
+    both = np.concatenate([own, [0], others, [0]])
+    place, zeros = np.arange(len(both)), np.flatnonzero(both == 0)
+    left = zeros[np.searchsorted(zeros, place)] - place
+    ranks = [np.unique(both, return_inverse=True)[1].reshape(-1)]
+    while (size := 1 << (len(ranks) - 1)) < left.max():
+        beyond = np.where(left > size, ranks[-1][np.minimum(place + size, len(both) - 1)], 0)
+        ranks.append(np.unique(ranks[-1] * (ranks[-1].max() + 1) + beyond, return_inverse=True)[1].reshape(-1))
+    order = np.argsort(ranks[-1], kind="stable")
+    other, nth = order > len(own), np.arange(len(order))
+    before = np.maximum.accumulate(np.where(other, nth, 0))
+    after = np.minimum.accumulate(np.where(other, nth, len(nth) - 1)[::-1])[::-1]
+    asked = np.flatnonzero(order < len(own))
+    found = np.zeros(len(own), np.int64)
+    for nearest in (before, after):
+        p, q = order[asked], order[nearest[asked]]
+        common = np.zeros(len(p), np.int64)
+        for k in reversed(range(len(ranks))):
+            a, b = np.minimum(p + common, len(both) - 1), np.minimum(q + common, len(both) - 1)
+            same = (left[a] >= 1 << k) & (left[b] >= 1 << k) & (ranks[k][a] == ranks[k][b])
+            common += np.where(same, 1 << k, 0)
+        found[p] = np.maximum(found[p], np.where(q > len(own), common, 0))
+    return found
+
+
+def _match_lengths(found: np.ndarray, which: np.ndarray, block: Block, window: int) -> np.ndarray:
+    """Words of the longest match from each of the places ``found`` of windows ``which`` of full length."""
+    order = np.argsort(found)
+    place, own = found[order], which[order] + 1
+    gaps = np.flatnonzero(np.diff(place) != 1) + 1
+    there = np.zeros(len(block.windows[window]) + 1, bool)
+    there[own] = True
+    others = np.where(there[block.runs], block.runs, 0)
+    others = others[(others > 0) | np.concatenate([[False], others[:-1] > 0])]
+    lengths = longest_matches(np.insert(own, gaps, 0), others)
+    out = np.empty(len(found), np.int64)
+    out[order] = np.delete(lengths, gaps + np.arange(len(gaps))) + window - 1
+    return out
+
+
 def _scan(texts: pa.Array, blocks: list, window: int) -> pa.Array:
     """The results for one shard."""
     split = words(texts, ALNUM)
@@ -143,6 +195,7 @@ def _scan(texts: pa.Array, blocks: list, window: int) -> pa.Array:
     place = np.arange(len(split.hashes)) + split.text_of_word()
     cover = np.zeros(len(split.hashes) + n + 1, np.int64)
     listed: list[tuple[int, str]] = []
+    longest, longest_at = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for held in blocks:
         block: Block = held.value
         if not block.windows or not len(split.hashes):
@@ -162,6 +215,13 @@ def _scan(texts: pa.Array, blocks: list, window: int) -> pa.Array:
             np.add.at(cover, found + length, -1)
             bounds, owners = block.owners[length]
             in_text = np.searchsorted(starts, found, "right") - 1
+            if len(found):
+                sizes = _match_lengths(found, which, block, window) if length == window else np.full(len(found), length)
+                order = np.lexsort((found, -sizes, in_text))
+                best = order[np.unique(in_text[order], return_index=True)[1]]
+                text, size, at = in_text[best], sizes[best], found[best]
+                better = (size > longest[text]) | ((size == longest[text]) & (at < longest_at[text]))
+                longest[text[better]], longest_at[text[better]] = size[better], at[better]
             seen = np.unique(in_text * np.int64(len(patterns)) + which)
             in_text, which = seen // len(patterns), seen % len(patterns)
             owner, of = _expand(bounds[which], bounds[which + 1])
@@ -187,8 +247,11 @@ def _scan(texts: pa.Array, blocks: list, window: int) -> pa.Array:
             pa.array(n_hit.astype(np.int64)),
             pa.ListArray.from_arrays(pa.array(item_bounds), pa.array([i for _, i in listed], pa.string())),
             pa.ListArray.from_arrays(pa.array(passage_bounds), passages),
+            pa.StructArray.from_arrays(
+                [pa.array(longest_at - starts), pa.array(longest)], fields=list(_PASSAGE), mask=pa.array(longest == 0)
+            ),
         ],
-        names=["n_words", "n_hit", "items", "passages"],
+        names=["n_words", "n_hit", "items", "passages", "longest"],
     )
 
 
@@ -216,7 +279,7 @@ def contamination(
     name: str = "contamination",
 ) -> DataFrame:
     """``docs`` with one more column ``name`` (underscores in front if the name is taken): a struct of ``n_words``,
-    ``n_hit``, ``items`` (identifiers as strings, sorted) and ``passages``, the longest runs of matched words."""
+    ``n_hit``, ``items`` (identifiers as strings, sorted), ``passages`` (runs of matched words) and ``longest``."""
     spark, column = docs.sparkSession, fresh(docs, name)
     blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, item_column, benchmark_text, window, block_bytes)]
     at = docs.columns.index(text_column)

@@ -75,6 +75,7 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.size("contamination.items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "contamination.items"), 256).alias("items_sha256"),
         (F.col("contamination.n_hit") > 0).alias("contaminated"),
+        F.coalesce("contamination.longest.n_words", F.lit(0).cast("long")).alias("n_longest"),
     )
 
 
@@ -208,25 +209,32 @@ ORACLE: dict[str, str] = {
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op8_decontamination": f"""
         WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
-        i AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM benchmark),
+        i AS (SELECT item_id, row_number() OVER () AS nth, {_WORDS.format("coalesce(text, '')")} AS ws FROM benchmark),
         windows AS (
-          SELECT item_id, least(len(ws), 10) AS n, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS p, ws
+          SELECT item_id, nth, least(len(ws), 10) AS n, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS p, ws
           FROM i WHERE len(ws) > 0),
-        sought AS (SELECT DISTINCT item_id, n, list_aggregate(ws[p:p + n - 1], 'string_agg', ' ') AS words FROM windows),
+        sought AS (SELECT DISTINCT item_id, nth, p AS q, n, list_aggregate(ws[p:p + n - 1], 'string_agg', ' ') AS words FROM windows),
         places AS (
           SELECT doc_id, n, unnest(generate_series(1, len(ws) - n + 1)) AS p, ws
           FROM w, (SELECT DISTINCT n FROM sought) WHERE len(ws) >= n),
         hits AS (
-          SELECT DISTINCT doc_id, item_id, p, n
+          SELECT DISTINCT doc_id, item_id, nth, p, q, n
           FROM (SELECT doc_id, n, p, list_aggregate(ws[p:p + n - 1], 'string_agg', ' ') AS words FROM places)
           JOIN sought USING (n, words)),
         covered AS (
           SELECT doc_id, count(DISTINCT q) AS n_hit
           FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS q FROM hits) GROUP BY doc_id),
+        longest AS (
+          SELECT doc_id, max(words) AS n_longest
+          FROM (SELECT doc_id, n - 1 + count(*) AS words
+            FROM (SELECT doc_id, nth, p - q AS diagonal, n, p - row_number() OVER (PARTITION BY doc_id, nth, p - q ORDER BY p) AS island FROM hits)
+            GROUP BY doc_id, nth, diagonal, n, island)
+          GROUP BY doc_id),
         owners AS (
           SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
         SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-          sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-        FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id)""",
+          sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+          coalesce(n_longest, 0) AS n_longest
+        FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id) LEFT JOIN longest USING (doc_id)""",
 }

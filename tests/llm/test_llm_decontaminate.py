@@ -1,9 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
-from lakehist.llm.decontaminate import SuffixArray, block_of, contamination, decontaminated
+from lakehist.llm.decontaminate import SuffixArray, block_of, contamination, decontaminated, longest_matches
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -12,6 +13,21 @@ def split(text):
     return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
 
 
+def brute_longest(text, items, window):
+    """First word and length of the longest run that stands in one item, shorter items as a whole."""
+    own, best = split(text), (0, 0)
+    for _, passage in items:
+        words = split(passage)
+        for p in range(len(own)):
+            for q in range(len(words)):
+                k = 0
+                while p + k < len(own) and q + k < len(words) and own[p + k] == words[q + k]:
+                    k += 1
+                if k >= min(window, len(words)):
+                    best = max(best, (k, -p))
+    return (-best[1], best[0]) if best[0] else None
+
+
 def brute(text, items, window):
     own, hit, found = split(text), set(), set()
     for item, passage in items:
@@ -45,6 +61,7 @@ def test_against_brute_force(spark, seed):
             n, hit, listed = brute(text, items, 4)
             c = found[i]
             assert (c["n_words"], c["n_hit"], c["items"]) == (n, hit, listed)
+            assert (tuple(c["longest"]) if c["longest"] else None) == brute_longest(text, items, 4)
             assert sum(p["n_words"] for p in c["passages"]) == hit
 
 
@@ -53,6 +70,30 @@ def test_passages_are_where_the_words_are(spark):
     benchmark = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     c = contamination(docs, benchmark, window=2).first()["contamination"]
     assert [tuple(p) for p in c["passages"]] == [(1, 3), (5, 2)]
+    assert tuple(c["longest"]) == (1, 3)
+
+
+def test_a_passage_of_two_items_is_no_longest_match(spark):
+    docs = spark.createDataFrame([(1, "x a b c d e f g x a b c d e")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "a b c d e"), (2, "d e f g h"), (3, "q a b c d e")], "item_id long, text string")
+    c = contamination(docs, benchmark, window=2).first()["contamination"]
+    assert [tuple(p) for p in c["passages"]] == [(1, 7), (9, 5)]
+    assert tuple(c["longest"]) == (1, 5)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_longest_matches(seed):
+    rng = random.Random(seed)
+    own, others = ([rng.choice([0, 1, 1, 2, 2, 3]) for _ in range(rng.randrange(1, 60))] for _ in range(2))
+
+    def common(p, q):
+        k = 0
+        while p + k < len(own) and q + k < len(others) and own[p + k] == others[q + k] > 0:
+            k += 1
+        return k
+
+    expected = [max(common(p, q) for q in range(len(others))) for p in range(len(own))]
+    assert longest_matches(np.array(own), np.array(others)).tolist() == expected
 
 
 def test_suffix_array_searches_across_keys():
