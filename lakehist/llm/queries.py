@@ -133,6 +133,7 @@ def _url_merge(before: str, after: str, level: int) -> str:
           UNION ALL SELECT host, template, now, labelled, blocked FROM {before} WHERE len(now) < {level})"""
 
 
+# Paths of up to four segments; those of the test tables have two.
 _URL_TEMPLATES = f"""
         WITH rest AS (
           SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),

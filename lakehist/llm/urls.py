@@ -6,7 +6,7 @@
    the inverse of the chance that two pages go on alike, varies there: its rare children become one wildcard ``*``.
 3. Sibling templates, equal but for one segment, are merged into a wildcard when their labelled pages do not tell them
    apart: the chi-square statistic of their shares of blocked pages stays within two standard deviations of its mean.
-   That goes from the ``levels``-th segment up to the first.
+   That goes from the deepest segment in which labelled templates of a host can differ up to the first.
 4. A template's purity is its share of blocked pages among the labelled ones, smoothed with that of the same
    template on all hosts, which is smoothed with the share of all pages. Pages of templates above ``reject`` are blocked.
 
@@ -126,10 +126,15 @@ def _merged(counts: DataFrame, level: int) -> DataFrame:
     return out.unionByName(counts.where(~deep))
 
 
+def _deepest(counts: DataFrame) -> int:
+    """Most segments that two labelled templates of one host have; below that nothing has a sibling to merge with."""
+    alike = counts.where("labelled > 0").groupBy("host", F.size("template").alias("depth")).agg(F.count(F.lit(1)).alias("n"))
+    return alike.where("n > 1").agg(F.max("depth")).first()[0] or 0
+
+
 def judged(
     pages: DataFrame,
     rules: Sequence[Rule] = RULES,
-    levels: int = 4,
     reject: float = 0.5,
     id_column: str = "page_id",
     url_column: str = "url",
@@ -145,8 +150,8 @@ def judged(
     labelled = F.when(F.col("label").isNotNull(), F.col("pages")).otherwise(0)
     blocked = F.when(F.col("label") == "block", F.col("pages")).otherwise(0)
     counts = told.groupBy("host", "template").agg(F.sum(labelled).cast("double").alias("labelled"), F.sum(blocked).cast("double").alias("blocked"))
-    counts = counts.withColumn("now", F.col("template"))
-    for level in range(levels, 0, -1):
+    counts = checkpointed(counts.withColumn("now", F.col("template")))
+    for level in range(_deepest(counts), 0, -1):
         counts = checkpointed(_merged(counts, level))
 
     everything = counts.agg(F.sum("labelled"), F.sum("blocked")).first()

@@ -22,7 +22,7 @@ def rule_of(host, path, rules=RULES):
     return max(fits, key=lambda r: len(r.text), default=None)
 
 
-def brute(urls, levels=4):
+def brute(urls):
     """Verdict, template and purity of each url, by dictionaries."""
     pages = defaultdict(int)
     for u in urls:
@@ -48,7 +48,7 @@ def brute(urls, levels=4):
         cell[0] += n * (rule is not None)
         cell[1] += n * (rule is not None and rule.verdict == "block")
     now = {key: key[1] for key in seen}
-    for level in range(levels, 0, -1):
+    for level in range(max(map(len, now.values()), default=0), 0, -1):
         families = defaultdict(lambda: defaultdict(lambda: [0.0, 0.0]))
         for key, t in now.items():
             if len(t) >= level:
@@ -109,6 +109,14 @@ def test_trees_with_names_and_dates(spark):
     check(spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, rule string"))
 
 
+def test_deep_paths_merge_at_every_level(spark):
+    urls = [f"http://d.com/de/x/y/z/{a}/q/{b}" for a in ("one", "two", "three") for b in ("k", "l") for _ in range(3)]
+    urls += [f"http://d.com/fr/x/y/z/{a}/q/k" for a in ("one", "two")] + [f"http://e.net/de/x/y/z/one/q/{b}" for b in ("k", "other")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    check(pages)
+    assert "/de/x/y/z/*/q/*" in {r["template"] for r in judged(pages).collect()}
+
+
 def test_odd_urls(spark):
     urls = [
         None, "", "no scheme", "http://", "http:///x", "HTTP://UP.Example.ORG/en/1?x#y", "http://example.org", "http://example.org?q=/es/",
