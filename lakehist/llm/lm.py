@@ -32,7 +32,6 @@ where ``back`` is the mass that discounting leaves over. A word never seen gets
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,6 +39,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -195,7 +195,8 @@ def _get(path: str, name: str, kinds: list[str]) -> list[np.ndarray]:
     store, base = _store(path)
     file = f"{base}/{name}"
     if not isinstance(store, fs.LocalFileSystem):
-        own = os.path.join(tempfile.gettempdir(), f"lm-{uuid.uuid5(uuid.NAMESPACE_URL, path + name).hex}")
+        # The executor's own folder for files, which Spark provides and removes; a lost executor's successor fetches anew.
+        own = os.path.join(SparkFiles.getRootDirectory(), f"lm-{uuid.uuid5(uuid.NAMESPACE_URL, path + name).hex}")
         if not os.path.exists(own):
             with store.open_input_stream(file) as source, open(f"{own}.{os.getpid()}", "wb") as copy:
                 while chunk := source.read(1 << 22):

@@ -2,8 +2,10 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from lakehist.llm import lm
+from pyarrow import fs
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -83,6 +85,18 @@ def test_small_blobs_and_real_documents(spark, sf_dir, monkeypatch):
     compare(spark, docs.where(~lm.held_out()), docs, 16)
 
 
+def test_shards_of_a_store_that_cannot_be_mapped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lm, "_store", lambda path: (fs.SubTreeFileSystem("/", fs.LocalFileSystem()), path.lstrip("/")))
+    words, counts = np.arange(3, dtype=np.uint64), np.array([5, 1, 2], np.uint32)
+    for _ in range(2):  # a task may run twice
+        lm._put(str(tmp_path), "bigrams-0", [words, counts])
+        found = lm._get(str(tmp_path), "bigrams-0", lm._BIGRAM_FILE)
+        assert [a.tolist() for a in found] == [[0, 1, 2], [5, 1, 2]]
+    assert [f.name for f in tmp_path.iterdir()] == ["bigrams-0"]
+    with pytest.raises(FileNotFoundError):
+        lm._get(str(tmp_path), "bigrams-1", lm._BIGRAM_FILE)
+
+
 def test_learning_from_nothing(odd_docs, no_docs, spark):
     compare(spark, no_docs, odd_docs, 4)
     assert lm.scored(no_docs, lm.train(odd_docs, shards=2)).collect() == []
