@@ -27,7 +27,7 @@ def op1_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    model = lm.train(docs.where(~lm.held_out()))
+    model = lm.train(docs.where(~lm.held_out()), order=3)
     scores = lm.scored(docs, model)
     return scores.withColumn("held_out", lm.held_out()).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"

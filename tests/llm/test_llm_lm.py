@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from lakehist.llm import lm
+from lakehist.llm.queries import QUERIES
 from pyarrow import fs
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -107,3 +108,66 @@ def test_held_out_documents_are_likelier_than_by_word_counts(spark, sf_dir):
     scores = lm.scored(docs.where(lm.held_out()), lm.train(docs.where(~lm.held_out())))
     row = scores.selectExpr("SUM(score) AS model", "SUM(base_score) AS base").first()
     assert row["model"] > row["base"]
+
+
+class BruteOfThree:
+    """Bigrams count the distinct words before them, those of the start symbol how often they occur."""
+
+    def __init__(self, texts):
+        split = [["start", *tokens(t)] for t in texts]
+        self.words = Counter(w for t in split for w in t[1:])
+        three = Counter(g for t in split for g in zip(t, t[1:], t[2:]))
+        two = Counter((v, w) for _, v, w in three) + Counter((t[0], t[1]) for t in split)
+        kinds = Counter(w for _, w in two)
+        self.levels = [self.level(kinds), self.level(two), self.level(three)]
+
+    @staticmethod
+    def level(counts):
+        d, total, back = discounts(counts.values()), Counter(), Counter()
+        for gram, c in counts.items():
+            before = gram[:-1] if isinstance(gram, tuple) else ()
+            total[before] += c
+            back[before] += d[min(c, 3)]
+        return counts, d, total, back
+
+    def p(self, before, w):
+        counts, d, total, back = self.levels[len(before)]
+        low = self.p(before[1:], w) if before else 1 / (len(self.words) + 1)
+        if not total[before]:
+            return low
+        c = counts[(*before, w) if before else w]
+        return (max(c - d[min(c, 3)], 0) + back[before] * low) / total[before]
+
+    def score(self, text):
+        own = ["start", *tokens(text)]
+        return sum(math.log10(self.p(tuple(own[max(i - 2, 0):i]), own[i])) for i in range(1, len(own)))
+
+
+def compare_three(train, docs, shards):
+    model = lm.train(train, shards=shards, order=3)
+    brute = BruteOfThree([r["text"] for r in train.collect()])
+    found = sorted(r["score"] for r in lm.scored(docs, model).collect())
+    assert found == pytest.approx(sorted(brute.score(r["text"]) for r in docs.collect()), abs=1e-6)
+    return brute
+
+
+@pytest.mark.parametrize("shards", [1, 64])
+def test_order_three_against_brute_force(odd_docs, no_docs, shards):
+    compare_three(odd_docs.where("doc_id IS NULL OR doc_id <> 12"), odd_docs, shards)
+    compare_three(no_docs, odd_docs, shards)
+
+
+def test_order_three_on_real_documents(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(lm, "HELD", 500)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    brute = compare_three(docs.where(~lm.held_out()), docs, 16)
+    for before in [(), ("start",), *list(brute.levels[2][2])[:20]]:
+        assert sum(brute.p(before, w) for w in brute.words) + brute.p(before, "?") == pytest.approx(1)
+
+
+def test_query_looks_two_words_back(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    brute = BruteOfThree([r["text"] for r in docs.where(~lm.held_out()).collect()])
+    found = {r["doc_id"]: r["score"] for r in QUERIES["op2_kneser_ney"](spark, sf_dir).collect()}
+    for r in docs.limit(20).collect():
+        assert found[r["doc_id"]] == pytest.approx(brute.score(r["text"]), abs=1e-6)
