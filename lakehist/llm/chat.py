@@ -1,6 +1,6 @@
 """Tool calls and their results: linked by identifier, ordered by what they depend on, validated, written as JSON.
 
-Every call and every result is one event, and one row of the result; a conversation is its events in order, never
+Every call and every result is one event, and one row of the result; so is every plain turn, if they are given; a conversation is its events in order, never
 one value, so a conversation with a third of all events is no burden to any task.
 
 * **Linking.** Results are reduced to one per identifier (the earliest, then the smallest content), then calls find
@@ -11,6 +11,7 @@ one value, so a conversation with a third of all events is no burden to any task
   order of (conversation, level, call before result, turn, identifier) come after all they depend on.
 * **Validation.** Arguments are parsed as JSON; the schema of the tool says which there are, of which type, and which
   are required.
+* **Plain turns** (system messages, unknown and null roles) are linked with nothing: level 0, status ``plain``.
 * **JSON** is canonical: keys in code point order, no white space, no nulls; one object per event.
 
 Defined results: a call without a result is ``unanswered``; a result without a call is an ``orphan``; further results of
@@ -117,11 +118,12 @@ def levels(calls: DataFrame) -> DataFrame:
     return state.select("call_id", F.when(F.col("back").isNull(), F.col("level")).alias("level"), "dangling")
 
 
-def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
+def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema], plain: DataFrame | None = None) -> DataFrame:
     """Events of ``calls`` (``conv_id, turn, call_id, name, arguments, after``, all but the first two text) and
-    ``results`` (``conv_id, turn, call_id, content``).
+    ``results`` (``conv_id, turn, call_id, content``), and of ``plain`` turns (``conv_id, turn, role, content``) if given.
 
-    ``conv_id, level, kind, turn, call_id, name, status, problems, json``; ``kind`` is 0 for calls and 1 for results.
+    ``conv_id, level, kind, turn, call_id, name, status, problems, json``; ``kind`` is 0 for calls, 1 for results and
+    2 for plain turns.
     """
     chosen = results.where("call_id IS NOT NULL").groupBy("call_id").agg(
         F.min(F.struct("turn", F.xxhash64("content").alias("content"))).alias("answer")
@@ -167,7 +169,24 @@ def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema])
         F.array().cast("array<string>").alias("problems"),
         F.to_json(F.struct("content", F.col("call_id").alias("id"), F.lit("result").alias("role"), "turn")).alias("json"),
     )
-    return call_events.unionByName(result_events).orderBy("conv_id", "level", "kind", "turn", "call_id", "json")
+    found = call_events.unionByName(result_events)
+    if plain is not None:
+        found = found.unionByName(_plain_events(plain))
+    return found.orderBy("conv_id", "level", "kind", "turn", "call_id", "json")
+
+
+def _plain_events(plain: DataFrame) -> DataFrame:
+    return plain.select(
+        "conv_id",
+        F.lit(0).cast("long").alias("level"),
+        F.lit(2).alias("kind"),
+        "turn",
+        F.lit(None).cast("string").alias("call_id"),
+        F.lit(None).cast("string").alias("name"),
+        F.lit("plain").alias("status"),
+        F.array().cast("array<string>").alias("problems"),
+        F.to_json(F.struct("content", "role", "turn")).alias("json"),
+    )
 
 
 #: Tools that turns of a conversation are read as calls of, see :func:`calls_of`.
@@ -204,3 +223,10 @@ def calls_of(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv_id", "turn", identifier(F.col("turn") - 1).alias("call_id"), text.alias("content")
     )
     return calls, results
+
+
+def plain_of(turns: DataFrame) -> DataFrame:
+    """The turns that :func:`calls_of` leaves: those of any role but user and assistant, and of none."""
+    return turns.where("role IS NULL OR role NOT IN ('user', 'assistant')").select(
+        "conv_id", "turn", "role", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("content")
+    )

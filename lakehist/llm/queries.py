@@ -65,6 +65,13 @@ def op7_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
     return events.withColumn("problems", F.concat_ws("; ", "problems"))
 
 
+def op7_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every turn as an event: the calls and results of ``op7_tool_calls``, and the turns of all other roles."""
+    turns = _table(spark, sf, "conversations")
+    events = chat.linked(*chat.calls_of(turns), chat.SCHEMAS, chat.plain_of(turns))
+    return events.withColumn("problems", F.concat_ws("; ", "problems"))
+
+
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     found = contamination(docs, _table(spark, sf, "benchmark"))
@@ -98,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_tool_calls": op7_tool_calls,
+    "op7_conversations": op7_conversations,
     "op8_decontamination": op8_decontamination,
     "op9_url_templates": op9_url_templates,
     "op10_language": op10_language,
@@ -239,3 +247,10 @@ ORACLE: dict[str, str] = {
           coalesce(n_longest, 0) AS n_longest
         FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id) LEFT JOIN longest USING (doc_id)""",
 }
+
+#: The calls and results as above, and all other turns.
+ORACLE["op7_conversations"] = ORACLE["op7_tool_calls"] + r"""
+        UNION ALL
+        SELECT conv_id, 0, 2, turn, NULL, NULL, 'plain', '',
+          '{"content":' || to_json(text) || coalesce(',"role":' || to_json(role), '') || ',"turn":' || turn || '}'
+        FROM turns WHERE role IS NULL OR role NOT IN ('user', 'assistant')"""

@@ -1,7 +1,8 @@
 import json
 
 import pytest
-from lakehist.llm.chat import SCHEMAS, Field, calls_of, levels, linked
+from lakehist.llm.chat import SCHEMAS, Field, calls_of, levels, linked, plain_of
+from lakehist.llm.queries import QUERIES
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after string"
 RESULTS = "conv_id long, turn long, call_id string, content string"
@@ -106,3 +107,26 @@ def test_nulls_and_nothing(spark):
     odd = spark.createDataFrame([(None, None, "user", None), (1, None, "user", "x"), (None, 3, "assistant", None), (1, 1, None, "x")], "conv_id long, turn long, role string, text string")
     assert len(linked(*calls_of(odd), SCHEMAS).collect()) == 3
     assert linked(*calls_of(odd.limit(0)), SCHEMAS).collect() == []
+
+
+def test_no_turn_is_left_out(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    assert turns.where("role = 'system'").count() > 0
+    rows = QUERIES["op7_conversations"](spark, sf_dir).collect()
+    assert sorted((r["conv_id"], r["turn"]) for r in rows) == sorted((r["conv_id"], r["turn"]) for r in turns.collect())
+    assert len([r for r in rows if r["kind"] < 2]) == QUERIES["op7_tool_calls"](spark, sf_dir).count()
+
+
+def test_plain_turns(spark):
+    said = [(1, 0, "system", 'be "kind"'), (1, 1, "user", "x"), (1, 2, "tool", None), (1, 3, None, "y"), (None, None, None, None)]
+    turns = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    found = linked(*calls_of(turns), SCHEMAS, plain_of(turns)).collect()
+    assert len(found) == 5
+    plain = {r["turn"]: r for r in found if r["kind"] == 2}
+    assert {t: r["json"] for t, r in plain.items()} == {
+        0: '{"content":"be \\"kind\\"","role":"system","turn":0}',
+        2: '{"content":"","role":"tool","turn":2}',
+        3: '{"content":"y","turn":3}',
+        None: '{"content":""}',
+    }
+    assert {(r["level"], r["status"], r["call_id"]) for r in plain.values()} == {(0, "plain", None)}
