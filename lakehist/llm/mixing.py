@@ -12,7 +12,8 @@
 4. A second permutation, over all slots of all sources, deals slots to ``shards`` output shards of equal length.
    What a shard then holds of each source is a multinomial draw under the condition that the sources' totals are
    met. Unconditional draws would miss the targets by chance, and exceed the most epochs of a source.
-5. Blocks and pieces of documents meet by source and block number.
+5. Blocks and pieces of documents meet by source and block number. :func:`dealt` has the output itself, a row per
+   piece of a slot; :func:`mix` sums it up for each document.
 
 Permutations are swap-or-not shuffles: each round pairs number ``x`` with ``key - x`` and swaps them or not by a
 hash of the pair. They work on any range without a table, so a slot finds its block by itself. All of this is
@@ -92,9 +93,40 @@ def mix(
     )
 
 
-def _mixed(
-    docs: DataFrame, block: int, shards: int, most_epochs: int, seed: int, id_column: str, text_column: str, source_column: str
+def dealt(
+    docs: DataFrame,
+    block: int = 256,
+    shards: int = 24,
+    most_epochs: int = 3,
+    seed: int = 20,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
 ) -> DataFrame:
+    """``shard, slot, place, doc_id, first_word, words``: the output shards, in the order of the first three.
+
+    A slot is a block: its pieces are runs of ``words`` words of a document, from its word ``first_word`` (the first is 0),
+    and lie at word ``place`` of the block. Slots are numbered through all shards. A document comes once
+    for every slot that holds any of its words.
+    """
+    placed, sources = _placed(docs, block, most_epochs, seed, id_column, text_column, source_column)
+    pieces = _pieces(placed.where("_size > 0"), block)
+    met = pieces.join(_slots(sources, block, shards, seed).where("_take > 0").hint("merge"), ["_src", "_block"])
+    words = F.least(F.col("_b"), F.col("_take")) - F.col("_a")
+    return met.where(words > 0).select(
+        F.col("_shard").alias("shard"),
+        F.col("_deal").alias("slot"),
+        F.col("_a").alias("place"),
+        F.col("_id").alias("doc_id"),
+        (F.col("_block") * block + F.col("_a") - F.col("_from")).alias("first_word"),
+        words.alias("words"),
+    )
+
+
+def _placed(
+    docs: DataFrame, block: int, most_epochs: int, seed: int, id_column: str, text_column: str, source_column: str
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with the word of their source's run that they start at, and the sources."""
     source, none = F.col(quoted(source_column)).cast("string"), F.lit(0).cast("long")
     text = text_or_empty(text_column)
     rows = docs.select(
@@ -118,8 +150,6 @@ def _mixed(
             }
         )
     )
-    plan = _plan(sources, block, shards, seed)
-
     sums, order = within_cell("_src", tie)
     cells = cells.join(sources.select("_src", "source_size", "target"), "_src")
     placed = rows.join(cells.drop("_sum"), ["_src", "_cell"]).withColumns(
@@ -128,16 +158,30 @@ def _mixed(
             "_nth": F.row_number().over(order),
         }
     )
+    return placed, sources
+
+
+def _pieces(placed: DataFrame, block: int) -> DataFrame:
+    """A row for every block that a document has words in; they are its words ``_a`` to ``_b``."""
+    none = F.lit(0).cast("long")
     # A document without words has no block; it gets a number that no block has, so that it stays in the join
     # without meeting the others of its kind in one task.
     first = F.when(F.col("_size") > 0, F.expr(f"_from div {block}")).otherwise(-1 - F.pmod(F.col("_tie"), F.lit(1 << 40)))
     until = F.when(F.col("_size") > 0, F.expr(f"(_from + _size - 1) div {block}")).otherwise(first)
-    pieces = placed.withColumn("_block", F.explode(F.sequence(first, until))).withColumns(
+    return placed.withColumn("_block", F.explode(F.sequence(first, until))).withColumns(
         {
             "_a": F.greatest(F.col("_from") - F.col("_block") * block, none),
             "_b": F.least(F.col("_from") + F.col("_size") - F.col("_block") * block, F.lit(block).cast("long")),
         }
     )
+
+
+def _mixed(
+    docs: DataFrame, block: int, shards: int, most_epochs: int, seed: int, id_column: str, text_column: str, source_column: str
+) -> DataFrame:
+    none = F.lit(0).cast("long")
+    placed, sources = _placed(docs, block, most_epochs, seed, id_column, text_column, source_column)
+    pieces, plan = _pieces(placed, block), _plan(sources, block, shards, seed)
     # The plan has a row per block. It is made from one row per source, so Spark would take it for small and broadcast it.
     met = pieces.join(plan.hint("merge"), ["_src", "_block"], "left")
     stop = F.coalesce(F.col("_stop"), none)
@@ -149,9 +193,9 @@ def _mixed(
     )
 
 
-def _plan(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
-    """For each block that is taken: how many slots take the whole of it, how many words of it the one slot takes
-    that does not, and the first output shard it goes to."""
+def _slots(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
+    """Every slot: its block, its number among all slots as they are dealt, its output shard, and how many words of the block it takes;
+    ``_whole`` where that is an epoch that takes them all."""
     spark = sources.sparkSession
     used = sources.where("_words > 0").withColumns(
         {
@@ -193,18 +237,25 @@ def _plan(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
         }
     )
     taken = F.greatest(F.least(F.col("_rest") - F.col("_gone"), F.col("_length")), F.lit(0).cast("long"))
-    return slots.groupBy("_src", "_block").agg(
+    return slots.withColumn("_take", F.when(F.col("_whole"), F.col("_length")).otherwise(taken))
+
+
+def _plan(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
+    """For each block that is taken: how many slots take the whole of it, how many words of it the one slot takes
+    that does not, and the first output shard it goes to."""
+    return _slots(sources, block, shards, seed).groupBy("_src", "_block").agg(
         F.sum(F.when(F.col("_whole"), 1).otherwise(0)).cast("long").alias("_times"),
-        F.max(F.when(~F.col("_whole"), taken)).alias("_stop"),
+        F.max(F.when(~F.col("_whole"), F.col("_take"))).alias("_stop"),
         F.min("_shard").alias("_shard"),
     )
 
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """The mix as documents, in the columns of ``docs``: each as often as its words are taken, on average.
+    """The mix as whole documents, in the columns of ``docs``; each source is within one document of its target.
 
-    A document whose words are taken ``1.3`` times over comes once, or twice with probability ``0.3``, decided by
-    a hash of the document. Those that are not taken are left out; documents without words all are.
+    Every document comes once per whole epoch of its source. The words left over go to the documents at the start of the
+    source's pseudorandom run: those that lie in it with more than half of their words come once more. Documents without
+    words are left out.
     """
     named = {"id_column": "doc_id", "text_column": "text", "source_column": "source"} | {
         k: v for k, v in parameters.items() if k.endswith("_column")
@@ -212,12 +263,14 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     settings = {"block": 256, "shards": 24, "most_epochs": 3, "seed": 20} | {
         k: v for k, v in parameters.items() if not k.endswith("_column")
     }
-    plan = _mixed(docs, **settings, **named).where("taken > 0")
-    # Rows that are equal in all of this share what they are given evenly, so the join has one row for them.
-    share = F.sum("taken") / F.count(F.lit(1)) / F.first("_size")
-    chance = F.pmod(F.xxhash64(F.lit("copies"), "_tie"), F.lit(1_000_000)) / 1e6
-    plan = plan.groupBy("_src", "_id", "_tie", "_text").agg(share.alias("_share"))
-    plan = plan.select("_src", "_id", "_tie", "_text", F.floor(F.col("_share") + chance).cast("int").alias("_copies")).where("_copies > 0")
+    del settings["shards"]
+    placed, sources = _placed(docs, **settings, **named)
+    epochs = sources.where("_words > 0").select("_src", F.expr("_words div source_size").alias("_epochs"), F.expr("_words % source_size").alias("_rest"))
+    placed = placed.where("_size > 0").join(epochs, "_src")
+    more = F.when(2 * F.col("_from") + F.col("_size") < 2 * F.col("_rest"), 1).otherwise(0)
+    # Equal rows lie side by side in the run, so the join has one row for them; the first so many of them come once more.
+    plan = placed.groupBy("_src", "_id", "_tie", "_text").agg(F.first("_epochs").alias("_epochs"), F.sum(more).alias("_more"), F.count(F.lit(1)).alias("_n"))
+    plan = plan.where("_epochs + _more > 0")
 
     text, source = text_or_empty(named["text_column"]), F.col(quoted(named["source_column"])).cast("string")
     row = fresh(docs, "_row")
@@ -230,5 +283,9 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     )
     same = [F.col("a._tie") == F.col("b._tie"), F.col("a._text") == F.col("b._text"), F.col("a._src") == F.col("b._src")]
     matched = keyed.alias("a").join(plan.alias("b"), same + [F.col("a._id").eqNullSafe(F.col("b._id"))])
-    copies = matched.select(F.col(f"a.{row}"), F.explode(F.sequence(F.lit(1), F.col("b._copies"))).alias("_copy"))
+    keys = [F.col(f"a.{k}") for k in ("_src", "_id", "_tie", "_text")]
+    parted = (F.col("b._more") > 0) & (F.col("b._more") < F.col("b._n"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.when(parted, F.xxhash64(F.to_json(F.col(f"a.{row}"))))))
+    numbered = matched.select(F.col(f"a.{row}"), (F.col("b._epochs") + F.when(nth <= F.col("b._more"), 1).otherwise(0)).alias("_copies"))
+    copies = numbered.where("_copies > 0").select(row, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy"))
     return copies.select(*[F.col(f"{row}.{quoted(c)}").alias(c) for c in docs.columns])

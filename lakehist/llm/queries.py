@@ -11,7 +11,7 @@ from lakehist.llm import chat, language, lm, tokens, urls
 from lakehist.llm.decontaminate import contamination
 from lakehist.llm.exact import exact_groups
 from lakehist.llm.minhash import near_duplicates
-from lakehist.llm.mixing import mix
+from lakehist.llm.mixing import dealt, mix
 from lakehist.llm.sharding import hilbert_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix(_table(spark, sf, "documents"))
 
 
+def op3_dealt_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The mix itself: a row for every piece of a document in a slot of an output shard."""
+    return dealt(_table(spark, sf, "documents"))
+
+
 def op4_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return hilbert_shards(_table(spark, sf, "documents"), shards=24)
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_kneser_ney": op2_kneser_ney,
     "op3_mixing": op3_mixing,
+    "op3_dealt_blocks": op3_dealt_blocks,
     "op4_hilbert_sharding": op4_hilbert_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_exact_dedup": op6_exact_dedup,

@@ -2,7 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from lakehist.llm.mixing import mix, mixed_documents, permuted
+from lakehist.llm.mixing import dealt, mix, mixed_documents, permuted
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -77,3 +77,55 @@ def test_mixed_documents_keep_their_columns(odd_docs, no_docs):
     assert rows and all(tuple(r) in known and WORD.search(r["text"]) for r in rows)
     assert max(Counter(map(tuple, rows)).values()) <= 6  # three of each of two equal rows
     assert mixed_documents(no_docs).collect() == []
+
+
+def test_dealt_blocks_are_the_mix(odd_docs, no_docs, spark):
+    docs = odd_docs.unionByName(spark.range(40).selectExpr(
+        "id + 100 AS doc_id", "TRIM(REPEAT('w ', CAST(id * 3 AS INT))) AS text", "'en' AS lang", "CONCAT('s', id % 3) AS source", "id AS n_chars"
+    ))
+    found, want = dealt(docs, block=16, shards=5).collect(), mix(docs, block=16, shards=5).collect()
+    taken, first, slots = Counter(), {}, defaultdict(list)
+    for r in found:
+        taken[r["doc_id"]] += r["words"]
+        first[r["doc_id"]] = min(first.get(r["doc_id"], 99), r["shard"])
+        slots[r["shard"], r["slot"]].append((r["place"], r["words"]))
+    total, size = Counter(), Counter()
+    for r in want:
+        total[r["doc_id"]] += r["taken"]
+        size[r["doc_id"]] = max(size[r["doc_id"]], r["size"])
+        if r["doc_id"] is not None and r["doc_id"] != 9:
+            assert r["first_shard"] == first.get(r["doc_id"])
+    assert +total == taken
+    assert all(0 <= r["first_word"] and r["first_word"] + r["words"] <= size[r["doc_id"]] for r in found)
+    # Slots are full from their first word on, without gaps, and dealt evenly to all shards.
+    for pieces in slots.values():
+        at = 0
+        for place, words in sorted(pieces):
+            assert place == at
+            at += words
+        assert at <= 16
+    assert sorted(n for _, n in slots) == list(range(len(slots)))
+    per_shard = Counter(s for s, _ in slots)
+    assert len(per_shard) == 5 and max(per_shard.values()) - min(per_shard.values()) <= 1
+    assert dealt(no_docs).collect() == []
+
+
+def test_sources_of_documents_are_within_one_document_of_their_targets(spark):
+    # A third of a source in one document, many of one size, many of all sizes, equal rows that the target parts.
+    docs = spark.range(400).selectExpr(
+        "IF(id % 4 = 3, 7, id) AS doc_id",
+        "TRIM(REPEAT('w ', CAST(CASE id % 4 WHEN 0 THEN IF(id = 8, 3000, 60) WHEN 1 THEN 50 WHEN 2 THEN id ELSE 90 END AS INT))) AS text",
+        "CONCAT('s', id % 4) AS source",
+    )
+    rows = docs.collect()
+    size, largest = Counter(), Counter()
+    for r in rows:
+        n = len(WORD.findall(r["text"]))
+        size[r["source"]] += n
+        largest[r["source"]] = max(largest[r["source"]], n)
+    for seed in (20, 21, 22):
+        got = Counter()
+        for r in mixed_documents(docs, seed=seed).collect():
+            got[r["source"]] += len(WORD.findall(r["text"]))
+        for source, target in shared(size).items():
+            assert abs(got[source] - target) <= largest[source]
