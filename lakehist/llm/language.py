@@ -7,8 +7,9 @@ equal labels: every worker keeps the sums of the segments it has seen and comput
 text are labelled that way, however long it is.
 
 Training is backpropagation through time with Adam on a bounded sample: for each language ``CELLS`` rows at most, the
-ones with the smallest hash in each of so many hash cells, and ``SAMPLE_BYTES`` of each. The sample does not
-grow with the corpus; prediction covers all of it, in one pass without a shuffle.
+ones with the smallest hash in each of so many hash cells, and ``SAMPLE_BYTES`` of each. Every label is learned, however
+rare. The sample grows with the languages (384 kB each, held by the driver) but not with the corpus; prediction
+covers all of it, in one pass without a shuffle.
 
 * ``und`` with score 0 where the text is null or has no letter.
 * Without labelled rows nothing is learned and all are ``und``. With one language every text with a letter has it.
@@ -30,19 +31,27 @@ from pyspark.sql.types import DoubleType, StringType, StructType
 from lakehist.llm.common import fresh, quoted, slices
 from lakehist.llm.words import SPACED, Words, words
 
-#: The training sample: rows of each language, bytes of each row, languages (the most frequent ones).
-CELLS, SAMPLE_BYTES, MOST_LANGUAGES = 256, 1500, 64
+#: The training sample: rows of each language, bytes of each row.
+CELLS, SAMPLE_BYTES = 256, 1500
+#: How far above chance, of what there is above it, the score of an accepted document lies: 0.3 among four languages.
+ABOVE_CHANCE = 1 / 15
 #: The network: bytes of a segment, units in each direction.
 SEGMENT, UNITS = 24, 16
 STEPS, BATCH, RATE = 500, 384, 0.01
 #: Distinct segments a worker remembers before it starts afresh, and how many it computes at a time.
 REMEMBERED, AT_ONCE = 1 << 20, 4096
+#: With more languages than this fewer segments are remembered and computed at a time, so that memory stays the same.
+MANY = 64
 UNKNOWN = "und"
 
 _RESULT = StructType().add("lang_pred", StringType()).add("score", DoubleType())
 _LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123), *range(128, 256)])
 
 
+def _fewer(n: int, languages: int) -> int:
+    return max(1, n * MANY // max(MANY, languages))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -211,7 +220,7 @@ class Labeller:
         new = np.flatnonzero(~found)
         if len(new):
             out[new] = self._computed(split, first[new])
-            if len(self.known) + len(new) > REMEMBERED:
+            if len(self.known) + len(new) > _fewer(REMEMBERED, len(self.model.languages)):
                 self.forget()
                 at = np.zeros(len(distinct), np.int64)
             self.known = np.insert(self.known, at[new], distinct[new])
@@ -220,11 +229,12 @@ class Labeller:
 
     def _computed(self, split: Words, which: np.ndarray) -> np.ndarray:
         out = np.zeros((len(which), self.sums.shape[1]), np.float32)
+        at_once = _fewer(AT_ONCE, len(self.model.languages))
         for k in range(0, len(which), 1 << 16):  # so many words' bytes at a time
             x, lengths, owner = segments(split, which[k:k + (1 << 16)])
             order = np.argsort(lengths, kind="stable")  # segments of one length at a time, hardly any padding
-            for i in range(0, len(order), AT_ONCE):
-                rows = order[i:i + AT_ONCE]
+            for i in range(0, len(order), at_once):
+                rows = order[i:i + at_once]
                 longest = int(lengths[rows[-1]])
                 own, size = x[rows, :longest], lengths[rows]
                 letters = (_LETTER[own] & (np.arange(longest) < size[:, None])).astype(np.float32)
@@ -263,7 +273,7 @@ def _predicted(texts: pa.Array, labeller: Labeller | None) -> pa.Array:
 
 
 def sample(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id") -> DataFrame:
-    """The training sample, of columns ``lang`` and ``text``: ``MOST_LANGUAGES * CELLS`` rows of ``SAMPLE_BYTES`` at most.
+    """The training sample, of columns ``lang`` and ``text``: ``CELLS`` rows of ``SAMPLE_BYTES`` at most for each language.
 
     First the smallest hash of each cell of each language, then the rows that have it: only the few texts asked
     for are moved.
@@ -273,17 +283,14 @@ def sample(docs: DataFrame, text_column: str = "text", lang_column: str = "lang"
         F.col(quoted(text_column)).cast("string").alias("text"),
         F.xxhash64(F.col(quoted(id_column)), F.octet_length(F.col(quoted(text_column)).cast("string"))).alias("h"),
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    # A hundred or so rows a language would do to find the most frequent ones; counting them all is as cheap.
-    cells = named.groupBy("lang", F.pmod("h", F.lit(CELLS)).alias("cell")).agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("n"))
-    by_lang = cells.groupBy("lang").agg(F.collect_list("h").alias("hashes"), F.sum("n").alias("n"))
-    chosen = by_lang.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang", F.explode("hashes").alias("h"))
+    chosen = named.groupBy("lang", F.pmod("h", F.lit(CELLS)).alias("cell")).agg(F.min("h").alias("h")).select("lang", "h")
     picked = named.join(F.broadcast(chosen), ["lang", "h"])
     cut = F.substring(F.encode("text", "UTF-8"), 1, SAMPLE_BYTES)
     return picked.groupBy("lang", "h").agg(F.min(F.hex(cut)).alias("text")).select("lang", F.unhex("text").alias("text"))
 
 
 def fit(docs: DataFrame, **columns: str) -> Model | None:
-    """Train on the sample of ``docs``; it is bounded, so training is a matter of the driver."""
+    """Train on the sample of ``docs``; the languages bound it, so training is a matter of the driver."""
     rows = sorted((r["lang"], bytes(r["text"]).decode("utf-8", "ignore")) for r in sample(docs, **columns).collect())
     return train([t for _, t in rows], [l for l, _ in rows])
 
@@ -296,16 +303,26 @@ def identified(docs: DataFrame, model: Model | None, text_column: str = "text",
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = None if held.value is None else Labeller(held.value)
+        most = slice_bytes if labeller is None else _fewer(slice_bytes, len(held.value.languages))
         for batch in batches:
-            for part in slices(batch, at, slice_bytes):
+            for part in slices(batch, at, most):
                 found = _predicted(part.column(at), labeller)
                 yield pa.record_batch([*part.columns, found], names=[*part.schema.names, column])
 
     return docs.mapInArrow(label, schema)
 
 
-def accepted(docs: DataFrame, model: Model | None, least_score: float = 0.4, **settings) -> DataFrame:
-    """The documents in a learned language, in the columns of ``docs``; ``und`` and scores below go."""
+def least_of(languages: int) -> float:
+    """The least score of an accepted document. No highest score is below ``1 / languages``, so it follows their number."""
+    chance = 1 / max(languages, 1)
+    return 0.0 if languages < 2 else chance + ABOVE_CHANCE * (1 - chance)
+
+
+def accepted(docs: DataFrame, model: Model | None, least_score: float | None = None, **settings) -> DataFrame:
+    """The documents in a learned language, in the columns of ``docs``; ``und`` and scores below ``least_score`` go
+    (none: that of :func:`least_of`)."""
+    if least_score is None:
+        least_score = least_of(0 if model is None else len(model.languages))
     found = identified(docs, model, **settings)
     column = quoted(found.columns[-1])
     return found.where((F.col(f"{column}.lang_pred") != UNKNOWN) & (F.col(f"{column}.score") >= least_score)).drop(found.columns[-1])

@@ -89,3 +89,38 @@ def test_the_sample_is_bounded_and_has_rare_languages(spark, monkeypatch):
     rows = language.sample(docs).collect()
     assert len(rows) == 9 and sum(r["lang"] == "rare" for r in rows) == 1
     assert max(len(r["text"]) for r in rows) == language.SAMPLE_BYTES
+
+
+def many_languages(n):
+    """Texts of words that begin with two letters of the language's own; the last language is the rarest."""
+    rng = np.random.default_rng(1)
+    for i in range(n):
+        own = chr(97 + i // 10) + chr(97 + i % 10)
+        for _ in range(5 if i < n - 1 else 2):
+            yield " ".join(own + "".join(chr(c) for c in rng.integers(97, 123, 3)) for _ in range(40)), f"l{i:02}"
+
+
+def test_every_labelled_language_is_learned(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(many_languages(70))], "doc_id long, text string, lang string")
+    assert {r["lang"] for r in language.sample(docs).collect()} == {f"l{i:02}" for i in range(70)}
+    model = language.fit(docs)
+    assert len(model.languages) == 70
+    found = language.identified(docs, model)
+    right, rarest = found.selectExpr("AVG(IF(language.lang_pred = lang, 1, 0))", "MIN(IF(lang = 'l69', language.lang_pred, NULL))").first()
+    assert right > 0.9 and rarest == "l69"
+    kept = language.accepted(docs, model).count()
+    assert kept >= 0.95 * docs.count()
+    # Holding less at a time changes nothing.
+    texts = pa.array([t for t, _ in many_languages(3)])
+    want = language._predicted(texts, language.Labeller(model)).to_pylist()
+    monkeypatch.setattr(language, "MANY", 1)
+    got = language._predicted(texts, language.Labeller(model)).to_pylist()
+    assert [g["lang_pred"] for g in got] == [w["lang_pred"] for w in want]
+    assert [g["score"] for g in got] == pytest.approx([w["score"] for w in want], abs=1e-5)
+
+
+def test_the_least_score_follows_the_number_of_languages():
+    assert language.least_of(4) == pytest.approx(0.3)
+    assert [language.least_of(n) for n in (0, 1)] == [0, 0]
+    for n in (2, 5, 64, 65, 1000):
+        assert 1 / n < language.least_of(n) < 1 / n + 0.07
