@@ -151,7 +151,7 @@ def _placed(
         )
     )
     sums, order = within_cell("_src", tie)
-    cells = cells.join(sources.select("_src", "source_size", "target"), "_src")
+    cells = cells.join(sources.select("_src", "source_size", "target", "_words"), "_src")
     placed = rows.join(cells.drop("_sum"), ["_src", "_cell"]).withColumns(
         {
             "_from": F.col("_sum_before") + F.coalesce(F.sum("_size").over(sums), none),
@@ -264,9 +264,9 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
         k: v for k, v in parameters.items() if not k.endswith("_column")
     }
     del settings["shards"]
-    placed, sources = _placed(docs, **settings, **named)
-    epochs = sources.where("_words > 0").select("_src", F.expr("_words div source_size").alias("_epochs"), F.expr("_words % source_size").alias("_rest"))
-    placed = placed.where("_size > 0").join(epochs, "_src")
+    placed, _ = _placed(docs, **settings, **named)
+    # The cells brought their source's numbers along; a join by source would put a hot one into one task.
+    placed = placed.where("_size > 0").withColumns({"_epochs": F.expr("_words div source_size"), "_rest": F.expr("_words % source_size")})
     more = F.when(2 * F.col("_from") + F.col("_size") < 2 * F.col("_rest"), 1).otherwise(0)
     # Equal rows lie side by side in the run, so the join has one row for them; the first so many of them come once more.
     plan = placed.groupBy("_src", "_id", "_tie", "_text").agg(F.first("_epochs").alias("_epochs"), F.sum(more).alias("_more"), F.count(F.lit(1)).alias("_n"))
