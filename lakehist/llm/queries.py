@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakehist.llm import chat, language, lm, tokens, urls
+from lakehist.llm import chat, language, lm, quality, tokens, urls
 from lakehist.llm.decontaminate import contamination
 from lakehist.llm.exact import exact_groups
 from lakehist.llm.minhash import near_duplicates
@@ -102,6 +102,14 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op13_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all documents; ``kept`` cuts them at the quantile that the share of bad labels asks for."""
+    docs, labels = _table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "labels")
+    model = quality.fit(docs.where(quality.in_training()), labels.where(quality.in_training()))
+    scores = quality.ranked(docs, model).select("doc_id", quality.held_out().alias("held_out"), "quality.margin", "quality.score")
+    return quality.thresholded(scores, 1 - model.preferred).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_kneser_ney": op2_kneser_ney,
@@ -115,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_templates": op9_url_templates,
     "op10_language": op10_language,
+    "op13_quality": op13_quality,
 }
 
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

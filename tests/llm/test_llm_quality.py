@@ -1,0 +1,136 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from lakehist.llm import quality
+from lakehist.llm.queries import op13_quality
+from lakehist.llm.words import SPACED, words
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute_features(text):
+    """Shares and bucket frequencies of one text, position by position."""
+    raw = (text or "").encode()
+    split = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    lowered = [w.lower() for w in split]
+    size, many = max(len(raw), 1), max(len(split), 1)
+    signs = [rb"A-Z", rb"0-9", rb".,;:!?'\"()\-", rb"#$%&*+/<=>@\[\\\]^_`{|}~", rb"\n\r", rb"\x80-\xff"]
+    dense = [len(re.findall(b"[" + s + b"]", raw)) / size for s in signs]
+    dense += [
+        np.log1p(len(split)), sum(map(len, split)) / many / 10, sum(a == b for a, b in zip(lowered, lowered[1:])) / many,
+        np.log1p(len(set(lowered))) / max(np.log1p(len(split)), 1), sum(len(w) <= 2 for w in split) / many,
+    ]
+    pairs, own = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for a, b in zip(raw, raw[1:]):
+        pairs[quality._PAIR_BUCKET[256 * a + b]] += 1 / size
+    for w in lowered:
+        own[int(words(pa.array([w.decode()]), SPACED).hashes[0]) % quality.BUCKETS] += 1 / many
+    return np.concatenate([dense, pairs, own])
+
+
+TEXTS = ["", None, "One two TWO two, 3!\n", "straße é é " * 40, "a", "  ", "x" * 5_000, "日本 語", "#$ 12 {}"]
+
+
+def test_features_and_margins_against_brute_force():
+    found = quality.Texts(pa.array(TEXTS, pa.string()))
+    expected = np.stack([brute_features(t) for t in TEXTS])
+    np.testing.assert_allclose(found.features(), expected, atol=1e-6)
+    weights = np.random.default_rng(1).normal(size=expected.shape[1])
+    np.testing.assert_allclose(found.margins(weights), expected @ weights, atol=1e-6)
+    np.testing.assert_allclose(quality.Texts(pa.array(TEXTS, pa.string()).slice(2, 3)).margins(weights), (expected @ weights)[2:5], atol=1e-6)
+
+
+def test_ranking_recovers_preferences():
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(300, quality.DENSE))
+    true = rng.normal(size=quality.DENSE)
+    order = np.argsort(rows @ true)
+    w = quality.bradley_terry(rows[order[150:]], rows[order[:150]])
+    assert np.corrcoef(rows @ w, rows @ true)[0, 1] > 0.95
+
+
+def prose(rng, n, words):
+    return " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    rng = random.Random(3)
+    good = [prose(rng, rng.randrange(5, 60), ["river", "stone", "light", "of", "the", "walks", "old"]) for _ in range(150)]
+    bad = [prose(rng, rng.randrange(5, 60), ["BUY", "now!!", "$$$", "click", "click", "|"]) for _ in range(60)]
+    rows = [(i, t, int(i < len(good))) for i, t in enumerate(good + bad)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    return docs, labels
+
+
+def test_held_out_documents_are_told_apart(judged):
+    docs, labels = judged
+    model = quality.fit(docs.where(quality.in_training()), labels.where(quality.in_training()))
+    assert abs(model.preferred - 150 / 210) < 0.05
+    rows = quality.ranked(docs, model).where(quality.held_out()).join(labels.withColumnRenamed("quality", "label"), "doc_id").collect()
+    assert len(rows) > 20
+    assert all((r["quality"]["score"] >= 0.3) == r["label"] for r in rows)
+
+
+def test_every_word_of_a_long_text_counts(judged):
+    docs, labels = judged
+    model = quality.fit(docs, labels)
+    good, bad = "The river walks of old stone light. " * 2_000, "BUY now!! $$$ | " * 8_000
+    found = model.scores(quality.Texts(pa.array([good, good + bad])).margins(model.weights))
+    assert found[0] > 0.9 > found[1]
+
+
+def test_labels_repeated_contradicted_null_and_unknown(spark, judged):
+    docs, labels = judged
+    plain = quality.fit(docs, labels)
+    more = labels.unionAll(labels).unionAll(
+        spark.createDataFrame([(0, 0), (1, None), (None, 0), (99_999, 0)], "doc_id long, quality int"))
+    same = quality.fit(docs.unionAll(docs.limit(20)), more)
+    assert same.preferred == plain.preferred
+    np.testing.assert_array_equal(same.weights, plain.weights)
+
+
+def test_odd_documents(spark, odd_docs, judged):
+    model = quality.fit(*judged)
+    docs = odd_docs.withColumnRenamed("source", "quality").withColumnRenamed("text", "Text")
+    found = quality.ranked(docs, model)
+    assert found.columns == [*docs.columns, "_quality"]
+    rows = found.collect()
+    assert len(rows) == odd_docs.count()
+    assert all(0 <= r["_quality"]["score"] <= 1 for r in rows)
+    twice = [r["_quality"] for r in rows if r["doc_id"] == 9]
+    assert twice[0] == twice[1]
+    empty = {r["_quality"]["score"] for r in rows if not (r["Text"] or "")}
+    assert len(empty) == 1
+
+
+def test_without_labels_or_documents(spark, odd_docs, no_docs, judged):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    blind = quality.fit(odd_docs, none)
+    assert {r["quality"]["score"] for r in quality.ranked(odd_docs, blind).collect()} == {0.5}
+    one = quality.fit(odd_docs, spark.createDataFrame([(1, 1), (9, 1)], "doc_id long, quality int"))
+    assert {r["quality"]["score"] > 0.9 for r in quality.ranked(odd_docs, one).collect()} == {True}
+    scores = quality.ranked(no_docs, quality.fit(*judged)).select("quality.score")
+    assert quality.cut_at(scores, 0.2) is None
+    assert quality.thresholded(scores, 0.2).collect() == []
+
+
+def test_the_cut_is_a_quantile_and_keeps_ties_together(spark):
+    scores = spark.createDataFrame([(float(i // 10),) for i in range(100)], "score double")
+    rows = quality.thresholded(scores, 0.35).collect()
+    assert {r["kept"] for r in rows if r["score"] == 3} == {True}
+    assert sum(r["kept"] for r in rows) == 70
+
+
+def test_registered_query(spark):
+    rows = op13_quality(spark, SF_DIR).collect()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in docs.collect())
+    assert all(r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    told = [r["predicted"] == labels[r["doc_id"]] for r in rows if r["doc_id"] in labels and not r["held_out"]]
+    assert np.mean(told) > 0.95
