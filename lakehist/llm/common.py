@@ -36,6 +36,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: its plan runs once, and its lineage is cut."""
+    path = scratch(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front as long as ``df`` has such a column."""
     taken = {c.lower() for c in df.columns}

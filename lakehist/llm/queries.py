@@ -12,6 +12,7 @@ from lakehist.llm.decontaminate import contamination
 from lakehist.llm.exact import exact_groups
 from lakehist.llm.minhash import near_duplicates
 from lakehist.llm.mixing import dealt, mix
+from lakehist.llm.phrases import collocations
 from lakehist.llm.sharding import hilbert_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +103,10 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(_table(spark, sf, "documents"))
+
+
 def op13_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of all documents; ``kept`` cuts them at the quantile that the share of bad labels asks for."""
     docs, labels = _table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "labels")
@@ -123,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_templates": op9_url_templates,
     "op10_language": op10_language,
+    "op12_collocations": op12_collocations,
     "op13_quality": op13_quality,
 }
 
@@ -269,3 +275,31 @@ ORACLE["op7_conversations"] = ORACLE["op7_tool_calls"] + r"""
         SELECT conv_id, 0, 2, turn, NULL, NULL, 'plain', '',
           '{"content":' || to_json(text) || coalesce(',"role":' || to_json(role), '') || ',"turn":' || turn || '}'
         FROM turns WHERE role IS NULL OR role NOT IN ('user', 'assistant')"""
+
+ORACLE["op12_collocations"] = f"""
+        WITH lowered AS (SELECT coalesce(lang, 'und') AS lang, {_ASCII_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+        pieces AS (
+          SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+          FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered)),
+        places AS (
+          SELECT lang, ws, d, unnest(generate_series(1, len(ws) - d + 1)) AS p
+          FROM pieces, (VALUES (1), (2), (3), (4)) AS depths(d) WHERE len(ws) >= d),
+        grams AS (SELECT lang, d, ws[p:p + d - 1] AS g, count(*) AS f FROM places GROUP BY ALL),
+        candidates AS (SELECT lang, d, g, f AS a FROM grams WHERE d > 1 AND f >= 30),
+        cuts AS (
+          SELECT c.lang, c.d, c.g, c.a, k, l.f AS l, r.f AS r, (CAST(2000000 AS HUGEINT) * c.a) // (l.f + r.f) AS score
+          FROM (SELECT *, unnest(generate_series(1, d - 1)) AS k FROM candidates) c
+          JOIN grams l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN grams r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+        inner_parts AS (
+          SELECT lang, f, g[p:p + e - 1] AS g
+          FROM (SELECT lang, a AS f, g, e, unnest(generate_series(1, d - e + 1)) AS p
+            FROM candidates, (VALUES (2), (3)) AS lengths(e) WHERE e < d)),
+        longer AS (SELECT lang, g, max(f) AS f FROM inner_parts GROUP BY lang, g),
+        kept AS (
+          SELECT c.*, array_to_string(c.g, ' ') AS phrase FROM lowest c LEFT JOIN longer o ON o.lang = c.lang AND o.g = c.g
+          WHERE o.f IS NULL OR 100 * o.f < 80 * c.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+          CAST(score AS BIGINT) AS score
+        FROM kept JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE d = 1 GROUP BY lang) USING (lang)
+        QUALIFY rank <= 2000"""
