@@ -14,6 +14,7 @@ from lakehist.llm.minhash import near_duplicates
 from lakehist.llm.mixing import dealt, mix
 from lakehist.llm.phrases import collocations
 from lakehist.llm.sharding import hilbert_shards
+from lakehist.llm.spelling import spelling_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,10 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations(_table(spark, sf, "documents"))
 
@@ -128,6 +133,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_templates": op9_url_templates,
     "op10_language": op10_language,
+    "op11_spelling": op11_spelling,
     "op12_collocations": op12_collocations,
     "op13_quality": op13_quality,
 }
@@ -303,3 +309,44 @@ ORACLE["op12_collocations"] = f"""
           CAST(score AS BIGINT) AS score
         FROM kept JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE d = 1 GROUP BY lang) USING (lang)
         QUALIFY rank <= 2000"""
+
+# The checksum takes a bit at a time; letters are one byte, or 195 and another.
+ORACLE["op11_spelling"] = f"""
+        WITH RECURSIVE lowered AS (
+          SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, {_ASCII_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+        runs AS (
+          SELECT id, run, count(*) AS n
+          FROM (SELECT id, unnest(regexp_extract_all(t, '[a-zÀ-ÿ]+')) AS run FROM lowered) WHERE len(run) >= 6 GROUP BY id, run),
+        bits AS (
+          SELECT run, n, flatten(list_transform(
+            flatten(list_transform(string_split(id || ':' || run, ''),
+              lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END)),
+            lambda b: [b & 1, (b >> 1) & 1, (b >> 2) & 1, (b >> 3) & 1, (b >> 4) & 1, (b >> 5) & 1, (b >> 6) & 1, (b >> 7) & 1])) AS bits
+          FROM runs),
+        sums AS (
+          SELECT run, n, xor(4294967295, list_reduce([4294967295] || list_transform(bits, lambda b: CAST(b AS BIGINT)),
+            lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) AS h
+          FROM bits),
+        words AS (
+          SELECT word, CAST(sum(n) AS BIGINT) AS n
+          FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word FROM sums)
+          WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        cut AS (
+          SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+          FROM (SELECT word, n, unnest(generate_series(1, len(word))) AS p FROM words)),
+        near AS (
+          SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (p, rest) WHERE a.word <> b.word
+          UNION SELECT cut.word, words.word, words.n FROM cut JOIN words ON words.word = cut.rest
+          UNION SELECT words.word, cut.word, cut.n FROM cut JOIN words ON words.word = cut.rest),
+        best AS (
+          SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, other_n FROM near
+          QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1),
+        told AS (
+          SELECT word, CASE WHEN other_n >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+            CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+        followed AS (
+          SELECT word, word AS reached FROM told
+          UNION ALL SELECT f.word, t.form FROM followed f JOIN told t ON t.word = f.reached WHERE t.form IS NOT NULL)
+        SELECT told.word, told.form, reached AS root, told.n, told.n_near, told.form_n
+        FROM told JOIN followed USING (word) JOIN told last ON last.word = reached AND last.form IS NULL"""
