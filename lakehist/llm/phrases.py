@@ -42,8 +42,8 @@ ABSORBED = 80
 BEST = 2000
 #: Text whose suffixes a shard sorts on average. A suffix takes some 60 bytes while it is sorted.
 SHARD_BYTES = 8 << 20
-#: Text that is read at a time, suffixes that a task holds before it sends them on, and words before it sends their counts.
-SLICE_BYTES, HELD, HELD_WORDS = 4 << 20, 1_500_000, 500_000
+#: Text that is read at a time, and words that a task holds before it sends their counts.
+SLICE_BYTES, HELD_WORDS = 4 << 20, 300_000
 #: Parts in which a language's candidates are ranked before the whole.
 SALTS = 64
 
@@ -93,8 +93,8 @@ class Tokens:
             if n > k:
                 own[:-k] = np.where(self.piece[k:] == self.piece[:-k], self.word[k:], np.uint64(0))
             columns.append(own)
-        many = columns[1] != 0
-        return [c[many] for c in columns]
+        self.many = columns[1] != 0
+        return [c[self.many] for c in columns]
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
@@ -152,54 +152,62 @@ def _pack(a: np.ndarray) -> bytes:
 
 
 def _route(batches: Iterator[pa.RecordBatch], shards: int, hot: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Blobs of suffixes, one for each shard that has any; words are places in a list of the blob's own."""
-    held: list[list[np.ndarray]] = []
-
-    def out() -> Iterator[pa.RecordBatch]:
-        columns = [np.concatenate(c) for c in zip(*held)]
-        order = np.argsort(_chained(*columns), kind="stable")
-        columns = [c[order] for c in columns]
-        new = np.zeros(len(order), bool)
-        new[:1] = True
+    """Blobs of the distinct suffixes of a slice, one for each shard that has any; words are places in a list of the blob's own."""
+    for tokens in _slices(batches):
+        columns = tokens.suffixes()
+        path = _chained(*columns)
+        order = np.argsort(path)
+        new = np.ones(len(order), bool)
+        new[1:] = path[order[1:]] != path[order[:-1]]
         for c in columns:
-            new[1:] |= c[1:] != c[:-1]
-        at = np.flatnonzero(new)
-        n = np.diff(np.append(at, len(order)))
+            new[1:] |= c[order[1:]] != c[order[:-1]]
+        starts = np.flatnonzero(new)
+        at, n = order[starts], np.diff(np.append(starts, len(order)))
         columns = [c[at] for c in columns]
         by, path = _paths(columns, hot)
         shard = ((path >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-        known, place = np.unique(np.concatenate([[np.uint64(0)], *columns]), return_inverse=True)
-        places = place[1:].reshape(LONGEST, -1)
-        order = np.lexsort((places[0], by, shard))
+        # Every word of a suffix is one of the slice: the suffix's first is looked up, the others stand behind it.
+        known, place = np.unique(tokens.word, return_inverse=True)
+        place = np.append(place.reshape(-1).astype(np.int32) + 1, np.zeros(LONGEST, np.int32))
+        at = np.flatnonzero(tokens.many)[at]
+        places = np.stack([np.where(c > 0, place[at + k], 0) for k, c in enumerate(columns)])
+        known = np.concatenate([[np.uint64(0)], known])
+        order = np.argsort(shard * len(known) + places[0], kind="stable")
         shard, by, n, places = shard[order], by[order], n[order], places[:, order]
-        bounds = np.searchsorted(shard, np.arange(shards + 1)) if shards < len(shard) else None
-        starts = bounds[:-1][np.diff(bounds) > 0] if bounds is not None else np.flatnonzero(np.append(True, np.diff(shard) > 0))
-        stops = np.append(starts[1:], len(shard))
-        rows, size = [], 0
-        for a, b in zip(starts.tolist(), stops.tolist()):
-            own, inner = np.unique(places[:, a:b], return_inverse=True)
-            inner = inner.reshape(LONGEST, -1)
-            data = len(own).to_bytes(8, "little") + known[own].tobytes() + b"".join(_pack(c) for c in (*inner, by[a:b], n[a:b]))
-            rows.append((int(shard[a]), b - a, data))
-            size += len(data)
-            if size > 8 << 20:
-                yield _blobs(rows)
-                rows, size = [], 0
-        if rows:
-            yield _blobs(rows)
-
-    many = 0
-    for tokens in _slices(batches):
-        held.append(tokens.suffixes())
-        many += len(held[-1][0])
-        if many > HELD:
-            yield from out()
-            held, many = [], 0
-    if many:
-        yield from out()
+        yield from _blobs(_shard_blobs(known, shard, by, n, places))
 
 
-def _blobs(rows: list[tuple]) -> pa.RecordBatch:
+def _shard_blobs(known: np.ndarray, shard: np.ndarray, by: np.ndarray, n: np.ndarray, places: np.ndarray) -> Iterator[tuple]:
+    """``shard, rows, data`` of suffixes sorted by shard, whose words are ``places`` in ``known``."""
+    starts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])[:len(shard)])
+    used = np.zeros(len(known), bool)
+    for a, b in zip(starts.tolist(), np.append(starts[1:], len(shard)).tolist()):
+        few = places[:, a:b]
+        if 64 * few.size < len(known):
+            own, inner = np.unique(few, return_inverse=True)
+            inner = inner.reshape(LONGEST, -1)
+        else:
+            used[few] = True
+            own = np.flatnonzero(used)
+            inner = (np.cumsum(used, dtype=np.int32) - 1)[few]
+            used[own] = False
+        data = len(own).to_bytes(8, "little") + known[own].tobytes() + b"".join(_pack(c) for c in (*inner, by[a:b], n[a:b]))
+        yield int(shard[a]), b - a, data
+
+
+def _blobs(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[2])
+        if size > 8 << 20:
+            yield _blob_batch(held)
+            held, size = [], 0
+    if held:
+        yield _blob_batch(held)
+
+
+def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
     shard, n, data = zip(*rows)
     return pa.record_batch([pa.array(shard, pa.int32()), pa.array(n, pa.int64()), pa.array(data, pa.binary())], names=["shard", "rows", "data"])
 
