@@ -10,9 +10,8 @@ it is there makes it the batch::
     <root>/batch=<n>/attempt=<attempt>/closed/part-*.parquet
 
 Repeating a batch writes beside the published attempt and replaces it by publishing; if it fails, the published
-one stands. A run that lost its driver is simply run again. Batch directories that are neither published nor
-started are the remains of a table whose markers are gone: writing there is refused, since it would start the
-history over.
+one stands. A run that lost its driver is simply run again; of two at once, the second is refused. Batch directories without
+a marker are the remains of a table that lost its markers: writing there is refused, since it would start the history over.
 
 ``state="current_flag"`` declares a history table. There a batch holds every current row, and of the
 closed rows only those that this batch closed. The full table at ``n`` is the current rows of ``n`` plus
@@ -94,11 +93,10 @@ class BatchTable:
         return max(known, default=None)
 
     def write(self, df: DataFrame, batch: int, clustered: bool = False) -> None:
-        """Write and publish one batch.
+        """Write and publish one batch; a job that another one overtakes raises ``FileExistsError`` and publishes nothing.
 
-        ``clustered=True`` says that ``df`` comes out of a join on the bucketed keys, so each task already
-        holds whole buckets. Otherwise a bucketed write shuffles first: without that, every task would
-        write a file for every bucket.
+        ``clustered=True`` says that ``df`` comes out of a join on the bucketed keys, so each task already holds whole
+        buckets. Otherwise a bucketed write shuffles first, or every task would write a file for every bucket.
         """
         spark = df.sparkSession
         known, begun = self.published(spark), self._begun(spark)
@@ -106,15 +104,14 @@ class BatchTable:
         own = [m.attempt for n, m in known.items() if n == batch] + [k for n, k in begun if n == batch]
         attempt = 1 + max(own, default=-1)
         target = self._path(batch, attempt)
-        files.touch(spark, f"{self.root}/{_STARTED}/{batch}-{attempt}")
+        files.claim(spark, f"{self.root}/{_STARTED}/{batch}-{attempt}")  # of two jobs at once, one gets no further
         if self.buckets and not clustered:
             df = df.repartition(self.buckets, *self.keys)
         writer = df.write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "static")
         if self.state:
             writer = writer.partitionBy(self.state)
         if self.buckets:
-            # Spark writes buckets only through a catalog entry. The entry is external and dropped at once:
-            # the marker carries the bucket count, so nothing depends on a lasting catalog.
+            # Spark writes buckets only through a catalog entry. It is dropped at once: the marker has the bucket count.
             entry = _entry_name()
             try:
                 writer.bucketBy(self.buckets, *self.keys).option("path", f"{target}/rows").saveAsTable(entry)
@@ -124,6 +121,8 @@ class BatchTable:
             writer.save(f"{target}/rows")
         if self.state:
             self._compact_closed(spark, target)
+        if self.published(spark).get(batch) != known.get(batch):
+            raise FileExistsError(f"another job has published batch {batch} of {self.root} in the meantime")
         files.touch(spark, f"{self.root}/{_PUBLISHED}/{batch}-{attempt}-{self.buckets}")
         self._drop_others(spark, batch, attempt, known, begun)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,6 +59,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop_path, True).close()
 
 
+def claim(spark: SparkSession, path: str) -> None:
+    """Create an empty file, or raise ``FileExistsError``: of several that try, one gets it.
+
+    This is the store's own atomic create. Hadoop's for local files looks first and creates then, so Java's stands in.
+    """
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    if fs.getUri().getScheme() == "file":
+        created = spark._jvm.java.io.File(hadoop_path.toUri().getPath()).createNewFile()
+    else:
+        try:
+            fs.create(hadoop_path, False).close()
+            created = True
+        except Py4JJavaError as refused:  # which exception says so differs from store to store
+            if not fs.exists(hadoop_path):
+                raise
+            raise FileExistsError(path) from refused
+    if not created:
+        raise FileExistsError(path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

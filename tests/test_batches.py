@@ -1,3 +1,4 @@
+import threading
 from pathlib import Path
 
 import pytest
@@ -6,6 +7,7 @@ from lakehist.functions import AsOf
 from lakehist.operators import scd2_bootstrap, scd2_delta, scd2_merge
 from lakehist.operators.scd2 import CURRENT
 from lakehist.sources import BatchTable, SinkSpec, publish, read_snapshot, scratch_dir, superset
+from lakehist.sources import files
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -246,3 +248,77 @@ def test_scratch_folders_are_fresh_and_shared(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second and first.startswith(shared) and second.startswith(shared)
+
+
+def _two_at_once(spark, table, monkeypatch, meet):
+    """Two merges of batch 1 in threads that wait for each other in ``meet``; what each of them raised."""
+    apply(spark, table, 0, SNAPSHOTS[0])
+    barrier, outcomes, original = threading.Barrier(2, timeout=60), {}, getattr(BatchTable, meet)
+
+    def waits(self, *args):
+        found = original(self, *args)
+        if threading.current_thread().name in ("one", "two") and not getattr(threading.current_thread(), "met", False):
+            threading.current_thread().met = True
+            barrier.wait()
+        return found
+
+    monkeypatch.setattr(BatchTable, meet, waits)
+
+    def job(rows):
+        name = threading.current_thread().name
+        try:
+            apply(spark, table, 1, rows)
+            outcomes[name] = None
+        except Exception as error:
+            outcomes[name] = error
+
+    threads = [threading.Thread(target=job, args=(rows,), name=name) for name, rows in (("one", SNAPSHOTS[1]), ("two", SNAPSHOTS[2]))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    return outcomes
+
+
+def test_of_two_merges_at_once_one_publishes(spark, table, monkeypatch):
+    """Both have listed the same state; the one that does not get the attempt writes nothing."""
+    outcomes = _two_at_once(spark, table, monkeypatch, "_begun")
+    [failed] = [n for n, e in outcomes.items() if e is not None]
+    assert isinstance(outcomes[failed], FileExistsError)
+    monkeypatch.undo()
+    assert table.latest(spark) == 1
+    assert [p.name for p in Path(table.root).glob("batch=1/*")] == ["attempt=0"]
+    winner = SNAPSHOTS[1] if failed == "two" else SNAPSHOTS[2]
+    assert sorted(r["id"] for r in table.read(spark).collect()) == sorted(r[0] for r in winner)
+    apply(spark, table, 1, SNAPSHOTS[1])  # and a run of its own goes on from there
+    assert table.read_history(spark).count() == 5
+
+
+def test_a_merge_that_was_overtaken_does_not_publish(spark, table):
+    """A second job starts and publishes while the first still writes."""
+    apply(spark, table, 0, SNAPSHOTS[0])
+    slow = scd2_delta(table.read(spark, 0), snapshot(spark, *SNAPSHOTS[1]), SPEC, DAYS[1])
+    refuse = BatchTable._refuse_remains
+
+    def overtaken(self, *args):
+        refuse(self, *args)
+        if not overtaken.done:
+            overtaken.done = True
+            files.claim(spark, f"{self.root}/_started/1-0")
+            apply(spark, self, 1, SNAPSHOTS[2])
+
+    overtaken.done = False
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(BatchTable, "_refuse_remains", overtaken)
+        with pytest.raises(FileExistsError):
+            table.write(slow, 1, clustered=table.buckets > 0)
+    assert sorted(r["id"] for r in table.read(spark, 1).collect()) == sorted(r[0] for r in SNAPSHOTS[2])
+
+
+def test_a_claim_is_granted_once(spark, tmp_path):
+    path = str(tmp_path / "deep" / "claim")
+    files.claim(spark, path)
+    for _ in range(2):
+        with pytest.raises(FileExistsError):
+            files.claim(spark, path)
+    assert files.exists(spark, path)
