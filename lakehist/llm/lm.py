@@ -24,11 +24,12 @@ With ``c`` the count of a bigram, ``D`` the discount for that count (the usual e
 where ``back`` is the mass that discounting leaves over. A word never seen gets ``back' / (V + 1)``.
 
 Order 3 puts ``p(w | u v)`` on top, from the counts of trigrams; ``c(v w)`` is then ``N1+(* v w)``, the number of
-distinct words before it, but for bigrams of the start symbol, which nothing precedes: they keep their counts. The
-second pass counts trigrams, in shards by their middle word. Such a shard has all that follows a pair of words and all
-that precedes one, so it makes the bigrams as well. Trigrams of a hot word are spread by all three words; what they add
-to pairs is summed in a pass of its own.
+distinct words before it, but for bigrams of the start symbol, which nothing precedes: they keep their counts. Its passes, and how it
+is stored, are in :mod:`lakehist.llm.trigrams`.
 
+* Counts have 64 bits. In files they take less where they fit, and larger ones stand in a table beside them.
+* The shared folder must be in a store that pyarrow can open (``file``, ``hdfs``, ``s3``, ``gs``, ``abfss``): others are refused before
+  any work is done.
 * Null text counts as empty and scores as the end token alone. An empty training set gives the uniform model over
   one token. Repeated rows count as often as they occur; further columns are ignored.
 * Files are written under a name of their own and renamed, and their content depends on the counts alone, so a task
@@ -52,16 +53,16 @@ from pyspark.sql import functions as F
 from lakehist.llm.common import quoted, scratch, slices
 from lakehist.llm.words import mixed, words
 
-#: Shards of the model. Choose it so that a shard's bigrams (12 bytes each) fit a task several times over.
-SHARDS = 512
+#: Text whose n-grams a shard of the model has, and shards at most (words are dealt by 32 bits of their hashes).
+SHARD_BYTES, MOST_SHARDS = 8 << 20, 1 << 16
 #: Text that is counted at a time, and distinct entries that a task holds before it sends them on.
 SLICE_BYTES, HELD = 4 << 20, 1_500_000
 
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _BLOB = "shard int, kind int, rows long, data binary"
 #: Kinds of blobs: word counts; bigram counts; what follows a word; what it follows; sums; trigram counts; what precedes a
-#: bigram of a hot word; what follows a pair that ends with a hot word.
-_WORD, _BIGRAM, _CONTEXT, _AFTER, _STATS, _TRIGRAM, _PAIR, _LINK = range(8)
+#: bigram of a hot word.
+_WORD, _BIGRAM, _CONTEXT, _AFTER, _STATS, _TRIGRAM, _PAIR = range(7)
 
 
 def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -76,20 +77,6 @@ def _bigram(first: np.ndarray, second: np.ndarray, hot: np.ndarray) -> np.ndarra
     return np.where(np.isin(first, hot), both, led)
 
 
-def _trigram(first: np.ndarray, second: np.ndarray, third: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Hashes of trigrams that lead with 16 bits of the middle word's; those of a hot middle word with bits of all."""
-    odd = np.uint64(0x9E3779B97F4A7C15)
-    return _bigram(second, mixed(mixed(first * odd + second) * odd + third), hot)
-
-
-def _earlier(before: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """For every token the one two before it; the start symbol for the first two of a text."""
-    out = np.empty_like(before)
-    out[1:] = before[:-1]
-    out[bounds[:-1]] = _START
-    return out
-
-
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every token (words and end) its hash, that of the token before it, and the bounds of the texts."""
     split = words(texts)
@@ -131,19 +118,6 @@ def _unpacked(data: bytes, rows: int, arrays: int, counts_from: int) -> list[np.
     return out
 
 
-def _coded(first: np.ndarray, second: np.ndarray, third: np.ndarray, n: np.ndarray) -> bytes:
-    """Trigrams as places in a list of their words, which takes fewer bytes than three hashes each."""
-    word, at = np.unique(np.concatenate([first, second, third]), return_inverse=True)
-    return len(word).to_bytes(8, "little") + _packed(word) + _packed(*at.reshape(3, -1), n)
-
-
-def _decoded(data: bytes, rows: int) -> list[np.ndarray]:
-    n = int.from_bytes(data[:8], "little")
-    (word,) = _unpacked(data[8:], n, 1, 1)
-    *at, count = _unpacked(data[9 + 8 * n:], rows, 4, 0)
-    return [*(word[a] for a in at), count]
-
-
 def _blobs(kind: int, shards: int, shard: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple]:
     """Rows of ``_BLOB`` of sorted arrays; ``shard`` need not be sorted."""
     order = np.argsort(shard, kind="stable")
@@ -151,7 +125,7 @@ def _blobs(kind: int, shards: int, shard: np.ndarray, *arrays: np.ndarray) -> It
     for s in range(shards):
         if bounds[s] < bounds[s + 1]:
             rows = order[bounds[s]:bounds[s + 1]]
-            yield s, kind, len(rows), (_coded if kind == _TRIGRAM else _packed)(*(a[rows] for a in arrays))
+            yield s, kind, len(rows), _packed(*(a[rows] for a in arrays))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -189,6 +163,9 @@ class Model:
     low_discounts: np.ndarray = field(default_factory=lambda: np.zeros(4))
     low_left: float = 1.0  # mass the lower order leaves to words never seen
     order: int = 2
+    bases: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # the number of each shard's first word
+    hot_numbers: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    start: tuple[int, ...] = (0, 0, 0, 0)  # what follows the start symbol, as of any other word
     high_discounts: np.ndarray = field(default_factory=lambda: np.zeros(4))  # of trigrams
 
 
@@ -207,7 +184,15 @@ def _counts_of_counts(c: np.ndarray) -> np.ndarray:
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    try:
+        return fs.FileSystem.from_uri(path)
+    except pa.ArrowInvalid as unknown:
+        raise ValueError(
+            f"the model cannot be stored in {path}: pyarrow opens no such store. Set spark.checkpoint.dir to a folder of one "
+            "that it opens (file, hdfs, s3, gs, abfss); s3a:// is s3:// there, with credentials of its own"
+        ) from unknown
 
 
 def _put(path: str, name: str, arrays: list[np.ndarray]) -> None:
@@ -249,10 +234,10 @@ def _get(path: str, name: str, kinds: list[str]) -> list[np.ndarray]:
 
 
 _BIGRAM_FILE = ["<u8", "<u4"]
-#: Pair, tokens after it, and of the words after it those seen 1, 2, 3 or more times.
-_LINK_FILE = ["<u8", "<u8", "<u4", "<u4", "<u4"]
+#: Bigrams of this count and more have it in a file of their own.
+_LARGE, _LARGE_FILE = 2**32 - 1, ["<u8", "<u8"]
 #: Word, count, kinds of words before it, tokens after it, and of the words after it those seen 1, 2, 3 or more times.
-_WORD_FILE = ["<u8", "<u8", "<u4", "<u8", "<u4", "<u4", "<u4"]
+_WORD_FILE = ["<u8"] * 7
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
@@ -295,22 +280,6 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarr
     yield from out()
 
 
-def _count_trigrams(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray) -> Iterator[tuple]:
-    held = [np.zeros(0, np.uint64)] * 4 + [np.zeros(0, np.int64)]  # trigram, its words, count
-    for texts in _texts(batches):
-        token, before, bounds = _tokens(texts)
-        found = [_earlier(before, bounds), before, token]
-        key, at, n = np.unique(_trigram(*found, hot), return_index=True, return_counts=True)
-        *held, n = (np.concatenate(a) for a in zip(held, [key, *(a[at] for a in found), n]))
-        order = np.argsort(held[0], kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(held[0][order]) != 0])) if len(order) else order
-        held = [*(a[order[starts]] for a in held), np.add.reduceat(n[order], starts) if len(order) else n]
-        if len(held[0]) > HELD:
-            yield from _blobs(_TRIGRAM, shards, _shard_of(held[0], shards), *held[1:])
-            held = [a[:0] for a in held]
-    yield from _blobs(_TRIGRAM, shards, _shard_of(held[0], shards), *held[1:])
-
-
 def _joined(table: pa.Table, kind: int, arrays: int, hashes: int) -> list[np.ndarray]:
     """The blobs of one kind, each array in one piece."""
     kinds, rows, data = table["kind"].to_pylist(), table["rows"].to_pylist(), table["data"]
@@ -326,7 +295,7 @@ def _merge_words(table: pa.Table, path: str, shards: int) -> pa.Table:
     _put(path, f"counts-{shard}", [word, n])
     top = np.flatnonzero(64 * n >= n.sum())  # 64 at most; they hold what is hot unless the shard has 16 times its share
     return pa.Table.from_batches([_batch([
-        (shard, _STATS, len(word), _packed(np.array([n.sum()]))), (shard, _WORD, len(top), _packed(word[top], n[top])),
+        (shard, _STATS, len(word), _packed(np.array([n.sum()]))), (shard, _WORD, len(top), _packed(word[top], n[top], top)),
     ])])
 
 
@@ -338,7 +307,10 @@ def _merge_bigrams(table: pa.Table, path: str, shards: int, hot: np.ndarray) ->
     key = key[order]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     first, second, n = first[order][starts], second[order][starts], np.add.reduceat(n[order], starts)
-    _put(path, f"bigrams-{shard}", [key[starts], np.minimum(n, 2**32 - 1).astype(np.uint32)])
+    _put(path, f"bigrams-{shard}", [key[starts], np.minimum(n, _LARGE).astype(np.uint32)])
+    large = n >= _LARGE
+    if large.any():
+        _put(path, f"large-{shard}", [key[starts][large], n[large].astype(np.uint64)])
     context = _summed(first, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n > 2).astype(np.int64))
     after = _summed(second, np.ones(len(n), np.int64))
     rows = [
@@ -349,84 +321,6 @@ def _merge_bigrams(table: pa.Table, path: str, shards: int, hot: np.ndarray) ->
     return pa.Table.from_batches([_batch(rows)])
 
 
-def _distinct_bigrams(second: np.ndarray, third: np.ndarray, n: np.ndarray, hot: np.ndarray) -> list[np.ndarray]:
-    """Sorted bigram hashes with their words and the sums of ``n``."""
-    key = _bigram(second, third, hot)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
-    at = order[starts]
-    return [key[starts], second[at], third[at], np.add.reduceat(n[order], starts) if len(key) else n]
-
-
-def _put_bigrams(
-    path: str, name: str, shards: int, key: np.ndarray, first: np.ndarray, second: np.ndarray, n: np.ndarray
-) -> tuple[list[tuple], np.ndarray]:
-    """Writes whole bigrams; what they add to their words, as blobs, and to the sums."""
-    _put(path, name, [key, np.minimum(n, 2**32 - 1).astype(np.uint32)])
-    context = _summed(first, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n > 2).astype(np.int64))
-    after = _summed(second, np.ones(len(n), np.int64))
-    rows = [
-        *_blobs(_CONTEXT, shards, _shard_of(context[0], shards), *context),
-        *_blobs(_AFTER, shards, _shard_of(after[0], shards), *after),
-    ]
-    return rows, np.concatenate([[len(n)], _counts_of_counts(n)])
-
-
-def _put_links(path: str, name: str, links: list[np.ndarray]) -> None:
-    _put(path, name, [a.astype(k) for a, k in zip(links, _LINK_FILE)])
-
-
-def _merge_trigrams(table: pa.Table, path: str, shards: int, hot: np.ndarray) -> pa.Table:
-    shard = table["shard"][0].as_py()
-    blobs = zip(table["rows"].to_pylist(), table["data"])
-    first, second, third, n = (np.concatenate(a) for a in zip(*(_decoded(data.as_py(), rows) for rows, data in blobs)))
-    key = _trigram(first, second, third, hot)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    at = order[starts]
-    key, first, second, third, n = key[starts], first[at], second[at], third[at], np.add.reduceat(n[order], starts)
-    # The first word of a text has no trigram, and its bigram keeps its count.
-    begins = second == _START
-    whole = ~begins
-    _put(path, f"trigrams-{shard}", [key[whole], np.minimum(n[whole], 2**32 - 1).astype(np.uint32)])
-    stats = _counts_of_counts(n[whole])
-    spread = np.isin(second, hot)
-    own, apart = whole & ~spread, whole & spread
-
-    def links(rows: np.ndarray) -> list[np.ndarray]:
-        c = n[rows]
-        sums = [c, *(a.astype(np.int64) for a in (c == 1, c == 2, c > 2))]
-        return _summed(_bigram(second[rows], first[rows], hot), *sums)
-
-    _put_links(path, f"links-{shard}", links(own))
-    sent = links(apart)
-    rows = [*_blobs(_LINK, shards, _shard_of(sent[0], shards), *sent)]
-    preceded = np.where(begins, n, 1)
-    pairs = _distinct_bigrams(second[spread], third[spread], preceded[spread], hot)
-    rows += _blobs(_PAIR, shards, _shard_of(pairs[0], shards), *pairs[1:])
-    more, low = _put_bigrams(path, f"bigrams-{shard}", shards, *_distinct_bigrams(second[own], third[own], preceded[own], hot))
-    rows += [*more, (shard, _STATS, 9, _packed(np.concatenate([low, stats])))]
-    return pa.Table.from_batches([_batch(rows)])
-
-
-def _merge_spread(table: pa.Table, path: str, shards: int, hot: np.ndarray) -> pa.Table:
-    """The pairs of hot words; sums of all words pass through."""
-    shard = table["shard"][0].as_py()
-    _put_links(path, f"spread_links-{shard}", _summed(*_joined(table, _LINK, 5, 1)))
-    pairs = _distinct_bigrams(*_joined(table, _PAIR, 3, 2), hot)
-    rows, low = _put_bigrams(path, f"spread_bigrams-{shard}", shards, *pairs)
-    context, after = _summed(*_joined(table, _CONTEXT, 5, 1)), _summed(*_joined(table, _AFTER, 2, 1))
-    stats = _sums(table, 9) + np.concatenate([low, np.zeros(4, np.int64)])
-    rows += [
-        *_blobs(_CONTEXT, shards, _shard_of(context[0], shards), *context),
-        *_blobs(_AFTER, shards, _shard_of(after[0], shards), *after),
-        (shard, _STATS, 9, _packed(stats)),
-    ]
-    return pa.Table.from_batches([_batch(rows)])
-
-
 def _sums(table: pa.Table, n: int) -> np.ndarray:
     stats = np.zeros(n, np.int64)
     for kind, rows, data in zip(table["kind"].to_pylist(), table["rows"].to_pylist(), table["data"]):
@@ -435,7 +329,7 @@ def _sums(table: pa.Table, n: int) -> np.ndarray:
     return stats
 
 
-def _merge_sums(table: pa.Table, path: str, shards: int, order: int) -> pa.Table:
+def _merge_sums(table: pa.Table, path: str, shards: int) -> pa.Table:
     shard = table["shard"][0].as_py()
     context, total, one, two, more = _summed(*_joined(table, _CONTEXT, 5, 1))
     after, kinds = _summed(*_joined(table, _AFTER, 2, 1))
@@ -451,43 +345,56 @@ def _merge_sums(table: pa.Table, path: str, shards: int, order: int) -> pa.Table
         column[np.searchsorted(word, keys)] = values
         columns.append(column)
     _put(path, f"words-{shard}", [word, *(c.astype(k) for c, k in zip(columns, _WORD_FILE[1:]))])
-    stats = _sums(table, 4 * order - 3)
-    row = (shard, _STATS, 4 * order + 1, _packed(np.concatenate([stats, _counts_of_counts(kinds)])))
+    stats = _sums(table, 5)
+    row = (shard, _STATS, 9, _packed(np.concatenate([stats, _counts_of_counts(kinds)])))
     return pa.Table.from_batches([_batch([row])])
 
 
-def train(docs: DataFrame, text_column: str = "text", shards: int = SHARDS, order: int = 2) -> Model:
+def _shards_for(docs: DataFrame, text_column: str) -> int:
+    size = docs.agg(F.sum(F.octet_length(F.col(quoted(text_column)).cast("string")).cast("long"))).first()[0] or 0
+    return min(MOST_SHARDS, max(1, -(-size // SHARD_BYTES)))
+
+
+def train(docs: DataFrame, text_column: str = "text", shards: int | None = None, order: int = 2) -> Model:
     """Count ``docs`` and write the model to the shared folder; it stays there for whoever scores with it."""
     if order not in (2, 3):
         raise ValueError(f"order {order}: only 2 and 3 are built")
     path = scratch(docs.sparkSession, "lm")
     store, base = _store(path)
     store.create_dir(base)
+    shards = shards or _shards_for(docs, text_column)
     texts = docs.select(F.col(quoted(text_column)).cast("string").alias("text"))
 
     counted = texts.mapInArrow(lambda b: _sent(_count_words(b, shards)), _BLOB)
     stats = counted.groupBy("shard").applyInArrow(lambda t: _merge_words(t, path, shards), _BLOB).collect()
     tokens = sum(int(_unpacked(r["data"], 1, 1, 0)[0][0]) for r in stats if r["kind"] == _STATS)
-    distinct = sum(r["rows"] for r in stats if r["kind"] == _STATS)
-    tops = [_unpacked(r["data"], r["rows"], 2, 1) for r in stats if r["kind"] == _WORD]
-    hot = [w[n > tokens / (4 * shards)] for w, n in tops]
+    sizes = np.zeros(shards, np.int64)
+    for r in stats:
+        if r["kind"] == _STATS:
+            sizes[r["shard"]] = r["rows"]
+    distinct, bases = int(sizes.sum()), np.cumsum(sizes) - sizes
+    tops = [(r["shard"], _unpacked(r["data"], r["rows"], 3, 1)) for r in stats if r["kind"] == _WORD]
+    hot = [w[n > tokens / (4 * shards)] for _, (w, n, _) in tops]
+    numbers = [bases[s] + at[n > tokens / (4 * shards)] for s, (_, n, at) in tops]
     # As many texts as end tokens follow the start symbol.
     hot = np.unique(np.concatenate([*hot, [_START]])).astype(np.uint64)
-    model = Model(path, shards, tokens, distinct, hot, order=order)
+    numbers = np.unique(np.concatenate([*numbers, [distinct]])).astype(np.int64)
+    model = Model(path, shards, tokens, distinct, hot, order=order, bases=bases, hot_numbers=numbers)
     if not tokens:
         return model
 
-    count, merge = (_count_bigrams, _merge_bigrams) if order == 2 else (_count_trigrams, _merge_trigrams)
-    grams = texts.mapInArrow(lambda b: _sent(count(b, shards, hot)), _BLOB)
-    sums = grams.groupBy("shard").applyInArrow(lambda t: merge(t, path, shards, hot), _BLOB)
     if order == 3:
-        sums = sums.groupBy("shard").applyInArrow(lambda t: _merge_spread(t, path, shards, hot), _BLOB)
-    done = sums.groupBy("shard").applyInArrow(lambda t: _merge_sums(t, path, shards, order), _BLOB).collect()
-    totals = sum(_unpacked(r["data"], r["rows"], 1, 0)[0].astype(np.int64) for r in done)
+        from lakehist.llm import trigrams  # builds on this module
+
+        totals = trigrams.count(texts, model)
+        model.high_discounts, model.start = _discounts(totals[5:9]), tuple(int(t) for t in totals[9:13])
+    else:
+        grams = texts.mapInArrow(lambda b: _sent(_count_bigrams(b, shards, hot)), _BLOB)
+        sums = grams.groupBy("shard").applyInArrow(lambda t: _merge_bigrams(t, path, shards, hot), _BLOB)
+        done = sums.groupBy("shard").applyInArrow(lambda t: _merge_sums(t, path, shards), _BLOB).collect()
+        totals = sum(_unpacked(r["data"], r["rows"], 1, 0)[0].astype(np.int64) for r in done)
     model.bigram_kinds = int(totals[0])
     model.discounts, model.low_discounts = _discounts(totals[1:5]), _discounts(totals[-4:])
-    if order == 3:
-        model.high_discounts = _discounts(totals[5:9])
     # The words' kinds sum to N1+(* *); what discounting takes from them goes to all words alike.
     n1, n2 = int(totals[-4]), int(totals[-3])
     rest = distinct - n1 - n2
@@ -505,7 +412,7 @@ class Scorer:
     def _file(self, name: str, shard: int) -> list[np.ndarray] | None:
         if (name, shard) not in self.files:
             try:
-                kinds = _WORD_FILE if name == "words" else _LINK_FILE if name.endswith("links") else _BIGRAM_FILE
+                kinds = {"words": _WORD_FILE, "large": _LARGE_FILE}.get(name, _BIGRAM_FILE)
                 self.files[name, shard] = _get(self.model.path, f"{name}-{shard}", kinds)
             except FileNotFoundError:  # no entry fell into this shard
                 self.files[name, shard] = None
@@ -525,20 +432,6 @@ class Scorer:
                 column[a:b][same] = values[at[same]]
         return out
 
-    def _with_trigrams(self, p: np.ndarray, token: np.ndarray, before: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """The probabilities of tokens after two words, from those after one; the first of a text has but one."""
-        m, earlier = self.model, _earlier(before, bounds)
-        key, back = np.unique(_bigram(before, earlier, m.hot), return_inverse=True)
-        links = [a + b for a, b in zip(self._find("links", key, 4), self._find("spread_links", key, 4))]
-        follows, one, two, more = (a[back] for a in links)
-        left = m.high_discounts[1] * one + m.high_discounts[2] * two + m.high_discounts[3] * more
-        key, back = np.unique(_trigram(earlier, before, token, m.hot), return_inverse=True)
-        c = self._find("trigrams", key, 1)[0][back]
-        seen = (follows > 0) & (before != _START)
-        out = p.copy()
-        out[seen] = (np.maximum(c - m.high_discounts[np.minimum(c, 3)], 0) + left * p)[seen] / follows[seen]
-        return out
-
     def score(self, texts: pa.Array) -> dict[str, np.ndarray]:
         m = self.model
         token, before, bounds = _tokens(texts)
@@ -556,15 +449,15 @@ class Scorer:
         key = _bigram(before, token, m.hot)
         order = np.argsort(key, kind="stable")
         c = np.empty(len(key), np.int64)
-        (c[order],) = self._find("bigrams", key[order], 1)
-        if m.order == 3:
-            c[order] += self._find("spread_bigrams", key[order], 1)[0]
+        (found,) = self._find("bigrams", key[order], 1)
+        large = np.flatnonzero(found == _LARGE)
+        if len(large):
+            (found[large],) = self._find("large", key[order][large], 1)
+        c[order] = found
         follows = total[v]
         seen = follows > 0
         p = low[w]
         p[seen] = (np.maximum(c - m.discounts[np.minimum(c, 3)], 0) + left[v] * p)[seen] / follows[seen]
-        if m.order == 3:
-            p = self._with_trigrams(p, token, before, bounds)
         base = np.log10((n + 0.5) / (m.tokens + 0.5 * (m.distinct + 1)))
         starts = bounds[:-1]
         none = len(starts) == 0
@@ -577,9 +470,13 @@ def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column
     chosen = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.col(quoted(text_column)).cast("string").alias("text"))
     schema = f"doc_id {dict(chosen.dtypes)['doc_id']}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     held = docs.sparkSession.sparkContext.broadcast(model)
+    if model.order == 3:
+        from lakehist.llm.trigrams import Scorer as scorer_of
+    else:
+        scorer_of = Scorer
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value)
+        scorer = scorer_of(held.value)
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
                 found = scorer.score(part.column(1))

@@ -3,8 +3,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from lakehist.llm import lm
+from hypothesis import given
+from hypothesis import strategies as st
+from lakehist.llm import lm, trigrams
 from lakehist.llm.queries import QUERIES
 from pyarrow import fs
 
@@ -171,3 +174,66 @@ def test_query_looks_two_words_back(spark, sf_dir):
     found = {r["doc_id"]: r["score"] for r in QUERIES["op2_kneser_ney"](spark, sf_dir).collect()}
     for r in docs.limit(20).collect():
         assert found[r["doc_id"]] == pytest.approx(brute.score(r["text"]), abs=1e-6)
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    """Three words, one pair and one trigram so frequent that no 32-bit number holds them."""
+    many = 2**33 + 5
+    hashes = np.sort(lm._tokens(pa.array(["a b"]))[0])
+    start = len(hashes)
+    model = lm.Model(str(tmp_path), 1, 3 * many, start, np.array([lm._START]), order=3, bases=np.zeros(1, np.int64), hot_numbers=np.array([start]))
+    lm._put(model.path, "counts-0", [hashes, np.full(start, many)])
+    place = {int(h): i for i, h in enumerate(hashes)}
+    a, b, end = (place[int(h)] for h in lm._tokens(pa.array(["a b"]))[0])
+    grams = sorted([(start, start, a), (a, start, b), (b, a, end)])
+    columns = [np.array(c) for c in zip(*grams)]
+    rows = trigrams._by_shard(lm._TRIGRAM, np.zeros(3, int), [*columns, np.full(3, many)], trigrams._squeezed_trigrams)
+    table = pa.Table.from_batches([lm._batch(list(rows))])
+    for merge in (trigrams._merge_trigrams, trigrams._merge_spread, trigrams._merge_words):
+        table = merge(table, model)
+    totals = trigrams._unsqueezed(table["data"][0].as_py())[0]
+    assert totals[0] == 3 and totals[9:13].tolist() == [many, 0, 0, 1]
+    scorer = trigrams.Scorer(model)
+    shard, (low, high, follows, one, two, more) = scorer._contexts(np.array([start, a]), np.array([a, b]))
+    assert follows.tolist() == [many, many] and more.tolist() == [1, 1]
+    assert scorer._trigrams(shard, low, high, np.array([b, end])).tolist() == [many, many]
+    assert scorer._pairs(np.array([start, a]), np.array([a, b])).tolist() == [many, 1]
+    assert scorer._of_words(np.array([a, -1]))[0].tolist() == [many, 0]
+
+
+def test_bigram_counts_beyond_32_bits(tmp_path):
+    hashes = np.sort(np.array([5, 9], np.uint64))
+    blob = lm._batch([(0, lm._BIGRAM, 2, lm._packed(hashes, hashes[::-1].copy(), np.array([2**34, 7])))])
+    lm._merge_bigrams(pa.Table.from_batches([blob]), str(tmp_path), 1, np.zeros(0, np.uint64))
+    key = np.sort(lm._bigram(hashes, hashes[::-1].copy(), np.zeros(0, np.uint64)))
+    scorer = lm.Scorer(lm.Model(str(tmp_path), 1, 1, 1, np.zeros(0, np.uint64)))
+    (found,) = scorer._find("bigrams", key, 1)
+    (large,) = scorer._find("large", key, 1)
+    assert sorted(found.tolist()) == [7, lm._LARGE] and sorted(large.tolist()) == [0, 2**34]
+
+
+def test_stores_that_cannot_be_opened_are_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        lm._store("s3a://bucket/folder")
+
+
+@given(st.lists(st.tuples(*[st.integers(0, 2**40)] * 2), min_size=1, max_size=60), st.lists(st.integers(0, 2**40), min_size=1, max_size=20))
+def test_runs_planes_and_searches(rows, sought):
+    first, second = (np.array(c) for c in zip(*sorted(rows)))
+    packed = trigrams._unsqueezed(trigrams._squeezed(*trigrams._runs(first, second)))
+    assert [a.tolist() for a in trigrams._of_runs(*packed)] == [first.tolist(), second.tolist()]
+    run = np.unique(second % 2**33)
+    asked = np.array([*sought, *run.tolist()]) % 2**33
+    at = trigrams._find(trigrams._planes(run), np.zeros(len(asked)), np.full(len(asked), len(run)), asked)
+    assert at.tolist() == [run.tolist().index(x) if x in run else -1 for x in asked.tolist()]
+    counts = trigrams._bytes(second)
+    assert trigrams._count(counts, np.arange(len(second))).tolist() == second.tolist()
+
+
+@pytest.mark.parametrize("shards", [1, 7])
+def test_contexts_with_many_successors(spark, shards):
+    """Sums that are stored and sums that are taken from the successors; words never seen anywhere."""
+    rows = [(i, f"so many w{i % 90} w{i % 40} so many") for i in range(200)]
+    train = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(0, "so many w3 w4 so"), (1, "so many unseen so many"), (2, "unseen unseen w1"), (3, "so")], train.schema)
+    compare_three(train, docs, shards)
