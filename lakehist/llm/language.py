@@ -1,10 +1,9 @@
 """Language identification: a bidirectional gated recurrent network over bytes, written and trained in numpy.
 
-The network reads a segment (a word, lower-cased, in pieces of at most ``SEGMENT`` bytes) forwards and backwards and
-gives every byte a probability for each language. A document's probability for a language is the mean over all its
-letter bytes, and the highest one is the prediction. White space resets the state, so equal segments have
-equal labels: every worker keeps the sums of the segments it has seen and computes each distinct one once. All bytes of a
-text are labelled that way, however long it is.
+The network reads windows of a lower-cased text forwards and backwards, across white space, and gives every byte a probability
+for each language. Windows overlap: each labels ``STRIDE`` bytes of its own and reads ``CONTEXT`` more on either side, so that a
+label knows the words around it. All cuts lie between characters, and every byte of a text is labelled once, however long the
+text is. A document's probability for a language is the mean over all its letter bytes; the highest one is the prediction.
 
 Training is backpropagation through time with Adam on a bounded sample: for each language ``CELLS`` rows at most, the
 ones with the smallest hash in each of so many hash cells, and ``SAMPLE_BYTES`` of each. Every label is learned, however
@@ -29,19 +28,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from lakehist.llm.common import fresh, quoted, slices
-from lakehist.llm.words import SPACED, Words, words
+from lakehist.llm.words import LOWER
 
 #: The training sample: rows of each language, bytes of each row.
 CELLS, SAMPLE_BYTES = 256, 1500
 #: How far above chance, of what there is above it, the score of an accepted document lies: 0.3 among four languages.
 ABOVE_CHANCE = 1 / 15
-#: The network: bytes of a segment, units in each direction.
-SEGMENT, UNITS = 24, 16
-STEPS, BATCH, RATE = 500, 384, 0.01
-#: Distinct segments a worker remembers before it starts afresh, and how many it computes at a time.
-REMEMBERED, AT_ONCE = 1 << 20, 4096
-#: With more languages than this fewer segments are remembered and computed at a time, so that memory stays the same.
-MANY = 64
+#: Bytes that a window labels, and that it reads besides on either side.
+STRIDE, CONTEXT = 224, 24
+#: Units in each direction, at least; windows in training: their number, the bytes that they label and read besides.
+UNITS = 8
+STEPS, BATCH, RATE, TRAINED = 600, 96, 0.02, (64, 16)
+#: Windows that are computed at a time; fewer of them with more languages than ``MANY``, so that memory stays the same.
+AT_ONCE, MANY = 1024, 16
 UNKNOWN = "und"
 
 _RESULT = StructType().add("lang_pred", StringType()).add("score", DoubleType())
@@ -52,12 +51,16 @@ def _fewer(n: int, languages: int) -> int:
     return max(1, n * MANY // max(MANY, languages))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _units(languages: int) -> int:
+    """Four for each doubling of the languages."""
+    return max(UNITS, 4 * max(languages - 1, 0).bit_length())
 
 
 class Direction:
-    """One gated recurrent layer; ``z`` says how much of the state stays, ``r`` how much of it the candidate sees."""
+    """One gated recurrent layer; ``z`` says how much of the state stays, ``r`` how much of it the candidate sees.
+
+    Gates are linear between 0 and 1. Rows are windows, the longest first, so those that are as long as any position are the first ones.
+    """
 
     def __init__(self, rng: np.random.Generator | None, units: int) -> None:
         if rng is not None:
@@ -66,43 +69,54 @@ class Direction:
             self.bias = np.zeros(3 * units, np.float32)
         self.units = units
 
-    def run(self, x: np.ndarray, live: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
-        """States after each of the ``x.shape[1]`` bytes; where ``live`` is false the state stays as it is."""
-        n, length, u = x.shape[0], x.shape[1], self.units
-        h, out, tape = np.zeros((n, u), np.float32), np.empty((n, length, u), np.float32), []
-        for t in range(length):
-            given = self.bytes[x[:, t]] + self.bias
-            own = h @ self.state[:, : 2 * u]
-            gates = _sigmoid(given[:, : 2 * u] + own)
-            z, r = gates[:, :u], gates[:, u:]
-            candidate = np.tanh(given[:, 2 * u :] + (r * h) @ self.state[:, 2 * u :])
-            on = live[:, t, None]
-            after = np.where(on, z * h + (1 - z) * candidate, h)
+    def run(self, x: np.ndarray, live: np.ndarray, steps: range, states: np.ndarray, keep: bool = False) -> list:
+        """Fills ``states`` (position, window, unit) in the order of ``steps``; ``live`` is the number of windows at each."""
+        u, kind = self.units, states.dtype
+        given = (self.bytes + self.bias).astype(kind)
+        gate_of, candidate_of = given[:, : 2 * u] / 4 + kind.type(0.5), np.ascontiguousarray(given[:, 2 * u :])
+        of_gates, of_candidate = (self.state[:, : 2 * u] / 4).astype(kind), np.ascontiguousarray(self.state[:, 2 * u :].astype(kind))
+        most, tape = x.shape[1], []
+        state, seen, wide = (np.zeros((most, u), kind), np.empty((most, u), kind), np.empty((most, 2 * u), kind))
+        all_gates, all_candidates = np.empty((most, 2 * u), kind), np.empty((most, u), kind)
+        for t in steps:
+            n = live[t]
+            at, h, gates, candidate = x[t, :n], state[:n], all_gates[:n], all_candidates[:n]
+            np.take(gate_of, at, axis=0, out=gates, mode="clip")
+            gates += np.matmul(h, of_gates, out=wide[:n])
             if keep:
-                tape.append((h, z, r, candidate, on))
-            h = out[:, t] = after
-        return out, tape
-
-    def back(self, x: np.ndarray, tape: list, upstream: np.ndarray) -> list[np.ndarray]:
+                tape.append([h.copy(), (gates > 0) & (gates < 1)])
+            np.maximum(gates, 0, out=gates)
+            np.minimum(gates, 1, out=gates)
+            np.take(candidate_of, at, axis=0, out=candidate, mode="clip")
+            np.multiply(gates[:, u:], h, out=seen[:n])
+            candidate += seen[:n] @ of_candidate
+            np.tanh(candidate, out=candidate)
+            if keep:
+                tape[-1] += [gates.copy(), candidate.copy()]
+            h -= candidate
+            h *= gates[:, :u]
+            h += candidate
+            states[t, :n] = h
+        return tape
+
+    def back(self, x: np.ndarray, live: np.ndarray, steps: range, tape: list, upstream: np.ndarray) -> list[np.ndarray]:
         """Gradients of ``bytes``, ``state`` and ``bias``, given those of the states."""
         u = self.units
         d_bytes, d_state, d_bias = np.zeros_like(self.bytes), np.zeros_like(self.state), np.zeros_like(self.bias)
-        d_h = np.zeros((x.shape[0], u), np.float32)
-        for t in reversed(range(x.shape[1])):
-            h, z, r, candidate, on = tape[t]
-            d_out = d_h + upstream[:, t]
-            d_live = np.where(on, d_out, 0)
-            d_candidate = d_live * (1 - z) * (1 - candidate**2)
-            d_z = d_live * (h - candidate) * z * (1 - z)
+        d_h = np.zeros((x.shape[1], u), upstream.dtype)
+        for t, (h, linear, gates, candidate) in zip(reversed(steps), reversed(tape)):
+            n = live[t]
+            z, r = gates[:, :u], gates[:, u:]
+            d_after = d_h[:n] + upstream[t, :n]
+            d_candidate = d_after * (1 - z) * (1 - candidate**2)
             d_seen = d_candidate @ self.state[:, 2 * u :].T
-            d_r = d_seen * h * r * (1 - r)
-            d_gates = np.concatenate([d_z, d_r], axis=1)
+            d_gates = np.concatenate([d_after * (h - candidate), d_seen * h], axis=1) * linear / 4
             d_all = np.concatenate([d_gates, d_candidate], axis=1)
             d_state[:, : 2 * u] += h.T @ d_gates
             d_state[:, 2 * u :] += (r * h).T @ d_candidate
             d_bias += d_all.sum(0)
-            np.add.at(d_bytes, x[:, t], d_all)
-            d_h = d_live * z + d_seen * r + d_gates @ self.state[:, : 2 * u].T + np.where(on, 0, d_out)
+            np.add.at(d_bytes, x[t, :n], d_all)
+            d_h[:n] = d_after * z + d_seen * r + d_gates @ self.state[:, : 2 * u].T
         return [d_bytes, d_state, d_bias]
 
 
@@ -118,49 +132,82 @@ class Model:
         return [p for d in (self.forward, self.backward) for p in (d.bytes, d.state, d.bias)] + [self.out, self.bias]
 
     def label(self, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Probability of each language at each byte of each segment; what lies behind a segment is not meant."""
-        return self._forward(x, lengths, False)[0]
-
-    def _forward(self, x: np.ndarray, lengths: np.ndarray, keep: bool) -> tuple:
-        live = np.arange(x.shape[1]) < lengths[:, None]
-        there, tape = self.forward.run(x, live, keep)
-        mirrored, live_mirrored = x[:, ::-1], live[:, ::-1]  # padding comes first and leaves the state at zero
-        back, tape_back = self.backward.run(mirrored, live_mirrored, keep)
-        states = np.concatenate([there, back[:, ::-1]], axis=2)
-        logits = states @ self.out + self.bias
-        logits -= logits.max(axis=2, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=2, keepdims=True)
-        return p, states, live, tape, tape_back
+        """Probability of each language at each byte of each window; what lies behind a window is not meant."""
+        order = np.argsort(-lengths, kind="stable")
+        p = np.empty((*x.shape, len(self.languages)), np.result_type(self.out, np.float32))
+        p[order] = self._forward(x[order], lengths[order])[0].transpose(2, 1, 0)
+        return p
+
+    def _forward(self, x: np.ndarray, lengths: np.ndarray, keep: bool = False) -> tuple:
+        """Of windows from long to short: probabilities by language, position and window."""
+        u, longest = self.forward.units, x.shape[1]
+        turned = np.ascontiguousarray(x.T).astype(np.intp)
+        live = np.searchsorted(-lengths, -np.arange(longest), side="left")  # windows longer than each position
+        states = np.zeros((2, longest, len(x), u), np.result_type(self.out, np.float32))
+        steps = range(longest), range(longest - 1, -1, -1)
+        tapes = [d.run(turned, live, s, states[k], keep) for k, (d, s) in enumerate(zip((self.forward, self.backward), steps))]
+        p = sum(o.T @ h.reshape(-1, u).T for o, h in zip((self.out[:u], self.out[u:]), states))
+        p += self.bias[:, None]
+        p -= p.max(axis=0)
+        np.exp(p, out=p)
+        p /= p.sum(axis=0)
+        return p.reshape(-1, longest, len(x)), states, turned, live, steps, tapes
 
     def gradients(self, x: np.ndarray, lengths: np.ndarray, language: np.ndarray) -> list[np.ndarray]:
         """Of the mean cross entropy per byte."""
-        p, states, live, tape, tape_back = self._forward(x, lengths, True)
-        d = p
-        d[np.arange(len(x)), :, language] -= 1
-        d *= live[:, :, None] / np.float32(live.sum())
+        order = np.argsort(-lengths, kind="stable")
+        x, lengths, language = x[order], lengths[order], language[order]
+        d, states, turned, live, steps, tapes = self._forward(x, lengths, True)
+        d = np.ascontiguousarray(d.transpose(1, 2, 0))
+        d[:, np.arange(len(x)), language] -= 1
+        d *= (np.arange(x.shape[1])[:, None] < lengths)[:, :, None] / d.dtype.type(lengths.sum())
         u = self.forward.units
         d_states = d @ self.out.T
         flat = d.reshape(-1, d.shape[2])
         return [
-            *self.forward.back(x, tape, d_states[:, :, :u]),
-            *self.backward.back(x[:, ::-1], tape_back, d_states[:, ::-1, u:]),
-            states.reshape(-1, 2 * u).T @ flat,
+            *self.forward.back(turned, live, steps[0], tapes[0], d_states[:, :, :u]),
+            *self.backward.back(turned, live, steps[1], tapes[1], d_states[:, :, u:]),
+            np.concatenate([h.reshape(-1, u).T @ flat for h in states]),
             flat.sum(0),
         ]
 
 
-def segments(split: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes of the words ``which`` in rows of ``SEGMENT``, their lengths, and which of the words each is of."""
-    starts, sizes = split.starts[which], split.ends[which] - split.starts[which]
-    pieces = -(-sizes // SEGMENT)
-    owner = np.repeat(np.arange(len(which)), pieces)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begin = starts[owner] + nth * SEGMENT
-    lengths = np.minimum(sizes[owner] - nth * SEGMENT, SEGMENT)
-    at = np.minimum(begin.astype(np.int32)[:, None] + np.arange(SEGMENT, dtype=np.int32), len(split.raw) - 1)
-    x = np.where(np.arange(SEGMENT) < lengths[:, None], split.raw[at], 0)
-    return x, lengths, owner
+class Bytes:
+    """A column of texts as lower-cased bytes, cut into windows."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        column = pa.concat_arrays([texts.cast(pa.large_string()).fill_null(""), pa.array([""], pa.large_string())])
+        offsets = np.frombuffer(column.buffers()[1], np.int64, len(column), column.offset * 8)
+        self.raw = np.zeros(int(offsets[-1] - offsets[0]) + 1, np.uint8)
+        if len(self.raw) > 1:
+            np.take(LOWER, np.frombuffer(column.buffers()[2], np.uint8, len(self.raw) - 1, int(offsets[0])), out=self.raw[:-1])
+        self.bounds = offsets - offsets[0]
+
+    def _between(self, at: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The next place between two characters, from ``at`` to ``last``."""
+        for _ in range(3):
+            at = np.where((at < last) & (self.raw[np.minimum(at, len(self.raw) - 1)] & 0xC0 == 0x80), at + 1, at)
+        return np.minimum(at, last)
+
+    def windows(self, stride: int = STRIDE, context: int = CONTEXT) -> tuple[np.ndarray, ...]:
+        """Of each window its text, where it begins and ends, and where what it labels begins and ends."""
+        begin, size = self.bounds[:-1], np.diff(self.bounds)
+        n = -(-size // stride)
+        text = np.repeat(np.arange(len(size)), n)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+        first, last = begin[text], self.bounds[1:][text]
+        own = self._between(first + nth * stride, last)
+        stop = self._between(np.minimum(first + (nth + 1) * stride, last), last)
+        return text, self._between(np.maximum(own - context, first), own), self._between(np.minimum(stop + context, last), last), own, stop
+
+    def rows(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The bytes of windows in rows, zeros behind the short ones."""
+        length = end - start
+        longest = int(length.max()) if len(length) else 0
+        if longest == 0:
+            return np.zeros((len(start), 0), np.uint8)
+        runs = np.lib.stride_tricks.sliding_window_view(np.append(self.raw, np.zeros(longest, np.uint8)), longest)[start]
+        return np.where(np.arange(longest) < length[:, None], runs, 0)
 
 
 def train(texts: list[str], labels: list[str], seed: int = 10) -> Model | None:
@@ -169,18 +216,20 @@ def train(texts: list[str], labels: list[str], seed: int = 10) -> Model | None:
     if not languages:
         return None
     rng = np.random.default_rng(seed)
+    units = _units(len(languages))
     model = Model(
         languages,
-        Direction(rng, UNITS),
-        Direction(rng, UNITS),
-        rng.normal(0, 0.2, (2 * UNITS, len(languages))).astype(np.float32),
+        Direction(rng, units),
+        Direction(rng, units),
+        rng.normal(0, 0.2, (2 * units, len(languages))).astype(np.float32),
         np.zeros(len(languages), np.float32),
     )
-    split = words(pa.array(texts, pa.string()), SPACED)
-    x, lengths, owner = segments(split, np.arange(len(split.hashes)))
-    label = np.array([languages.index(l) for l in labels])[split.text_of_word()[owner]]
-    letters = (_LETTER[x] & (np.arange(SEGMENT) < lengths[:, None])).any(axis=1)
-    pools = [np.flatnonzero(letters & (label == l)) for l in range(len(languages))]
+    split = Bytes(pa.array(texts, pa.string()))
+    text, start, end, _, _ = split.windows(*TRAINED)
+    label = np.array([languages.index(l) for l in labels])[text]
+    letters = np.concatenate([[0], np.cumsum(_LETTER[split.raw])])
+    lettered = letters[end] > letters[start]
+    pools = [np.flatnonzero(lettered & (label == l)) for l in range(len(languages))]
     pools = [p for p in pools if len(p)]
     if len(languages) == 1 or not pools:
         return model
@@ -188,9 +237,11 @@ def train(texts: list[str], labels: list[str], seed: int = 10) -> Model | None:
     squares = [np.zeros_like(p) for p in model.parameters()]
     for step in range(1, STEPS + 1):
         rows = np.concatenate([rng.choice(p, max(1, BATCH // len(pools))) for p in pools])
-        longest = int(lengths[rows].max())
         rate = RATE * min(1, 2 * (1 - step / (STEPS + 1)))
-        for p, g, m, s in zip(model.parameters(), model.gradients(x[rows, :longest], lengths[rows], label[rows]), means, squares):
+        gradients = model.gradients(split.rows(start[rows], end[rows]), end[rows] - start[rows], label[rows])
+        norm = np.sqrt(sum(float((g**2).sum()) for g in gradients))
+        for p, g, m, s in zip(model.parameters(), gradients, means, squares):
+            g = g / max(norm, 1)
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
             p -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
@@ -198,48 +249,26 @@ def train(texts: list[str], labels: list[str], seed: int = 10) -> Model | None:
 
 
 class Labeller:
-    """Sums of the probabilities of segments over their letters; the last column counts the letters."""
+    """Sums of the probabilities of texts over their letter bytes."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.sums = np.zeros((0, len(self.model.languages) + 1), np.float32)
-
-    def of(self, split: Words) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct words' sums, and for each word its row in them."""
-        distinct, first, which = np.unique(split.hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, distinct)
-        found = np.zeros(len(distinct), bool)
-        inside = at < len(self.known)
-        found[inside] = self.known[at[inside]] == distinct[inside]
-        out = np.empty((len(distinct), self.sums.shape[1]), np.float32)
-        out[found] = self.sums[at[found]]
-        new = np.flatnonzero(~found)
-        if len(new):
-            out[new] = self._computed(split, first[new])
-            if len(self.known) + len(new) > _fewer(REMEMBERED, len(self.model.languages)):
-                self.forget()
-                at = np.zeros(len(distinct), np.int64)
-            self.known = np.insert(self.known, at[new], distinct[new])
-            self.sums = np.insert(self.sums, at[new], out[new], axis=0)
-        return out, which.reshape(-1)
-
-    def _computed(self, split: Words, which: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(which), self.sums.shape[1]), np.float32)
+
+    def sums(self, split: Bytes) -> np.ndarray:
+        """A row for each text; the last column counts the letter bytes."""
+        text, start, end, own, stop = split.windows()
+        out = np.zeros((len(split.bounds) - 1, len(self.model.languages) + 1))
+        order = np.argsort(start - end, kind="stable")  # long ones first
         at_once = _fewer(AT_ONCE, len(self.model.languages))
-        for k in range(0, len(which), 1 << 16):  # so many words' bytes at a time
-            x, lengths, owner = segments(split, which[k:k + (1 << 16)])
-            order = np.argsort(lengths, kind="stable")  # segments of one length at a time, hardly any padding
-            for i in range(0, len(order), at_once):
-                rows = order[i:i + at_once]
-                longest = int(lengths[rows[-1]])
-                own, size = x[rows, :longest], lengths[rows]
-                letters = (_LETTER[own] & (np.arange(longest) < size[:, None])).astype(np.float32)
-                p = self.model.label(own, size)
-                np.add.at(out, k + owner[rows], np.concatenate([(p * letters[:, :, None]).sum(1), letters.sum(1)[:, None]], axis=1))
+        for i in range(0, len(order), at_once):
+            some = order[i:i + at_once]
+            x = split.rows(start[some], end[some])
+            p, _, turned, *_ = self.model._forward(x, end[some] - start[some])
+            at = np.arange(x.shape[1], dtype=np.int32)[:, None]
+            first, behind = ((a[some] - start[some]).astype(np.int32) for a in (own, stop))
+            counted = (_LETTER[turned] & (at >= first) & (at < behind)).astype(p.dtype)
+            p *= counted
+            np.add.at(out, text[some], np.concatenate([p.sum(1), counted.sum(0)[None]]).T)
         return out
 
 
@@ -247,26 +276,16 @@ def _predicted(texts: pa.Array, labeller: Labeller | None) -> pa.Array:
     n = len(texts)
     names, scores = np.full(n, UNKNOWN, object), np.zeros(n)
     if labeller is not None and n:
-        split = words(texts, SPACED)
-        sums, which = labeller.of(split)
-        total = np.zeros((n, sums.shape[1]))
-        filled = np.flatnonzero(split.counts)
-        if len(filled):
-            # Runs of words of one text are summed some at a time, so that memory follows the slice.
-            rows = np.concatenate([[0], np.cumsum(split.counts)])
-            for c in range(sums.shape[1]):
-                total[filled, c] = np.add.reduceat(sums[which, c].astype(np.float64), rows[filled])
+        split = Bytes(texts)
+        total = labeller.sums(split)
         letters = total[:, -1]
         mean = total[:, :-1] / np.maximum(letters, 1)[:, None]
         best = mean.argmax(axis=1)
         known = letters > 0
         # Bytes beyond ASCII count as letters above; texts without a letter of ASCII are looked at by character.
-        plain = np.isin(split.raw, np.arange(97, 123))
-        ends = np.concatenate([[0], np.cumsum(plain)])
-        for i in np.flatnonzero(known):
-            a, b = split.bounds[i], split.bounds[i + 1] - 1
-            if ends[split.ends[b]] == ends[split.starts[a]]:
-                known[i] = any(c.isalpha() for c in texts[int(i)].as_py())
+        plain = np.concatenate([[0], np.cumsum((split.raw > 96) & (split.raw < 123))])
+        for i in np.flatnonzero(known & (plain[split.bounds[1:]] == plain[split.bounds[:-1]])):
+            known[i] = any(c.isalpha() for c in texts[int(i)].as_py())
         names[known] = np.array(labeller.model.languages, object)[best[known]]
         scores[known] = np.clip(mean[np.arange(n), best][known], 0, 1)
     return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], names=["lang_pred", "score"])
@@ -297,7 +316,7 @@ def fit(docs: DataFrame, **columns: str) -> Model | None:
 
 def identified(docs: DataFrame, model: Model | None, text_column: str = "text", name: str = "language", slice_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` with one more column ``name`` (underscores in front if taken): a struct of ``lang_pred``, ``score``."""
-    column, at = fresh(docs, name), docs.columns.index(text_column)
+    column, at = fresh(docs, name), [c.lower() for c in docs.columns].index(text_column.lower())
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields]).add(column, _RESULT)
 

@@ -3,7 +3,6 @@ import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from lakehist.llm import language
-from lakehist.llm.words import words
 
 
 def test_gradients_are_those_of_the_loss():
@@ -43,22 +42,96 @@ def test_held_out_accuracy(fitted):
     assert n > 40 and right / n > 0.95
 
 
-def test_remembered_segments_change_nothing(fitted, monkeypatch):
-    _, model = fitted
-    texts = pa.array(["the house and the tree", "das Haus und der Baum", "the house " * 50, "é" * 200])
-    fresh = language._predicted(texts, language.Labeller(model)).to_pylist()
-    labeller = language.Labeller(model)
-    language._predicted(texts.take([2, 1]), labeller)
-    assert language._predicted(texts, labeller).to_pylist() == fresh
-    monkeypatch.setattr(language, "REMEMBERED", 3)
-    assert language._predicted(texts, labeller).to_pylist() == fresh
-
-
-def test_every_byte_is_in_a_segment():
-    split = words(pa.array(["short " + "y" * 100 + " é"]))
-    x, lengths, owner = language.segments(split, np.arange(3))
-    assert np.bincount(owner, lengths).tolist() == [5, 100, 2]
-    assert b"".join(r[:n].tobytes() for r, n in zip(x, lengths)) == b"short" + b"y" * 100 + "é".encode()
+def plain_network(model, text):
+    """Probabilities at every byte of one window, number by number."""
+    raw = [b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+
+    def states(d, order):
+        u, h, out = d.units, [0.0] * d.units, {}
+        for t in order:
+            given = [float(d.bytes[raw[t], j] + d.bias[j]) for j in range(3 * u)]
+            gate = [min(max((given[j] + sum(h[i] * d.state[i, j] for i in range(u))) / 4 + 0.5, 0), 1) for j in range(2 * u)]
+            new = [np.tanh(given[2 * u + j] + sum(gate[u + i] * h[i] * d.state[i, 2 * u + j] for i in range(u))) for j in range(u)]
+            h = [gate[j] * h[j] + (1 - gate[j]) * new[j] for j in range(u)]
+            out[t] = h
+        return out
+
+    there, back = states(model.forward, range(len(raw))), states(model.backward, range(len(raw) - 1, -1, -1))
+    rows = []
+    for t in range(len(raw)):
+        logits = [sum(x * w for x, w in zip(there[t] + back[t], model.out[:, k])) + model.bias[k] for k in range(len(model.languages))]
+        e = np.exp(np.array(logits) - max(logits))
+        rows.append(e / e.sum())
+    return raw, np.array(rows)
+
+
+def plain_score(model, text, stride, context):
+    """Mean probabilities over the letters of a text; windows are cut at character bounds."""
+    raw, sums, n = text.encode(), np.zeros(len(model.languages)), 0
+
+    def between(at):
+        while at < len(raw) and raw[at] & 0xC0 == 0x80:
+            at += 1
+        return min(at, len(raw))
+
+    for k in range(0, len(raw), stride):
+        own, stop = between(k), between(k + stride)
+        start, end = min(between(max(own - context, 0)), own), between(stop + context)
+        lowered, p = plain_network(model, raw[start:end].decode())
+        for t in range(own - start, stop - start):
+            if 97 <= lowered[t] <= 122 or lowered[t] >= 128:
+                sums, n = sums + p[t], n + 1
+    return sums / max(n, 1)
+
+
+@pytest.mark.parametrize("stride, context", [(224, 24), (10, 5), (7, 0), (2, 3)])
+def test_scores_against_a_network_in_plain_loops(stride, context, monkeypatch):
+    rng = np.random.default_rng(5)
+    model = language.Model(
+        ["a", "b", "c"], language.Direction(rng, 3), language.Direction(rng, 3), rng.normal(0, 1, (6, 3)).astype(np.float32), rng.normal(0, 1, 3).astype(np.float32))
+    texts = ["The old House", "größe ÉTÉ", "日本語 text", "12 x!", "a " * 20, "...", "", None]
+    monkeypatch.setattr(language, "AT_ONCE", 3)
+    monkeypatch.setattr(language.Bytes.windows, "__defaults__", (stride, context))
+    found = language._predicted(pa.array(texts, pa.string()), language.Labeller(model)).to_pylist()
+    for text, got in zip(texts, found):
+        if not any(c.isalpha() for c in text or ""):
+            assert got == {"lang_pred": "und", "score": 0}
+            continue
+        want = plain_score(model, text, stride, context)
+        assert got["lang_pred"] == "abc"[int(want.argmax())] and got["score"] == pytest.approx(want.max(), abs=1e-5)
+
+
+def in_order(rng, reverse):
+    """Phrases of the same words, in alphabetical order or against it."""
+    words = ["red", "house", "small", "tree", "river", "stone", "walks", "under", "bright", "old"]
+    return " ".join(w for _ in range(rng.integers(8, 40)) for w in sorted(rng.choice(words, 3, replace=False), reverse=reverse))
+
+
+def test_languages_of_the_same_words_in_another_order_are_told_apart():
+    rng = np.random.default_rng(7)
+    texts, labels = zip(*((in_order(rng, i % 2 == 1), "ab"[i % 2]) for i in range(360)))
+    model = language.train(list(texts[:300]), list(labels[:300]))
+    found = language._predicted(pa.array(texts[300:]), language.Labeller(model)).to_pylist()
+    assert np.mean([f["lang_pred"] == l for f, l in zip(found, labels[300:])]) > 0.9
+
+
+def test_every_byte_is_labelled_once_and_no_character_is_cut():
+    texts = ["short " + "y" * 700 + " é", "", "日本語" * 200, None, "é" * 113, "x"]
+    split = language.Bytes(pa.array(texts, pa.string()))
+    text, start, end, own, stop = split.windows()
+    for i, t in enumerate(texts):
+        raw, begin = (t or "").encode().lower(), split.bounds[i]
+        mine = np.flatnonzero(text == i)
+        assert b"".join(split.raw[own[k]:stop[k]].tobytes() for k in mine) == raw
+        for k in mine:
+            assert split.bounds[i] <= start[k] <= own[k] <= stop[k] <= end[k] <= split.bounds[i + 1]
+            assert own[k] - start[k] > language.CONTEXT - 3 or start[k] == begin
+            raw[start[k] - begin:end[k] - begin].decode(), split.raw[own[k]:stop[k]].tobytes().decode()
+
+
+def test_the_text_column_may_be_written_in_another_case(fitted, odd_docs):
+    found = language.identified(odd_docs.withColumnRenamed("text", "Text"), fitted[1])
+    assert found.count() == odd_docs.count()
 
 
 def test_odd_rows(fitted, odd_docs, no_docs):
