@@ -18,8 +18,13 @@ no bucket with probability 8e-5, one of 0.9 with 5e-12.
 
 1. each bucket takes as its centre the member whose buckets are the fullest (in a group of edited copies, the
    original), and every member is compared with it: links and components;
-2. where what meets a centre still is of several components, those apart from the centre (strays) are compared with all
-   others that meet it, in blocks of ``BLOCK``: by signature, and where that leaves it open, by their sets.
+2. where what meets a centre still is of several components, those apart from the centre (strays) may be linked with others that
+   meet it. Linked sets share one of their rarest shingles: of ``n``, the first ``n - ceil(0.8 n) + 1`` in one order of all
+   shingles, whatever it is. So members come together by those shingles. Up to ``SMALL`` that share one are paired;
+   whoever shares one with more is compared in its family, in blocks of ``BLOCK``. Pages that have no more in common than
+   their frame share no rare shingle, and are not compared at all.
+
+Pairs are ruled out by signature first, then compared by their sets.
 
 The Jaccard distance obeys the triangle inequality: a stray cannot be linked to a member of the centre's component that is
 nearer to the centre by more than a link is long. So clusters that are merely near each other are not taken up again, while
@@ -49,6 +54,10 @@ from lakehist.llm.words import mixed, words
 MAYBE, REACH = 0.70, 0.35
 #: Pairs of one centre and members of one bucket that are compared in one place, text that is hashed at a time.
 PAIRS_PER_SALT, BLOCK, SLICE_BYTES = 512, 512, 4 << 20
+#: Members that share a rare shingle and are paired, and buckets in which shingles are counted to tell the rare ones.
+SMALL, SKETCH = 16, 1 << 18
+#: Digests that a task remembers, so that it signs copies once.
+REMEMBERED = 1 << 18
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -169,7 +178,7 @@ class NearDuplicates:
         self.spark, self.shingle, self.similarity = docs.sparkSession, shingle, similarity
         self.bands, self.rows = bands, rows
         text = text_or_empty(text_column)
-        self.docs = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
+        self.docs = docs.select(F.col(quoted(id_column)).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
         self.nodes = self._nodes()
         self.links: DataFrame | None = None
         self.labels = self.spark.createDataFrame([], "node long, label long")
@@ -185,9 +194,16 @@ class NearDuplicates:
         shingle, bands, rows = self.shingle, self.bands, self.rows
 
         def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[bytes] = set()
             for batch in batches:
                 for part in slices(batch, 2, SLICE_BYTES):
-                    signed = _signed(part.column(2), shingle, bands, rows)
+                    # Copies within a task are signed once; the group takes what any of its rows has.
+                    digests = part.column(1).to_pylist()
+                    new = np.array([d not in seen and not seen.add(d) for d in digests], bool)
+                    place = pa.array(np.cumsum(new) - 1, mask=~new)
+                    signed = [a.take(place) for a in _signed(part.column(2).filter(pa.array(new)), shingle, bands, rows)]
+                    if len(seen) > REMEMBERED:
+                        seen.clear()
                     yield pa.record_batch([part.column(0), part.column(1), *signed], names=["doc_id", "digest", "buckets", "signature"])
 
         kind = dict(self.docs.dtypes)["doc_id"]
@@ -195,8 +211,8 @@ class NearDuplicates:
         nodes = signed.groupBy("digest").agg(
             F.min("doc_id").alias("doc_id"),
             F.count(F.lit(1)).alias("copies"),
-            F.first("buckets").alias("buckets"),
-            F.first("signature").alias("signature"),
+            F.first("buckets", ignorenulls=True).alias("buckets"),
+            F.first("signature", ignorenulls=True).alias("signature"),
         )
         return self._stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -283,21 +299,74 @@ class NearDuplicates:
         # Members linked with the centre itself may agree as little as 0.8, whatever has been seen of them.
         near = F.col("nearest") >= F.least(F.lit(self.similarity), F.col("farthest")) - REACH
         # With one stray and the centre alone, everything has been compared.
-        mixed = mixed.where("all > 2").where(near | (F.col("strays") > 1)).select(
-            "centre",
-            near.alias("near"),
-            F.ceil(F.col("strays") / BLOCK).cast("int").alias("stray_blocks"),
-            F.ceil(F.col("all") / BLOCK).cast("int").alias("all_blocks"),
-        )
+        mixed = mixed.where("all > 2").where(near | (F.col("strays") > 1)).select("centre", near.alias("near"))
         left = rows.join(mixed, "centre").where(F.col("stray") | (F.col("near") & (F.col("node") != F.col("centre"))))
-        left = self._stored(left.select("centre", "node", "label", "stray", "stray_blocks", "all_blocks"), "left")
+        left = self._stored(left.select("centre", "node", "label", "stray"), "left")
         if not left.isEmpty():
             self._link(self._strays(left, sets))
         return self._classes()
 
+    def _rarest(self, left: DataFrame, sets: DataFrame) -> DataFrame:
+        """``shingle, node, label, asks, size``: of each set the shingles one of which it shares with every set linked to it, where
+        another component has the shingle too and a stray is among those that have it."""
+        similarity = self.similarity
+        members = left.groupBy("node").agg(F.first("label").alias("label"), F.max("stray").alias("asks")).join(sets, "node")
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = np.zeros(SKETCH, np.int64)
+            for batch in batches:
+                seen += np.bincount(batch.column(3).flatten().to_numpy() & (SKETCH - 1), minlength=SKETCH)
+            at = np.flatnonzero(seen)
+            yield pa.record_batch([pa.array(at), pa.array(seen[at])], names=["bucket", "n"])
+
+        counted = members.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        sketch = np.zeros(SKETCH, np.int64)
+        sketch[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+        held = self.spark.sparkContext.broadcast(sketch)
+
+        def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                size = np.diff(batch.column(3).offsets.to_numpy())
+                owner, shingle = np.repeat(np.arange(len(size)), size), batch.column(3).flatten().to_numpy()
+                order = np.lexsort((shingle, held.value[shingle & (SKETCH - 1)], owner))
+                nth = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size)
+                some = order[nth < (size - np.ceil(similarity * size - 1e-9) + 1)[owner]]
+                own = pa.array(owner[some])
+                yield pa.record_batch([pa.array(shingle[some]), *(batch.column(c).take(own) for c in range(3))], names=["shingle", "node", "label", "asks"])
+
+        rarest = members.select("node", "label", "asks", "shingles").mapInArrow(first, "shingle long, node long, label long, asks boolean")
+        rarest = self._stored(rarest, "rarest")
+        shared = rarest.groupBy("shingle").agg(
+            F.count(F.lit(1)).alias("size"), F.max("asks").alias("asked"), (F.min("label") != F.max("label")).alias("apart")
+        )
+        return self._stored(rarest.join(shared.where("asked AND apart").select("shingle", "size"), "shingle"), "shared")
+
+    def _asked(self, left: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs of a stray and another that share a rare shingle with few, and the members of ``left`` that share one with many."""
+        rarest = self._rarest(left, sets)
+        few = rarest.where(F.col("size") <= SMALL)
+        pairs = few.where("asks").select("shingle", F.col("node").alias("a"), "label").join(
+            few.select("shingle", F.col("node").alias("b"), F.col("label").alias("other")), "shingle"
+        ).where("label <> other")
+        pairs = pairs.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("centre")).distinct()
+        many = rarest.where(F.col("size") > SMALL).select("node").distinct()
+        return pairs, self._stored(left.join(many, "node", "left_semi"), "many")
+
     def _strays(self, left: DataFrame, sets: DataFrame) -> DataFrame:
-        """Links of a stray with another member of its family, across components, once each."""
+        """Links of a stray with another member of its family, across components."""
+        pairs, many = self._asked(left, sets)
+        agreed = self._agreed(pairs)
+        found = self._verified(agreed.where(F.col("agreement") >= MAYBE).select("node", "centre"), sets)
+        return found.unionByName(self._in_blocks(many, sets))
+
+    def _in_blocks(self, left: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links of strays, each compared with all of its family that are in another component, once each."""
         similarity = self.similarity
+        blocks = left.groupBy("centre").agg(
+            F.ceil(F.sum(F.col("stray").cast("long")) / BLOCK).cast("int").alias("stray_blocks"),
+            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("all_blocks"),
+        )
+        left = left.join(blocks.where("stray_blocks > 0"), "centre")
         own = F.pmod(F.xxhash64("node"), F.col("stray_blocks")).cast("int")
         other = F.pmod(F.xxhash64("node"), F.col("all_blocks")).cast("int")
         every = F.sequence(F.lit(0), F.col("all_blocks") - 1)
@@ -386,7 +455,7 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     kept = run.run().where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "digest").distinct()
     keyed = docs.select(
         F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias(row),
-        F.unhex(F.md5(text_or_empty(text_column))).alias(digest),
+        F.unhex(F.sha2(text_or_empty(text_column), 256)).alias(digest),
         F.col(quoted(id_column)).alias("_id"),
     )
     same = (F.col(f"a.{digest}") == F.col("b.digest")) & F.col("a._id").eqNullSafe(F.col("b.doc_id"))

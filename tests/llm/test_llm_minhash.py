@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from lakehist.llm import minhash
 from lakehist.llm.minhash import components, deduplicated, near_duplicates, prob_minhash
+from pyspark.sql import functions as F
 
 
 def shingle_set(text):
@@ -123,3 +124,57 @@ def test_deduplicated_keeps_columns_and_one_row_a_class(odd_docs, no_docs):
     classes = brute_classes(odd_docs.collect())
     assert kept.count() == len({(c, n) for _, c, n in classes})
     assert deduplicated(no_docs).collect() == []
+
+
+def on_one_frame(n, twins=0):
+    """Pages that share half of their shingles; ``twins`` of them have a near copy."""
+    rng = random.Random(n)
+    frame = [f"frame{i}" for i in range(120)]
+    pages = [[*frame, *(f"own{rng.randrange(10**9)}" for _ in range(60))] for _ in range(n)]
+    return [" ".join(p) for p in pages] + [edited(rng, p, 2) for p in pages[:twins]]
+
+
+def compared(docs):
+    """Members left to compare, pairs listed, and pairs in blocks, of one run over ``docs``."""
+    run, counts = minhash.NearDuplicates(docs, "doc_id", "text", 5, 0.8, 40, 7), [0, 0, 0]
+    ask = run._asked
+
+    def asked(left, sets):
+        pairs, many = ask(left, sets)
+        counts[:2] = left.count(), pairs.count()
+        counts[2] = sum(r["a"] * r["b"] for r in many.groupBy("centre").agg(F.sum(F.col("stray").cast("long")).alias("a"), F.count("*").alias("b")).collect())
+        return pairs, many
+
+    run._asked = asked
+    return run.run().collect(), counts
+
+
+def test_pages_on_one_frame_are_not_compared_with_each_other(spark):
+    """The pairs that are compared grow with the pages, not with their square."""
+    for n in (400, 1600):
+        texts = on_one_frame(n, twins=n // 8)
+        rows, counts = compared(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8))
+        twins = {r["doc_id"]: r["class_id"] for r in rows}
+        assert all(twins[n + i] == i for i in range(n // 8)) and len(set(twins.values())) == n
+        assert counts[0] > n / 4  # there are strays, and none of them is compared with all of its family
+        assert counts[1] <= n and counts[2] == 0
+
+
+@pytest.mark.parametrize("small", [1, 3, 16])
+def test_strays_paired_or_in_blocks_have_the_same_links(spark, monkeypatch, small):
+    monkeypatch.setattr(minhash, "SMALL", small)
+    rng = random.Random(31)
+    texts = on_one_frame(40, twins=6)
+    for group in range(4):  # clusters on one frame, apart from each other
+        base = texts[group * 5].split()
+        texts += [edited(rng, base, rng.randrange(1, 7)) for _ in range(12)]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+
+
+def test_copies_are_signed_once_by_a_task(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = on_one_frame(10) * 6 + ["", None, "short"] * 3
+    rng.shuffle(texts)
+    for most in (0, 4, 1 << 18):
+        monkeypatch.setattr(minhash, "REMEMBERED", most)
+        check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
