@@ -55,14 +55,18 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def running_totals(rows: DataFrame, group: str, tie: Sequence[str], totals: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+def running_totals(
+    rows: DataFrame, group: str, tie: Sequence[str], totals: dict[str, str], first: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Split every group into :data:`SALTS` cells, so that no task has to hold a hot group.
 
-    ``tie`` orders the rows of a group; its first column is a 64-bit hash whose top byte is the cell. Returns
+    ``tie`` orders the rows of a group; its first column is a 64-bit hash whose top byte is the cell. ``first`` (a small
+    number) orders them before it: then each of its values has so many cells. Returns
     the rows with ``_cell``, and one row per group and cell with the sum of each column of ``totals`` in it
     (named by the value) and in the cells of the group before it (``<value>_before``).
     """
-    rows = rows.withColumn("_cell", F.shiftrightunsigned(F.col(tie[0]), 56).cast("int"))
+    salt = F.shiftrightunsigned(F.col(tie[0]), 56).cast("int")
+    rows = rows.withColumn("_cell", salt if first is None else first * SALTS + salt)
     cells = rows.groupBy(group, "_cell").agg(*[F.sum(c).alias(total) for c, total in totals.items()])
     before = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     return rows, cells.withColumns(

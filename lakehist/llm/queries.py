@@ -13,7 +13,7 @@ from lakehist.llm.exact import exact_groups
 from lakehist.llm.minhash import near_duplicates
 from lakehist.llm.mixing import dealt, mix
 from lakehist.llm.phrases import collocations
-from lakehist.llm.sharding import hilbert_shards
+from lakehist.llm.sharding import hilbert_shards, laid_out
 from lakehist.llm.spelling import spelling_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +46,7 @@ def op3_dealt_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    return hilbert_shards(_table(spark, sf, "documents"), shards=24)
+    return laid_out(hilbert_shards(_table(spark, sf, "documents"), shards=24))
 
 
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,14 +7,20 @@ and a file holds a narrow range of each. Runs are cut where the law says:
 * ``rows``: row counts of shards differ by one at most;
 * ``bytes``: shards get equal parts of the total size, as far as whole rows allow.
 
-The curve is evaluated once per occupied cell (``2 ** (bits * dimensions)`` at most), and so is the sum of what
-lies before it. Rows of a cell are split by a hash into 256 sub-cells, so a cell with a third of all rows is
-ranked by 256 tasks. All of it is DataFrame expressions.
-
-* Null in a dimension is its lowest level. Null text has no bytes; its row counts 8 bytes like any other.
-* Ties inside a cell are ordered by a hash of identifier and text; equal rows are interchangeable.
-* An empty table gives an empty result. Columns beyond those named are kept out of the way and carried only on
-  request (``carry``).
+Equal texts lie together, in the first of their cells: the curve is a sequence of distinct texts, each with its rows behind one
+another. So one shard has all rows of a text, unless a cut of the law falls between them (one text at most for each cut).
+
+Levels of numbers come from their quantiles, those of strings from the share of rows whose whole value sorts before
+theirs. The curve is evaluated once per occupied cell (``2 ** (bits * dimensions)`` at most), and so is the sum of what
+lies before it. Texts of a cell and rows of a text are ranked in 256 parts each, by hash, so that a cell or a text
+with a third of all rows is the work of 256 tasks. All of it is DataFrame expressions.
+
+:func:`laid_out` sorts the shards into files that are runs of the curve, so that readers prune them by their statistics.
+
+* Null in a dimension is its lowest level. Null text has no bytes and counts as empty; its row counts 8 bytes like any other.
+* Rows of a text are ordered by their own cells, then by a hash of identifier and text; equal rows are interchangeable.
+* An empty table gives an empty result. Columns beyond those named are carried on request only (``carry``), with underscores in
+  front where the result has a column of that name.
 """
 
 from __future__ import annotations
@@ -24,29 +30,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakehist.llm.common import quoted, running_totals, text_or_empty, within_cell
+from lakehist.llm.common import quoted, running_totals, stored, text_or_empty, within_cell
 
 #: What a row weighs besides the bytes of its text.
 ROW_BYTES = 8
 
 
-def ordinal(column: Column, kind: str) -> Column:
-    """A number that sorts as the column does; of strings the first seven UTF-8 bytes count. Null stays null."""
-    if kind == "string":
-        padded = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(padded, 16, 10).cast("double")
-    return column.cast("double")
+def _string_splits(rows: DataFrame, dimension: str, levels: int) -> list[str]:
+    """The first value of each level above the lowest. Distinct values are ranked in as many tasks as they need."""
+    values = rows.where(F.col(dimension).isNotNull()).groupBy(F.col(dimension).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    values = stored(values.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "shard-values")
+    parts = values.groupBy("part").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    upto = Window.partitionBy("part").orderBy("value")
+    middle = F.col("base") + F.sum("n").over(upto) - F.col("n") / 2
+    placed = values.join(parts, "part").select("value", F.floor(middle / F.col("total") * (levels - 1)).alias("level"))
+    return sorted(r["value"] for r in placed.groupBy("level").agg(F.min("value").alias("value")).collect())[1:]
 
 
 def quantised(rows: DataFrame, dimensions: Sequence[str], bits: int) -> DataFrame:
-    """Each dimension (a number or null) replaced by its level: 1 + how many of the ``2 ** bits - 2`` quantiles
-    are below it, 0 for null. The quantiles are at most ``2 ** bits`` numbers per dimension."""
-    levels = 2**bits
+    """Each dimension (a number, a string or null) replaced by its level: 1 + how many of the splits it reaches, 0 for null.
+    The splits are at most ``2 ** bits`` values per dimension: quantiles of numbers, and of strings the values with equal shares
+    of the rows between them."""
+    levels, kinds = 2**bits, dict(rows.dtypes)
     shares = [k / (levels - 1) for k in range(1, levels - 1)]
-    splits = rows.agg(*[F.percentile_approx(d, shares, 10_000).alias(d) for d in dimensions]).first()
+    numbers = [d for d in dimensions if kinds[d] != "string"]
+    found = rows.agg(F.lit(0), *[F.percentile_approx(d, shares, 10_000).alias(d) for d in numbers]).first()
     out = rows
     for d in dimensions:
-        above = [F.when(F.col(d) > F.lit(float(s)), 1).otherwise(0) for s in splits[d] or []]
+        if d in numbers:
+            above = [F.when(F.col(d) > F.lit(float(s)), 1).otherwise(0) for s in found[d] or []]
+        else:
+            above = [F.when(F.col(d) >= F.lit(s), 1).otherwise(0) for s in _string_splits(rows, d, levels)]
         level = F.lit(1)
         for step in above:
             level = level + step
@@ -121,12 +137,14 @@ def hilbert_shards(
     kinds = dict(docs.dtypes)
     names = [f"_d{i}" for i in range(len(dimensions))]
     values = [
-        F.log2(size) if d == "size" else ordinal(F.col(quoted(d)), kinds.get(d, "string")) for d in dimensions
+        F.log2(size) if d == "size" else F.col(quoted(d)).cast("string" if kinds.get(d, "string") == "string" else "double")
+        for d in dimensions
     ]
     rows = docs.select(
         F.col(quoted(id_column)).alias("_id"),
         size.alias("_size"),
         F.crc32(F.coalesce(text, F.lit(""))).alias("_crc"),
+        F.xxhash64(text_or_empty(text_column)).alias("_text"),
         F.xxhash64(F.col(quoted(id_column)), text_or_empty(text_column)).alias("_tie"),
         *[v.alias(n) for v, n in zip(values, names)],
         *[F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(carry)],
@@ -137,8 +155,9 @@ def hilbert_shards(
         cell = cell * 2**bits + F.col(n)
     rows = rows.withColumn("_curve", cell.cast("long")).drop(*names).withColumn("_one", F.lit(1).cast("long"))
 
-    tie = ["_tie", "_id", "_crc"]
-    rows, cells = running_totals(rows, "_curve", tie, {"_one": "_n", "_size": "_b"})
+    # A row for each text, in the first of its cells.
+    texts = rows.groupBy("_text").agg(F.min("_curve").alias("_curve"), F.sum("_one").alias("_tn"), F.sum("_size").alias("_tb"))
+    texts, cells = running_totals(texts, "_curve", ["_text"], {"_tn": "_n", "_tb": "_b"})
     # One row per occupied cell of the grid, so one task for the whole curve is bounded by the grid.
     levels = F.array(*[(F.floor(F.col("_curve") / 2 ** (bits * k)) % 2**bits).cast("int") for k in reversed(range(len(names)))])
     grid = cells.groupBy("_curve").agg(F.sum("_n").alias("_gn"), F.sum("_b").alias("_gb"))
@@ -161,8 +180,26 @@ def hilbert_shards(
         "_rows",
         "_bytes",
     )
-    sums, order = within_cell("_curve", tie)
-    placed = rows.join(cells, ["_curve", "_cell"]).withColumns(
+    sums, _ = within_cell("_curve", ["_text"])
+    texts = texts.join(cells, ["_curve", "_cell"]).select(
+        "_text",
+        (F.col("_row0") + F.coalesce(F.sum("_tn").over(sums), none)).alias("_row0"),
+        (F.col("_byte0") + F.coalesce(F.sum("_tb").over(sums), none)).alias("_byte0"),
+        "_rows",
+        "_bytes",
+    )
+    tie = ["_tie", "_id", "_crc"]
+    rows, parts = running_totals(rows, "_text", tie, {"_one": "_n", "_size": "_b"}, first=F.col("_curve"))
+    parts = parts.join(texts, "_text").select(
+        "_text",
+        "_cell",
+        (F.col("_row0") + F.col("_n_before")).alias("_row0"),
+        (F.col("_byte0") + F.col("_b_before")).alias("_byte0"),
+        "_rows",
+        "_bytes",
+    )
+    sums, order = within_cell("_text", tie)
+    placed = rows.join(parts, ["_text", "_cell"]).withColumns(
         {
             "_at": F.col("_row0") + F.row_number().over(order) - 1,
             "_from": F.col("_byte0") + F.coalesce(F.sum("_size").over(sums), none),
@@ -176,7 +213,7 @@ def hilbert_shards(
         placed = placed.withColumn("shard", F.expr(f"least({shards - 1}, (_from * {shards}) div _bytes)").cast("int"))
         firsts = placed.groupBy("shard").agg(F.min("_at").alias("_first"))
         placed = placed.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("_at") - F.col("_first"))
-    return placed.select(
+    result = placed.select(
         F.col("_id").alias("doc_id"),
         F.col("_size").alias("size"),
         F.col("_crc").alias("text_crc32"),
@@ -184,5 +221,21 @@ def hilbert_shards(
         "shard",
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
-        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)],
+        *[F.col(f"_c{i}") for i in range(len(carry))],
     )
+    names = result.columns[: len(result.columns) - len(carry)]
+    for c in carry:
+        name, taken = c, {n.lower() for n in names}
+        while name.lower() in taken:
+            name = f"_{name}"
+        names.append(name)
+    return result.toDF(*names)
+
+
+def laid_out(rows: DataFrame, files: int | None = None) -> DataFrame:
+    """``rows`` in the order of shard and slot, as they are to be written: every file is a run of the curve.
+
+    ``files`` is about how many there are; without it adaptive execution sizes them.
+    """
+    count = [] if files is None else [files]
+    return rows.repartitionByRange(*count, "shard", "slot").sortWithinPartitions("shard", "slot")

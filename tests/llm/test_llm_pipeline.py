@@ -22,7 +22,7 @@ def con():
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     registered = {name: query.__wrapped__ for name, query in entry.queries().items() if hasattr(query, "__wrapped__")}
     assert registered == QUERIES | {"pipeline": corpus_pipeline.run}
     assert ORACLE.items() <= entry.oracle_sql().items() and "pipeline" not in entry.oracle_sql()
