@@ -190,7 +190,7 @@ def _written(path: str, name: str, arrays: list[np.ndarray]) -> None:
 
 
 def _opened(path: str, name: str) -> list[np.ndarray]:
-    (data,) = lm._get(path, name, ["u1"])
+    data = np.asarray(lm._get(path, name, ["u1"])[0])  # mapped still, but indexed as a plain array
     n = int(data[:8].view("<i8")[0])
     at, out = 8 + 16 * n, []
     for size, length in data[8:at].view("<i8").reshape(-1, 2).tolist():
