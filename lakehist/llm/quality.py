@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
-from lakehist.llm.common import checkpointed, fresh, quoted, slices
+from lakehist.llm.common import fresh, quoted, slices, stored
 from lakehist.llm.words import SPACED, mixed, words
 
 #: The training sample: rows of each label.
@@ -210,7 +210,7 @@ def fit(
         known.withColumn("h", F.xxhash64("id")).groupBy("label", F.pmod("h", F.lit(cells)).alias("cell"))
         .agg(F.min_by("id", F.struct("h", "id")).alias("id"), F.count("*").alias("n"))
     )
-    chosen = checkpointed(chosen)
+    chosen = stored(chosen, "quality-sample")
     # Two labels times the cells: the sample is what may be broadcast and collected.
     texts = docs.select(F.col(quoted(id_column)).alias("id"), F.col(quoted(text_column)).cast("string").alias("text"))
     picked = texts.join(F.broadcast(chosen.select("id", "label")), "id").select("id", "label", "text")
@@ -256,7 +256,7 @@ def cut_at(scores: DataFrame, quantile: float, score_column: str = "score") -> f
 
 def thresholded(scores: DataFrame, quantile: float, name: str = "kept") -> DataFrame:
     """``scores`` with whether each ``score`` reaches the quantile; they are written once and read twice."""
-    scores = checkpointed(scores)
+    scores = stored(scores, "quality-scores")
     cut = cut_at(scores, quantile)
     return scores.withColumn(name, (F.col("score") >= F.lit(cut).cast(DoubleType())).cast(BooleanType()))
 
