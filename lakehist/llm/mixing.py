@@ -29,13 +29,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakehist.llm.common import checkpointed, fresh, quoted, running_totals, text_or_empty, within_cell
+from lakehist.llm.common import checkpointed, fresh, quoted, running_totals, stored, text_or_empty, within_cell
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating.
 CYCLE = (1, 2, 3)
 #: Rounds of a shuffle, and slots that one row of the plan expands to.
 ROUNDS, SLOTS_PER_ROW = 24, 4096
+#: Slots that a task expands, as long as that makes no more than so many tasks.
+SLOTS_PER_TASK, MOST_TASKS = 1 << 14, 100_000
 
 
 def permuted(x: Column, n: Column, key: Column, inverse: bool = False) -> Column:
@@ -136,6 +138,7 @@ def _placed(
         F.xxhash64(F.lit(seed), F.col(quoted(id_column)), text).alias("_tie"),
         F.xxhash64(text).alias("_text"),
     )
+    rows = stored(rows, "mix-rows")  # some numbers a document: its words are counted once
     tie = ["_tie", "_id", "_text"]
     rows, cells = running_totals(rows, "_src", tie, {"_size": "_sum"})
     sources = cells.groupBy("_src").agg(F.sum("_sum").alias("source_size"))
@@ -217,7 +220,10 @@ def _slots(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
         }
     )
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_slots - 1) div {SLOTS_PER_ROW}")))
-    chunks = used.withColumn("_chunk", chunk).repartition("_src", "_chunk")
+    # The few rows that stand for all slots look like the work of one task; so many are told to share it.
+    total = used.agg(F.sum("_slots")).first()[0] or 0
+    tasks = min(MOST_TASKS, max(1, -(-total // SLOTS_PER_TASK)))
+    chunks = used.withColumn("_chunk", chunk).repartition(tasks, "_src", "_chunk")
     last = F.least((F.col("_chunk") + 1) * SLOTS_PER_ROW, F.col("_slots")) - 1
     slots = chunks.withColumn("_j", F.explode(F.sequence(F.col("_chunk") * SLOTS_PER_ROW, last)))
     slots = slots.withColumns(

@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from lakehist.llm import mixing
 from lakehist.llm.mixing import dealt, mix, mixed_documents, permuted
 from pyspark.sql import functions as F
 
@@ -129,3 +130,16 @@ def test_sources_of_documents_are_within_one_document_of_their_targets(spark):
             got[r["source"]] += len(WORD.findall(r["text"]))
         for source, target in shared(size).items():
             assert abs(got[source] - target) <= largest[source]
+
+
+def test_many_tasks_expand_the_slots_of_one_source(spark, monkeypatch):
+    """One source of a single row of the plan's table; its slots are shared out, and the mix stays the same."""
+    docs = spark.createDataFrame([(i, "word " * (i % 50), "only" if i else "other") for i in range(400)], "doc_id long, text string, source string")
+    want = sorted(map(tuple, mixing.mix(docs, block=4).collect()))
+    monkeypatch.setattr(mixing, "SLOTS_PER_ROW", 64)
+    monkeypatch.setattr(mixing, "SLOTS_PER_TASK", 500)
+    _, sources = mixing._placed(docs, 4, 3, 20, "doc_id", "text", "source")
+    slots = mixing._slots(sources, 4, 24, 20).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    total = sum(r["count"] for r in slots)
+    assert total > 2000 and len(slots) >= 4 and max(r["count"] for r in slots) < total / 2
+    assert sorted(map(tuple, mixing.mix(docs, block=4).collect())) == want
