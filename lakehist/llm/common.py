@@ -51,6 +51,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def place_of(df: DataFrame, column: str) -> int:
+    """Where ``column`` stands among the columns; as in Spark, the case of its letters does not count."""
+    return [c.lower() for c in df.columns].index(column.lower())
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

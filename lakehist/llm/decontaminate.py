@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from lakehist.llm.common import fresh, quoted, slices
+from lakehist.llm.common import fresh, place_of, quoted, slices
 from lakehist.llm.words import ALNUM, words
 
 _FOUND = (
@@ -282,7 +282,7 @@ def contamination(
     ``n_hit``, ``items`` (identifiers as strings, sorted), ``passages`` (runs of matched words) and ``longest``."""
     spark, column = docs.sparkSession, fresh(docs, name)
     blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, item_column, benchmark_text, window, block_bytes)]
-    at = docs.columns.index(text_column)
+    at = place_of(docs, text_column)
     schema = StructType([*docs.schema.fields]).add(column, _FOUND)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

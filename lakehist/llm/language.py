@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from lakehist.llm.common import fresh, quoted, slices
+from lakehist.llm.common import fresh, place_of, quoted, slices
 from lakehist.llm.words import LOWER
 
 #: The training sample: rows of each language, bytes of each row.
@@ -316,7 +316,7 @@ def fit(docs: DataFrame, **columns: str) -> Model | None:
 
 def identified(docs: DataFrame, model: Model | None, text_column: str = "text", name: str = "language", slice_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` with one more column ``name`` (underscores in front if taken): a struct of ``lang_pred``, ``score``."""
-    column, at = fresh(docs, name), [c.lower() for c in docs.columns].index(text_column.lower())
+    column, at = fresh(docs, name), place_of(docs, text_column)
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields]).add(column, _RESULT)
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
-from lakehist.llm.common import fresh, quoted, slices, stored
+from lakehist.llm.common import fresh, place_of, quoted, slices, stored
 from lakehist.llm.words import SPACED, mixed, words
 
 #: The training sample: rows of each label.
@@ -235,7 +235,7 @@ def fit(
 def ranked(docs: DataFrame, model: Model, text_column: str = "text", name: str = "quality", slice_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` with one more column ``name`` (underscores in front if taken): a struct of ``margin`` and ``score``."""
     column = fresh(docs, name)
-    at = [c.lower() for c in docs.columns].index(text_column.lower())
+    at = place_of(docs, text_column)
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields]).add(column, _RESULT)
 

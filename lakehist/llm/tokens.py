@@ -1,12 +1,14 @@
 """Token counts that follow edits: segment trees over pre-tokens, of which an edit re-encodes what it touches.
 
 A text is cut into leaves of about ``LEAF_BYTES`` at places where the tokeniser's pre-tokens end whatever
-stands around them: before a single space and behind a single line feed, between two printable ASCII characters. So
-a leaf has the same tokens alone as in its text, and counts add up. A document keeps where its leaves begin and a
+stands further away: before a single space and behind a single line feed that stand between other characters, and where a letter,
+a number or another sign is followed by one of another of these three kinds (but not a letter by an apostrophe before it). That holds
+in every script. So a leaf has the same tokens alone as in its text, and counts add up. Characters whose kind changed between
+versions of Unicode, and white space but for those two, are next to no cut. A document keeps where its leaves begin and a
 segment tree of their counts (heap order: node ``i`` has children ``2 i`` and ``2 i + 1``, the root is the total).
 
 An edit replaces ``drop`` bytes at ``at`` by ``put``. Touched are the leaves it overlaps, and the next one on a side where
-it comes within two bytes of a cut, since those bytes are what makes the cut safe. Only they are cut and encoded anew;
+it comes within ``CONTEXT`` bytes of a cut, since those bytes are what makes the cut safe. Only they are cut and encoded anew;
 their counts go up the tree along their paths, or, where their number changed, into a tree rebuilt by adding.
 
 * Null text counts as empty and has no tokens. Null or empty edits change nothing. Edits of one document refer to its
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -27,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from lakehist.llm.common import fresh, slices
+from lakehist.llm.common import fresh, place_of, slices
 
 #: The vocabulary, on every machine. Its pre-token pattern is a fixed value that comes with it.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF_BYTES, SLICE_BYTES = 256, 8 << 20
-#: Bytes on either side of a cut that decide whether it is safe.
-CONTEXT = 2
+#: Bytes on either side of a cut that decide whether it is safe: a space and a character.
+CONTEXT = 5
 
 EDITS = ArrayType(StructType().add("at", LongType()).add("drop", LongType()).add("put", StringType()))
 _ARROW_EDITS = pa.list_(pa.struct([("at", pa.int64()), ("drop", pa.int64()), ("put", pa.string())]))
@@ -56,16 +59,32 @@ def counter(vocabulary: str) -> Callable[[bytes], int]:
     return lambda data: len(encoding.encode_ordinary(data.decode("utf-8")))
 
 
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """Of each code point: 1 for letters, 2 for numbers, 3 for other signs; 0 for white space, controls, those beyond the table and
+    those of which the oldest and the newest Unicode at hand say different things."""
+    found = [
+        np.array([{"L": 1, "N": 2, "Z": 0, "C": 0}.get(of(chr(c))[0], 3) for c in range(0x20000)], np.uint8)
+        for of in (unicodedata.category, unicodedata.ucd_3_2_0.category)
+    ]
+    return np.where(found[0] == found[1], found[0], 0).astype(np.uint8)
+
+
 def leaf_starts(data: bytes) -> np.ndarray:
     """Where leaves begin: 0, and in each stretch of ``LEAF_BYTES`` the first safe cut."""
     if not data:
         return np.zeros(0, np.int64)
-    b = np.frombuffer(data, np.uint8)
-    printable = (b > 32) & (b < 127)
-    between = np.zeros(len(b), bool)
-    between[1:-1] = printable[:-2] & printable[2:]
-    cuts = np.concatenate([np.flatnonzero(between & (b == 32)), np.flatnonzero(between & (b == 10)) + 1])
-    cuts.sort()
+    points = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), "<u4")
+    table = kinds()
+    kind = np.where(points < len(table), table[np.minimum(points, len(table) - 1)], 0)
+    known = kind > 0
+    cut = np.zeros(len(points), bool)  # before each character
+    cut[1:] = known[1:] & known[:-1] & (kind[1:] != kind[:-1]) & ~((points[:-1] == ord("'")) & (kind[1:] == 1))
+    between = known[:-2] & known[2:]
+    cut[1:-1] |= between & (points[1:-1] == ord(" "))
+    cut[2:] |= between & (points[1:-1] == ord("\n"))
+    size = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+    cuts = (np.cumsum(size) - size)[cut]
     _, first = np.unique(cuts // LEAF_BYTES, return_index=True)
     cuts = cuts[first]
     # A cut at the start of one stretch may follow closely on the one before; that leaf is small, and right.
@@ -144,7 +163,7 @@ def _bytes(texts: pa.Array) -> list[bytes]:
 
 def counted(docs: DataFrame, text_column: str = "text", vocabulary: str = VOCABULARY, name: str = "tokens") -> DataFrame:
     """``docs`` with a struct of ``n_tokens`` and the segment tree: ``starts`` of the leaves, ``sums``."""
-    column, at = fresh(docs, name), docs.columns.index(text_column)
+    column, at = fresh(docs, name), place_of(docs, text_column)
 
     def count_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary)
@@ -168,7 +187,7 @@ def recounted(
     """``docs`` (with trees from :func:`counted` and a column of type ``EDITS``) plus a struct of the state after the
     edits: ``text``, ``n_tokens``, ``starts``, ``sums``, and ``leaves_encoded``, how many leaves it took."""
     column = fresh(docs, name)
-    at, tree_at, edits_at = (docs.columns.index(c) for c in (text_column, tree_column, edits_column))
+    at, tree_at, edits_at = (place_of(docs, c) for c in (text_column, tree_column, edits_column))
     kind = StructType().add("text", StringType()).add("leaves_encoded", LongType())
     arrow_kind = pa.struct([("text", pa.string()), ("leaves_encoded", pa.int64()), *_ARROW_TREE])
     for f in _TREE:
@@ -191,7 +210,7 @@ def recounted(
 
 def redactions(docs: DataFrame, text_column: str = "text", put: str = "0", name: str = "edits") -> DataFrame:
     """``docs`` with the edits that replace long numbers and addresses by ``put``."""
-    column, at = fresh(docs, name), docs.columns.index(text_column)
+    column, at = fresh(docs, name), place_of(docs, text_column)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

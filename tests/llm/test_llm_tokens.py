@@ -98,3 +98,56 @@ def test_trees_add_up():
     for n in (0, 1, 2, 3, 7, 8):
         sums = tree_of(np.arange(1, n + 1))
         assert total(sums) == n * (n + 1) // 2
+
+
+#: Letters, marks, numbers and signs of many scripts, and all that Unicode takes for white space.
+SCRIPTS = st.text(
+    alphabet=st.one_of(
+        st.sampled_from("абвгд жзик 日本語。，、のテキスト ελλη नमस्ते हिन्दी สวัสดี العربية עברית 한국어 ٣४①Ⅷ½ 😀👍🏽€ §'´’l's"),
+        st.sampled_from("\u0085       　\x1c\x1f\x00​‍\r\n\t '"),
+        st.characters(exclude_categories=["Cs"]),
+    ),
+    max_size=120,
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=SCRIPTS)
+def test_leaves_of_any_script_have_the_tokens_of_the_text(text):
+    data, held = text.encode(), tokens.LEAF_BYTES
+    tokens.LEAF_BYTES = 1  # every safe cut is one
+    try:
+        assert total(Document.read(data, count).sums) == count(data)
+    finally:
+        tokens.LEAF_BYTES = held
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=SCRIPTS, put=SCRIPTS, seed=st.integers(0, 10**6))
+def test_edits_of_any_script_count_like_the_edited_text(text, put, seed):
+    rng, held = random.Random(seed), tokens.LEAF_BYTES
+    tokens.LEAF_BYTES = rng.choice((1, 6))
+    try:
+        a, b = sorted(rng.randrange(len(text) + 1) for _ in range(2))
+        d = Document.read(text.encode(), count)
+        d.edit([(len(text[:a].encode()), len(text[a:b].encode()), put.encode())], count)
+        assert d.data.decode() == text[:a] + put + text[b:]
+        assert total(d.sums) == count(d.data)
+        assert (d.sums == tree_of(tokens.leaf_counts(d.data, d.starts, count))).all()
+    finally:
+        tokens.LEAF_BYTES = held
+
+
+@pytest.mark.parametrize("sentence", [
+    "Съешь ещё этих мягких французских булок, да выпей чаю. ", "敏捷的棕色狐狸跳过了懒狗。今天天气很好，我们去公园。", "すばやい茶色の狐は、のろまな犬を飛び越える。",
+    "Ο γρήγορος καστανός αλεπού πηδάει. ", "तेज़ भूरी लोमड़ी आलसी कुत्ते पर कूदती है। ", "키 큰 사람이 빨리 걷는다. ",
+])
+def test_texts_of_many_scripts_have_many_leaves(sentence):
+    data = (sentence * 3_000).encode()
+    d = Document.read(data, count)
+    sizes = np.diff(np.append(d.starts, len(data)))
+    assert len(d.starts) > len(data) / 600 and sizes.max() < 1_000
+    assert total(d.sums) == count(data)
+    middle = len((sentence * 1_500).encode())
+    d.edit([(middle, len(sentence.encode()), "x1 ".encode())], count)
+    assert d.encoded <= 4 and total(d.sums) == count(d.data)
