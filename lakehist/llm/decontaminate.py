@@ -10,9 +10,10 @@ belong to are listed per document. Where there are occurrences, suffixes of the
 together to their full depth; what one has in common with the nearest item suffix on either side is its longest
 verbatim match. No pairs of places are listed for it, so a passage that text and benchmark repeat costs its length.
 
-The benchmark is a set of queries. It goes to the executors in blocks of at most ``block_bytes`` of text, one
-after the other, whatever its size; each block is matched against every shard. Nothing is shuffled, so a passage in
-a third of all documents costs the tasks that read them and no other.
+The benchmark is a set of queries. Spark deals its distinct items to blocks of about ``block_bytes`` of text, and a task for each
+block writes it, indexed, to the shared folder; the driver sees their numbers only. Scanning tasks map the blocks one after the
+other and match each against their shard, so none holds more than one, whatever the size of the benchmark. No document is
+shuffled, so a passage in a third of all documents costs the tasks that read them and no other.
 
 * Null and empty texts have no words and no hits; such items have no window. A null item identifier marks words
   but is not listed as an item.
@@ -24,7 +25,7 @@ a third of all documents costs the tasks that read them and no other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from lakehist.llm.common import fresh, place_of, quoted, slices
+from lakehist.llm import lm
+from lakehist.llm.common import fresh, place_of, quoted, scratch, slices
+from lakehist.llm.trigrams import opened, written
 from lakehist.llm.words import ALNUM, words
 
 _FOUND = (
@@ -47,7 +50,7 @@ _FOUND = (
 _PASSAGE = pa.struct([("first_word", pa.int64()), ("n_words", pa.int64())])
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     """A part of the benchmark: its vocabulary and its distinct windows, by length."""
 
@@ -55,7 +58,7 @@ class Block:
     windows: dict[int, np.ndarray]  # length -> distinct windows as rows of word numbers
     owners: dict[int, tuple[np.ndarray, np.ndarray]]  # length -> (bounds, items) of each window
     runs: np.ndarray  # windows of full length as they follow each other, as places plus 1, a 0 behind each item
-    items: list[str | None]
+    items: Sequence[str | None]
 
     @property
     def shortest(self) -> int:
@@ -255,16 +258,66 @@ def _scan(texts: pa.Array, blocks: list, window: int) -> pa.Array:
     )
 
 
-def _blocks(benchmark: DataFrame, item_column: str, text_column: str, window: int, block_bytes: int) -> Iterator[Block]:
-    held, size = [], 0
-    for item, text in benchmark.select(quoted(item_column), F.col(quoted(text_column)).cast("string")).toLocalIterator():
-        if held and size + len(text or "") > block_bytes:
-            yield block_of(held, window)
-            held, size = [], 0
-        held.append((item, text))
-        size += len(text or "")
-    if held:
-        yield block_of(held, window)
+class Names:
+    """Strings or nulls in two arrays."""
+
+    def __init__(self, bounds: np.ndarray, known: np.ndarray, raw: np.ndarray) -> None:
+        self.bounds, self.known, self.raw = bounds, known, raw
+
+    def __len__(self) -> int:
+        return len(self.known)
+
+    def __getitem__(self, i: int) -> str | None:
+        return self.raw[self.bounds[i]:self.bounds[i + 1]].tobytes().decode() if self.known[i] else None
+
+
+def _arrays(block: Block) -> list[np.ndarray]:
+    """A block as it is stored: names and all that has one length, then the windows of each length."""
+    names = [(i or "").encode() for i in block.items]
+    bounds = np.concatenate([[0], np.cumsum([len(n) for n in names])]).astype(np.int64)
+    known = np.array([i is not None for i in block.items], np.uint8)
+    out = [block.vocabulary, block.runs, bounds, known, np.frombuffer(b"".join(names), np.uint8), np.array(list(block.windows), np.int64)]
+    for length, windows in block.windows.items():
+        out += [windows.reshape(-1).astype(np.int64), *(a.astype(np.int64) for a in block.owners[length])]
+    return out
+
+
+@dataclass
+class StoredBlock:
+    """A block in the shared folder; every look at ``value`` maps it anew."""
+
+    path: str
+    number: int
+
+    @property
+    def value(self) -> Block:
+        vocabulary, runs, bounds, known, raw, lengths, *rest = opened(self.path, f"block-{self.number}")
+        windows, owners = {}, {}
+        for i, length in enumerate(lengths.tolist()):
+            own = [a.view(np.int64) for a in rest[3 * i:3 * i + 3]]
+            windows[length], owners[length] = own[0].reshape(-1, length), (own[1], own[2])
+        return Block(vocabulary, windows, owners, runs.view(np.int64), Names(bounds.view(np.int64), known, raw))
+
+
+def stored_blocks(benchmark: DataFrame, item_column: str, text_column: str, window: int, block_bytes: int) -> list[StoredBlock]:
+    """The benchmark in blocks, each made and written by a task; there are as many as its size asks for."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(
+        F.col(quoted(item_column)).cast("string").alias("item"), F.col(quoted(text_column)).cast("string").alias("text")
+    ).where("text IS NOT NULL").distinct()
+    size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    blocks, path = max(1, -(-size // block_bytes)), scratch(spark, "benchmark")
+    store, base = lm._store(path)
+    store.create_dir(base)
+
+    def write(table: pa.Table) -> pa.Table:
+        number = table["block"][0].as_py()
+        written(path, f"block-{number}", _arrays(block_of(list(zip(table["item"].to_pylist(), table["text"].to_pylist())), window)))
+        return pa.table({"number": [number]})
+
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    numbers = dealt.groupBy("block").applyInArrow(write, "number long").collect()
+    return [StoredBlock(path, n) for n in sorted(r["number"] for r in numbers)]
 
 
 def contamination(
@@ -280,8 +333,8 @@ def contamination(
 ) -> DataFrame:
     """``docs`` with one more column ``name`` (underscores in front if the name is taken): a struct of ``n_words``,
     ``n_hit``, ``items`` (identifiers as strings, sorted), ``passages`` (runs of matched words) and ``longest``."""
-    spark, column = docs.sparkSession, fresh(docs, name)
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, item_column, benchmark_text, window, block_bytes)]
+    column = fresh(docs, name)
+    blocks = stored_blocks(benchmark, item_column, benchmark_text, window, block_bytes)
     at = place_of(docs, text_column)
     schema = StructType([*docs.schema.fields]).add(column, _FOUND)
 

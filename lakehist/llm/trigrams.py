@@ -142,7 +142,7 @@ class Places:
         """The arrays of a file, or None where nothing fell into the shard."""
         if (name, shard) not in self.files:
             try:
-                self.files[name, shard] = _opened(self.model.path, f"{name}-{shard}")
+                self.files[name, shard] = opened(self.model.path, f"{name}-{shard}")
             except FileNotFoundError:
                 self.files[name, shard] = None
         return self.files[name, shard]
@@ -180,7 +180,7 @@ class Places:
         return np.where(self.hot(v), self._spread(v, w), self.of_word(v))
 
 
-def _written(path: str, name: str, arrays: list[np.ndarray]) -> None:
+def written(path: str, name: str, arrays: list[np.ndarray]) -> None:
     """Arrays of any lengths and types in one file, each on a multiple of eight bytes."""
     parts = [np.array([len(arrays), *(x for a in arrays for x in (a.itemsize, len(a)))], "<i8").view(np.uint8)]
     for a in arrays:
@@ -189,7 +189,7 @@ def _written(path: str, name: str, arrays: list[np.ndarray]) -> None:
     lm._put(path, name, [np.concatenate(parts)])
 
 
-def _opened(path: str, name: str) -> list[np.ndarray]:
+def opened(path: str, name: str) -> list[np.ndarray]:
     data = np.asarray(lm._get(path, name, ["u1"])[0])  # mapped still, but indexed as a plain array
     n = int(data[:8].view("<i8")[0])
     at, out = 8 + 16 * n, []
@@ -275,7 +275,7 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch], model: lm.Model) -> Itera
 def _put_pairs(places: Places, name: str, shard: int, v: np.ndarray, w: np.ndarray, k: np.ndarray) -> tuple[list[tuple], np.ndarray]:
     """Writes whole pairs; what they add to their words, as blobs, and to the sums."""
     starts = _starts(v)
-    _written(places.model.path, f"{name}-{shard}", [_fitted(v[starts]), _fitted(np.append(starts, len(v))), *_planes(w), *_bytes(k)])
+    written(places.model.path, f"{name}-{shard}", [_fitted(v[starts]), _fitted(np.append(starts, len(v))), *_planes(w), *_bytes(k)])
     (first,), sums = _grouped([v], *_kinds_of(k))
     (second,), (kinds,) = _grouped([w], np.ones(len(w), np.int64))
     blobs = [
@@ -298,7 +298,7 @@ def _merge_trigrams(table: pa.Table, model: lm.Model) -> pa.Table:
     heads = _starts(v[contexts])
     long = np.flatnonzero(np.diff(ends) >= LONG)
     sums = [np.add.reduceat(a, contexts)[long] if len(contexts) else a[:0] for a in _kinds_of(n)]
-    _written(model.path, f"contexts-{shard}", [
+    written(model.path, f"contexts-{shard}", [
         _fitted(v[contexts][heads]), _fitted(np.append(heads, len(contexts))), *_planes(u[contexts]), _fitted(ends),
         *_planes(w), *_bytes(n), _fitted(long), *(_fitted(s) for s in sums),
     ])
@@ -353,7 +353,7 @@ def _merge_words(table: pa.Table, model: lm.Model) -> pa.Table:
         column = np.zeros(len(n), np.int64)
         column[at - model.bases[shard]] = values
         columns.append(_fitted(column))
-    _written(model.path, f"words-{shard}", [_fitted(n), *columns])
+    written(model.path, f"words-{shard}", [_fitted(n), *columns])
     totals = np.concatenate([_sums(table, _PASSED), start, lm._counts_of_counts(kinds)])
     return pa.Table.from_batches([lm._batch([(shard, lm._STATS, 1, _squeezed(totals))])])
 

@@ -1,10 +1,13 @@
+import gc
 import random
 import re
+import weakref
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from lakehist.llm.decontaminate import SuffixArray, block_of, contamination, decontaminated, longest_matches
+from lakehist.llm.decontaminate import SuffixArray, _scan, block_of, contamination, decontaminated, longest_matches, stored_blocks
+from pyspark.sql.classic.dataframe import DataFrame
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -127,3 +130,45 @@ def test_odd_rows_pass_through(odd_docs, no_docs, spark):
     assert decontaminated(odd_docs, benchmark.limit(0)).count() == odd_docs.count()
     clash = odd_docs.withColumn("contamination", odd_docs.doc_id)
     assert decontaminated(clash, benchmark).columns == clash.columns
+
+
+def test_a_benchmark_of_many_blocks_is_never_held_whole(spark, monkeypatch):
+    """Blocks are written by tasks, and a scan has one of them at a time."""
+    rng = random.Random(17)
+    items = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(30))) for i in range(200)] + [(None, "a b c d e")] + [(3, None)]
+    benchmark = spark.createDataFrame(items + items[:50], "item_id long, text string").repartition(5)
+    blocks = stored_blocks(benchmark, "item_id", "text", 4, 300)
+    assert len(blocks) > 30
+    held, most, kept = weakref.WeakSet(), [], [b.value for b in blocks]
+    assert sorted((b.items[k] or "", len(b.windows)) for b in kept for k in range(len(b.items))) == sorted((str(i) if i is not None else "", 1) for i, t in items if t)
+    del kept
+
+    class Watched:
+        def __init__(self, block):
+            self.block = block
+
+        @property
+        def value(self):
+            found = self.block.value
+            held.add(found)
+            gc.collect()
+            most.append(len(held))
+            return found
+
+    texts = [" ".join(items[i][1].split()[2:9]) + " x a b c d e" for i in range(0, 200, 7)] + ["nothing", None, ""]
+    rows = _scan(pa.array(texts), [Watched(b) for b in blocks], 4).to_pylist()
+    assert len(most) == len(blocks) and max(most) <= 2  # the next one is opened before the last is let go
+    for text, row in zip(texts, rows):
+        assert (row["n_words"], row["n_hit"], row["items"]) == brute(text, items, 4)
+
+
+def test_the_driver_holds_no_text_of_the_benchmark(spark, monkeypatch):
+    """What comes back from the blocks is their numbers."""
+    benchmark = spark.createDataFrame([(i, f"secret passage number {i} of many") for i in range(50)], "item_id long, text string")
+    seen, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.extend(rows := collect(self)) or rows)
+    monkeypatch.setattr(DataFrame, "toLocalIterator", None)
+    docs = spark.createDataFrame([(1, "a secret passage number 7 of many")], "doc_id long, text string")
+    found = contamination(docs, benchmark, window=3, block_bytes=200)
+    assert len(seen) > 3 and "secret" not in str(seen)
+    assert collect(found)[0]["contamination"]["items"][:1] == ["0"]
