@@ -42,6 +42,8 @@ ABSORBED = 80
 BEST = 2000
 #: Text whose suffixes a shard sorts on average. A suffix takes some 60 bytes while it is sorted.
 SHARD_BYTES = 8 << 20
+#: Tasks that sort shards at most, whatever the session says of shuffles.
+MOST_TASKS = 50_000
 #: Text that is read at a time, and words that a task holds before it sends their counts.
 SLICE_BYTES, HELD_WORDS = 4 << 20, 300_000
 #: Parts in which a language's candidates are ranked before the whole.
@@ -312,7 +314,8 @@ def frequent(docs: DataFrame, lang_column: str, text_column: str, least: int, sh
 
     routed = texts.mapInArrow(lambda b: _route(b, shards, held.value), "shard int, rows long, data binary")
     names = ", ".join(f"{w} long" for w in _WORDS)
-    found = routed.groupBy("shard").applyInArrow(lambda t: _sort(t, least), f"{names}, a long, whole boolean")
+    # A task for each shard, or a few: how much one reads doesn't grow with the input.
+    found = routed.repartition(min(shards, MOST_TASKS), "shard").groupBy("shard").applyInArrow(lambda t: _sort(t, least), f"{names}, a long, whole boolean")
     found = stored(found, "phrase-counts")
     apart = found.where("NOT whole").groupBy(*_WORDS).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return vocabulary, found.where("whole").select(*_WORDS, "a").unionByName(apart)
