@@ -6,7 +6,8 @@
    the inverse of the chance that two pages go on alike, varies there: its rare children become one wildcard ``*``.
 3. Sibling templates, equal but for one segment, are merged into a wildcard when their labelled pages do not tell them
    apart: the chi-square statistic of their shares of blocked pages stays within two standard deviations of its mean.
-   That goes from the deepest segment in which labelled templates of a host can differ up to the first.
+   That goes from the deepest segment to the first, but only to those in which labelled siblings still differ. Only
+   templates of as many segments can become siblings, so of a host those of a depth that has a single labelled one take no part.
 4. A template's purity is its share of blocked pages among the labelled ones, smoothed with that of the same
    template on all hosts, which is smoothed with the share of all pages. Pages of templates above ``reject`` are blocked.
 
@@ -126,10 +127,30 @@ def _merged(counts: DataFrame, level: int) -> DataFrame:
     return out.unionByName(counts.where(~deep))
 
 
-def _deepest(counts: DataFrame) -> int:
-    """Most segments that two labelled templates of one host have; below that nothing has a sibling to merge with."""
-    alike = counts.where("labelled > 0").groupBy("host", F.size("template").alias("depth")).agg(F.count(F.lit(1)).alias("n"))
-    return alike.where("n > 1").agg(F.max("depth")).first()[0] or 0
+def _deepest(counts: DataFrame, above: int | None) -> int:
+    """The deepest segment, above the one given, in which labelled siblings differ; 0 if there is none."""
+    now = F.col("now")
+    each = counts.where("labelled > 0").select("host", "now", F.explode(F.sequence(F.lit(1), F.size(now))).alias("level"))
+    each = each.where(F.lit(True) if above is None else F.col("level") < above)
+    around = [F.slice(now, F.lit(1), F.col("level") - 1), F.slice(now, F.col("level") + 1, F.size(now))]
+    siblings = each.groupBy("host", "level", F.xxhash64(*around).alias("around")).agg(
+        (F.min(F.element_at(now, F.col("level"))) != F.max(F.element_at(now, F.col("level")))).alias("differ")
+    )
+    return siblings.where("differ").agg(F.max("level")).first()[0] or 0
+
+
+def _all_merged(counts: DataFrame) -> DataFrame:
+    """``counts`` with the wildcards of all levels; a round for each level that has anything to merge."""
+    depth = F.size("now")
+    shared = counts.where("labelled > 0").groupBy("host", depth.alias("depth")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keyed = counts.withColumn("depth", F.when(depth > 0, depth)).join(shared, ["host", "depth"], "left")
+    keyed = checkpointed(keyed.select(*counts.columns, F.col("n").isNotNull().alias("live")))
+    live, rest = (keyed.where(c).drop("live") for c in ("live", "NOT live"))
+    level = _deepest(live, None)
+    while level:
+        live = checkpointed(_merged(live, level))
+        level = _deepest(live, level)
+    return live.unionByName(rest)
 
 
 def judged(
@@ -150,9 +171,7 @@ def judged(
     labelled = F.when(F.col("label").isNotNull(), F.col("pages")).otherwise(0)
     blocked = F.when(F.col("label") == "block", F.col("pages")).otherwise(0)
     counts = told.groupBy("host", "template").agg(F.sum(labelled).cast("double").alias("labelled"), F.sum(blocked).cast("double").alias("blocked"))
-    counts = checkpointed(counts.withColumn("now", F.col("template")))
-    for level in range(_deepest(counts), 0, -1):
-        counts = checkpointed(_merged(counts, level))
+    counts = _all_merged(counts.withColumn("now", F.col("template")))
 
     everything = counts.agg(F.sum("labelled"), F.sum("blocked")).first()
     share = ((everything[1] or 0.0) + 1) / ((everything[0] or 0.0) + 2)

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from lakehist.llm import urls
 from lakehist.llm.urls import RULES, Rule, judged
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -137,3 +138,39 @@ def test_equal_rules_take_the_first(spark):
     for first, second in (("allow", "block"), ("block", "allow")):
         rules = (Rule(first, "ab", "/"), Rule(second, "ab", "/"))
         assert judged(pages, rules).first()["verdict"] == first
+
+
+def rounds_of(spark, monkeypatch, found):
+    """How many times templates were merged, and the verdicts."""
+    levels, merge = [], urls._merged
+    monkeypatch.setattr(urls, "_merged", lambda counts, level: levels.append(level) or merge(counts, level))
+    frame = spark.createDataFrame(list(enumerate(found)), "page_id long, url string").repartition(3)
+    rows = {r["url"]: (r["verdict"], r["template"]) for r in judged(frame).join(frame, "page_id").collect()}
+    monkeypatch.undo()
+    return levels, rows
+
+
+def test_deep_paths_cost_a_round_only_where_siblings_differ(spark, monkeypatch):
+    """A trap of two urls with forty segments each adds no round, or one where they differ in one segment."""
+    plain = [f"http://shop.com/{lang}/item{i % 5}" for lang in ("fr", "de") for i in range(20)]
+    trap = ["/".join(f"s{i * k}" for i in range(40)) for k in (1, 3)]
+    twins = ["/".join(["deep"] * 19 + [end] + ["deep"] * 20) for end in ("a", "b")]
+    levels, rows = rounds_of(spark, monkeypatch, plain)
+    trapped, more = rounds_of(spark, monkeypatch, plain + [f"http://trap.com/fr/{t}" for t in trap])
+    assert trapped == levels and len(levels) <= 2
+    assert {u: v for u, v in more.items() if "trap" not in u} == rows
+    deep, more = rounds_of(spark, monkeypatch, plain + [f"http://trap.com/fr/{t}" for t in twins])
+    assert sorted(set(deep) - set(levels)) == [21] and len(deep) == len(levels) + 1
+    for url in (f"http://trap.com/fr/{t}" for t in twins):
+        assert more[url][1] == "/fr/" + "/".join(["deep"] * 19 + ["*"] + ["deep"] * 20)
+
+
+def test_merges_that_make_siblings_further_up(spark):
+    """Two wildcards behind make templates alike that differed in two segments."""
+    found = [f"http://a.com/fr/{x}/{y}" for x in "pqr" for y in "uvw"] + [f"http://b.com/fr/{x}" for x in "pq"] + ["http://c.com/fr/z", "http://c.com/q/z"]
+    expected = brute(found)
+    frame = spark.createDataFrame(list(enumerate(found)), "page_id long, url string")
+    for r in judged(frame).collect():
+        verdict, template, purity = expected[found[r["page_id"]]][3:6]
+        assert (r["verdict"], r["template"]) == (verdict, template) and r["purity"] == pytest.approx(purity, abs=1e-8)
+    assert {r["template"] for r in judged(frame).where("host = 'a.com'").collect()} == {"/fr/*/*"}
