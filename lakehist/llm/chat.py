@@ -4,8 +4,8 @@ Every call and every result is one event, and one row of the result; so is every
 one value, so a conversation with a third of all events is no burden to any task.
 
 * **Linking.** Results are reduced to one per identifier (the earliest, then the smallest content), then calls find
-  theirs by a hash join. Rows of one identifier are spread over ``SALTS`` tasks by a hash of the row, to which the other
-  side is copied.
+  theirs by a hash join. Rows of one identifier are spread by a hash of the row over as many salts as all rows would fill with
+  ``ROWS_PER_SALT``, and the other side is copied to those that it has rows in. Null identifiers go round the joins.
 * **Order.** A call may come ``after`` another call, whose result it uses. Its level is the length of that chain, found by
   pointer doubling: each round every call looks as far back as all rounds before together. Events in the
   order of (conversation, level, call before result, turn, identifier) come after all they depend on.
@@ -18,7 +18,7 @@ Defined results: a call without a result is ``unanswered``; a result without a c
 one identifier are ``repeated``. A call after a call that does not exist starts at level 0 and is
 ``dangling``; calls that wait for each other have no level and are ``cyclic``. Null identifiers link with nothing.
 Arguments that are no JSON object are reported as ``malformed`` and written as text. Repeated calls are each linked
-with the one result. Empty tables give no events.
+with the one result. Empty tables give no events. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from lakehist.llm.common import checkpointed
 
-SALTS = 16
+#: Rows of one identifier that are joined in one place, more or less.
+ROWS_PER_SALT = 4096
 
 
 @dataclass(frozen=True)
@@ -82,27 +83,36 @@ def problems(name: Column, arguments: Column, schemas: Mapping[str, Schema]) ->
     )
 
 
-def _salted(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+def _salts(*tables: DataFrame) -> int:
+    return max(1, -(-sum(t.count() for t in tables) // ROWS_PER_SALT))
+
+
+def _salted(rows: DataFrame, lookup: DataFrame, key: str, salts: int, how: str = "left") -> DataFrame:
     """``rows`` with the columns of ``lookup``, which has one row per ``key``; no key is a burden to one task.
 
     The lookup is copied to the salts that a key has rows in, and to no other.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(SALTS)))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(salts)))
     copies = salted.select(key, "_salt").distinct().join(lookup, key)
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
-def levels(calls: DataFrame) -> DataFrame:
+def levels(calls: DataFrame, salts: int | None = None) -> DataFrame:
     """``call_id, level, dangling``, one row per identifier; of repeated identifiers the smallest ``after`` counts."""
+    salts = salts or _salts(calls)
     known = calls.where("call_id IS NOT NULL").groupBy("call_id").agg(F.min("after").alias("after"))
     there = known.select(F.col("call_id").alias("after"), F.lit(True).alias("there"))
     found = F.col("there").isNotNull()
-    state = known.join(there, "after", "left").select(
+    # Calls after none are where a chain begins, a third of all of them perhaps; there is nothing to join them with.
+    first = known.where("after IS NULL").select(
+        "call_id", F.lit(None).cast(dict(known.dtypes)["call_id"]).alias("back"), F.lit(0).cast("long").alias("level"), F.lit(False).alias("dangling")
+    )
+    state = _salted(known.where("after IS NOT NULL"), there, "after", salts).select(
         "call_id",
         F.when(found, F.col("after")).alias("back"),
         F.when(found, 1).otherwise(0).cast("long").alias("level"),
-        (F.col("after").isNotNull() & ~found).alias("dangling"),
-    )
+        (~found).alias("dangling"),
+    ).unionByName(first)
     state = checkpointed(state)
     # No chain is longer than all calls together; what has not arrived by then waits for itself.
     for _ in range(state.count().bit_length()):
@@ -111,7 +121,7 @@ def levels(calls: DataFrame) -> DataFrame:
         # Those that have arrived need no join, and there are ever more of them.
         going, done = state.where("back IS NOT NULL"), state.where("back IS NULL")
         ahead = state.select(F.col("call_id").alias("back"), F.col("back").alias("next"), F.col("level").alias("more"), F.col("dangling").alias("lost"))
-        moved = _salted(going, ahead, "back", "inner").select(
+        moved = _salted(going, ahead, "back", salts, "inner").select(
             "call_id", F.col("next").alias("back"), (F.col("level") + F.col("more")).alias("level"), "dangling"
         )
         state = checkpointed(moved.unionByName(done))
@@ -125,12 +135,15 @@ def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema],
     ``conv_id, level, kind, turn, call_id, name, status, problems, json``; ``kind`` is 0 for calls, 1 for results and
     2 for plain turns.
     """
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "after")
+    results = results.select("conv_id", "turn", "call_id", "content")
     chosen = results.where("call_id IS NOT NULL").groupBy("call_id").agg(
         F.min(F.struct("turn", F.xxhash64("content").alias("content"))).alias("answer")
     )
-    placed = checkpointed(levels(calls))
-    ordered = _salted(calls, placed, "call_id")
-    answered = _salted(ordered, chosen.select("call_id", F.lit(True).alias("answered")), "call_id")
+    salts = _salts(calls, results)
+    placed = checkpointed(levels(calls, salts))
+    ordered = _salted(calls, placed, "call_id", salts)
+    answered = _salted(ordered, chosen.select("call_id", F.lit(True).alias("answered")), "call_id", salts)
     arguments = F.try_parse_json("arguments")
     wrong = problems(F.col("name"), F.col("parsed"), schemas)
     status = (
@@ -155,7 +168,7 @@ def linked(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema],
         "problems",
         call_json.alias("json"),
     )
-    met = _salted(_salted(results, placed, "call_id"), chosen, "call_id")
+    met = _salted(_salted(results, placed, "call_id", salts), chosen, "call_id", salts)
     first = (F.col("answer.turn").eqNullSafe(F.col("turn"))) & (F.col("answer.content") == F.xxhash64("content"))
     known = F.col("dangling").isNotNull()
     result_events = met.select(

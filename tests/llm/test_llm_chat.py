@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from lakehist.llm import chat
 from lakehist.llm.chat import SCHEMAS, Field, calls_of, levels, linked, plain_of
 from lakehist.llm.queries import QUERIES
 
@@ -130,3 +131,27 @@ def test_plain_turns(spark):
         None: '{"content":""}',
     }
     assert {(r["level"], r["status"], r["call_id"]) for r in plain.values()} == {(0, "plain", None)}
+
+
+@pytest.mark.parametrize("size", [1, 7, 4096])
+def test_a_call_that_a_third_of_all_others_come_after(spark, monkeypatch, size):
+    """Many calls after one, many after none, and many results of one: the same at any number of salts."""
+    monkeypatch.setattr(chat, "ROWS_PER_SALT", size)
+    calls = [(1, 0, "hot", "f", '{"b":1}', None)] + [(1, i, f"a{i}", "f", '{"b":1}', "hot") for i in range(1, 60)]
+    calls += [(2, i, f"n{i}", "f", '{"b":1}', None) for i in range(60)] + [(3, i, f"c{i}", "f", '{"b":1}', f"a{i}") for i in range(1, 20)]
+    calls += [(4, 0, "l", "f", '{"b":1}', "nowhere"), (4, 1, None, "f", '{"b":1}', "hot")]
+    results = [(1, 100 + i, "hot", f"r{i}") for i in range(50)] + [(3, 200, "c3", "x")]
+    found = events(spark, calls, results)
+    assert len(found) == len(calls) + len(results)
+    level = {r["call_id"]: r["level"] for r in found if r["kind"] == 0}
+    assert all(level[f"a{i}"] == 1 for i in range(1, 60)) and all(level[f"n{i}"] == 0 for i in range(60)) and level["c7"] == 2
+    assert [r["status"] for r in found if r["call_id"] == "l"] == ["dangling"]
+    assert sorted(r["status"] for r in found if r["kind"] == 1) == ["linked"] * 2 + ["repeated"] * 49
+
+
+def test_further_columns_are_ignored(spark):
+    calls = spark.createDataFrame([(1, 0, "a", "f", '{"b":1}', None)], CALLS)
+    results = spark.createDataFrame([(1, 1, "a", "r")], RESULTS)
+    plain = linked(calls, results, TOOLS).collect()
+    more = calls.selectExpr("*", "9 AS level", "'x' AS _salt", "true AS answered", "'y' AS parsed")
+    assert linked(more, results.selectExpr("'z' AS answer", "*", "1 AS dangling"), TOOLS).collect() == plain
