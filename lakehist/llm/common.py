@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakehist.sources.files import delete
+
+_FOLDER: ContextVar[str | None] = ContextVar("scratch folder", default=None)
+
 #: Values of the salt that :func:`running_totals` splits every group by.
 SALTS = 256
 
@@ -24,8 +30,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, or in that of :func:`scratch_folder`."""
+    return f"{_FOLDER.get() or shared_dir(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A folder that takes up whatever is written meanwhile, and is removed at the end; results that are still to be read belong
+    elsewhere."""
+    folder = scratch(spark, purpose)
+    token = _FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDER.reset(token)
+        delete(spark, folder)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 from conftest import SF_DIR
-from lakehist.llm import language
+from lakehist.llm import common, language
 from lakehist.llm.queries import ORACLE, QUERIES
 
 import __spark_entry__ as entry
@@ -83,3 +83,26 @@ def test_stages_on_odd_documents(spark, odd_docs, no_docs):
             assert kept.count() == docs.count()
         assert stage(spark, no_docs, SF_DIR).collect() == []
         docs = spark.createDataFrame(kept.collect() or [], kept.schema) if stage is not corpus_pipeline.shard else docs
+
+
+def test_the_last_stage_keeps_all_columns_in_files_by_shard(spark, odd_docs, tmp_path):
+    docs = odd_docs.withColumn("slot", odd_docs.source).withColumn("url", odd_docs.lang)
+    kept = corpus_pipeline.shard(spark, docs, SF_DIR)
+    assert kept.columns[-6:] == ["text", "lang", "source", "n_chars", "_slot", "url"]
+    held = Counter((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"], r["slot"], r["url"]) for r in docs.collect())
+    assert Counter((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"], r["_slot"], r["url"]) for r in kept.collect()) == held
+    kept.write.parquet(str(tmp_path / "out"))
+    runs = []
+    for file in (tmp_path / "out").glob("*.parquet"):
+        own = [(r["shard"], r["slot"]) for r in spark.read.parquet(str(file)).collect()]
+        assert own == sorted(own)
+        runs.append((own[0], own[-1]))
+    assert all(a[1] < b[0] for a, b in zip(sorted(runs), sorted(runs)[1:]))
+
+
+def test_a_run_leaves_its_result_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file:{tmp_path}/shared")
+    rows = corpus_pipeline.run(spark, SF_DIR)
+    left = [p.name for p in (tmp_path / "shared").iterdir()]
+    assert len(left) == 1 and left[0].startswith("llm-pipeline-4-")
+    assert rows.count() > 0 and {"n_chars", "text", "lang", "source"} <= set(rows.columns)
