@@ -12,7 +12,8 @@ the check that equal digests stand for equal texts, made at every level. The ans
 and digest, which splits the rows of a hot group by run.
 
 * Null text counts as empty. Texts are compared unchanged, unless the caller hands in normalised text.
-* A null identifier loses against any other; a group without identifiers has none to keep.
+* Identifiers are whole numbers; other types are refused. A null one loses against any other; a group without identifiers has
+  none to keep.
 * Rows that repeat identifier and text are one document written twice: each of them is counted in
   ``group_size`` and each is marked kept, if any is.
 * An empty table gives an empty result; further columns are ignored.
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lakehist.llm.common import quoted, text_or_empty
 
@@ -43,6 +45,8 @@ def exact_groups(
     """
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is smallest or largest")
+    if not isinstance(docs.select(quoted(id_column)).schema[0].dataType, IntegralType):
+        raise TypeError(f"{id_column} is no whole number: number the documents first, or name a column that does")
     text, runs = text_or_empty(text_column), fan**rounds
     rows = docs.select(
         F.col(quoted(id_column)).cast("long").alias("doc_id"),

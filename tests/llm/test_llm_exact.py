@@ -37,3 +37,9 @@ def test_empty(no_docs):
 def test_unknown_rule(no_docs):
     with pytest.raises(ValueError):
         exact_groups(no_docs, keep="any")
+
+
+def test_identifiers_that_are_no_numbers_are_refused(odd_docs):
+    with pytest.raises(TypeError, match="doc_id"):
+        exact_groups(odd_docs.withColumn("doc_id", odd_docs.lang))
+    assert exact_groups(odd_docs.withColumn("doc_id", odd_docs.doc_id.cast("int"))).count() == odd_docs.count()
