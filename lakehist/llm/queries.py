@@ -350,3 +350,23 @@ ORACLE["op11_spelling"] = f"""
           UNION ALL SELECT f.word, t.form FROM followed f JOIN told t ON t.word = f.reached WHERE t.form IS NOT NULL)
         SELECT told.word, told.form, reached AS root, told.n, told.n_near, told.form_n
         FROM told JOIN followed USING (word) JOIN told last ON last.word = reached AND last.form IS NULL"""
+
+# Every pair of texts that share a shingle is compared, and links are followed to their ends.
+ORACLE["op1_minhash_dedup"] = f"""
+        WITH RECURSIVE texts AS (
+          SELECT row_number() OVER () AS node, t, regexp_extract_all({_ASCII_LOWER.format("t")}, '[^\x20\x09-\x0D]+') AS ws
+          FROM (SELECT DISTINCT coalesce(text, '') AS t FROM documents)),
+        shingles AS (
+          SELECT DISTINCT node, ws[p:p + least(len(ws), 5) - 1] AS s
+          FROM (SELECT node, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS p FROM texts WHERE len(ws) > 0)),
+        sizes AS (SELECT node, count(*) AS n FROM shingles GROUP BY node),
+        shared AS (
+          SELECT a.node AS u, b.node AS v, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.node <> b.node GROUP BY a.node, b.node),
+        links AS (
+          SELECT u, v FROM shared JOIN sizes a ON a.node = u JOIN sizes b ON b.node = v WHERE 10 * k >= 8 * (a.n + b.n - k)),
+        reached AS (SELECT node, node AS other FROM texts UNION SELECT r.node, v FROM reached r JOIN links ON u = r.other),
+        classes AS (SELECT node, min(other) AS class FROM reached GROUP BY node),
+        rows_of AS (SELECT doc_id, class FROM documents d JOIN texts ON t = coalesce(d.text, '') JOIN classes USING (node))
+        SELECT doc_id, min(doc_id) OVER same AS class_id, count(*) OVER same AS class_size,
+          doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept
+        FROM rows_of WINDOW same AS (PARTITION BY class)"""
