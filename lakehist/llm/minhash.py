@@ -269,6 +269,8 @@ class NearDuplicates:
 
     def _link(self, found: DataFrame) -> None:
         """Take the links up into the components."""
+        if self.links is not None and found.isEmpty():
+            return
         self.links = found if self.links is None else self.links.unionByName(found)
         self.labels = components(self.links)
 
@@ -350,14 +352,16 @@ class NearDuplicates:
         ).where("label <> other")
         pairs = pairs.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("centre")).distinct()
         many = rarest.where(F.col("size") > SMALL).select("node").distinct()
-        return pairs, self._stored(left.join(many, "node", "left_semi"), "many")
+        return self._stored(pairs, "pairs"), self._stored(left.join(many, "node", "left_semi"), "many")
 
     def _strays(self, left: DataFrame, sets: DataFrame) -> DataFrame:
         """Links of a stray with another member of its family, across components."""
         pairs, many = self._asked(left, sets)
-        agreed = self._agreed(pairs)
-        found = self._verified(agreed.where(F.col("agreement") >= MAYBE).select("node", "centre"), sets)
-        return found.unionByName(self._in_blocks(many, sets))
+        found = self.spark.createDataFrame([], "node long, centre long")
+        if not pairs.isEmpty():
+            agreed = self._agreed(pairs).where(F.col("agreement") >= MAYBE)
+            found = found.unionByName(self._verified(agreed.select("node", "centre"), sets))
+        return found if many.isEmpty() else found.unionByName(self._in_blocks(many, sets))
 
     def _in_blocks(self, left: DataFrame, sets: DataFrame) -> DataFrame:
         """Links of strays, each compared with all of its family that are in another component, once each."""
