@@ -44,8 +44,12 @@ BEST = 2000
 SHARD_BYTES = 8 << 20
 #: Tasks that sort shards at most, whatever the session says of shuffles.
 MOST_TASKS = 50_000
-#: Text that is read at a time, and words that a task holds before it sends their counts.
-SLICE_BYTES, HELD_WORDS = 4 << 20, 300_000
+#: Text whose suffixes a task routes at a time, and whose words it counts at a time.
+SLICE_BYTES, COUNTED_BYTES = 4 << 20, 1 << 20
+#: Words that a task holds before it sends their counts, and their bytes; rows that it sends at a time.
+HELD_WORDS, HELD_BYTES, ROWS_SENT = 300_000, 32 << 20, 50_000
+#: Blobs that a task sends at a time: the JVM beside it holds them outside its heap.
+SENT_BYTES = 2 << 20
 #: Parts in which a language's candidates are ranked before the whole.
 SALTS = 64
 
@@ -77,59 +81,63 @@ class Tokens:
         self.langs = coded.dictionary.to_pylist()
         seeds = [int.from_bytes(hashlib.blake2b(l.encode(), digest_size=8).digest(), "little") for l in self.langs]
         owner = self.split.text_of_word()
-        self.lang = np.asarray(coded.indices, np.int64)[owner]
-        seed = np.array(seeds, np.uint64)[self.lang] if len(owner) else np.zeros(0, np.uint64)
-        self.word = np.maximum(mixed(self.split.hashes * _ODD + seed), np.uint64(1))  # 0 stands for no word
-        breaks = np.cumsum(_BREAKS[self.split.raw], dtype=np.int64)
-        self.piece = breaks[self.split.starts] + owner if len(owner) else owner  # grows from text to text and from break to break
-
-    def text(self, i: int) -> str:
-        return self.split.raw[self.split.starts[i]:self.split.ends[i]].tobytes().decode("utf-8", "replace")
+        self.lang = np.asarray(coded.indices, np.int32)[owner]
+        word = self.split.hashes * _ODD
+        if len(owner):
+            word += np.array(seeds, np.uint64)[self.lang]
+        self.word = np.maximum(mixed(word), np.uint64(1))  # 0 stands for no word
+        breaks = np.flatnonzero(_BREAKS[self.split.raw])
+        self.piece = np.searchsorted(breaks, self.split.starts) + owner  # grows from text to text and from break to break
+
+    def texts(self, at: np.ndarray) -> pa.Array:
+        """The words at ``at``, which ascends."""
+        # Every other value lies between two of the words.
+        offsets = np.append(np.stack([self.split.starts[at], self.split.ends[at]], axis=1).reshape(-1), len(self.split.raw))
+        values = pa.Array.from_buffers(pa.large_binary(), 2 * len(at), [None, pa.py_buffer(offsets), pa.py_buffer(self.split.raw)])
+        taken = values.take(pa.array(np.arange(0, 2 * len(at), 2)))
+        try:
+            return taken.cast(pa.large_string())
+        except pa.ArrowInvalid:  # bytes that are no UTF-8
+            return pa.array([w.decode("utf-8", "replace") for w in taken.to_pylist()], pa.large_string())
 
     def suffixes(self) -> list[np.ndarray]:
-        """Columns of the words from each word on, 0 behind the end of the piece; suffixes of two words and more."""
-        n = len(self.word)
-        columns = [self.word]
-        for k in range(1, LONGEST):
-            own = np.zeros(n, np.uint64)
-            if n > k:
-                own[:-k] = np.where(self.piece[k:] == self.piece[:-k], self.word[k:], np.uint64(0))
-            columns.append(own)
-        self.many = columns[1] != 0
-        return [c[self.many] for c in columns]
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
+        """Columns of the words from each word on, 0 behind the end of the piece; suffixes of two words and more, which begin at
+        ``self.at``."""
+        self.at = np.flatnonzero(self.piece[1:] == self.piece[:-1])
+        own, columns = self.piece[self.at], [self.word[self.at], self.word[self.at + 1]]
+        for k in range(2, LONGEST):
+            behind = np.minimum(self.at + k, len(self.word) - 1)
+            inside = (self.at + k == behind) & (self.piece[behind] == own)
+            columns.append(np.where(inside, self.word[behind], np.uint64(0)))
+        return columns
+
+
+def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Tokens]:
     for batch in batches:
-        for part in slices(batch, 1, SLICE_BYTES):
+        for part in slices(batch, 1, size):
             yield Tokens(part.column(0), part.column(1))
 
 
 def _count_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows of kind 0: words; of kinds 2 and 3: how many suffixes begin with pairs and triples of a bucket."""
-    held: dict[int, list] = {}
+    held: list[pa.Table] = []
     hot = np.zeros((2, buckets), np.int64)
-
-    def out() -> pa.RecordBatch:
-        lang, word, n = zip(*held.values()) if held else ((), (), ())
-        return pa.record_batch(
-            [pa.array([0] * len(held), pa.int32()), pa.array(lang, pa.string()), pa.array(word, pa.string()),
-             pa.array(held.keys(), pa.int64()), pa.array(n, pa.int64())], schema=_SCHEMA)
-
-    for tokens in _slices(batches):
+    for tokens in _slices(batches, COUNTED_BYTES):
         word, first, n = np.unique(tokens.word, return_index=True, return_counts=True)
-        for h, i, c in zip(word.view(np.int64).tolist(), first.tolist(), n.tolist()):
-            if h in held:
-                held[h][2] += c
-            else:
-                held[h] = [tokens.langs[tokens.lang[i]], tokens.text(i), c]
+        order = np.argsort(first)
+        at = first[order]
+        langs = pa.array(tokens.langs, pa.string()).take(pa.array(tokens.lang[at]))
+        held.append(pa.table([langs, tokens.texts(at), pa.array(word[order].view(np.int64)), pa.array(n[order])], names=_COUNTED))
         suffix = tokens.suffixes()
         for d in (2, 3):
             hot[d - 2] += np.bincount((_chained(*suffix[:d]) >> _bits(buckets)).astype(np.int64), minlength=buckets)
-        if len(held) > HELD_WORDS:
-            yield out()
-            held = {}
-    yield out()
+        del tokens, suffix
+        if sum(len(t) for t in held) > HELD_WORDS or sum(t.nbytes for t in held) > HELD_BYTES:
+            held = [_summed(held)]
+            if len(held[0]) > HELD_WORDS // 2 or held[0].nbytes > HELD_BYTES // 2:
+                yield from _word_rows(held.pop())
+    if held:
+        yield from _word_rows(_summed(held))
     for d in (2, 3):
         at = np.flatnonzero(hot[d - 2])
         none = pa.nulls(len(at), pa.string())
@@ -137,6 +145,22 @@ def _count_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
 
 
 _SCHEMA = pa.schema([("kind", pa.int32()), ("lang", pa.string()), ("word", pa.string()), ("h", pa.int64()), ("n", pa.int64())])
+_COUNTED = ["lang", "word", "h", "n"]
+
+
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    """One row for each word."""
+    rows = pa.concat_tables(counts)
+    h = np.asarray(rows["h"])
+    order = np.argsort(h, kind="stable")
+    starts = np.flatnonzero(np.append(True, h[order[1:]] != h[order[:-1]])[:len(order)])
+    one = rows.take(pa.array(order[starts]))
+    return one.set_column(3, "n", pa.array(np.add.reduceat(np.asarray(rows["n"])[order], starts) if len(order) else h))
+
+
+def _word_rows(counts: pa.Table) -> Iterator[pa.RecordBatch]:
+    rows = counts.add_column(0, "kind", pa.array(np.zeros(len(counts), np.int32)))
+    yield from rows.cast(_SCHEMA).combine_chunks().to_batches(max_chunksize=ROWS_SENT)
 
 
 def _paths(columns: list[np.ndarray], hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -155,28 +179,45 @@ def _pack(a: np.ndarray) -> bytes:
 
 def _route(batches: Iterator[pa.RecordBatch], shards: int, hot: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Blobs of the distinct suffixes of a slice, one for each shard that has any; words are places in a list of the blob's own."""
-    for tokens in _slices(batches):
-        columns = tokens.suffixes()
-        path = _chained(*columns)
-        order = np.argsort(path)
-        new = np.ones(len(order), bool)
-        new[1:] = path[order[1:]] != path[order[:-1]]
-        for c in columns:
-            new[1:] |= c[order[1:]] != c[order[:-1]]
-        starts = np.flatnonzero(new)
-        at, n = order[starts], np.diff(np.append(starts, len(order)))
-        columns = [c[at] for c in columns]
-        by, path = _paths(columns, hot)
-        shard = ((path >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-        # Every word of a suffix is one of the slice: the suffix's first is looked up, the others stand behind it.
-        known, place = np.unique(tokens.word, return_inverse=True)
-        place = np.append(place.reshape(-1).astype(np.int32) + 1, np.zeros(LONGEST, np.int32))
-        at = np.flatnonzero(tokens.many)[at]
-        places = np.stack([np.where(c > 0, place[at + k], 0) for k, c in enumerate(columns)])
-        known = np.concatenate([[np.uint64(0)], known])
-        order = np.argsort(shard * len(known) + places[0], kind="stable")
-        shard, by, n, places = shard[order], by[order], n[order], places[:, order]
-        yield from _blobs(_shard_blobs(known, shard, by, n, places))
+    for tokens in _slices(batches, SLICE_BYTES):
+        yield from _blobs(_shard_blobs(*_distinct(tokens, shards, hot)))
+
+
+def _distinct(tokens: Tokens, shards: int, hot: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The words of a slice, and of its distinct suffixes, sorted by shard: the shard, by what they are routed, how often they
+    occur, and the places of their words. Arrays of a number for every word are let go as soon as may be."""
+    columns = tokens.suffixes()
+    del tokens.split, tokens.piece, tokens.lang
+    path = _chained(*columns)
+    order = np.argsort(path)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in (path, *columns):
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    del path, c
+    starts = np.flatnonzero(new)
+    at, n = order[starts], np.diff(np.append(starts, len(order)))
+    del order, new, starts
+    for k in range(LONGEST):
+        columns[k] = columns[k][at]
+    by, path = _paths(columns, hot)
+    shard = ((path >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
+    del path
+    there = [c > 0 for c in columns]
+    del columns[:]
+    # Every word of a suffix is one of the slice: the suffix's first is looked up, the others stand behind it.
+    known, place = np.unique(tokens.word, return_inverse=True)
+    place = np.append(place.reshape(-1).astype(np.int32) + 1, np.zeros(LONGEST, np.int32))
+    at = tokens.at[at]
+    del tokens.word, tokens.at
+    known = np.concatenate([[np.uint64(0)], known])
+    order = np.argsort(shard * np.int64(len(known)) + place[at], kind="stable")
+    at = at[order]
+    places = np.empty((LONGEST, len(at)), np.int32)
+    for k in range(LONGEST):
+        places[k] = np.where(there[k][order], place[at + k], 0)
+    return known, shard[order], by[order].astype(np.int8), n[order].astype(np.int32), places
 
 
 def _shard_blobs(known: np.ndarray, shard: np.ndarray, by: np.ndarray, n: np.ndarray, places: np.ndarray) -> Iterator[tuple]:
@@ -202,7 +243,7 @@ def _blobs(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     for row in rows:
         held.append(row)
         size += len(row[2])
-        if size > 8 << 20:
+        if size > SENT_BYTES:
             yield _blob_batch(held)
             held, size = [], 0
     if held:
@@ -214,11 +255,11 @@ def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(shard, pa.int32()), pa.array(n, pa.int64()), pa.array(data, pa.binary())], names=["shard", "rows", "data"])
 
 
-def _unblob(data: bytes, rows: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    size = int.from_bytes(data[:8], "little")
+def _unblob(data: pa.Buffer, rows: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    size = int(np.frombuffer(data, "<u8", 1)[0])
     known, at, out = np.frombuffer(data, np.uint64, size, 8), 8 + 8 * size, []
     for _ in range(LONGEST + 2):
-        kind = np.dtype(f"<u{data[at]}")
+        kind = np.dtype(f"<u{np.frombuffer(data, np.uint8, 1, at)[0]}")
         out.append(np.frombuffer(data, kind, rows, at + 1))
         at += 1 + rows * kind.itemsize
     return known, out
@@ -230,26 +271,27 @@ def multikey_quicksort(keys: np.ndarray, n: np.ndarray, least: list[int], seed:
     Key 0 is the end of a suffix. ``least[d]`` is the least count of a phrase of ``d + 1`` words; a segment below it is
     abandoned. Each round takes every segment by its own pivot into less, equal and greater.
     """
-    pointer = np.random.default_rng(seed).permutation(keys.shape[1])
+    pointer = np.random.default_rng(seed).permutation(np.arange(keys.shape[1], dtype=np.int32))
     size, depth = np.array([keys.shape[1]]), np.zeros(1, np.int64)
     floor = np.array(least, np.int64)
     size, depth = size[size > 0], depth[size > 0]
     while len(size):
-        segment = np.repeat(np.arange(len(size)), size)
-        key = keys[depth[segment], pointer]
+        segment = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        key = keys[depth.astype(np.int8)[segment], pointer]
         start = np.cumsum(size) - size
         three = key[np.stack([start, start + size // 2, start + size - 1])]
         pivot = np.sort(three, axis=0)[1]
         own = pivot[segment]
+        del segment
         parts = []
-        for which, mask in enumerate((key < own, key == own, key > own)):
-            at = np.flatnonzero(mask)
-            sizes = np.bincount(segment[at], minlength=len(size))
+        for which, compare in enumerate((np.less, np.equal, np.greater)):
+            mask = compare(key, own)
+            sizes = np.add.reduceat(mask, start, dtype=np.int64)
             there = sizes > 0
             sizes, deep = sizes[there], depth[there]
-            chosen = pointer[at]
+            chosen = pointer[mask]
             begin = np.cumsum(sizes) - sizes
-            total = np.add.reduceat(n[chosen], begin) if len(chosen) else np.zeros(0, np.int64)
+            total = np.add.reduceat(n[chosen], begin, dtype=np.int64) if len(chosen) else np.zeros(0, np.int64)
             going = total >= floor[deep]
             if which == 1:
                 going &= pivot[there] > 0
@@ -260,12 +302,13 @@ def multikey_quicksort(keys: np.ndarray, n: np.ndarray, least: list[int], seed:
                 deep = deep + 1
                 going &= deep < keys.shape[0]
             parts.append((chosen[np.repeat(going, sizes)], sizes[going], deep[going]))
+        del key, own, mask, chosen
         pointer, size, depth = (np.concatenate(p) for p in zip(*parts))
 
 
 def _sort(table: pa.Table, least: int) -> pa.Table:
     """The frequent phrases of a shard; ``whole`` is false where other shards may have more of the same."""
-    blobs = [_unblob(data.as_py(), rows) for rows, data in zip(table["rows"].to_pylist(), table["data"])]
+    blobs = [_unblob(data.as_buffer(), rows) for rows, data in zip(table["rows"].to_pylist(), table["data"])]
     known = np.unique(np.concatenate([np.zeros(1, np.uint64), *(k for k, _ in blobs)]))
     keys = np.empty((LONGEST, sum(len(c[0]) for _, c in blobs)), np.int32)
     at = 0
@@ -275,14 +318,15 @@ def _sort(table: pa.Table, least: int) -> pa.Table:
             keys[d, at:at + len(columns[d])] = to[columns[d]]
         at += len(columns[0])
     by = np.concatenate([c[LONGEST] for _, c in blobs])
-    n = np.concatenate([c[LONGEST + 1] for _, c in blobs]).astype(np.int64)
+    n = np.concatenate([c[LONGEST + 1] for _, c in blobs])
     del blobs
     found = []
     for path in range(3):  # phrases of two to path + 1 words are shared with other shards
-        rows = np.flatnonzero(by == path)
+        own = by == path
+        mine, times = (keys, n) if own.all() else (keys[:, own], n[own])
         floor = [1 if path and d <= path else least for d in range(LONGEST)]
-        for length, at, total in multikey_quicksort(keys[:, rows], n[rows], floor):
-            phrase = known[keys[:, rows[at]]]
+        for length, at, total in multikey_quicksort(mine, times, floor):
+            phrase = known[mine[:, at]]
             phrase[length:] = 0
             found.append([*phrase.view(np.int64), total, np.full(len(at), length > path + 1)])
     columns = [np.concatenate(c) for c in zip(*found)] if found else [*(np.zeros(0, np.int64) for _ in range(LONGEST + 1)), np.zeros(0, bool)]
