@@ -13,7 +13,7 @@
    What a shard then holds of each source is a multinomial draw under the condition that the sources' totals are
    met. Unconditional draws would miss the targets by chance, and exceed the most epochs of a source.
 5. Blocks and pieces of documents meet by source and block number. :func:`dealt` has the output itself, a row per
-   piece of a slot; :func:`mix` sums it up for each document.
+   piece of a slot; :func:`mix` sums it up for each document; :func:`mixed_documents` has whole documents in the slots.
 
 Permutations are swap-or-not shuffles: each round pairs number ``x`` with ``key - x`` and swaps them or not by a
 hash of the pair. They work on any range without a table, so a slot finds its block by itself. All of this is
@@ -36,6 +36,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (1, 2, 3)
 #: Rounds of a shuffle, and slots that one row of the plan expands to.
 ROUNDS, SLOTS_PER_ROW = 24, 4096
+#: Steps in which documents are told apart by the share of their words that a source's last epoch deals.
+PARTS = 16
 #: Slots that a task expands, as long as that makes no more than so many tasks.
 SLOTS_PER_TASK, MOST_TASKS = 1 << 14, 100_000
 
@@ -256,42 +258,77 @@ def _plan(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    block: int = 256,
+    shards: int = 24,
+    most_epochs: int = 3,
+    seed: int = 20,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
     """The mix as whole documents, in the columns of ``docs``; each source is within one document of its target.
 
-    Every document comes once per whole epoch of its source. The words left over go to the documents at the start of the
-    source's pseudorandom run: those that lie in it with more than half of their words come once more. Documents without
-    words are left out.
+    Documents come with the blocks as they are dealt: once for every epoch of their source that deals words of theirs, in
+    the slot that has the first of them. A whole epoch deals all documents. The last one may stop early, and its blocks cut
+    documents: those it deals whole come, then those it deals most of, until their words reach what the source still lacks; the
+    others stay out. Rows lie in the order of output shard, slot and place, so that files are runs of it.
     """
-    named = {"id_column": "doc_id", "text_column": "text", "source_column": "source"} | {
-        k: v for k, v in parameters.items() if k.endswith("_column")
-    }
-    settings = {"block": 256, "shards": 24, "most_epochs": 3, "seed": 20} | {
-        k: v for k, v in parameters.items() if not k.endswith("_column")
-    }
-    del settings["shards"]
-    placed, _ = _placed(docs, **settings, **named)
-    # The cells brought their source's numbers along; a join by source would put a hot one into one task.
-    placed = placed.where("_size > 0").withColumns({"_epochs": F.expr("_words div source_size"), "_rest": F.expr("_words % source_size")})
-    more = F.when(2 * F.col("_from") + F.col("_size") < 2 * F.col("_rest"), 1).otherwise(0)
-    # Equal rows lie side by side in the run, so the join has one row for them; the first so many of them come once more.
-    plan = placed.groupBy("_src", "_id", "_tie", "_text").agg(F.first("_epochs").alias("_epochs"), F.sum(more).alias("_more"), F.count(F.lit(1)).alias("_n"))
-    plan = plan.where("_epochs + _more > 0")
-
-    text, source = text_or_empty(named["text_column"]), F.col(quoted(named["source_column"])).cast("string")
+    found, columns = _dealt_documents(docs, block, shards, most_epochs, seed, id_column, text_column, source_column)
+    order = ["_shard", "_deal", "_place"]
+    return found.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
+
+
+def _shares(placed: DataFrame, sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
+    """For each document and epoch how many of its words are dealt, and shard, slot and place of the first of them."""
+    slots = _slots(sources, block, shards, seed).where("_take > 0").select(
+        "_src", "_block", F.expr("_j div _blocks").alias("_epoch"), "_whole", "_rest", "_take", "_shard", "_deal"
+    )
+    pieces = _pieces(placed.where("_size > 0"), block).select("_src", "_tie", "_id", "_text", "_nth", "_size", "_block", "_a", "_b")
+    words = F.least(F.col("_b"), F.col("_take")) - F.col("_a")
+    met = pieces.join(slots.hint("merge"), ["_src", "_block"]).withColumn("_dealt", words).where("_dealt > 0")
+    # Within an epoch a block has one slot, so the first piece of a document is the one of its lowest block.
+    at = F.min(F.struct("_block", "_shard", "_deal", F.col("_a").alias("_place")))
+    by = ["_src", "_tie", "_id", "_text", "_nth", "_size", "_epoch", "_whole", "_rest"]
+    return met.groupBy(*by).agg(F.sum("_dealt").alias("_dealt"), at.alias("_at")).select(*by, "_dealt", "_at._shard", "_at._deal", "_at._place")
+
+
+def _rounded(shares: DataFrame) -> DataFrame:
+    """The epochs in which documents come: every whole one, and the last for those that are dealt most of."""
+    tie = ["_tie", "_id", "_text"]
+    lacking = (PARTS - F.expr(f"_dealt * {PARTS} div _size")).cast("int")
+    rows, cells = running_totals(shares.where("NOT _whole"), "_src", tie, {"_size": "_sum"}, lacking)
+    sums, _ = within_cell("_src", [*tie, "_nth"])
+    before = F.col("_sum_before") + F.coalesce(F.sum("_size").over(sums), F.lit(0).cast("long"))
+    last = rows.join(cells.drop("_sum"), ["_src", "_cell"]).withColumn("_before", before).where("2 * _before + _size < 2 * _rest")
+    return shares.where("_whole").unionByName(last.select(*shares.columns))
+
+
+def _dealt_documents(
+    docs: DataFrame, block: int, shards: int, most_epochs: int, seed: int, id_column: str, text_column: str, source_column: str
+) -> tuple[DataFrame, list[Column]]:
+    """A row for every time a document comes, with ``_shard``, ``_deal`` (its slot) and ``_place``; and the columns of ``docs`` in it."""
+    placed, sources = _placed(docs, block, most_epochs, seed, id_column, text_column, source_column)
+    shares = stored(_shares(placed, sources, block, shards, seed), "mix-shares")
+    # Equal rows are numbered on both sides: which of them comes in which slot depends on their other columns only.
+    keys = ["_src", "_who", "_tie", "_text"]
+    who = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null"))
+    plan = _rounded(shares).withColumn("_who", who(F.col("_id")))
+    plan = plan.withColumn("_same", F.dense_rank().over(Window.partitionBy(*keys).orderBy("_nth"))).select(*keys, "_same", "_shard", "_deal", "_place")
+
+    text, identifier, source = text_or_empty(text_column), F.col(quoted(id_column)), F.col(quoted(source_column))
     row = fresh(docs, "_row")
+    named = {c.lower() for c in (id_column, text_column, source_column)}
+    others = [F.col(f"{row}.{quoted(c)}") for c in docs.columns if c.lower() not in named]
     keyed = docs.select(
         F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias(row),
-        F.coalesce(F.concat(F.lit("="), source), F.lit("null")).alias("_src"),
-        F.col(quoted(named["id_column"])).alias("_id"),
-        F.xxhash64(F.lit(settings["seed"]), F.col(quoted(named["id_column"])), text).alias("_tie"),
+        who(source).alias("_src"),
+        who(identifier).alias("_who"),
+        F.xxhash64(F.lit(seed), identifier, text).alias("_tie"),
         F.xxhash64(text).alias("_text"),
     )
-    same = [F.col("a._tie") == F.col("b._tie"), F.col("a._text") == F.col("b._text"), F.col("a._src") == F.col("b._src")]
-    matched = keyed.alias("a").join(plan.alias("b"), same + [F.col("a._id").eqNullSafe(F.col("b._id"))])
-    keys = [F.col(f"a.{k}") for k in ("_src", "_id", "_tie", "_text")]
-    parted = (F.col("b._more") > 0) & (F.col("b._more") < F.col("b._n"))
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.when(parted, F.xxhash64(F.to_json(F.col(f"a.{row}"))))))
-    numbered = matched.select(F.col(f"a.{row}"), (F.col("b._epochs") + F.when(nth <= F.col("b._more"), 1).otherwise(0)).alias("_copies"))
-    copies = numbered.where("_copies > 0").select(row, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy"))
-    return copies.select(*[F.col(f"{row}.{quoted(c)}").alias(c) for c in docs.columns])
+    among = F.to_json(F.struct(*others)) if others else F.lit(0)
+    keyed = keyed.withColumn("_same", F.row_number().over(Window.partitionBy(*keys).orderBy(among)))
+    found = keyed.join(plan.hint("merge"), [*keys, "_same"])
+    return found, [F.col(f"{row}.{quoted(c)}").alias(c) for c in docs.columns]

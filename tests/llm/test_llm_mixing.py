@@ -132,6 +132,49 @@ def test_sources_of_documents_are_within_one_document_of_their_targets(spark):
             assert abs(got[source] - target) <= largest[source]
 
 
+def test_documents_come_with_the_blocks_that_are_dealt(spark, tmp_path):
+    """Each in the slot that has the first of its words, for every epoch that deals it whole, and never without a block of its own."""
+    docs = spark.range(300).selectExpr(
+        "id AS doc_id", "TRIM(REPEAT('w ', CAST(1 + id * 7 % 60 AS INT))) AS text", "CONCAT('s', id % 3) AS source", "id % 7 AS shard",
+    )
+    size = {r["doc_id"]: len(r["text"].split()) for r in docs.collect()}
+    settings = {"block": 16, "shards": 5}
+    pieces, firsts = defaultdict(Counter), defaultdict(list)
+    for r in dealt(docs, **settings).collect():
+        pieces[r["doc_id"]][r["first_word"]] += r["words"]
+        firsts[r["doc_id"], r["slot"]].append((r["first_word"], r["shard"], r["place"]))
+    rows, _ = mixing._dealt_documents(docs, 16, 5, 3, 20, "doc_id", "text", "source")
+    came, partly = Counter(), 0
+    for r in rows.select("_row.doc_id", "_shard", "_deal", "_place").collect():
+        came[r["doc_id"]] += 1
+        assert min(firsts[r["doc_id"], r["_deal"]])[1:] == (r["_shard"], r["_place"])
+    for d, words in size.items():
+        whole, rest = divmod(sum(pieces[d].values()), words)
+        assert whole <= came[d] <= whole + (rest > 0)
+        partly += rest > 0
+    assert partly > 10 and len(set(came.values())) > 1
+    got = mixed_documents(docs, **settings)
+    assert Counter(r["doc_id"] for r in got.collect()) == came
+    # Files are runs of the slots: what lies in one comes after all that lies in another.
+    got.write.parquet(str(tmp_path / "out"))
+    order = [r["doc_id"] for r in rows.orderBy("_shard", "_deal", "_place").select("_row.doc_id").collect()]
+    runs = [[r["doc_id"] for r in spark.read.parquet(str(f)).collect()] for f in sorted((tmp_path / "out").glob("part-*.parquet"))]
+    assert [d for run in runs for d in run] == order
+
+
+def test_equal_rows_come_as_often_as_they_are_dealt(spark):
+    """Equal identifiers, texts and sources with other columns of their own, null identifiers among them."""
+    rows = [(None if i % 2 else 1, "one two three", "a", i) for i in range(40)] + [(2, "w " * 200, "b", 0), (3, "w " * 150, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    got = [Counter(map(tuple, mixed_documents(d, block=7).collect())) for d in (docs, docs.repartition(5))]
+    assert got[0] == got[1] and set(got[0]) <= set(rows)
+    targets = shared({"a": 120, "b": 200, None: 150})
+    for source, target in targets.items():
+        words = sum(len(r[1].split()) * n for r, n in got[0].items() if r[2] == source)
+        assert abs(words - target) <= max(len(r[1].split()) for r in rows if r[2] == source)
+    assert max(got[0].values()) <= 3
+
+
 def test_many_tasks_expand_the_slots_of_one_source(spark, monkeypatch):
     """One source of a single row of the plan's table; its slots are shared out, and the mix stays the same."""
     docs = spark.createDataFrame([(i, "word " * (i % 50), "only" if i else "other") for i in range(400)], "doc_id long, text string, source string")
