@@ -36,7 +36,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (1, 2, 3)
 #: Rounds of a shuffle, and slots that one row of the plan expands to.
 ROUNDS, SLOTS_PER_ROW = 24, 4096
-#: Steps in which documents are told apart by the share of their words that a source's last epoch deals.
+#: Steps to 1 in which documents that a source's last epoch cuts are told apart.
 PARTS = 16
 #: Slots that a task expands, as long as that makes no more than so many tasks.
 SLOTS_PER_TASK, MOST_TASKS = 1 << 14, 100_000
@@ -272,8 +272,9 @@ def mixed_documents(
 
     Documents come with the blocks as they are dealt: once for every epoch of their source that deals words of theirs, in
     the slot that has the first of them. A whole epoch deals all documents. The last one may stop early, and its blocks cut
-    documents: those it deals whole come, then those it deals most of, until their words reach what the source still lacks; the
-    others stay out. Rows lie in the order of output shard, slot and place, so that files are runs of it.
+    documents: those it deals whole come, and of the others about every one with the share of its words that is dealt as its
+    chance, long ones as well as short ones, until their words reach what the source still lacks. Rows lie in the order of output
+    shard, slot and place, so that files are runs of it.
     """
     found, columns = _dealt_documents(docs, block, shards, most_epochs, seed, id_column, text_column, source_column)
     order = ["_shard", "_deal", "_place"]
@@ -295,10 +296,16 @@ def _shares(placed: DataFrame, sources: DataFrame, block: int, shards: int, seed
 
 
 def _rounded(shares: DataFrame) -> DataFrame:
-    """The epochs in which documents come: every whole one, and the last for those that are dealt most of."""
+    """The epochs in which documents come: every whole one, and the last by sequential Poisson sampling.
+
+    A document's number is drawn from 0 to 1 and divided by its dealt share; the lowest come first, those that are dealt whole before
+    all. As the shares sum up to the words lacked, these are reached where the quotient is about 1.
+    """
     tie = ["_tie", "_id", "_text"]
-    lacking = (PARTS - F.expr(f"_dealt * {PARTS} div _size")).cast("int")
-    rows, cells = running_totals(shares.where("NOT _whole"), "_src", tie, {"_size": "_sum"}, lacking)
+    drawn = shares.where("NOT _whole").withColumn("_drawn", F.pmod(F.xxhash64(F.lit("last"), "_tie", "_nth"), F.lit(1 << 16)))
+    quotient = F.least(F.expr(f"_drawn * _size * {PARTS} div (_dealt * {1 << 16})"), F.lit(2 * PARTS))
+    first = F.when(F.col("_dealt") == F.col("_size"), 0).otherwise(1 + quotient).cast("int")
+    rows, cells = running_totals(drawn, "_src", tie, {"_size": "_sum"}, first)
     sums, _ = within_cell("_src", [*tie, "_nth"])
     before = F.col("_sum_before") + F.coalesce(F.sum("_size").over(sums), F.lit(0).cast("long"))
     last = rows.join(cells.drop("_sum"), ["_src", "_cell"]).withColumn("_before", before).where("2 * _before + _size < 2 * _rest")

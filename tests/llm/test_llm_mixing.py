@@ -162,6 +162,17 @@ def test_documents_come_with_the_blocks_that_are_dealt(spark, tmp_path):
     assert [d for run in runs for d in run] == order
 
 
+def test_long_documents_come_as_readily_as_short_ones(spark):
+    """A third of source a is taken: of its documents of 2 blocks as of those of 40, none of which is dealt whole."""
+    docs = spark.range(540).selectExpr(
+        "id AS doc_id", "TRIM(REPEAT('w ', IF(id < 400, 32, 640))) AS text", "CASE WHEN id < 500 THEN 'a' WHEN id < 520 THEN 'b' ELSE 'c' END AS source",
+    )
+    got = Counter(r["doc_id"] for r in mixed_documents(docs, block=16).collect())
+    assert 95 <= sum(n for d, n in got.items() if d < 400) <= 175
+    assert 20 <= sum(n for d, n in got.items() if 400 <= d < 500) <= 46
+    assert all(got[d] == 3 for d in range(500, 540))
+
+
 def test_equal_rows_come_as_often_as_they_are_dealt(spark):
     """Equal identifiers, texts and sources with other columns of their own, null identifiers among them."""
     rows = [(None if i % 2 else 1, "one two three", "a", i) for i in range(40)] + [(2, "w " * 200, "b", 0), (3, "w " * 150, None, None)]
